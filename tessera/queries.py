@@ -116,3 +116,114 @@ def q_split_cpt(spark, sf):
                                body="SELECT split, source, CAST(count(*) AS BIGINT) AS n_rows FROM s GROUP BY split, source"))
 def q_split_counts(spark, sf):
     return mix.split_counts(corpus.cpt_split(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# chat fine-tuning corpus
+# --------------------------------------------------------------------------
+
+def _ws_sql() -> str:
+    from tessera.constants import WS29
+    return " || ".join(f"chr({ord(c)})" for c in WS29)
+
+
+WS = _ws_sql()
+
+
+def _strip(expr: str) -> str:
+    return f"trim({expr}, {WS})"
+
+
+def _clean(col: str) -> str:
+    return _strip(f"coalesce({col}, '')")
+
+
+def _render2_sql(user: str, assistant: str) -> str:
+    return ("'<bos>' || '<start_of_turn>user' || chr(10) || " + _strip(user) +
+            " || '<end_of_turn>' || chr(10) || '<start_of_turn>model' || chr(10) || " + _strip(assistant) +
+            " || '<end_of_turn>' || chr(10)")
+
+
+_USER_DIALOGUE = _strip(f"{_clean('instruction')} || chr(10) || {_clean('input')}")
+
+_SFT_SQL = [
+    *fx("dialogue", "technical"),
+    ("sft", f"SELECT 'dialogue' AS source, row_id, turn, {_render2_sql(_USER_DIALOGUE, _clean('output'))} AS text "
+            f"FROM dialogue UNION ALL "
+            f"SELECT 'technical' AS source, row_id, turn, {_render2_sql(_clean('Input'), _clean('Output'))} AS text "
+            f"FROM technical"),
+]
+
+
+@register("strip_unicode", ctes(*fx("dialogue"), body=f"SELECT row_id, turn, {_strip('instruction')} AS instruction FROM dialogue"))
+def q_strip_unicode(spark, sf):
+    from tessera.functions.text import strip_unicode
+    return fixtures.dialogue(spark, sf).select("row_id", "turn", strip_unicode("instruction").alias("instruction"))
+
+
+@register("default_missing", ctes(*fx("dialogue"), body="SELECT row_id, turn, coalesce(input, '') AS input FROM dialogue"))
+def q_default_missing(spark, sf):
+    from tessera.functions.text import default_missing
+    return fixtures.dialogue(spark, sf).select("row_id", "turn", default_missing("input").alias("input"))
+
+
+@register("build_user_content", ctes(*fx("dialogue"), body=f"SELECT row_id, turn, {_USER_DIALOGUE} AS user_content FROM dialogue"))
+def q_build_user_content(spark, sf):
+    from tessera.functions.text import build_user_content
+    return fixtures.dialogue(spark, sf).select("row_id", "turn", build_user_content("instruction", "input").alias("user_content"))
+
+
+@register("build_conversation", ctes(*fx("dialogue"), body=(
+    f"SELECT row_id, turn, 'user' AS role_0, {_USER_DIALOGUE} AS content_0, "
+    f"'assistant' AS role_1, {_clean('output')} AS content_1 FROM dialogue")))
+def q_build_conversation(spark, sf):
+    from tessera.functions.chat import build_conversation
+    from tessera.functions.text import build_user_content, clean_field
+    d = fixtures.dialogue(spark, sf).select(
+        "row_id", "turn", build_conversation(build_user_content("instruction", "input"), clean_field("output")).alias("conv"))
+    return d.select("row_id", "turn",
+                    F.col("conv")[0]["role"].alias("role_0"), F.col("conv")[0]["content"].alias("content_0"),
+                    F.col("conv")[1]["role"].alias("role_1"), F.col("conv")[1]["content"].alias("content_1"))
+
+
+@register("render_chat", ctes(*_SFT_SQL, body="SELECT source, row_id, turn, text FROM sft WHERE source = 'dialogue'"))
+def q_render_chat(spark, sf):
+    return corpus.dialogue_rows(spark, sf)
+
+
+_MULTI_SQL = f"""
+SELECT conv_id, '<bos>' || string_agg(seg, '' ORDER BY turn) AS text
+FROM (SELECT c.conv_id, c.turn,
+             '<start_of_turn>' || CASE WHEN c.role = 'user' THEN 'user' WHEN c.role = 'assistant' THEN 'model'
+                                       ELSE c.role END || chr(10)
+             || CASE WHEN p.role = 'system' THEN p.text || chr(10) || chr(10) ELSE '' END
+             || {_strip('c.text')} || '<end_of_turn>' || chr(10) AS seg
+      FROM conversations c
+      LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = 0 AND c.turn = 1
+      WHERE c.role <> 'system') s
+GROUP BY conv_id"""
+
+
+@register("render_chat_multiturn", _MULTI_SQL)
+def q_render_chat_multiturn(spark, sf):
+    from tessera.functions.chat import render_conversations
+    conv = spark.read.parquet(f"{sf}/conversations.parquet")
+    return render_conversations(conv)
+
+
+@register("union_sft", ctes(*_SFT_SQL, body="SELECT source, row_id, turn, text FROM sft"))
+def q_union_sft(spark, sf):
+    return corpus.sft_corpus(spark, sf).drop("source_ord")
+
+
+@register("corpus_from_rows", ctes(*_SFT_SQL, body=(
+    "SELECT source, row_id, turn, text, CAST(CASE WHEN source = 'technical' THEN 0 ELSE 1 END AS INTEGER) "
+    "AS source_ord FROM sft")))
+def q_corpus_from_rows(spark, sf):
+    return corpus.sft_corpus(spark, sf, model="27b")
+
+
+@register("split_sft", ctes(*_SFT_SQL, body=mix.split_sql("sft", SFT_VAL_SHARE, key_cols=corpus.SFT_KEY,
+                                                           cols="source, row_id, turn")))
+def q_split_sft(spark, sf):
+    return corpus.sft_split(spark, sf).select("source", "row_id", "turn", "split")
