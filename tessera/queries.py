@@ -227,3 +227,219 @@ def q_corpus_from_rows(spark, sf):
                                                            cols="source, row_id, turn")))
 def q_split_sft(spark, sf):
     return corpus.sft_split(spark, sf).select("source", "row_id", "turn", "split")
+
+
+# --------------------------------------------------------------------------
+# training-run analytics
+# --------------------------------------------------------------------------
+
+N_KEEP = 10
+PATIENCE = 3
+LOGGABLE_SAVE_STEPS = 3
+
+
+def _log(spark, sf):
+    return fixtures.metric_log(spark, sf)
+
+
+def _evals_exists(spark, sf, log=None):
+    log = log if log is not None else _log(spark, sf)
+    man = fixtures.checkpoint_manifest(spark, sf, log).select(
+        "run_id", F.col("step").alias("seq"), F.lit(True).alias("exists"))
+    ev = log.where(F.col("kind") == "eval").select("run_id", "seq", "step", "loss_c")
+    return ev.join(man, ["run_id", "seq"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+
+
+_RUN_SQL = fx("metric_log", "checkpoint_manifest") + [
+    ("ev", "SELECT m.run_id, m.seq, m.step, m.loss_c, (c.step IS NOT NULL) AS ex FROM metric_log m "
+           "LEFT JOIN checkpoint_manifest c ON c.run_id = m.run_id AND c.step = m.seq WHERE m.kind = 'eval'"),
+    ("iv", "SELECT run_id, seq, step, kind, loss_c, CAST(coalesce(sum(CASE WHEN kind = 'eval' THEN 1 ELSE 0 END) "
+           "OVER (PARTITION BY run_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) "
+           "AS interval FROM metric_log"),
+    ("itl", "SELECT run_id, interval, CAST(count(*) AS BIGINT) AS n_train, CAST(sum(loss_c) AS BIGINT) AS sum_loss_c, "
+            "CAST(sum(loss_c) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE) AS mean_train_loss "
+            "FROM iv WHERE kind = 'train' GROUP BY run_id, interval"),
+    ("evn", "SELECT run_id, seq, step, loss_c, interval, CAST(interval + 1 AS BIGINT) AS eval_no FROM iv "
+            "WHERE kind = 'eval'"),
+    ("gap", "SELECT e.run_id, e.seq, e.step, e.eval_no, a.n_train, CAST(e.loss_c AS DOUBLE) / 100.0 AS eval_loss, "
+            "a.mean_train_loss AS avg_train_loss, "
+            "abs(CAST(e.loss_c AS DOUBLE) / 100.0 - a.mean_train_loss) AS gap "
+            "FROM evn e JOIN itl a ON a.run_id = e.run_id AND a.interval = e.interval WHERE e.eval_no > 9"),
+]
+
+
+@register("filter_loggable", ctes(*fx("metric_log"), body=(
+    f"SELECT run_id, seq, step, kind, loss_c FROM metric_log "
+    f"WHERE kind = 'eval' OR (kind = 'train' AND step % {LOGGABLE_SAVE_STEPS} = 0)")))
+def q_filter_loggable(spark, sf):
+    from tessera.operators.runs import filter_loggable
+    return filter_loggable(_log(spark, sf), LOGGABLE_SAVE_STEPS)
+
+
+@register("eval_interval_id", ctes(*_RUN_SQL, body="SELECT run_id, seq, kind, interval FROM iv"))
+def q_eval_interval_id(spark, sf):
+    from tessera.operators.runs import with_interval
+    return with_interval(_log(spark, sf)).select("run_id", "seq", "kind", "interval")
+
+
+@register("interval_train_loss", ctes(*_RUN_SQL, body="SELECT run_id, interval, n_train, sum_loss_c, mean_train_loss FROM itl"))
+def q_interval_train_loss(spark, sf):
+    from tessera.operators.runs import interval_train_loss
+    return interval_train_loss(_log(spark, sf))
+
+
+@register("warmup_counter", ctes(*_RUN_SQL, body="SELECT run_id, seq, step, eval_no, eval_no <= 9 AS warmup FROM evn"))
+def q_warmup_counter(spark, sf):
+    from tessera.operators.runs import warmup_counter
+    return warmup_counter(_log(spark, sf))
+
+
+@register("generalization_gap", ctes(*_RUN_SQL, body="SELECT * FROM gap"))
+def q_generalization_gap(spark, sf):
+    from tessera.operators.runs import generalization_gap
+    return generalization_gap(_log(spark, sf))
+
+
+@register("existing_checkpoints", ctes(*_RUN_SQL, body="SELECT run_id, seq, step, loss_c FROM ev WHERE ex"))
+def q_existing_checkpoints(spark, sf):
+    from tessera.operators.runs import existing
+    log = _log(spark, sf)
+    ev = log.where(F.col("kind") == "eval").select("run_id", "seq", "step", "loss_c")
+    return existing(ev, fixtures.checkpoint_manifest(spark, sf, log))
+
+
+@register("best_n_by_loss", ctes(*_RUN_SQL, body=(
+    f"SELECT run_id, rank, seq, eval_loss FROM (SELECT run_id, seq, CAST(loss_c AS DOUBLE) / 100.0 AS eval_loss, "
+    f"CAST(row_number() OVER (PARTITION BY run_id ORDER BY loss_c, seq) AS INTEGER) AS rank FROM ev WHERE ex) t "
+    f"WHERE rank <= {N_KEEP}")))
+def q_best_n_by_loss(spark, sf):
+    from tessera.operators.runs import best_n, eval_loss
+    ev = _evals_exists(spark, sf).where("exists")
+    return best_n(ev, "loss_c", N_KEEP).select("run_id", "rank", "seq", eval_loss().alias("eval_loss"))
+
+
+def _gap_exists(spark, sf):
+    from tessera.operators.runs import generalization_gap
+    log = _log(spark, sf)
+    man = fixtures.checkpoint_manifest(spark, sf, log).select(
+        "run_id", F.col("step").alias("seq"), F.lit(True).alias("exists"))
+    g = generalization_gap(log)
+    return g.join(man, ["run_id", "seq"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+
+
+_GAP_EX = ("gx", "SELECT g.*, (c.step IS NOT NULL) AS ex FROM gap g LEFT JOIN checkpoint_manifest c "
+                 "ON c.run_id = g.run_id AND c.step = g.seq")
+
+
+@register("best_n_by_gap", ctes(*_RUN_SQL, _GAP_EX, body=(
+    f"SELECT run_id, rank, seq, gap, eval_loss FROM (SELECT run_id, seq, gap, eval_loss, "
+    f"CAST(row_number() OVER (PARTITION BY run_id ORDER BY gap, seq) AS INTEGER) AS rank FROM gx WHERE ex) t "
+    f"WHERE rank <= {N_KEEP}")))
+def q_best_n_by_gap(spark, sf):
+    from tessera.operators.runs import best_n
+    g = _gap_exists(spark, sf).where("exists")
+    return best_n(g, "gap", N_KEEP).select("run_id", "rank", "seq", "gap", "eval_loss")
+
+
+@register("stable_ranking", ctes(*_RUN_SQL, _GAP_EX, body=(
+    f"SELECT * FROM (SELECT 'loss' AS list, run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY loss_c, seq) "
+    f"AS INTEGER) AS rank, seq, CAST(loss_c AS DOUBLE) / 100.0 AS score FROM ev WHERE ex "
+    f"UNION ALL SELECT 'gap' AS list, run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY gap, seq) AS INTEGER) "
+    f"AS rank, seq, gap AS score FROM gx WHERE ex) t WHERE rank <= {N_KEEP}")))
+def q_stable_ranking(spark, sf):
+    from tessera.operators.runs import best_n, eval_loss
+    log = _log(spark, sf)
+    a = best_n(_evals_exists(spark, sf, log).where("exists"), "loss_c", N_KEEP) \
+        .select(F.lit("loss").alias("list"), "run_id", "rank", "seq", eval_loss().alias("score"))
+    b = best_n(_gap_exists(spark, sf).where("exists"), "gap", N_KEEP) \
+        .select(F.lit("gap").alias("list"), "run_id", "rank", "seq", F.col("gap").alias("score"))
+    return a.unionByName(b)
+
+
+@register("rank1_checkpoint", ctes(*_RUN_SQL, body=(
+    "SELECT run_id, arg_min(seq, loss_c * 1000000000 + seq) AS best_step, min(loss_c) AS best_loss_c "
+    "FROM ev WHERE ex GROUP BY run_id")))
+def q_rank1_checkpoint(spark, sf):
+    from tessera.operators.runs import rank1
+    return rank1(_evals_exists(spark, sf).where("exists"), "loss_c")
+
+
+def _adm_sql(n: int) -> list[tuple[str, str]]:
+    return [
+        ("pr", "SELECT e.run_id, e.seq, p.loss_c AS ps, p.seq AS pq, row_number() OVER "
+               "(PARTITION BY e.run_id, e.seq ORDER BY p.loss_c, p.seq) AS r "
+               "FROM ev e JOIN ev p ON p.run_id = e.run_id AND p.seq < e.seq AND p.ex"),
+        ("pa", f"SELECT run_id, seq, count(*) AS k, max(CASE WHEN r = {n} THEN ps END) AS wl, "
+               f"max(CASE WHEN r = {n} THEN pq END) AS wq FROM pr WHERE r <= {n} GROUP BY run_id, seq"),
+        ("adm", f"SELECT e.run_id, e.seq, e.loss_c, e.ex, CAST(coalesce(a.k, 0) AS INTEGER) AS n_kept, a.wl, a.wq, "
+                f"(coalesce(a.k, 0) < {n} OR e.loss_c < a.wl) AS admitted FROM ev e LEFT JOIN pa a "
+                f"ON a.run_id = e.run_id AND a.seq = e.seq"),
+    ]
+
+
+@register("admission_trace", ctes(*_RUN_SQL, *_adm_sql(N_KEEP), body=(
+    f"SELECT run_id, seq, CAST(loss_c AS DOUBLE) / 100.0 AS eval_loss, n_kept, "
+    f"CAST(wl AS DOUBLE) / 100.0 AS worst_loss, wq AS worst_step, admitted, "
+    f"CASE WHEN n_kept < {N_KEEP} THEN 'Limit not reached' WHEN admitted THEN 'Better than worst' "
+    f"ELSE 'Not better than worst' END AS reason FROM adm")))
+def q_admission_trace(spark, sf):
+    from tessera.operators.runs import admission_trace, eval_loss
+    t = admission_trace(_evals_exists(spark, sf), "loss_c", F.col("exists"), N_KEEP)
+    return t.select("run_id", "seq", eval_loss().alias("eval_loss"), "n_kept",
+                    (F.col("worst_score").cast("double") / 100.0).alias("worst_loss"),
+                    "worst_step", "admitted", "reason")
+
+
+@register("evicted_checkpoints", ctes(*_RUN_SQL, *_adm_sql(N_KEEP), (
+    "px", "SELECT x.run_id, x.seq, x.loss_c, (SELECT count(*) FROM ev p WHERE p.run_id = x.run_id AND p.seq < x.seq "
+          "AND p.ex AND p.loss_c <= x.loss_c) AS p FROM adm x WHERE x.admitted AND x.ex"), (
+    "lt", "SELECT x.run_id, x.seq AS xs, x.p, y.seq AS ys, row_number() OVER (PARTITION BY x.run_id, x.seq "
+          "ORDER BY y.seq) AS r FROM px x JOIN ev y ON y.run_id = x.run_id AND y.seq > x.seq AND y.ex "
+          "AND y.loss_c < x.loss_c"),
+    body=f"SELECT run_id, xs AS evicted_step, ys AS evicted_by FROM lt WHERE r = {N_KEEP} - p"))
+def q_evicted_checkpoints(spark, sf):
+    from tessera.operators.runs import admission_trace, evicted
+    t = admission_trace(_evals_exists(spark, sf), "loss_c", F.col("exists"), N_KEEP)
+    return evicted(t, F.col("exists"), N_KEEP).select("run_id", "evicted_step", "evicted_by")
+
+
+@register("new_best_flag", ctes(*_RUN_SQL, body=(
+    "SELECT run_id, seq, (pm IS NULL OR loss_c < pm) AS new_best FROM (SELECT run_id, seq, loss_c, "
+    "min(loss_c) OVER (PARTITION BY run_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm "
+    "FROM ev) t")))
+def q_new_best_flag(spark, sf):
+    from tessera.operators.runs import new_best_flag
+    ev = _log(spark, sf).where(F.col("kind") == "eval")
+    return new_best_flag(ev).select("run_id", "seq", "new_best")
+
+
+_ES_SQL = [
+    ("es_a", "SELECT run_id, seq, loss_c, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS eval_idx, "
+             "min(loss_c) OVER (PARTITION BY run_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm "
+             "FROM ev"),
+    ("es_b", "SELECT *, (pm IS NULL OR (loss_c < pm AND abs(CAST(pm - loss_c AS DOUBLE) / 100.0) > 0.001)) AS improved "
+             "FROM es_a"),
+    ("es_c", "SELECT *, sum(CASE WHEN improved THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq "
+             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM es_b"),
+    ("es", f"SELECT run_id, seq, CAST(eval_idx AS BIGINT) AS eval_idx, improved, "
+           f"CAST(row_number() OVER (PARTITION BY run_id, g ORDER BY seq) - 1 AS BIGINT) AS counter FROM es_c"),
+]
+
+
+@register("early_stop", ctes(*_RUN_SQL, *_ES_SQL, body=(
+    f"SELECT run_id, seq, eval_idx, improved, counter, counter >= {PATIENCE} AS stop FROM es")))
+def q_early_stop(spark, sf):
+    from tessera.operators.runs import early_stop
+    ev = _log(spark, sf).where(F.col("kind") == "eval")
+    return early_stop(ev, PATIENCE).select("run_id", "seq", "eval_idx", "improved", "counter", "stop")
+
+
+@register("events_until_stop", ctes(*_RUN_SQL, *_ES_SQL, (
+    "st", f"SELECT run_id, min(seq) AS stop_seq FROM es WHERE counter >= {PATIENCE} GROUP BY run_id"),
+    body=("SELECT m.run_id, m.seq, m.kind, m.loss_c FROM metric_log m LEFT JOIN st ON st.run_id = m.run_id "
+          "WHERE st.stop_seq IS NULL OR m.seq <= st.stop_seq")))
+def q_events_until_stop(spark, sf):
+    from tessera.operators.runs import early_stop, events_until_stop, stop_points
+    log = _log(spark, sf)
+    stops = stop_points(early_stop(log.where(F.col("kind") == "eval"), PATIENCE))
+    return events_until_stop(log, stops).select("run_id", "seq", "kind", "loss_c")

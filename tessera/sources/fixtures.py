@@ -94,11 +94,15 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("value") * 100).cast("bigint").alias("loss_c"))
 
 
-def checkpoint_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints that exist, as ``(run_id, step)`` with step = event seq."""
-    e = _events_ordered(spark, sf_dir)
-    return (e.where((F.col("event_type") == "purchase") & (F.col("seq") % 7 != 0))
-            .select("run_id", F.col("seq").cast("bigint").alias("step")))
+def checkpoint_manifest(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
+    """Checkpoints that exist, as ``(run_id, step)`` with step = event seq.
+
+    Derived from the metric log (evaluation events whose position is not a
+    multiple of 7), so both share one scan and one ordering pass.
+    """
+    log = log if log is not None else metric_log(spark, sf_dir)
+    return (log.where((F.col("kind") == "eval") & (F.col("seq") % 7 != 0))
+            .select("run_id", F.col("seq").alias("step")))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
