@@ -93,19 +93,25 @@ def _struct_le(cols: list[Column], values: tuple) -> Column:
     return expr
 
 
+def split_with_counts(df: DataFrame, share: float, seed: int = SEED, key_cols: list[str] = KEY_COLS,
+                      out: str = "split", digits: int = 4) -> tuple[DataFrame, int, int]:
+    """``assign_split`` plus the row count and the validation count."""
+    salt = f"split|{seed}"
+    n, n_val, cutoff = split_cutoff(df, share, salt, key_cols, digits)
+    if cutoff is None:
+        return df.withColumn(out, F.lit("train")), n, 0
+    h = row_hash(salt, key_cols)
+    is_val = _struct_le([h] + [F.col(c) for c in key_cols], cutoff)
+    return df.withColumn(out, F.when(is_val, F.lit("val")).otherwise(F.lit("train"))), n, n_val
+
+
 def assign_split(df: DataFrame, share: float, seed: int = SEED, key_cols: list[str] = KEY_COLS,
                  out: str = "split", digits: int = 4) -> DataFrame:
     """O2/O3: exactly ``ceil(share * n)`` rows get ``'val'``, the rest ``'train'``.
 
     The validation rows are the ones with the smallest ``md5('split|seed|key')``.
     """
-    salt = f"split|{seed}"
-    n, n_val, cutoff = split_cutoff(df, share, salt, key_cols, digits)
-    if cutoff is None:
-        return df.withColumn(out, F.lit("train"))
-    h = row_hash(salt, key_cols)
-    is_val = _struct_le([h] + [F.col(c) for c in key_cols], cutoff)
-    return df.withColumn(out, F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
+    return split_with_counts(df, share, seed, key_cols, out, digits)[0]
 
 
 def seeded_shuffle(df: DataFrame, seed: int = SEED, key_cols: list[str] = KEY_COLS,

@@ -443,3 +443,157 @@ def q_events_until_stop(spark, sf):
     log = _log(spark, sf)
     stops = stop_points(early_stop(log.where(F.col("kind") == "eval"), PATIENCE))
     return events_until_stop(log, stops).select("run_id", "seq", "kind", "loss_c")
+
+
+# --------------------------------------------------------------------------
+# tokens and batches
+# --------------------------------------------------------------------------
+
+VOCAB_SIZE = 2000
+MAX_LEN = 2880
+CPT_HW = dict(b=2, a=12, g=1, epochs=1.0)  # 12B, pre-training, one GPU
+
+_TOK_SQL = _CPT_SQL + [
+    ("wd", "SELECT source, row_id, text, list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda x: x <> '') AS w "
+           "FROM cpt"),
+    ("tk", "SELECT unnest(w) AS token FROM wd"),
+    ("vc", "SELECT token, count(*) AS cnt FROM tk GROUP BY token"),
+    ("vocab", f"SELECT token, CAST(rn + 3 AS INTEGER) AS id, CAST(cnt AS BIGINT) AS cnt FROM ("
+              f"SELECT token, cnt, row_number() OVER (ORDER BY cnt DESC, token) AS rn FROM vc) v "
+              f"WHERE rn <= {VOCAB_SIZE}"),
+    ("ex", f"SELECT source, row_id, unnest(w[1:{MAX_LEN - 2}]) AS token, "
+           f"generate_subscripts(w[1:{MAX_LEN - 2}], 1) AS p FROM wd"),
+    ("encs", "SELECT ex.source, ex.row_id, sum(coalesce(v.id, 3)) AS s, "
+             "sum(CAST(ex.p AS BIGINT) * coalesce(v.id, 3)) AS ws FROM ex LEFT JOIN vocab v ON v.token = ex.token "
+             "GROUP BY ex.source, ex.row_id"),
+    ("enc", f"SELECT wd.source, wd.row_id, CAST(least(len(w), {MAX_LEN - 2}) + 2 AS INTEGER) AS n_tokens, "
+            f"CAST(greatest(len(w) - {MAX_LEN - 2}, 0) AS INTEGER) AS n_dropped, "
+            f"CAST(len(w) AS INTEGER) AS n_words, "
+            f"CAST(2 + 1 + coalesce(e.s, 0) AS BIGINT) AS id_sum, "
+            f"CAST(coalesce(e.ws, 0) + (least(len(w), {MAX_LEN - 2}) + 1) AS BIGINT) AS id_wsum, "
+            f"starts_with(text, '<bos>') AS dbos, ends_with(text, '<eos>') AS deos "
+            f"FROM wd LEFT JOIN encs e ON e.source = wd.source AND e.row_id = wd.row_id"),
+]
+
+
+def _vocab(spark, sf):
+    from tessera.operators.tokens import build_vocabulary
+    return build_vocabulary(corpus.cpt_corpus(spark, sf), VOCAB_SIZE)
+
+
+def _encoded(spark, sf):
+    from tessera.operators.tokens import encode
+    return encode(corpus.cpt_corpus(spark, sf), _vocab(spark, sf), mix.KEY_COLS, max_len=MAX_LEN)
+
+
+@register("build_vocabulary", ctes(*_TOK_SQL, body="SELECT token, id, cnt FROM vocab"))
+def q_build_vocabulary(spark, sf):
+    return _vocab(spark, sf)
+
+
+@register("encode_truncate", ctes(*_TOK_SQL, body="SELECT source, row_id, n_tokens, n_dropped, id_sum, id_wsum FROM enc"))
+def q_encode_truncate(spark, sf):
+    from tessera.operators.tokens import id_checksums
+    return _encoded(spark, sf).select("source", "row_id", "n_tokens", "n_dropped", *id_checksums())
+
+
+@register("add_special_tokens", ctes(*_TOK_SQL, body=(
+    f"SELECT source, row_id, CAST(2 AS INTEGER) AS first_id, CAST(1 AS INTEGER) AS last_id, "
+    f"CAST(n_tokens - 2 AS INTEGER) AS n_content FROM enc")))
+def q_add_special_tokens(spark, sf):
+    return _encoded(spark, sf).select("source", "row_id", F.element_at("input_ids", 1).alias("first_id"),
+                                      F.element_at("input_ids", -1).alias("last_id"),
+                                      (F.col("n_tokens") - 2).cast("int").alias("n_content"))
+
+
+@register("truncation_report", ctes(*_TOK_SQL, body=(
+    "SELECT source, CAST(count(*) AS BIGINT) AS n_rows, "
+    "CAST(sum(CASE WHEN n_dropped > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_truncated, "
+    "CAST(sum(n_dropped) AS BIGINT) AS n_dropped, CAST(sum(n_words - n_dropped) AS BIGINT) AS n_kept, "
+    "CAST(sum(CASE WHEN dbos THEN 1 ELSE 0 END) AS BIGINT) AS n_double_bos, "
+    "CAST(sum(CASE WHEN deos THEN 1 ELSE 0 END) AS BIGINT) AS n_double_eos, "
+    "CASE WHEN sum(n_words) > 0 THEN CAST(sum(n_words - n_dropped) AS DOUBLE) / CAST(sum(n_words) AS DOUBLE) END "
+    "AS kept_ratio FROM enc GROUP BY source")))
+def q_truncation_report(spark, sf):
+    from tessera.operators.tokens import truncation_report
+    return truncation_report(corpus.cpt_corpus(spark, sf), _encoded(spark, sf), mix.KEY_COLS)
+
+
+def _train_samples(spark, sf):
+    import math
+
+    from tessera.operators.tokens import assign_microbatch
+    split, n, n_val = mix.split_with_counts(corpus.cpt_corpus(spark, sf), CPT_VAL_SHARE)
+    n_train = n - n_val
+    b, a, g = CPT_HW["b"], CPT_HW["a"], CPT_HW["g"]
+    save = math.ceil(n_train / (b * a * g * 25 * 10))
+    max_steps = int(save * math.ceil(25 * CPT_HW["epochs"]) * 10)
+    train = split.where(F.col("split") == "train")
+    return assign_microbatch(train, n_train, b, a, g, max_steps, SEED, mix.KEY_COLS)
+
+
+_MB_SQL = _TOK_SQL + [
+    ("sp", mix.split_sql("cpt", CPT_VAL_SHARE, cols="source, row_id")),
+    ("tr", "SELECT source, row_id FROM sp WHERE split = 'train'"),
+    ("prm", "SELECT n, total, CAST(ceil(total / n) AS BIGINT) AS e FROM (SELECT n, "
+            "CAST(ceil(n / 6000.0) AS BIGINT) * 250 * 24 AS total FROM (SELECT count(*) AS n FROM tr) c) x"),
+    ("ep", "SELECT source, row_id, unnest(range(0, e)) AS epoch FROM tr, prm"),
+    ("ps", "SELECT source, row_id, epoch, row_number() OVER (PARTITION BY epoch ORDER BY "
+           "md5('shuffle|42|' || CAST(epoch AS VARCHAR) || '|' || source || '|' || CAST(row_id AS VARCHAR)), "
+           "source, row_id) - 1 AS pos FROM ep"),
+    ("mb", "SELECT source, row_id, CAST(epoch AS INTEGER) AS epoch, CAST(epoch * n + pos AS BIGINT) AS sample "
+           "FROM ps, prm WHERE epoch * n + pos < total"),
+    ("mbx", "SELECT source, row_id, epoch, sample, CAST(sample // 24 + 1 AS BIGINT) AS step, "
+            "CAST((sample // 2) % 12 AS INTEGER) AS slot, CAST(0 AS INTEGER) AS device, "
+            "CAST(sample % 2 AS INTEGER) AS lane, CAST(sample // 2 AS BIGINT) AS batch_id FROM mb"),
+    ("pb", "SELECT m.batch_id, m.lane, e.n_tokens, e.id_sum, "
+           "CAST(ceil(max(e.n_tokens) OVER (PARTITION BY m.batch_id) / 8.0) * 8 AS INTEGER) AS padded_len "
+           "FROM mbx m JOIN enc e ON e.source = m.source AND e.row_id = m.row_id"),
+]
+
+
+@register("assign_microbatch", ctes(*_MB_SQL, body="SELECT * FROM mbx"))
+def q_assign_microbatch(spark, sf):
+    return _train_samples(spark, sf)
+
+
+def _padded(spark, sf):
+    from tessera.operators.tokens import pad_batch
+    s = _train_samples(spark, sf).select("source", "row_id", "batch_id", "lane")
+    e = _encoded(spark, sf).select("source", "row_id", "input_ids")
+    return pad_batch(s.join(e, mix.KEY_COLS, "inner"))
+
+
+@register("pad_batch", ctes(*_MB_SQL, body=(
+    "SELECT batch_id, lane, n_tokens, padded_len, CAST(padded_len - n_tokens AS INTEGER) AS n_pad FROM pb")))
+def q_pad_batch(spark, sf):
+    return _padded(spark, sf).select("batch_id", "lane", F.size("input_ids").cast("int").alias("n_tokens"),
+                                     "padded_len", "n_pad")
+
+
+@register("attention_mask", ctes(*_MB_SQL, body=(
+    "SELECT batch_id, lane, CAST(padded_len AS INTEGER) AS mask_len, CAST(n_tokens AS BIGINT) AS mask_sum FROM pb")))
+def q_attention_mask(spark, sf):
+    m = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint"))
+    return _padded(spark, sf).select("batch_id", "lane", F.size("attention_mask").cast("int").alias("mask_len"),
+                                     m.alias("mask_sum"))
+
+
+@register("causal_labels", ctes(*_MB_SQL, body=(
+    "SELECT batch_id, lane, CAST(padded_len - n_tokens AS BIGINT) AS n_ignored, CAST(id_sum AS BIGINT) AS label_sum "
+    "FROM pb")))
+def q_causal_labels(spark, sf):
+    from tessera.constants import LABEL_IGNORE
+    lab = F.col("labels")
+    n_ign = F.size(F.filter(lab, lambda x: x == LABEL_IGNORE)).cast("bigint")
+    s = F.aggregate(F.filter(lab, lambda x: x != LABEL_IGNORE), F.lit(0).cast("bigint"),
+                    lambda acc, x: acc + x.cast("bigint"))
+    return _padded(spark, sf).select("batch_id", "lane", n_ign.alias("n_ignored"), s.alias("label_sum"))
+
+
+@register("padding_efficiency", ctes(*_MB_SQL, body=(
+    "SELECT batch_id, CAST(sum(n_tokens) AS BIGINT) AS real_tokens, CAST(sum(padded_len) AS BIGINT) AS padded_tokens, "
+    "CAST(sum(n_tokens) AS DOUBLE) / CAST(sum(padded_len) AS DOUBLE) AS efficiency FROM pb GROUP BY batch_id")))
+def q_padding_efficiency(spark, sf):
+    from tessera.operators.tokens import padding_efficiency
+    return padding_efficiency(_padded(spark, sf))
