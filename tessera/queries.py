@@ -597,3 +597,202 @@ def q_causal_labels(spark, sf):
 def q_padding_efficiency(spark, sf):
     from tessera.operators.tokens import padding_efficiency
     return padding_efficiency(_padded(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# run plan, names and hand-off (J2, A3, P11-P13, J3), evaluation (A4), sinks
+# --------------------------------------------------------------------------
+
+def _runs(spark, sf):
+    """Run registry: one run per metric-log run id, in both phases."""
+    r = spark.read.parquet(f"{sf}/events.parquet").select((F.col("user_id") % 10).alias("run_id")).distinct()
+    model = F.when(F.col("run_id") % 2 == 0, "12b").otherwise("27b")
+    gpus = (F.col("run_id") % 4 + 1).cast("int")
+    return mix.union_all([r.select("run_id", model.alias("model"), F.lit(ph).alias("phase"), gpus.alias("gpus"))
+                          for ph in ("cpt", "sft")])
+
+
+def _n_train(spark, sf):
+    cpt = corpus.cpt_split(spark, sf).where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n_train")) \
+        .select(F.lit("cpt").alias("phase"), F.col("n_train").cast("bigint").alias("n_train"))
+    sft = corpus.sft_split(spark, sf).where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n_train")) \
+        .select(F.lit("sft").alias("phase"), F.col("n_train").cast("bigint").alias("n_train"))
+    return cpt.unionByName(sft)
+
+
+def _plan(spark, sf):
+    from tessera.plans.run_plan import hardware, phase_params, run_plan
+    return run_plan(_runs(spark, sf), _n_train(spark, sf), hardware(spark), phase_params(spark))
+
+
+def _hw_values() -> str:
+    from tessera.constants import HARDWARE_TABLE
+    rows = ", ".join(f"('{m}', '{p}', {g}, {b}, {a}, {k}, {e!r})" for m, p, g, b, a, k, e in HARDWARE_TABLE)
+    return (f"SELECT model, phase, CAST(gpu_class AS INTEGER) AS gpu_class, CAST(b AS INTEGER) AS b, "
+            f"CAST(a AS INTEGER) AS a, CAST(keep AS INTEGER) AS keep, CAST(epochs AS DOUBLE) AS epochs "
+            f"FROM (VALUES {rows}) t(model, phase, gpu_class, b, a, keep, epochs)")
+
+
+def _param_values() -> str:
+    from tessera.constants import EARLY_STOP_PATIENCE, EVAL_EVERY_SAVES, LEARNING_RATES
+    rows = ", ".join(f"('{m}', '{p}', {lr!r}, {EVAL_EVERY_SAVES[p]}, {EARLY_STOP_PATIENCE[(m, p)]})"
+                     for (m, p), lr in sorted(LEARNING_RATES.items()))
+    return (f"SELECT model, phase, CAST(lr AS DOUBLE) AS lr, CAST(eval_every AS INTEGER) AS eval_every, "
+            f"CAST(patience AS INTEGER) AS patience FROM (VALUES {rows}) t(model, phase, lr, eval_every, patience)")
+
+
+def _lr_sql(x: str) -> str:
+    s = f"printf('%e', {x})"
+    return (f"regexp_replace(regexp_replace(split_part({s}, 'e', 1), '0+$', ''), '\\.$', '') || 'e' || "
+            f"CAST(CAST(split_part({s}, 'e', 2) AS INTEGER) AS VARCHAR)")
+
+
+def _epo_sql(x: str) -> str:
+    return f"CASE WHEN {x} = floor({x}) THEN CAST(CAST(floor({x}) AS BIGINT) AS VARCHAR) ELSE CAST({x} AS VARCHAR) END"
+
+
+_PLAN_SQL = _CPT_SQL + _SFT_SQL + [
+    ("cs", mix.split_sql("cpt", CPT_VAL_SHARE, cols="source, row_id")),
+    ("ss", mix.split_sql("sft", SFT_VAL_SHARE, key_cols=corpus.SFT_KEY, cols="source, row_id, turn")),
+    ("ntr", "SELECT 'cpt' AS phase, CAST(count(*) AS BIGINT) AS n_train FROM cs WHERE split = 'train' "
+            "UNION ALL SELECT 'sft', CAST(count(*) AS BIGINT) FROM ss WHERE split = 'train'"),
+    ("runs", "SELECT run_id, CASE WHEN run_id % 2 = 0 THEN '12b' ELSE '27b' END AS model, p.phase, "
+             "CAST(run_id % 4 + 1 AS INTEGER) AS gpus FROM (SELECT DISTINCT user_id % 10 AS run_id FROM events) r, "
+             "(SELECT 'cpt' AS phase UNION ALL SELECT 'sft') p"),
+    ("hw", _hw_values()),
+    ("prm", _param_values()),
+    ("hl", "SELECT r.run_id, r.phase, r.model, r.gpus, CAST(least(r.gpus, 3) AS INTEGER) AS gpu_class, "
+           "h.b, h.a, h.keep, h.epochs FROM runs r JOIN hw h ON h.model = r.model AND h.phase = r.phase "
+           "AND h.gpu_class = least(r.gpus, 3)"),
+    ("pl0", "SELECT hl.*, p.lr, p.eval_every, n.n_train, "
+            "CAST(ceil(CAST(n.n_train AS DOUBLE) / CAST(hl.b * hl.a * hl.gpus * 250 AS DOUBLE)) AS BIGINT) AS save_steps "
+            "FROM hl JOIN prm p ON p.model = hl.model AND p.phase = hl.phase JOIN ntr n ON n.phase = hl.phase"),
+    ("pl1", "SELECT *, CAST(save_steps * ceil(25.0 * epochs) * 10 AS BIGINT) AS max_steps, "
+            "CAST(eval_every * save_steps AS BIGINT) AS eval_steps, CAST(b * a AS INTEGER) AS eff_batch FROM pl0"),
+    ("plan", "SELECT *, CAST(max_steps AS DOUBLE) * eff_batch * gpus / CAST(n_train AS DOUBLE) AS epochs_run, "
+             "CASE WHEN model = '12b' THEN 'gemma3_12b' ELSE 'gemma3_27b' END || '_' || phase || '_240101_' || "
+             + _lr_sql("lr") + " || '_b' || CAST(eff_batch AS VARCHAR) || 'x' || CAST(gpus AS VARCHAR) || "
+             "CASE WHEN phase = 'cpt' THEN '_' || " + _epo_sql("epochs") + " || 'epo' "
+             "ELSE '_cosine_' || " + _epo_sql("epochs") + " || 'epo_gap_10n' END AS run_name FROM pl1"),
+]
+
+
+@register("hardware_lookup", ctes(*_PLAN_SQL, body="SELECT run_id, phase, model, gpus, gpu_class, b, a, keep, epochs FROM hl"))
+def q_hardware_lookup(spark, sf):
+    from tessera.plans.run_plan import hardware, hardware_lookup
+    return hardware_lookup(_runs(spark, sf), hardware(spark)).select(
+        "run_id", "phase", "model", "gpus", "gpu_class", "b", "a", "keep", "epochs")
+
+
+@register("run_plan", ctes(*_PLAN_SQL, body=(
+    "SELECT run_id, phase, n_train, save_steps, max_steps, eval_steps, eff_batch, epochs_run FROM plan")))
+def q_run_plan(spark, sf):
+    return _plan(spark, sf).select("run_id", "phase", "n_train", "save_steps", "max_steps", "eval_steps",
+                                   "eff_batch", "epochs_run")
+
+
+@register("run_name", ctes(*_PLAN_SQL, body="SELECT run_id, phase, run_name FROM plan"))
+def q_run_name(spark, sf):
+    return _plan(spark, sf).select("run_id", "phase", "run_name")
+
+
+@register("format_lr", f"SELECT event_id, value * 1e-5 AS lr, {_lr_sql('value * 1e-5')} AS lr_text FROM events")
+def q_format_lr(spark, sf):
+    from tessera.functions.text import format_lr
+    e = spark.read.parquet(f"{sf}/events.parquet").select("event_id", (F.col("value") * 1e-5).alias("lr"))
+    return e.select("event_id", "lr", format_lr("lr").alias("lr_text"))
+
+
+_KEPT_SQL = _RUN_SQL + [
+    ("kept", f"SELECT run_id, seq, loss_c, rank FROM (SELECT run_id, seq, loss_c, "
+             f"CAST(row_number() OVER (PARTITION BY run_id ORDER BY loss_c, seq) AS INTEGER) AS rank FROM ev WHERE ex) t "
+             f"WHERE rank <= {N_KEEP}"),
+]
+
+
+@register("checkpoint_path", ctes(*_PLAN_SQL, *_KEPT_SQL, body=(
+    "SELECT k.run_id, k.seq, 'models/output_' || p.run_name || '/checkpoint-' || CAST(k.seq AS VARCHAR) AS path, "
+    "'output_' || p.run_name AS label FROM kept k JOIN plan p ON p.run_id = k.run_id AND p.phase = 'cpt'")))
+def q_checkpoint_path(spark, sf):
+    from tessera.operators.runs import best_n
+    from tessera.plans.run_plan import checkpoint_paths
+    kept = best_n(_evals_exists(spark, sf).where("exists"), "loss_c", N_KEEP) \
+        .select("run_id", "seq", F.col("seq").alias("step"), F.lit("cpt").alias("phase"))
+    return checkpoint_paths(kept, _plan(spark, sf)).select("run_id", "seq", "path", "label")
+
+
+@register("phase_handoff", ctes(*_PLAN_SQL, *_RUN_SQL, (
+    "b1", "SELECT run_id, arg_min(seq, loss_c * 1000000000 + seq) AS best_step FROM ev WHERE ex GROUP BY run_id"),
+    body=("SELECT b.run_id, s.run_name AS sft_run_name, b.best_step, "
+          "'models/output_' || c.run_name || '/checkpoint-' || CAST(b.best_step AS VARCHAR) AS init_checkpoint "
+          "FROM b1 b JOIN plan c ON c.run_id = b.run_id AND c.phase = 'cpt' "
+          "JOIN plan s ON s.run_id = b.run_id AND s.phase = 'sft'")))
+def q_phase_handoff(spark, sf):
+    from tessera.operators.runs import rank1
+    from tessera.plans.run_plan import phase_handoff
+    best = rank1(_evals_exists(spark, sf).where("exists"), "loss_c")
+    return phase_handoff(best, _plan(spark, sf))
+
+
+@register("phase_orphans", ctes(*_RUN_SQL, body=(
+    "SELECT DISTINCT user_id % 10 AS run_id FROM events WHERE user_id % 10 NOT IN (SELECT run_id FROM ev WHERE ex)")))
+def q_phase_orphans(spark, sf):
+    from tessera.operators.runs import rank1
+    from tessera.plans.run_plan import orphans
+    best = rank1(_evals_exists(spark, sf).where("exists"), "loss_c")
+    runs = spark.read.parquet(f"{sf}/events.parquet").select((F.col("user_id") % 10).alias("run_id"))
+    return orphans(runs, best)
+
+
+@register("stage_accuracy", ctes(*fx("gold", "predictions"), (
+    "c", "SELECT p.model, p.stage, p.stage_no, CAST(sum(CASE WHEN p.choice = g.answer THEN 1 ELSE 0 END) AS BIGINT) "
+         "AS n_correct FROM predictions p JOIN gold g ON g.item_id = p.item_id GROUP BY p.model, p.stage, p.stage_no"), (
+    "a", "SELECT c.*, CAST((SELECT count(*) FROM gold) AS BIGINT) AS n_gold, "
+         "CAST(n_correct AS DOUBLE) / CAST((SELECT count(*) FROM gold) AS DOUBLE) AS accuracy FROM c"),
+    body="SELECT *, accuracy - lag(accuracy) OVER (PARTITION BY model ORDER BY stage_no) AS lift FROM a"))
+def q_stage_accuracy(spark, sf):
+    from tessera.operators.evals import stage_accuracy
+    return stage_accuracy(fixtures.gold(spark, sf), fixtures.predictions(spark, sf))
+
+
+@register("write_corpus", ctes(*_TOK_SQL, ("sp", mix.split_sql("cpt", CPT_VAL_SHARE, cols="source, row_id")), body=(
+    "SELECT s.split, s.source, s.row_id, e.n_tokens FROM sp s JOIN enc e ON e.source = s.source "
+    "AND e.row_id = s.row_id")))
+def q_write_corpus(spark, sf):
+    from tessera.sources.sinks import write_corpus
+    split = corpus.cpt_split(spark, sf).select("source", "row_id", "split")
+    table = _encoded(spark, sf).join(split, mix.KEY_COLS, "inner") \
+        .select("split", "source", "row_id", "input_ids", "n_tokens")
+    path = write_corpus(table)
+    return spark.read.parquet(path).select("split", "source", "row_id", "n_tokens")
+
+
+@register("leaderboard_text", ctes(*_KEPT_SQL, (
+    "n", "SELECT run_id, count(*) AS n FROM kept GROUP BY run_id"),
+    body=("SELECT run_id, CAST(0 AS INTEGER) AS line_no, 'Currently keeping ' || CAST(n AS VARCHAR) || "
+          "' checkpoints:' AS line FROM n UNION ALL "
+          "SELECT run_id, rank AS line_no, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(seq AS VARCHAR) "
+          "|| ': eval_loss=' || printf('%.4f', CAST(loss_c AS DOUBLE) / 100.0) AS line FROM kept UNION ALL "
+          "SELECT run_id, CAST(n + 1 AS INTEGER) AS line_no, '' AS line FROM n")))
+def q_leaderboard_text(spark, sf):
+    from tessera.operators.runs import best_n, eval_loss
+    from tessera.sources.sinks import loss_report
+    kept = best_n(_evals_exists(spark, sf).where("exists"), "loss_c", N_KEEP) \
+        .select("run_id", "rank", "seq", eval_loss().alias("eval_loss"))
+    return loss_report(kept)
+
+
+@register("leaderboard_gap_text", ctes(*_RUN_SQL, _GAP_EX, (
+    "kg", f"SELECT * FROM (SELECT run_id, seq, gap, eval_loss, CAST(row_number() OVER (PARTITION BY run_id "
+          f"ORDER BY gap, seq) AS INTEGER) AS rank FROM gx WHERE ex) t WHERE rank <= {N_KEEP}"),
+    body=("SELECT DISTINCT run_id, CAST(0 AS INTEGER) AS line_no, 'Stability Priority Leaderboard (Samples every 1 "
+          "steps, Settlement every 10 steps)' AS line FROM kg UNION ALL "
+          "SELECT run_id, rank AS line_no, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(seq AS VARCHAR) "
+          "|| ': Gap=' || printf('%.4f', gap) || ' (Eval_Loss=' || printf('%.4f', eval_loss) || ')' AS line "
+          "FROM kg")))
+def q_leaderboard_gap_text(spark, sf):
+    from tessera.operators.runs import best_n
+    from tessera.sources.sinks import gap_report
+    kept = best_n(_gap_exists(spark, sf).where("exists"), "gap", N_KEEP) \
+        .select("run_id", "rank", "seq", "gap", "eval_loss")
+    return gap_report(kept, 1, 10)
