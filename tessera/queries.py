@@ -796,3 +796,54 @@ def q_leaderboard_gap_text(spark, sf):
     kept = best_n(_gap_exists(spark, sf).where("exists"), "gap", N_KEEP) \
         .select("run_id", "rank", "seq", "gap", "eval_loss")
     return gap_report(kept, 1, 10)
+
+
+# --------------------------------------------------------------------------
+# streaming (ST1-ST4): run to completion, final state equals the batch query
+# --------------------------------------------------------------------------
+
+STREAM_FILES = 3
+
+
+def _log_exists(spark, sf):
+    log = _log(spark, sf)
+    man = fixtures.checkpoint_manifest(spark, sf, log).select(
+        "run_id", F.col("step").alias("seq"), F.lit(True).alias("exists"))
+    return log.join(man, ["run_id", "seq"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+
+
+@register("stream_best_n", ORACLES["best_n_by_loss"])
+def q_stream_best_n(spark, sf):
+    from tessera.streaming.checkpoints import best_n_processor, final_kept, run_available_now
+    out = run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES)
+    return final_kept(out).select("run_id", "rank", "seq", "eval_loss")
+
+
+@register("stream_gap", ORACLES["best_n_by_gap"])
+def q_stream_gap(spark, sf):
+    from tessera.streaming.checkpoints import final_kept, gap_processor, run_available_now
+    out = run_available_now(spark, _log_exists(spark, sf), gap_processor(N_KEEP, 9, 1), STREAM_FILES)
+    return final_kept(out).select("run_id", "rank", "seq", F.col("score").alias("gap"), "eval_loss")
+
+
+@register("stream_early_stop", ORACLES["early_stop"])
+def q_stream_early_stop(spark, sf):
+    from tessera.streaming.checkpoints import early_stop_processor, run_available_now
+    out = run_available_now(spark, _log_exists(spark, sf), early_stop_processor(PATIENCE), STREAM_FILES)
+    t = out.where((F.col("rec") == "trace") & ~F.col("late"))
+    return t.select("run_id", "seq", F.col("eval_no").alias("eval_idx"), "improved", "counter", "stop")
+
+
+@register("stream_leaderboard_sink", ORACLES["leaderboard_text"])
+def q_stream_leaderboard_sink(spark, sf):
+    import os
+    import uuid
+
+    from tessera.session import checkpoint_dir
+    from tessera.sources.sinks import loss_report
+    from tessera.streaming.checkpoints import best_n_processor, leaderboard_sink, run_available_now
+    base = os.path.join(checkpoint_dir(spark), "stream-" + uuid.uuid4().hex)
+    report = os.path.join(base, "report")
+    run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES,
+                      sink=leaderboard_sink(report, loss_report), base=base)
+    return spark.read.parquet(report).select(F.col("run_id").cast("bigint").alias("run_id"), "line_no", "line")

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults."""
+    # Python workers inherit this: silence pandas deprecation chatter in task logs
+    os.environ.setdefault("PYTHONWARNINGS", "ignore::FutureWarning")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
