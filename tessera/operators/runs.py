@@ -116,18 +116,20 @@ def rank1(scored: DataFrame, score: str) -> DataFrame:
 
 
 def prior_nth_smallest(items: DataFrame, score: str, exists: Column, n: int,
-                       chunk: float = ADMIT_CHUNK) -> DataFrame:
+                       chunk: float | None = None) -> DataFrame:
     """For each row: the kept list before it, i.e. the N smallest ``(score, seq)``
     among earlier rows with ``exists``; adds ``n_kept`` and ``worst`` (struct
     ``s, q``, null until the list is full).
     """
+    chunk = chunk or ADMIT_CHUNK
     d = items.withColumn("_ex", exists).withColumn("_c", F.floor(F.col("seq") / F.lit(chunk)).cast("bigint"))
     sq = F.struct(F.col(score).alias("s"), F.col("seq").alias("q"))
     # N best existing rows of each chunk (partial top-N before the shuffle)
     wtop = Window.partitionBy("run_id", "_c").orderBy(F.col(score), F.col("seq"))
     tops = (d.where("_ex").withColumn("_r", F.row_number().over(wtop)).where(F.col("_r") <= n)
             .groupBy("run_id", "_c").agg(F.array_sort(F.collect_list(sq)).alias("_top")))
-    # N best of all earlier chunks: one row per chunk
+    # N best of all earlier chunks: one row per chunk (chunks without existing rows too)
+    tops = d.select("run_id", "_c").distinct().join(tops, ["run_id", "_c"], "left")
     wch = Window.partitionBy("run_id").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     before = tops.select("run_id", "_c", F.slice(F.array_sort(F.flatten(F.collect_list("_top").over(wch))), 1, n)
                          .alias("_prev"))

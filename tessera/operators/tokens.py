@@ -17,6 +17,9 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,10 +80,8 @@ def encode_with(df: DataFrame, tokenize, key_cols: list[str], text: str = "text"
     Runs as an iterator pandas UDF over Arrow batches; truncation to
     ``max_len`` is applied to the returned ids.
     """
-    import pandas as pd
-
     @F.pandas_udf("array<int>")
-    def _enc(batches):
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             out = tokenize(s.fillna("").tolist())
             yield pd.Series([list(x)[:max_len] for x in out])

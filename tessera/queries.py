@@ -847,3 +847,33 @@ def q_stream_leaderboard_sink(spark, sf):
     run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES,
                       sink=leaderboard_sink(report, loss_report), base=base)
     return spark.read.parquet(report).select(F.col("run_id").cast("bigint").alias("run_id"), "line_no", "line")
+
+
+# --------------------------------------------------------------------------
+# user-function hooks (X1, X2) on the workload's own functions
+# --------------------------------------------------------------------------
+
+@register("map_batches_format", ORACLES["format_literature"])
+def q_map_batches_format(spark, sf):
+    from tessera.constants import EOS_TEXT, LITERATURE_HEAD, LITERATURE_MID
+    from tessera.functions.hooks import map_batches
+
+    def fmt(pdf):
+        pdf = pdf.copy()
+        pdf["text"] = LITERATURE_HEAD + pdf["title"].fillna("") + LITERATURE_MID + pdf["text"].fillna("") + EOS_TEXT
+        return pdf
+
+    lit_df = fixtures.literature(spark, sf)
+    return map_batches(lit_df, fmt, lit_df.schema)
+
+
+@register("encode_with_hook", ORACLES["encode_truncate"])
+def q_encode_with_hook(spark, sf):
+    from tessera.functions.hooks import whitespace_tokenizer
+    from tessera.operators.tokens import encode_with, id_checksums
+    tok = whitespace_tokenizer(_vocab(spark, sf), MAX_LEN)
+    enc = encode_with(corpus.cpt_corpus(spark, sf), tok, mix.KEY_COLS, max_len=MAX_LEN)
+    words = F.size(F.filter(F.split("text", "[ \\t\\n\\r]+"), lambda x: x != ""))
+    dropped = corpus.cpt_corpus(spark, sf).select(
+        *mix.KEY_COLS, F.greatest(words - (MAX_LEN - 2), F.lit(0)).cast("int").alias("n_dropped"))
+    return enc.join(dropped, mix.KEY_COLS).select("source", "row_id", "n_tokens", "n_dropped", *id_checksums())
