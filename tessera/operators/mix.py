@@ -63,21 +63,27 @@ def global_position(df: DataFrame, salt: str, key_cols: list[str] = KEY_COLS,
 
 def split_cutoff(df: DataFrame, share: float, salt: str, key_cols: list[str] = KEY_COLS,
                  digits: int = 4) -> tuple[int, int, tuple | None]:
-    """(n, n_val, cutoff) where cutoff = (hash, *key) of the last validation row."""
+    """(n, n_val, cutoff) where cutoff = (hash, *key) of the last validation row.
+
+    Two small jobs: per-bucket counts (a partial aggregate; at most
+    16**digits rows reach the driver), then the rows of the one bucket that
+    holds the cutoff, ranked by ``(hash, key)``.
+    """
     keys = df.select(*key_cols).withColumn("_h", row_hash(salt, key_cols)) \
         .withColumn("_b", F.substring("_h", 1, digits))
-    counts = keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cum = counts.select("_b", "_n", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_before"))
-    tot = counts.agg(F.sum("_n").alias("n")).first()
-    n = int(tot["n"] or 0)
+    counts = sorted((r["_b"], int(r["_n"])) for r in
+                    keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).toLocalIterator())
+    n = sum(c for _, c in counts)
     n_val = math.ceil(share * n)
     if n_val <= 0:
         return n, 0, None
-    row = cum.where((F.col("_before") < n_val) & (F.col("_before") + F.col("_n") >= n_val)).first()
-    bucket, before = row["_b"], int(row["_before"])
+    before = 0
+    for bucket, c in counts:
+        if before + c >= n_val:
+            break
+        before += c
     k = n_val - before
-    w = Window.orderBy("_h", *key_cols)
+    w = Window.orderBy("_h", *key_cols)  # one bucket: about n / 16**digits rows
     last = (keys.where(F.col("_b") == bucket)
             .withColumn("_r", F.row_number().over(w))
             .where(F.col("_r") == k).select("_h", *key_cols).first())

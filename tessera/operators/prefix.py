@@ -60,7 +60,7 @@ def running_aggregates(df: DataFrame, group_cols: list[str], chunk_key: Column,
         *[_AGG[s.fn](vals[s.name]).alias(f"_t_{s.name}") for s in specs])
     wchunks = Window.partitionBy(*group_cols).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group_cols, ck, *[
-        (F.sum if s.fn == "sum" else _AGG[s.fn])(f"_t_{s.name}").over(wchunks).alias(f"_o_{s.name}")
+        _AGG[s.fn](f"_t_{s.name}").over(wchunks).alias(f"_o_{s.name}")
         for s in specs])
 
     # running value inside the chunk
@@ -76,12 +76,27 @@ def running_aggregates(df: DataFrame, group_cols: list[str], chunk_key: Column,
     return d.drop(*[c for c in drop if c in d.columns])
 
 
+def chunk_width(df: DataFrame, group_cols: list[str], chunk_key: Column, target_rows: int) -> float:
+    """A width giving the densest group about ``target_rows`` rows per chunk.
+
+    One small aggregate (span and count per group, partial aggregation).
+    """
+    per = df.groupBy(*group_cols).agg(
+        (F.max(chunk_key) - F.min(chunk_key) + 1).cast("double").alias("span"),
+        F.count(F.lit(1)).alias("n"))
+    r = per.agg(F.min(F.col("span") * F.lit(float(target_rows)) / F.col("n")).alias("w")).first()
+    return max(1.0, float(r["w"] or 1.0))
+
+
 def dense_rank_in_group(df: DataFrame, group_cols: list[str], chunk_key: Column,
-                        order_cols: list, out: str = "seq", width: float = 86_400_000_000.0) -> DataFrame:
+                        order_cols: list, out: str = "seq", width: float | None = None,
+                        target_rows: int = 200_000) -> DataFrame:
     """Exact 1-based ``row_number()`` per group, ordered by ``order_cols``.
 
     ``chunk_key`` must be non-decreasing in ``order_cols`` (e.g. event time in
-    microseconds for order ``(ts, event_id)``). Default width: one day.
+    microseconds for order ``(ts, event_id)``). Without ``width`` the width
+    is chosen from the data so chunks hold about ``target_rows`` rows.
     """
+    width = width or chunk_width(df, group_cols, chunk_key, target_rows)
     return running_aggregates(df, group_cols, chunk_key, order_cols,
                               [Running(out, F.lit(1).cast("bigint"), "sum", True)], width)

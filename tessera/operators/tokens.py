@@ -30,8 +30,8 @@ WORD_SPLIT = "[ \\t\\n\\r]+"
 
 
 def words(text: Column) -> Column:
-    """Whitespace-separated non-empty pieces of ``text``."""
-    return F.filter(F.split(text, WORD_SPLIT), lambda x: x != F.lit(""))
+    """Whitespace-separated non-empty pieces of ``text`` (codegen'd, no lambda)."""
+    return F.array_remove(F.split(text, WORD_SPLIT), "")
 
 
 def build_vocabulary(corpus: DataFrame, vocab_size: int, text: str = "text") -> DataFrame:
@@ -39,8 +39,8 @@ def build_vocabulary(corpus: DataFrame, vocab_size: int, text: str = "text") ->
 
     Order ``(count desc, token)``; ids start after the special tokens.
     """
-    counts = corpus.select(F.explode(words(F.col(text))).alias("token")) \
-        .groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
+    counts = corpus.select(F.explode(F.split(F.col(text), WORD_SPLIT)).alias("token")) \
+        .where(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
     top = counts.orderBy(F.col("cnt").desc(), F.col("token").asc()).limit(vocab_size)
     w = Window.orderBy(F.col("cnt").desc(), F.col("token").asc())  # over <= vocab_size rows
     return top.select("token", (F.row_number().over(w) + FIRST_WORD_ID - 1).cast("int").alias("id"), "cnt")

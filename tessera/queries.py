@@ -239,7 +239,11 @@ LOGGABLE_SAVE_STEPS = 3
 
 
 def _log(spark, sf):
-    return fixtures.metric_log(spark, sf)
+    """The ordered metric log, written once to the shared checkpoint folder:
+    every analytics query reads it in two to four branches, and the ordering
+    pass (chunked prefix count) should run once, not per branch."""
+    from tessera.session import cut_lineage
+    return cut_lineage(fixtures.metric_log(spark, sf))
 
 
 def _evals_exists(spark, sf, log=None):
@@ -613,11 +617,10 @@ def _runs(spark, sf):
 
 
 def _n_train(spark, sf):
-    cpt = corpus.cpt_split(spark, sf).where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n_train")) \
-        .select(F.lit("cpt").alias("phase"), F.col("n_train").cast("bigint").alias("n_train"))
-    sft = corpus.sft_split(spark, sf).where(F.col("split") == "train").agg(F.count(F.lit(1)).alias("n_train")) \
-        .select(F.lit("sft").alias("phase"), F.col("n_train").cast("bigint").alias("n_train"))
-    return cpt.unionByName(sft)
+    """Training rows per phase: the split already counted them."""
+    _, n_c, v_c = mix.split_with_counts(corpus.cpt_corpus(spark, sf), CPT_VAL_SHARE)
+    _, n_s, v_s = mix.split_with_counts(corpus.sft_corpus(spark, sf), SFT_VAL_SHARE, key_cols=corpus.SFT_KEY)
+    return spark.createDataFrame([("cpt", n_c - v_c), ("sft", n_s - v_s)], "phase string, n_train long")
 
 
 def _plan(spark, sf):
