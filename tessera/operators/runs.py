@@ -25,6 +25,7 @@ from tessera.operators.prefix import Running, running_aggregates
 
 SEQ_CHUNK = 4096.0      # rows of a run per running-aggregate chunk
 ADMIT_CHUNK = 256.0     # evaluations per admission chunk (arrays of <= this + N)
+ADMIT_FAN = 256         # admission chunks per super-chunk
 
 
 def is_eval() -> Column:
@@ -128,18 +129,30 @@ def prior_nth_smallest(items: DataFrame, score: str, exists: Column, n: int,
     wtop = Window.partitionBy("run_id", "_c").orderBy(F.col(score), F.col("seq"))
     tops = (d.where("_ex").withColumn("_r", F.row_number().over(wtop)).where(F.col("_r") <= n)
             .groupBy("run_id", "_c").agg(F.array_sort(F.collect_list(sq)).alias("_top")))
-    # N best of all earlier chunks: one row per chunk (chunks without existing rows too)
-    tops = d.select("run_id", "_c").distinct().join(tops, ["run_id", "_c"], "left")
-    wch = Window.partitionBy("run_id").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    before = tops.select("run_id", "_c", F.slice(F.array_sort(F.flatten(F.collect_list("_top").over(wch))), 1, n)
-                         .alias("_prev"))
+    # N best of all earlier chunks: one row per chunk (chunks without existing rows too),
+    # two levels so no window holds more than ADMIT_FAN chunk rows or one row per
+    # super-chunk (a run of 1e8 evaluations: 4e5 chunks, 1.5e3 super-chunks)
+    empty = F.array().cast("array<struct<s:%s,q:bigint>>" % dict(d.dtypes)[score])
+    fan = ADMIT_FAN
+
+    def n_best(arrays_col):
+        return F.slice(F.array_sort(F.flatten(arrays_col)), 1, n)
+
+    tops = d.select("run_id", "_c").distinct().join(tops, ["run_id", "_c"], "left") \
+        .withColumn("_s", F.floor(F.col("_c") / F.lit(fan)).cast("bigint"))
+    w1 = Window.partitionBy("run_id", "_s").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.withColumn("_in_s", n_best(F.collect_list("_top").over(w1)))
+    sup = tops.groupBy("run_id", "_s").agg(n_best(F.collect_list("_top")).alias("_stop"))
+    w2 = Window.partitionBy("run_id").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sup = sup.select("run_id", "_s", n_best(F.collect_list("_stop").over(w2)).alias("_sprev"))
+    before = tops.join(sup, ["run_id", "_s"], "left").select(
+        "run_id", "_c", F.slice(F.array_sort(F.concat(F.coalesce("_sprev", empty), F.coalesce("_in_s", empty))),
+                                1, n).alias("_prev"))
     # earlier existing rows of the same chunk
     win = Window.partitionBy("run_id", "_c").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_in", F.collect_list(F.when(F.col("_ex"), sq)).over(win))
     d = d.join(before, ["run_id", "_c"], "left")
-    cand = F.array_sort(F.concat(F.coalesce(F.col("_prev"), F.array().cast("array<struct<s:%s,q:bigint>>"
-                                                                         % dict(d.dtypes)[score])),
-                                 F.col("_in")))
+    cand = F.array_sort(F.concat(F.coalesce(F.col("_prev"), empty), F.col("_in")))
     d = d.withColumn("_cand", F.slice(cand, 1, n))
     d = d.withColumn("n_kept", F.size("_cand").cast("int")) \
         .withColumn("worst", F.when(F.col("n_kept") >= n, F.element_at("_cand", n)))

@@ -93,6 +93,7 @@ def sim_early_stop(rows, patience, thr=0.001):
 def small_chunks(monkeypatch):
     monkeypatch.setattr(runs, "SEQ_CHUNK", 7.0)
     monkeypatch.setattr(runs, "ADMIT_CHUNK", 5.0)
+    monkeypatch.setattr(runs, "ADMIT_FAN", 3)
 
 
 @pytest.fixture(scope="module")
