@@ -32,6 +32,7 @@ class ChatFormat:
 
 
 DEFAULT_CHAT = ChatFormat()
+TURN_CHUNK = 1024
 
 
 def build_conversation(user_content: Column, assistant_content: Column) -> Column:
@@ -71,8 +72,13 @@ def render_conversations(turns: DataFrame, fmt: ChatFormat = DEFAULT_CHAT,
     body = t.where(F.col("role") != "system")
     body = body.join(sys0, (body[key] == sys0["_sk"]) & (body["turn"] == 1), "left")
     seg = body.select(key, "turn", turn_segment(F.col("role"), F.col("text"), F.col("_prefix"), fmt).alias("seg"))
-    agg = seg.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("turn", "seg"))).alias("_segs"))
-    return agg.select(key, F.concat(F.lit(fmt.bos), F.array_join(F.transform("_segs", lambda x: x["seg"]), ""))
+    # ordered concatenation in two levels: turns within a chunk, then the chunks,
+    # so no task sorts more than TURN_CHUNK segments of one conversation at once
+    part = seg.groupBy(key, F.floor(F.col("turn") / F.lit(TURN_CHUNK)).alias("_tc")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "seg"))), lambda x: x["seg"]), "")
+        .alias("_part"))
+    agg = part.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_tc", "_part"))).alias("_parts"))
+    return agg.select(key, F.concat(F.lit(fmt.bos), F.array_join(F.transform("_parts", lambda x: x["_part"]), ""))
                       .alias("text"))
 
 
