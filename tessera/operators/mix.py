@@ -61,6 +61,33 @@ def global_position(df: DataFrame, salt: str, key_cols: list[str] = KEY_COLS,
     return d.withColumn(out, pos).drop("_h", "_b", "_off")
 
 
+def global_rank(df: DataFrame, order_cols: list, out: str = "pos", partitions: int | None = None) -> DataFrame:
+    """Exact 0-based position of every row in a total order, with no single task.
+
+    A distributed sort (range partitioning + in-partition sort), written once
+    to the shared checkpoint folder so partition contents are fixed; then
+    per-partition row counts (one row per partition) give each partition's
+    offset, and ``monotonically_increasing_id`` gives the index inside it.
+    ``order_cols`` must define a total order (ties are broken arbitrarily).
+    """
+    from tessera.session import cut_lineage
+
+    spark = df.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = df.repartitionByRange(p, *order_cols).sortWithinPartitions(*order_cols)
+    s = cut_lineage(s.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    counts = sorted((int(r["_pid"]), int(r["n"])) for r in
+                    s.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).toLocalIterator())
+    offsets, acc = [], 0
+    for pid, n in counts:
+        offsets.append((pid, acc))
+        acc += n
+    off = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long")
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return s.join(F.broadcast(off), "_pid", "inner") \
+        .withColumn(out, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
+
+
 def split_cutoff(df: DataFrame, share: float, salt: str, key_cols: list[str] = KEY_COLS,
                  digits: int = 4) -> tuple[int, int, tuple | None]:
     """(n, n_val, cutoff) where cutoff = (hash, *key) of the last validation row.

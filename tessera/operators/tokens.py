@@ -27,6 +27,7 @@ from tessera.constants import (BOS_ID, BOS_TEXT, EOS_ID, EOS_TEXT, FIRST_WORD_ID
                                MAX_SEQ_LENGTH, PAD_ID, PAD_MULTIPLE, UNK_ID)
 
 WORD_SPLIT = "[ \\t\\n\\r]+"
+TOPK_GATHER_LIMIT = 1_000_000  # rows a top-k may gather into one task
 
 
 def words(text: Column) -> Column:
@@ -41,9 +42,18 @@ def build_vocabulary(corpus: DataFrame, vocab_size: int, text: str = "text") ->
     """
     counts = corpus.select(F.explode(F.split(F.col(text), WORD_SPLIT)).alias("token")) \
         .where(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
-    top = counts.orderBy(F.col("cnt").desc(), F.col("token").asc()).limit(vocab_size)
-    w = Window.orderBy(F.col("cnt").desc(), F.col("token").asc())  # over <= vocab_size rows
-    return top.select("token", (F.row_number().over(w) + FIRST_WORD_ID - 1).cast("int").alias("id"), "cnt")
+    order = [F.col("cnt").desc(), F.col("token").asc()]
+    parts = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if vocab_size * parts <= TOPK_GATHER_LIMIT:
+        # a top-k gathers at most partitions x k rows in one task: bounded here
+        top = counts.orderBy(*order).limit(vocab_size)
+        w = Window.orderBy(*order)  # over <= vocab_size rows
+        return top.select("token", (F.row_number().over(w) + FIRST_WORD_ID - 1).cast("int").alias("id"), "cnt")
+    # beyond the bound: exact rank as a distributed sort
+    from tessera.operators.mix import global_rank
+    ranked = global_rank(counts, order, out="_r")
+    return ranked.where(F.col("_r") < vocab_size).select(
+        "token", (F.col("_r") + FIRST_WORD_ID).cast("int").alias("id"), "cnt")
 
 
 def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text: str = "text",

@@ -48,3 +48,13 @@ def test_labels_follow_pad_id(spark):
     r = {x["lane"]: x["labels"] for x in pad_batch(df, pad_id=EOS_ID).collect()}
     assert r[0] == [2, 7, LABEL_IGNORE] + [LABEL_IGNORE] * 5
     assert F is not None
+
+
+def test_vocabulary_distributed_rank_path(spark, monkeypatch):
+    from tessera.operators import tokens
+    df = spark.createDataFrame([("s", i, " ".join(f"w{j}" for j in range(i % 17 + 1))) for i in range(300)],
+                               "source string, row_id long, text string")
+    small = {(r["token"], r["id"]) for r in tokens.build_vocabulary(df, 12).collect()}
+    monkeypatch.setattr(tokens, "TOPK_GATHER_LIMIT", 0)
+    big = {(r["token"], r["id"]) for r in tokens.build_vocabulary(df, 12).collect()}
+    assert small == big and len(small) == 12
