@@ -114,27 +114,21 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """model choices per stage.
 
-    The two model rows and three stage rows are fixed dimension tables; they
-    are unioned per (model, stage), not cross-joined with the documents.
+    One scan of the documents; each row fans out to the fixed 2 x 3
+    (model, stage) pairs through an exploded literal array (no join).
     """
     d = _read(spark, sf_dir, "documents").select("doc_id", "n_chars")
     stages = [("original", 1), ("after_cpt", 2), ("after_sft", 3)]
     models = [("small", 50), ("large", 90)]
-    out = None
-    for model, skip in models:
-        dm = d.where(F.col("doc_id") % skip != 0)
-        for stage, no in stages:
-            if no == 1:
-                choice = (F.col("n_chars") % 2).cast("int")
-            elif no == 2:
-                choice = F.when(F.col("n_chars") > 200, 1).otherwise(0).cast("int")
-            else:
-                choice = F.lit(1).cast("int")
-            part = dm.select(F.lit(model).alias("model"), F.lit(stage).alias("stage"),
-                             F.lit(no).cast("int").alias("stage_no"),
-                             F.col("doc_id").alias("item_id"), choice.alias("choice"))
-            out = part if out is None else out.unionByName(part)
-    return out
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(k).cast("bigint").alias("skip"),
+                               F.lit(st).alias("stage"), F.lit(no).cast("int").alias("stage_no"))
+                      for m, k in models for st, no in stages])
+    x = d.select("doc_id", "n_chars", F.explode(pairs).alias("p")).where(F.col("doc_id") % F.col("p.skip") != 0)
+    choice = (F.when(F.col("p.stage_no") == 1, (F.col("n_chars") % 2).cast("int"))
+              .when(F.col("p.stage_no") == 2, F.when(F.col("n_chars") > 200, 1).otherwise(0))
+              .otherwise(F.lit(1))).cast("int")
+    return x.select(F.col("p.model").alias("model"), F.col("p.stage").alias("stage"),
+                    F.col("p.stage_no").alias("stage_no"), F.col("doc_id").alias("item_id"), choice.alias("choice"))
 
 
 # ---- oracle SQL for the fixtures (DuckDB and Spark SQL) ----
