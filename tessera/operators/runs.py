@@ -211,7 +211,17 @@ def stop_points(trace: DataFrame) -> DataFrame:
     return trace.where("stop").groupBy("run_id").agg(F.min("seq").alias("stop_seq"))
 
 
+BROADCAST_ROWS = 1_000_000  # largest per-run table joined by broadcast after a size check
+
+
 def events_until_stop(log: DataFrame, stops: DataFrame) -> DataFrame:
-    """Drop the events after a run's stop point (runs that never stop stay whole)."""
+    """Drop the events after a run's stop point (runs that never stop stay whole).
+
+    The stop table has one row per run; it is broadcast after a size check,
+    so the log is never shuffled by (a possibly hot) run. Beyond the bound the
+    join is left to AQE (skew-join splitting).
+    """
+    if stops.count() <= BROADCAST_ROWS:
+        stops = F.broadcast(stops)
     j = log.join(stops, ["run_id"], "left")
     return j.where(F.col("stop_seq").isNull() | (F.col("seq") <= F.col("stop_seq"))).drop("stop_seq")
