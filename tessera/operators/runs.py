@@ -24,6 +24,7 @@ from tessera.constants import (EARLY_STOP_THRESHOLD, GAP_MULTIPLE, REASON_BETTER
 from tessera.operators.prefix import Running, running_aggregates
 
 SEQ_CHUNK = 4096.0      # rows of a run per running-aggregate chunk
+LOSS_SCALE = 100        # loss_c units per 1.0 of loss (fixture: hundredths)
 ADMIT_CHUNK = 256.0     # evaluations per admission chunk (arrays of <= this + N)
 ADMIT_FAN = 256         # admission chunks per super-chunk
 
@@ -32,8 +33,8 @@ def is_eval() -> Column:
     return F.col("kind") == "eval"
 
 
-def eval_loss(col: str = "loss_c") -> Column:
-    return (F.col(col).cast("double") / F.lit(100.0))
+def eval_loss(col: str = "loss_c", scale: int | None = None) -> Column:
+    return F.col(col).cast("double") / F.lit(float(scale or LOSS_SCALE))
 
 
 def filter_loggable(log: DataFrame, save_steps: int = 1) -> DataFrame:
@@ -54,14 +55,19 @@ def with_interval(log: DataFrame) -> DataFrame:
         SEQ_CHUNK).withColumn("interval", F.coalesce("interval", F.lit(0)).cast("bigint"))
 
 
-def interval_train_loss(log: DataFrame, save_steps: int = 1) -> DataFrame:
-    """A2: count, sum and mean of the train losses inside each interval."""
+def interval_train_loss(log: DataFrame, save_steps: int = 1, scale: int | None = None) -> DataFrame:
+    """A2: count, sum and mean of the train losses inside each interval.
+
+    Losses are integers of a fixed ``scale``: the sum is exact and the mean is
+    one IEEE division, the same in every engine.
+    """
+    scale = scale or LOSS_SCALE
     t = filter_loggable(with_interval(log), save_steps).where(F.col("kind") == "train")
     return t.groupBy("run_id", "interval").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_train"),
         F.sum("loss_c").cast("bigint").alias("sum_loss_c")) \
         .withColumn("mean_train_loss",
-                    F.col("sum_loss_c").cast("double") / (F.col("n_train") * 100).cast("double"))
+                    F.col("sum_loss_c").cast("double") / (F.col("n_train") * scale).cast("double"))
 
 
 def warmup_threshold(multiple: int = GAP_MULTIPLE) -> Column:
@@ -82,19 +88,20 @@ def warmup_counter(log: DataFrame, multiple: int = GAP_MULTIPLE) -> DataFrame:
                     (F.col("eval_no") <= warmup_threshold(multiple)).alias("warmup"))
 
 
-def generalization_gap(log: DataFrame, multiple: int = GAP_MULTIPLE, save_steps: int = 1) -> DataFrame:
+def generalization_gap(log: DataFrame, multiple: int = GAP_MULTIPLE, save_steps: int = 1,
+                       scale: int | None = None) -> DataFrame:
     """``|eval_loss - mean train loss since the previous evaluation|``.
 
     Evaluations in the warm-up and evaluations with no train sample make no
     decision and are absent.
     """
     e = evaluations(log).where(F.col("eval_no") > warmup_threshold(multiple))
-    a = interval_train_loss(log, save_steps)
+    a = interval_train_loss(log, save_steps, scale)
     j = e.join(a, ["run_id", "interval"], "inner")
     return j.select("run_id", "seq", "step", "eval_no", "n_train",
-                    eval_loss().alias("eval_loss"),
+                    eval_loss(scale=scale).alias("eval_loss"),
                     F.col("mean_train_loss").alias("avg_train_loss"),
-                    F.abs(eval_loss() - F.col("mean_train_loss")).alias("gap"))
+                    F.abs(eval_loss(scale=scale) - F.col("mean_train_loss")).alias("gap"))
 
 
 def existing(evals: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -186,7 +193,7 @@ def new_best_flag(evals: DataFrame, score: str = "loss_c") -> DataFrame:
 
 
 def early_stop(evals: DataFrame, patience: int, threshold: float = EARLY_STOP_THRESHOLD,
-               score: str = "loss_c", scale: float = 100.0) -> DataFrame:
+               score: str = "loss_c", scale: float | None = None) -> DataFrame:
     """Patience counter of early stopping per evaluation.
 
     ``improved`` when there is no best yet, or the loss is below the best and
@@ -197,7 +204,7 @@ def early_stop(evals: DataFrame, patience: int, threshold: float = EARLY_STOP_TH
     d = running_aggregates(evals, ["run_id"], F.col("seq"), ["seq"], [
         Running("eval_idx", F.lit(1).cast("bigint"), "sum", True),
         Running("_prior_min", F.col(score), "min", False)], SEQ_CHUNK)
-    delta = (F.col("_prior_min") - F.col(score)).cast("double") / F.lit(scale)
+    delta = (F.col("_prior_min") - F.col(score)).cast("double") / F.lit(float(scale or LOSS_SCALE))
     improved = F.col("_prior_min").isNull() | ((F.col(score) < F.col("_prior_min")) & (F.abs(delta) > threshold))
     d = d.withColumn("improved", improved)
     d = running_aggregates(d, ["run_id"], F.col("seq"), ["seq"], [

@@ -78,7 +78,7 @@ class _Run:
             self.kept.insert(pos, (score, loss, seq))
             if len(self.kept) > n:
                 evicted = self.kept.pop()[2]
-        return admitted, len(self.kept) if not (admitted and exists) else None, evicted
+        return admitted, evicted
 
 
 def _batch_rows(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -93,8 +93,8 @@ def _kept_rows(run_id: int, run: _Run) -> list[dict]:
             for i, (s, l, q) in enumerate(run.kept, 1)]
 
 
-def best_n_processor(n: int):
-    """ST1: keep the N lowest evaluation losses of each run."""
+def best_n_processor(n: int, scale: int = 100):
+    """ST1: keep the N lowest evaluation losses of each run (``loss_c / scale``)."""
 
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
@@ -108,9 +108,9 @@ def best_n_processor(n: int):
             if r.kind != "eval":
                 continue
             run.eval_no += 1
-            loss = r.loss_c / 100.0
+            loss = r.loss_c / scale
             n_before = len(run.kept)
-            admitted, _, evicted = run.admit(loss, loss, int(r.seq), bool(r.exists), n)
+            admitted, evicted = run.admit(loss, loss, int(r.seq), bool(r.exists), n)
             out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=False, eval_no=run.eval_no,
                             score=loss, eval_loss=loss, n_kept=min(n_before, n), admitted=admitted,
                             evicted_seq=evicted))
@@ -121,7 +121,7 @@ def best_n_processor(n: int):
     return fn
 
 
-def gap_processor(n: int, warmup: int, save_steps: int = 1):
+def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
     """ST2: keep the N smallest generalisation gaps, after ``warmup`` evaluations."""
 
     def fn(key, pdfs, state: GroupState):
@@ -143,10 +143,10 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1):
             run.buf_sum, run.buf_n = 0, 0  # every evaluation starts a fresh buffer
             if run.eval_no <= warmup or n_train == 0:
                 continue
-            loss = r.loss_c / 100.0
-            gap = abs(loss - total / (n_train * 100))
+            loss = r.loss_c / scale
+            gap = abs(loss - total / (n_train * scale))
             n_before = len(run.kept)
-            admitted, _, evicted = run.admit(gap, loss, int(r.seq), bool(r.exists), n)
+            admitted, evicted = run.admit(gap, loss, int(r.seq), bool(r.exists), n)
             out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=False, eval_no=run.eval_no,
                             n_train=n_train, score=gap, eval_loss=loss, n_kept=min(n_before, n),
                             admitted=admitted, evicted_seq=evicted))
@@ -157,7 +157,7 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1):
     return fn
 
 
-def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD):
+def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD, scale: int = 100):
     """ST3: patience counter; the best moves on any strict decrease."""
 
     def fn(key, pdfs, state: GroupState):
@@ -174,7 +174,7 @@ def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD)
             run.eval_no += 1
             loss = float(r.loss_c)
             prior = run.best
-            improved = prior is None or (loss < prior and abs((prior - loss) / 100.0) > threshold)
+            improved = prior is None or (loss < prior and abs((prior - loss) / scale) > threshold)
             if prior is None or loss < prior:
                 run.best = loss
             if improved:

@@ -11,6 +11,7 @@ from tessera.plans import corpus
 from tessera.plans.prepare import chat_text, prepare_chat, prepare_pretraining, pretraining_text
 from tessera.sources import fixtures
 from tessera.sources.readers import (DIALOGUE_SCHEMA, TECHNICAL_SCHEMA, read_instructions, read_metric_log,
+                                     read_trainer_state,
                                      read_text_sources)
 from tests.conftest import SF_SMALL
 
@@ -69,3 +70,32 @@ def test_metric_log_reader(spark):
     assert read_metric_log(spark, os.path.join(root, "log")).count() == 1000
     s = read_metric_log(spark, os.path.join(root, "log"), stream=True, max_files_per_trigger=1)
     assert s.isStreaming
+
+
+def test_trainer_state_reader(spark):
+    import json
+
+    from tessera.operators import runs
+    rows = fixtures.metric_log(spark, SF_SMALL).orderBy("run_id", "seq").collect()
+    root = tempfile.mkdtemp(prefix="tessera-state-")
+    by_run = {}
+    for r in rows:
+        e = {"step": r["step"], "epoch": 0.1}
+        if r["kind"] == "eval":
+            e.update({"eval_loss": r["loss_c"] / 100, "eval_runtime": 1.5})
+        else:
+            e.update({"loss": r["loss_c"] / 100, "learning_rate": 2.5e-4, "grad_norm": 0.7})
+        by_run.setdefault(r["run_id"], []).append(e)
+    for run, hist in by_run.items():
+        d = os.path.join(root, f"run{run}")
+        os.makedirs(d)
+        with open(os.path.join(d, "trainer_state.json"), "w") as f:
+            json.dump({"global_step": 9, "log_history": hist + [{"train_runtime": 3.0, "step": 9}]}, f, indent=1)
+    log = read_trainer_state(spark, os.path.join(root, "*", "trainer_state.json"), scale=100)
+    got = sorted((r["run_id"], r["seq"], r["kind"], r["loss_c"]) for r in log.collect())
+    want = sorted((f"run{r['run_id']}", r["seq"], r["kind"], r["loss_c"]) for r in rows)
+    assert got == want
+    g1 = {(r["run_id"], r["seq"]): r["gap"] for r in runs.generalization_gap(log, scale=100).collect()}
+    g2 = {(f"run{r['run_id']}", r["seq"]): r["gap"] for r in
+          runs.generalization_gap(fixtures.metric_log(spark, SF_SMALL)).collect()}
+    assert g1 == g2 and len(g1) > 0
