@@ -30,23 +30,32 @@ def map_batches(df: DataFrame, f, schema) -> DataFrame:
 
 
 class WhitespaceTokenizer:
-    """Word-level tokeniser: BOS, word ids (unknown -> UNK), EOS, cut to ``max_len``."""
+    """Word-level tokeniser: BOS, word ids (unknown -> UNK), EOS, cut to ``max_len``.
+
+    ``vocab`` is a dict or a Spark broadcast of one (resolved in the worker),
+    so a large vocabulary ships once per executor, not with every task.
+    """
 
     _split = re.compile("[ \t\n\r]+")
 
-    def __init__(self, vocab: dict, max_len: int = MAX_SEQ_LENGTH):
-        self.vocab = vocab
+    def __init__(self, vocab, max_len: int = MAX_SEQ_LENGTH):
+        self._vocab = vocab
         self.max_len = max_len
 
+    @property
+    def vocab(self) -> dict:
+        return self._vocab.value if hasattr(self._vocab, "value") else self._vocab
+
     def __call__(self, texts: list[str]) -> list[list[int]]:
-        out = []
+        vocab, out = self.vocab, []
         for t in texts:
             words = [w for w in self._split.split(t or "") if w][: self.max_len - 2]
-            out.append([BOS_ID] + [self.vocab.get(w, UNK_ID) for w in words] + [EOS_ID])
+            out.append([BOS_ID] + [vocab.get(w, UNK_ID) for w in words] + [EOS_ID])
         return out
 
 
 def whitespace_tokenizer(vocab_df: DataFrame, max_len: int = MAX_SEQ_LENGTH) -> WhitespaceTokenizer:
-    """Build the X2 tokeniser from a vocabulary table (bounded by its size cap)."""
+    """Build the X2 tokeniser from a vocabulary table (bounded by its size cap),
+    broadcast once to the executors."""
     vocab = {r["token"]: int(r["id"]) for r in vocab_df.select("token", "id").toLocalIterator()}
-    return WhitespaceTokenizer(vocab, max_len)
+    return WhitespaceTokenizer(vocab_df.sparkSession.sparkContext.broadcast(vocab), max_len)
