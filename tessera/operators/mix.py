@@ -88,30 +88,42 @@ def global_rank(df: DataFrame, order_cols: list, out: str = "pos", partitions: i
         .withColumn(out, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
 
 
+RANK_ROWS = 1_000_000  # largest hash bucket ranked in one window task
+
+
 def split_cutoff(df: DataFrame, share: float, salt: str, key_cols: list[str] = KEY_COLS,
                  digits: int = 4) -> tuple[int, int, tuple | None]:
     """(n, n_val, cutoff) where cutoff = (hash, *key) of the last validation row.
 
-    Two small jobs: per-bucket counts (a partial aggregate; at most
-    16**digits rows reach the driver), then the rows of the one bucket that
-    holds the cutoff, ranked by ``(hash, key)``.
+    Small jobs only: per-bucket counts of the hash prefix (a partial
+    aggregate; at most 16**digits rows reach the driver); while the bucket
+    holding the cutoff is larger than ``RANK_ROWS``, the same is repeated
+    inside it with ``digits`` more hex digits; then that one bucket is ranked
+    by ``(hash, key)``.
     """
-    keys = df.select(*key_cols).withColumn("_h", row_hash(salt, key_cols)) \
-        .withColumn("_b", F.substring("_h", 1, digits))
-    counts = sorted((r["_b"], int(r["_n"])) for r in
-                    keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).toLocalIterator())
-    n = sum(c for _, c in counts)
-    n_val = math.ceil(share * n)
-    if n_val <= 0:
-        return n, 0, None
-    before = 0
-    for bucket, c in counts:
-        if before + c >= n_val:
+    keys = df.select(*key_cols).withColumn("_h", row_hash(salt, key_cols))
+    prefix, n, k, size = "", None, None, None
+    while True:
+        width = len(prefix) + digits
+        level = keys.where(F.col("_h").startswith(prefix)) if prefix else keys
+        counts = sorted((r["_b"], int(r["_n"])) for r in level.groupBy(F.substring("_h", 1, width).alias("_b"))
+                        .agg(F.count(F.lit(1)).alias("_n")).toLocalIterator())
+        if n is None:
+            n = sum(c for _, c in counts)
+            k = math.ceil(share * n)
+            if k <= 0:
+                return n, 0, None
+        before = 0
+        for bucket, c in counts:
+            if before + c >= k:
+                break
+            before += c
+        prefix, k, size = bucket, k - before, c
+        if size <= RANK_ROWS or width >= 32:
             break
-        before += c
-    k = n_val - before
-    w = Window.orderBy("_h", *key_cols)  # one bucket: about n / 16**digits rows
-    last = (keys.where(F.col("_b") == bucket)
+    n_val = math.ceil(share * n)
+    w = Window.orderBy("_h", *key_cols)  # one bucket of at most RANK_ROWS rows
+    last = (keys.where(F.col("_h").startswith(prefix))
             .withColumn("_r", F.row_number().over(w))
             .where(F.col("_r") == k).select("_h", *key_cols).first())
     return n, n_val, tuple(last)

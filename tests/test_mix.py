@@ -49,3 +49,12 @@ def test_seed_changes_order(spark):
     a = {k: v for k, v in ((tuple(r[:2]), r[2]) for r in seeded_shuffle(base, seed=42).collect())}
     b = {k: v for k, v in ((tuple(r[:2]), r[2]) for r in seeded_shuffle(base, seed=43).collect())}
     assert a != b
+
+
+def test_split_cutoff_narrows_big_buckets(spark, monkeypatch):
+    from tessera.operators import mix
+    base = corpus.cpt_corpus(spark, SF_MID).select("source", "row_id")
+    want = _keys(assign_split(base, 0.05).where("split = 'val'"))
+    monkeypatch.setattr(mix, "RANK_ROWS", 3)
+    got = _keys(mix.assign_split(base, 0.05, digits=1).where("split = 'val'"))
+    assert got == want
