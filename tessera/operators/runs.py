@@ -110,10 +110,16 @@ def existing(evals: DataFrame, manifest: DataFrame) -> DataFrame:
     return evals.join(m, ["run_id", "seq"], "left_semi")
 
 
-def best_n(scored: DataFrame, score: str, n: int, rank_col: str = "rank") -> DataFrame:
-    """The N lowest scores per run, stable by ``seq``; 1-based rank."""
+def best_n(scored: DataFrame, score: str, n: int, rank_col: str = "rank", keep_col: str | None = None) -> DataFrame:
+    """The N lowest scores per run, stable by ``seq``; 1-based rank.
+
+    ``n`` is a literal bound, so Spark keeps a partial top-N per run before
+    the shuffle. With ``keep_col`` each run keeps its own number (at most
+    ``n``, e.g. the largest ``keep`` of the hardware table).
+    """
     w = Window.partitionBy("run_id").orderBy(F.col(score).asc(), F.col("seq").asc())
-    return scored.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    out = scored.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    return out.where(F.col(rank_col) <= F.col(keep_col)) if keep_col else out
 
 
 def rank1(scored: DataFrame, score: str) -> DataFrame:
@@ -221,6 +227,12 @@ def stop_points(trace: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 1_000_000  # largest per-run table joined by broadcast after a size check
 
 
+def broadcast_if_small(per_run: DataFrame, limit: int | None = None) -> DataFrame:
+    """Broadcast a per-run table only after counting it; beyond the bound the
+    join is left to AQE (runtime size, skew-join splitting)."""
+    return F.broadcast(per_run) if per_run.count() <= (limit or BROADCAST_ROWS) else per_run
+
+
 def events_until_stop(log: DataFrame, stops: DataFrame) -> DataFrame:
     """Drop the events after a run's stop point (runs that never stop stay whole).
 
@@ -228,7 +240,5 @@ def events_until_stop(log: DataFrame, stops: DataFrame) -> DataFrame:
     so the log is never shuffled by (a possibly hot) run. Beyond the bound the
     join is left to AQE (skew-join splitting).
     """
-    if stops.count() <= BROADCAST_ROWS:
-        stops = F.broadcast(stops)
-    j = log.join(stops, ["run_id"], "left")
+    j = log.join(broadcast_if_small(stops), ["run_id"], "left")
     return j.where(F.col("stop_seq").isNull() | (F.col("seq") <= F.col("stop_seq"))).drop("stop_seq")

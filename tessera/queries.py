@@ -880,3 +880,23 @@ def q_encode_with_hook(spark, sf):
     dropped = corpus.cpt_corpus(spark, sf).select(
         *mix.KEY_COLS, F.greatest(words - (MAX_LEN - 2), F.lit(0)).cast("int").alias("n_dropped"))
     return enc.join(dropped, mix.KEY_COLS).select("source", "row_id", "n_tokens", "n_dropped", *id_checksums())
+
+
+# --------------------------------------------------------------------------
+# keep-N from the run plan (J2 -> O6): each run keeps its hardware class's N
+# --------------------------------------------------------------------------
+
+@register("best_n_by_gap_planned", ctes(*_PLAN_SQL, *_RUN_SQL, _GAP_EX, body=(
+    "SELECT run_id, rank, seq, gap, keep FROM (SELECT g.run_id, g.seq, g.gap, p.keep, "
+    "CAST(row_number() OVER (PARTITION BY g.run_id ORDER BY g.gap, g.seq) AS INTEGER) AS rank "
+    "FROM gx g JOIN hl p ON p.run_id = g.run_id AND p.phase = 'sft' WHERE g.ex) t WHERE rank <= keep")))
+def q_best_n_by_gap_planned(spark, sf):
+    from tessera.constants import HARDWARE_TABLE
+    from tessera.operators.runs import best_n
+    from tessera.plans.run_plan import hardware, hardware_lookup
+    keep = hardware_lookup(_runs(spark, sf), hardware(spark)).where(F.col("phase") == "sft") \
+        .select("run_id", "keep")
+    from tessera.operators.runs import broadcast_if_small
+    g = _gap_exists(spark, sf).where("exists").join(broadcast_if_small(keep), "run_id", "inner")
+    max_keep = max(k for *_, k, _e in HARDWARE_TABLE)
+    return best_n(g, "gap", max_keep, keep_col="keep").select("run_id", "rank", "seq", "gap", "keep")
