@@ -818,7 +818,8 @@ def _log_exists(spark, sf):
 @register("stream_best_n", ORACLES["best_n_by_loss"])
 def q_stream_best_n(spark, sf):
     from tessera.streaming.checkpoints import best_n_processor, final_kept, run_available_now
-    out = run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES)
+    out = run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES,
+                            evals_only=True)
     return final_kept(out).select("run_id", "rank", "seq", "eval_loss")
 
 
@@ -832,7 +833,8 @@ def q_stream_gap(spark, sf):
 @register("stream_early_stop", ORACLES["early_stop"])
 def q_stream_early_stop(spark, sf):
     from tessera.streaming.checkpoints import early_stop_processor, run_available_now
-    out = run_available_now(spark, _log_exists(spark, sf), early_stop_processor(PATIENCE), STREAM_FILES)
+    out = run_available_now(spark, _log_exists(spark, sf), early_stop_processor(PATIENCE), STREAM_FILES,
+                            evals_only=True)
     t = out.where((F.col("rec") == "trace") & ~F.col("late"))
     return t.select("run_id", "seq", F.col("eval_no").alias("eval_idx"), "improved", "counter", "stop")
 
@@ -848,7 +850,7 @@ def q_stream_leaderboard_sink(spark, sf):
     base = os.path.join(checkpoint_dir(spark), "stream-" + uuid.uuid4().hex)
     report = os.path.join(base, "report")
     run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES,
-                      sink=leaderboard_sink(report, loss_report), base=base)
+                      sink=leaderboard_sink(report, loss_report), base=base, evals_only=True)
     return spark.read.parquet(report).select(F.col("run_id").cast("bigint").alias("run_id"), "line_no", "line")
 
 

@@ -190,7 +190,12 @@ def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD,
     return fn
 
 
-def stateful(stream: DataFrame, fn) -> DataFrame:
+def stateful(stream: DataFrame, fn, evals_only: bool = False) -> DataFrame:
+    """Run a per-run processor. ``evals_only`` drops train events on the JVM
+    side first (the keep-N-by-loss and early-stop processors never read them),
+    so fewer rows cross into Python."""
+    if evals_only:
+        stream = stream.where(F.col("kind") == "eval")
     return stream.groupBy("run_id").applyInPandasWithState(
         fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
@@ -211,7 +216,7 @@ def write_log_files(log: DataFrame, folder: str, n_files: int) -> str:
 
 
 def run_available_now(spark: SparkSession, log: DataFrame, fn, n_files: int = 3,
-                      sink=None, base: str | None = None) -> DataFrame:
+                      sink=None, base: str | None = None, evals_only: bool = False) -> DataFrame:
     """Stream ``log`` through the stateful ``fn`` and return all output rows.
 
     ``sink(batch_df, batch_id)`` (``foreachBatch``) replaces the default
@@ -221,18 +226,20 @@ def run_available_now(spark: SparkSession, log: DataFrame, fn, n_files: int = 3,
     src = write_log_files(log.select(*[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]),
                           os.path.join(base, "input"), n_files)
     stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
-    out = stateful(stream, fn)
+    out = stateful(stream, fn, evals_only)
     out_path = os.path.join(base, "out")
     writer = out.writeStream.option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True)
     if sink is None:
         q = writer.format("parquet").outputMode("append").start(out_path)
     else:
         def _both(batch_df, batch_id):
-            batch_df.write.mode("append").parquet(out_path)
+            # idempotent on retry: a re-run micro-batch rewrites its own folder
+            batch_df.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={batch_id}"))
             sink(batch_df, batch_id)
         q = writer.foreachBatch(_both).start()
     q.awaitTermination()
-    return spark.read.schema(OUT_SCHEMA).parquet(out_path)
+    cols = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
+    return spark.read.parquet(out_path).select(*cols)
 
 
 def final_kept(out: DataFrame) -> DataFrame:
