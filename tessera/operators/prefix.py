@@ -47,10 +47,16 @@ def _combine(fn: str, outer: Column, inner: Column) -> Column:
 
 
 def running_aggregates(df: DataFrame, group_cols: list[str], chunk_key: Column,
-                       order_cols: list, specs: list[Running], width: float) -> DataFrame:
-    """Add one column per ``Running`` spec (see module docstring)."""
+                       order_cols: list, specs: list[Running], width: float,
+                       keep_chunk: bool = False) -> DataFrame:
+    """Add one column per ``Running`` spec (see module docstring).
+
+    With ``keep_chunk`` the ``_chunk`` column stays; a following call on the
+    result reuses it (same width and key), so the rows, already partitioned by
+    ``(group, _chunk)``, are not shuffled again.
+    """
     ck = "_chunk"
-    d = df.withColumn(ck, F.floor(chunk_key / F.lit(width)).cast("bigint"))
+    d = df if ck in df.columns else df.withColumn(ck, F.floor(chunk_key / F.lit(width)).cast("bigint"))
     vals = {s.name: f"_v_{s.name}" for s in specs}
     for s in specs:
         d = d.withColumn(vals[s.name], s.value)
@@ -72,7 +78,8 @@ def running_aggregates(df: DataFrame, group_cols: list[str], chunk_key: Column,
     d = d.join(offsets, [*group_cols, ck], "left")
     for s in specs:
         d = d.withColumn(s.name, _combine(s.fn, F.col(f"_o_{s.name}"), F.col(f"_i_{s.name}")))
-    drop = [ck] + [c for s in specs for c in (vals[s.name], f"_t_{s.name}", f"_o_{s.name}", f"_i_{s.name}")]
+    drop = ([] if keep_chunk else [ck]) + [c for s in specs
+                                           for c in (vals[s.name], f"_t_{s.name}", f"_o_{s.name}", f"_i_{s.name}")]
     return d.drop(*[c for c in drop if c in d.columns])
 
 

@@ -209,7 +209,7 @@ def early_stop(evals: DataFrame, patience: int, threshold: float = EARLY_STOP_TH
     """
     d = running_aggregates(evals, ["run_id"], F.col("seq"), ["seq"], [
         Running("eval_idx", F.lit(1).cast("bigint"), "sum", True),
-        Running("_prior_min", F.col(score), "min", False)], SEQ_CHUNK)
+        Running("_prior_min", F.col(score), "min", False)], SEQ_CHUNK, keep_chunk=True)
     delta = (F.col("_prior_min") - F.col(score)).cast("double") / F.lit(float(scale or LOSS_SCALE))
     improved = F.col("_prior_min").isNull() | ((F.col(score) < F.col("_prior_min")) & (F.abs(delta) > threshold))
     d = d.withColumn("improved", improved)
