@@ -61,8 +61,14 @@ def interval_train_loss(log: DataFrame, save_steps: int = 1, scale: int | None =
     Losses are integers of a fixed ``scale``: the sum is exact and the mean is
     one IEEE division, the same in every engine.
     """
+    return _interval_sums(with_interval(log), save_steps, scale)
+
+
+def _interval_sums(iv: DataFrame, save_steps: int, scale: int | None) -> DataFrame:
+    """A2 on a log that already carries ``interval`` (partial aggregation, so a
+    long interval is combined map-side)."""
     scale = scale or LOSS_SCALE
-    t = filter_loggable(with_interval(log), save_steps).where(F.col("kind") == "train")
+    t = filter_loggable(iv, save_steps).where(F.col("kind") == "train")
     return t.groupBy("run_id", "interval").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_train"),
         F.sum("loss_c").cast("bigint").alias("sum_loss_c")) \
@@ -95,8 +101,10 @@ def generalization_gap(log: DataFrame, multiple: int = GAP_MULTIPLE, save_steps:
     Evaluations in the warm-up and evaluations with no train sample make no
     decision and are absent.
     """
-    e = evaluations(log).where(F.col("eval_no") > warmup_threshold(multiple))
-    a = interval_train_loss(log, save_steps, scale)
+    iv = with_interval(log)  # one ordering pass shared by both branches
+    e = iv.where(is_eval()).withColumn("eval_no", (F.col("interval") + 1).cast("bigint")) \
+        .where(F.col("eval_no") > warmup_threshold(multiple))
+    a = _interval_sums(iv, save_steps, scale)
     j = e.join(a, ["run_id", "interval"], "inner")
     return j.select("run_id", "seq", "step", "eval_no", "n_train",
                     eval_loss(scale=scale).alias("eval_loss"),
