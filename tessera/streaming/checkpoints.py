@@ -40,6 +40,13 @@ STATE_SCHEMA = ("last_seq long, eval_no long, buf_sum long, buf_n long, kept_sco
                 "kept_loss array<double>, kept_seq array<long>, best double, last_improved long, stopped boolean")
 
 _COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
+_PD_TYPES = {"long": "Int64", "int": "Int32", "double": "float64", "boolean": "boolean", "string": "object"}
+_DTYPES = {c.strip().split(" ")[0]: _PD_TYPES[c.strip().split(" ")[1]] for c in OUT_SCHEMA.split(",")}
+
+
+def _frame(rows: list[dict]) -> pd.DataFrame:
+    """Output rows with explicit nullable dtypes (no untyped all-null columns)."""
+    return pd.DataFrame(rows, columns=_COLS).astype(_DTYPES)
 
 
 def _row(**kw) -> dict:
@@ -116,7 +123,7 @@ def best_n_processor(n: int, scale: int = 100):
                             evicted_seq=evicted))
         out += _kept_rows(run_id, run)
         run.save(state)
-        yield pd.DataFrame(out, columns=_COLS)
+        yield _frame(out)
 
     return fn
 
@@ -152,7 +159,7 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
                             admitted=admitted, evicted_seq=evicted))
         out += _kept_rows(run_id, run)
         run.save(state)
-        yield pd.DataFrame(out, columns=_COLS)
+        yield _frame(out)
 
     return fn
 
@@ -185,7 +192,7 @@ def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD,
             out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=False, eval_no=run.eval_no,
                             improved=improved, counter=counter, stop=stop))
         run.save(state)
-        yield pd.DataFrame(out, columns=_COLS)
+        yield _frame(out)
 
     return fn
 
