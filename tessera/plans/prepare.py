@@ -11,7 +11,7 @@ as Spark jobs (the only driver values are counts and the split cutoff).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.constants import CPT_VAL_SHARE, MAX_SEQ_LENGTH, SEED, SFT_VAL_SHARE
@@ -67,3 +67,40 @@ def prepare_chat(spark: SparkSession, dialogue: DataFrame, technical: DataFrame,
     """Entry 2: the chat fine-tuning token table. Returns ``(path, counts, vocab)``."""
     return _tokenize_and_write(chat_text(dialogue, technical, fmt, dialogue_first), share, seed, vocab,
                                vocab_size, max_len, out, SOURCE_KEY)
+
+
+def plan_steps(n_train: int, b: int, a: int, g: int, epochs: float, eval_every: int) -> dict:
+    """A3 for one run, as plain numbers (the counts come from the split)."""
+    from math import ceil
+
+    from tessera.constants import SPLIT_NUM
+    save = ceil(n_train / (b * a * g * SPLIT_NUM * 10))
+    max_steps = int(save * ceil(SPLIT_NUM * epochs) * 10)
+    return {"save_steps": save, "max_steps": max_steps, "eval_steps": eval_every * save}
+
+
+def write_batch_manifest(spark: SparkSession, token_table: str, b: int, a: int, g: int, epochs: float,
+                         eval_every: int, out: str | None = None, seed: int = SEED, key=SOURCE_KEY,
+                         multiple: int = 8):
+    """T5 + T6 over a written token table: every training sample of the run
+    with its step, accumulation slot, device, lane and batch, and the batch's
+    padded length. Written partitioned by a step range. Returns ``(path, plan)``."""
+    import os
+    import uuid
+
+    from tessera.operators.tokens import assign_microbatch
+    from tessera.session import checkpoint_dir
+
+    tokens = spark.read.parquet(token_table).where(F.col("split") == "train")
+    n_train = tokens.count()
+    plan = plan_steps(n_train, b, a, g, epochs, eval_every)
+    samples = assign_microbatch(tokens.select(*key), n_train, b, a, g, plan["max_steps"], seed, list(key))
+    lengths = tokens.select(*key, "n_tokens")
+    m = samples.join(lengths, list(key), "inner")
+    w = F.max("n_tokens").over(Window.partitionBy("batch_id"))  # b rows per batch
+    m = m.withColumn("padded_len", (F.ceil(w / F.lit(multiple)) * F.lit(multiple)).cast("int")) \
+        .withColumn("step_block", (F.floor((F.col("step") - 1) / F.lit(max(1, plan["save_steps"])))).cast("bigint"))
+    path = out or os.path.join(checkpoint_dir(spark), "manifest-" + uuid.uuid4().hex)
+    m.repartitionByRange("step", "device", "slot", "lane").write.mode("overwrite") \
+        .partitionBy("step_block").parquet(path)
+    return path, dict(plan, n_train=n_train)

@@ -524,14 +524,12 @@ def q_truncation_report(spark, sf):
 
 
 def _train_samples(spark, sf):
-    import math
-
     from tessera.operators.tokens import assign_microbatch
+    from tessera.plans.prepare import plan_steps
     split, n, n_val = mix.split_with_counts(corpus.cpt_corpus(spark, sf), CPT_VAL_SHARE)
     n_train = n - n_val
     b, a, g = CPT_HW["b"], CPT_HW["a"], CPT_HW["g"]
-    save = math.ceil(n_train / (b * a * g * 25 * 10))
-    max_steps = int(save * math.ceil(25 * CPT_HW["epochs"]) * 10)
+    max_steps = plan_steps(n_train, b, a, g, CPT_HW["epochs"], 5)["max_steps"]
     train = split.where(F.col("split") == "train")
     return assign_microbatch(train, n_train, b, a, g, max_steps, SEED, mix.KEY_COLS)
 

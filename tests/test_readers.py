@@ -99,3 +99,22 @@ def test_trainer_state_reader(spark):
     g2 = {(f"run{r['run_id']}", r["seq"]): r["gap"] for r in
           runs.generalization_gap(fixtures.metric_log(spark, SF_SMALL)).collect()}
     assert g1 == g2 and len(g1) > 0
+
+
+def test_batch_manifest(spark):
+    from tessera.plans.prepare import write_batch_manifest
+    root = _files(spark)
+    lit_df = read_text_sources(spark, os.path.join(root, "lit"))
+    dic = read_text_sources(spark, os.path.join(root, "dict"), fmt="json")
+    path, counts, _ = prepare_pretraining(spark, lit_df, dic, vocab_size=500, max_len=64)
+    mpath, plan = write_batch_manifest(spark, path, b=2, a=12, g=1, epochs=1.0, eval_every=5)
+    m = spark.read.parquet(mpath)
+    assert plan["n_train"] == counts["train"] and plan["max_steps"] == 250
+    assert m.count() == plan["max_steps"] * 2 * 12
+    per_step = m.groupBy("step").count().agg(F.min("count"), F.max("count")).first()
+    assert tuple(per_step) == (24, 24)
+    bad = m.where((F.col("padded_len") % 8 != 0) | (F.col("padded_len") < F.col("n_tokens"))).count()
+    assert bad == 0
+    # every sample once per epoch pass: an epoch is a permutation of the training rows
+    first = m.where("epoch = 0").select("source", "file", "row_id").distinct().count()
+    assert first == min(counts["train"], plan["max_steps"] * 24)
