@@ -900,3 +900,45 @@ def q_best_n_by_gap_planned(spark, sf):
     g = _gap_exists(spark, sf).where("exists").join(broadcast_if_small(keep), "run_id", "inner")
     max_keep = max(k for *_, k, _e in HARDWARE_TABLE)
     return best_n(g, "gap", max_keep, keep_col="keep").select("run_id", "rank", "seq", "gap", "keep")
+
+
+# --------------------------------------------------------------------------
+# file readers (S1-S4) end to end: the inputs written as files, read back
+# --------------------------------------------------------------------------
+
+def _scratch(spark, tag):
+    import os
+    import uuid
+
+    from tessera.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
+
+
+@register("scan_sources_files", ctes(*_CPT_SQL, body="SELECT source, title, text FROM cpt"))
+def q_scan_sources_files(spark, sf):
+    import os
+
+    from tessera.plans.prepare import pretraining_text
+    from tessera.sources.readers import read_text_sources
+    root = _scratch(spark, "sources")
+    fixtures.literature(spark, sf).select("source", "title", "text") \
+        .write.partitionBy("source").parquet(os.path.join(root, "literature"))
+    fixtures.dictionary(spark, sf).select("source", "title", "text") \
+        .write.partitionBy("source").json(os.path.join(root, "dictionary"))
+    lit_df = read_text_sources(spark, os.path.join(root, "literature"))
+    dic = read_text_sources(spark, os.path.join(root, "dictionary"), fmt="json")
+    return pretraining_text(lit_df, dic).select("source", "title", "text")
+
+
+@register("scan_instruction_files", ctes(*_SFT_SQL, body="SELECT source, text FROM sft"))
+def q_scan_instruction_files(spark, sf):
+    import os
+
+    from tessera.plans.prepare import chat_text
+    from tessera.sources.readers import DIALOGUE_SCHEMA, TECHNICAL_SCHEMA, read_instructions
+    root = _scratch(spark, "instructions")
+    fixtures.dialogue(spark, sf).drop("row_id", "turn").write.json(os.path.join(root, "dialogue"))
+    fixtures.technical(spark, sf).drop("row_id", "turn").write.json(os.path.join(root, "technical"))
+    dlg = read_instructions(spark, os.path.join(root, "dialogue"), "dialogue", DIALOGUE_SCHEMA)
+    tech = read_instructions(spark, os.path.join(root, "technical"), "technical", TECHNICAL_SCHEMA)
+    return chat_text(dlg, tech).select("source", "text")
