@@ -206,12 +206,13 @@ def new_best_flag(evals: DataFrame, score: str = "loss_c") -> DataFrame:
         .drop("_prior_min")
 
 
-def early_stop(evals: DataFrame, patience: int, threshold: float = EARLY_STOP_THRESHOLD,
+def early_stop(evals: DataFrame, patience, threshold: float = EARLY_STOP_THRESHOLD,
                score: str = "loss_c", scale: float | None = None) -> DataFrame:
     """Patience counter of early stopping per evaluation.
 
     ``improved`` when there is no best yet, or the loss is below the best and
     by more than ``threshold``; the best itself moves on any strict decrease.
+    ``patience`` is a number or the name of a per-run column.
     ``counter`` = evaluations since the last improvement; ``stop`` when it
     reaches ``patience``.
     """
@@ -224,7 +225,8 @@ def early_stop(evals: DataFrame, patience: int, threshold: float = EARLY_STOP_TH
     d = running_aggregates(d, ["run_id"], F.col("seq"), ["seq"], [
         Running("_last", F.when(F.col("improved"), F.col("eval_idx")), "max", True)], SEQ_CHUNK)
     d = d.withColumn("counter", (F.col("eval_idx") - F.col("_last")).cast("bigint"))
-    return d.withColumn("stop", F.col("counter") >= patience).drop("_prior_min", "_last")
+    limit = F.col(patience) if isinstance(patience, str) else F.lit(patience)  # per-run column or number
+    return d.withColumn("stop", F.col("counter") >= limit).drop("_prior_min", "_last")
 
 
 def stop_points(trace: DataFrame) -> DataFrame:

@@ -942,3 +942,17 @@ def q_scan_instruction_files(spark, sf):
     dlg = read_instructions(spark, os.path.join(root, "dialogue"), "dialogue", DIALOGUE_SCHEMA)
     tech = read_instructions(spark, os.path.join(root, "technical"), "technical", TECHNICAL_SCHEMA)
     return chat_text(dlg, tech).select("source", "text")
+
+
+@register("early_stop_planned", ctes(*_PLAN_SQL, *_RUN_SQL, *_ES_SQL, body=(
+    "SELECT e.run_id, e.seq, e.counter, p.patience, e.counter >= p.patience AS stop FROM es e "
+    "JOIN runs r ON r.run_id = e.run_id AND r.phase = 'sft' "
+    "JOIN prm p ON p.model = r.model AND p.phase = 'sft'")))
+def q_early_stop_planned(spark, sf):
+    """W6 with the fine-tuning patience of each run's model (5 for 12B, 3 for 27B)."""
+    from tessera.operators.runs import broadcast_if_small, early_stop
+    from tessera.plans.run_plan import phase_params
+    pat = _runs(spark, sf).where(F.col("phase") == "sft").join(
+        F.broadcast(phase_params(spark)), ["model", "phase"]).select("run_id", "patience")  # 4-row table
+    ev = _log(spark, sf).where(F.col("kind") == "eval").join(broadcast_if_small(pat), "run_id")
+    return early_stop(ev, "patience").select("run_id", "seq", "counter", "patience", "stop")
