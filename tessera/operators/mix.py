@@ -43,13 +43,21 @@ def union_all(frames: list[DataFrame], allow_missing: bool = True) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
+def position_digits(n_rows: int, max_bucket_rows: int = 1_000_000) -> int:
+    """Hex digits of the hash bucket so a bucket holds about ``max_bucket_rows``."""
+    return max(4, math.ceil(math.log(max(n_rows, 1) / max_bucket_rows, 16)))
+
+
 def global_position(df: DataFrame, salt: str, key_cols: list[str] = KEY_COLS,
-                    out: str = "pos", digits: int = 4, partition_cols: list[str] | None = None) -> DataFrame:
+                    out: str = "pos", digits: int | str = 4, partition_cols: list[str] | None = None) -> DataFrame:
     """O1: exact 0-based position in ``(hash, key)`` order (a seeded permutation).
 
     ``partition_cols`` gives independent permutations per value (e.g. epoch).
+    ``digits="auto"`` sizes the buckets from one count of the input.
     """
     pcols = list(partition_cols or [])
+    if digits == "auto":
+        digits = position_digits(df.count())
     d = df.withColumn("_h", row_hash(salt, key_cols)).withColumn("_b", F.substring("_h", 1, digits))
     counts = d.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*pcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,11 +58,18 @@ def loss_report(kept: DataFrame) -> DataFrame:
     return head.unionByName(body).unionByName(tail).withColumn("line_no", F.col("line_no").cast("int"))
 
 
-def gap_report(kept: DataFrame, save_steps: int, eval_steps: int) -> DataFrame:
-    """``kept(run_id, rank, seq, gap, eval_loss)`` -> report lines of each run."""
+def gap_report(kept: DataFrame, save_steps: int | None = None, eval_steps: int | None = None) -> DataFrame:
+    """``kept(run_id, rank, seq, gap, eval_loss)`` -> report lines of each run.
+
+    The header's cadence is given as numbers, or taken per run from
+    ``save_steps`` / ``eval_steps`` columns of ``kept`` (the run plan).
+    """
     k = with_fixed(with_fixed(kept, "gap", "_g", 4), "eval_loss", "_l", 4)
-    header = GAP_REPORT_HEADER.replace("{save}", str(save_steps)).replace("{eval}", str(eval_steps))
-    head = kept.select("run_id").distinct().select("run_id", F.lit(0).alias("line_no"), F.lit(header).alias("line"))
+    save = F.lit(save_steps) if save_steps is not None else F.col("save_steps")
+    every = F.lit(eval_steps) if eval_steps is not None else F.col("eval_steps")
+    runs = kept.groupBy("run_id").agg(F.first(save).alias("_sv"), F.first(every).alias("_ev"))
+    head = runs.select("run_id", F.lit(0).alias("line_no"),
+                       _fill(GAP_REPORT_HEADER, save=F.col("_sv"), eval=F.col("_ev")).alias("line"))
     body = k.select("run_id", F.col("rank").alias("line_no"),
                     _fill(GAP_REPORT_LINE, i=F.col("rank"), step=F.col("seq"), gap=F.col("_g"),
                           loss=F.col("_l")).alias("line"))

@@ -68,3 +68,25 @@ def test_report_files_are_ordered_per_run(spark):
                             "   2. checkpoint-9: eval_loss=0.5000\n\n")
     r1 = [r["line"] for r in lines.where("run_id = 1").orderBy("line_no").collect()]
     assert r1[1] == "   1. checkpoint-3: eval_loss=1.0312"  # half-even on the exact binary value
+
+
+def test_gap_report_header_per_run(spark):
+    from tessera.sources.sinks import gap_report
+    kept = spark.createDataFrame([(0, 1, 7, 0.03125, 2.5, 3, 30), (1, 1, 4, 0.5, 1.0, 1, 10)],
+                                 "run_id long, rank int, seq long, gap double, eval_loss double, "
+                                 "save_steps long, eval_steps long")
+    lines = {(r["run_id"], r["line_no"]): r["line"] for r in gap_report(kept).collect()}
+    assert lines[(0, 0)] == "Stability Priority Leaderboard (Samples every 3 steps, Settlement every 30 steps)"
+    assert lines[(0, 1)] == "   1. checkpoint-7: Gap=0.0312 (Eval_Loss=2.5000)"
+    fixed = {(r["run_id"], r["line_no"]): r["line"] for r in gap_report(kept.drop("save_steps", "eval_steps"), 1, 10)
+             .collect()}
+    assert fixed[(1, 0)].endswith("(Samples every 1 steps, Settlement every 10 steps)")
+
+
+def test_position_digits_auto(spark):
+    from tessera.operators.mix import global_position, position_digits
+    assert position_digits(10) == 4 and position_digits(10**11) == 5 and position_digits(10**13) == 6
+    df = spark.range(0, 300).select(F.lit("s").alias("source"), F.col("id").alias("row_id"))
+    a = {r["row_id"]: r["pos"] for r in global_position(df, "x", digits="auto").collect()}
+    b = {r["row_id"]: r["pos"] for r in global_position(df, "x", digits=2).collect()}
+    assert a == b and sorted(a.values()) == list(range(300))
