@@ -165,32 +165,40 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
 
 
 def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD, scale: int = 100):
-    """ST3: patience counter; the best moves on any strict decrease."""
+    """ST3: patience counter; the best moves on any strict decrease.
+
+    Vectorised over the micro-batch of a run: the prior best is a running
+    minimum seeded by the state, the last improvement a running maximum.
+    """
+    import numpy as np
 
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
         run = _Run(state)
-        out = []
-        for r in _batch_rows(pdfs).itertuples(index=False):
-            if r.seq <= run.last_seq:
-                out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=True))
-                continue
-            run.last_seq = int(r.seq)
-            if r.kind != "eval":
-                continue
-            run.eval_no += 1
-            loss = float(r.loss_c)
-            prior = run.best
-            improved = prior is None or (loss < prior and abs((prior - loss) / scale) > threshold)
-            if prior is None or loss < prior:
-                run.best = loss
-            if improved:
-                run.last_improved = run.eval_no
-            counter = run.eval_no - run.last_improved
+        rows = _batch_rows(pdfs)
+        seq = rows["seq"].to_numpy(dtype="int64")
+        late = seq <= run.last_seq
+        out = [_row(run_id=run_id, rec="trace", seq=int(q), late=True) for q in seq[late]]
+        ev = rows[(~late) & (rows["kind"] == "eval").to_numpy()]
+        if len(seq[~late]):
+            run.last_seq = int(seq[~late].max())
+        if len(ev):
+            loss = ev["loss_c"].to_numpy(dtype="float64")
+            best0 = np.inf if run.best is None else float(run.best)
+            running = np.minimum.accumulate(np.concatenate([[best0], loss]))
+            prior = running[:-1]
+            improved = np.isinf(prior) | ((loss < prior) & (np.abs((prior - loss) / scale) > threshold))
+            idx = run.eval_no + 1 + np.arange(len(loss))
+            last = np.maximum.accumulate(np.maximum(np.where(improved, idx, 0), run.last_improved))
+            counter = idx - last
             stop = counter >= patience
-            run.stopped = run.stopped or stop
-            out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=False, eval_no=run.eval_no,
-                            improved=improved, counter=counter, stop=stop))
+            out += [_row(run_id=run_id, rec="trace", seq=int(q), late=False, eval_no=int(i), improved=bool(b),
+                         counter=int(c), stop=bool(s))
+                    for q, i, b, c, s in zip(ev["seq"], idx, improved, counter, stop)]
+            run.eval_no = int(idx[-1])
+            run.best = float(running[-1])
+            run.last_improved = int(last[-1])
+            run.stopped = run.stopped or bool(stop.any())
         run.save(state)
         yield _frame(out)
 
