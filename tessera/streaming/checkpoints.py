@@ -129,34 +129,53 @@ def best_n_processor(n: int, scale: int = 100):
 
 
 def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
-    """ST2: keep the N smallest generalisation gaps, after ``warmup`` evaluations."""
+    """ST2: keep the N smallest generalisation gaps, after ``warmup`` evaluations.
+
+    Train-loss buffers are cumulative sums between evaluations (vectorised,
+    seeded by the buffer kept in state); only evaluations that make a
+    decision go through the sequential keep-N admission.
+    """
+    import numpy as np
 
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
         run = _Run(state)
-        out = []
-        for r in _batch_rows(pdfs).itertuples(index=False):
-            if r.seq <= run.last_seq:
-                out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=True))
-                continue
-            run.last_seq = int(r.seq)
-            if r.kind == "train":
-                if r.step % save_steps == 0:
-                    run.buf_sum += int(r.loss_c)
-                    run.buf_n += 1
-                continue
-            run.eval_no += 1
-            n_train, total = run.buf_n, run.buf_sum
-            run.buf_sum, run.buf_n = 0, 0  # every evaluation starts a fresh buffer
-            if run.eval_no <= warmup or n_train == 0:
-                continue
-            loss = r.loss_c / scale
-            gap = abs(loss - total / (n_train * scale))
-            n_before = len(run.kept)
-            admitted, evicted = run.admit(gap, loss, int(r.seq), bool(r.exists), n)
-            out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=False, eval_no=run.eval_no,
-                            n_train=n_train, score=gap, eval_loss=loss, n_kept=min(n_before, n),
-                            admitted=admitted, evicted_seq=evicted))
+        rows = _batch_rows(pdfs)
+        seq = rows["seq"].to_numpy(dtype="int64")
+        late = seq <= run.last_seq
+        out = [_row(run_id=run_id, rec="trace", seq=int(q), late=True) for q in seq[late]]
+        cur = rows[~late]
+        if len(cur):
+            run.last_seq = int(cur["seq"].max())
+            kind = cur["kind"].to_numpy()
+            is_train = (kind == "train") & (cur["step"].to_numpy(dtype="int64") % save_steps == 0)
+            cs_l = np.cumsum(np.where(is_train, cur["loss_c"].to_numpy(dtype="int64"), 0))
+            cs_c = np.cumsum(is_train.astype("int64"))
+            e_pos = np.flatnonzero(kind == "eval")
+            if len(e_pos):
+                at_l, at_c = cs_l[e_pos], cs_c[e_pos]
+                seg_l = at_l - np.concatenate([[0], at_l[:-1]])
+                seg_c = at_c - np.concatenate([[0], at_c[:-1]])
+                seg_l[0] += run.buf_sum
+                seg_c[0] += run.buf_n
+                eval_no = run.eval_no + 1 + np.arange(len(e_pos))
+                ev = cur.iloc[e_pos]
+                for q, loss_c, ex, no, total, n_train in zip(ev["seq"], ev["loss_c"], ev["exists"], eval_no,
+                                                             seg_l, seg_c):
+                    if no <= warmup or n_train == 0:
+                        continue
+                    loss = int(loss_c) / scale
+                    gap = abs(loss - int(total) / (int(n_train) * scale))
+                    n_before = len(run.kept)
+                    admitted, evicted = run.admit(gap, loss, int(q), bool(ex), n)
+                    out.append(_row(run_id=run_id, rec="trace", seq=int(q), late=False, eval_no=int(no),
+                                    n_train=int(n_train), score=gap, eval_loss=loss, n_kept=min(n_before, n),
+                                    admitted=admitted, evicted_seq=evicted))
+                run.eval_no = int(eval_no[-1])
+                run.buf_sum, run.buf_n = int(cs_l[-1] - at_l[-1]), int(cs_c[-1] - at_c[-1])
+            else:
+                run.buf_sum += int(cs_l[-1])
+                run.buf_n += int(cs_c[-1])
         out += _kept_rows(run_id, run)
         run.save(state)
         yield _frame(out)
