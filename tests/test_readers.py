@@ -118,3 +118,22 @@ def test_batch_manifest(spark):
     # every sample once per epoch pass: an epoch is a permutation of the training rows
     first = m.where("epoch = 0").select("source", "file", "row_id").distinct().count()
     assert first == min(counts["train"], plan["max_steps"] * 24)
+
+
+def test_instruction_json_array_file(spark):
+    import json
+    rows = [r.asDict() for r in fixtures.dialogue(spark, SF_SMALL).drop("row_id", "turn").collect()]
+    for r in rows:
+        if r["input"] is None:
+            del r["input"]  # a missing key, as in hand-written files
+    root = tempfile.mkdtemp(prefix="tessera-array-")
+    path = os.path.join(root, "dialogue.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(rows, f, ensure_ascii=False, indent=1)
+    dlg = read_instructions(spark, path, "dialogue", DIALOGUE_SCHEMA, multi_line=True)
+    assert dlg.count() == len(rows)
+    assert dlg.select("source", "file", "row_id").distinct().count() == len(rows)  # keys stay unique
+    tech = read_instructions(spark, path, "technical", TECHNICAL_SCHEMA, multi_line=True).limit(0)
+    got = Counter(r["text"] for r in chat_text(dlg, tech).collect())
+    want = Counter(r["text"] for r in corpus.dialogue_rows(spark, SF_SMALL).collect())
+    assert got == want
