@@ -63,3 +63,13 @@ def test_late_rows_are_side_output(spark):
     out = spark.read.schema(OUT_SCHEMA).parquet(os.path.join(base, "out"))
     assert out.where("late").count() == 10
     assert out.where("rec = 'trace' AND NOT late").count() == 10
+
+
+def test_gap_stream_equals_batch_with_save_steps(spark, events):
+    out = run_available_now(spark, events, gap_processor(3, 4, save_steps=2), 3)
+    got = sorted((r["run_id"], r["seq"], r["n_train"], r["score"]) for r in
+                 out.where("rec = 'trace' AND NOT late").collect())
+    g = runs.generalization_gap(events.drop("exists"), multiple=20, save_steps=2)  # warm-up 9*round(0.5)=0
+    g4 = g.where("eval_no > 4")
+    want = sorted((r["run_id"], r["seq"], r["n_train"], r["gap"]) for r in g4.collect())
+    assert got == want and len(got) > 0
