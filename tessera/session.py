@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Partial top-N per key before the shuffle for row_number() <= N filters.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Remove checkpoint files once their DataFrames are gone (long sessions).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
