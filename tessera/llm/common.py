@@ -55,3 +55,11 @@ def labelled_sample(labels: DataFrame, column: str, parts: int, limit: int) -> D
                          & (fold(F.col("doc_id"), parts) != 0))
             .groupBy("doc_id").agg(F.max(F.col(column).cast("int")).alias("label"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

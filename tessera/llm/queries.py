@@ -14,6 +14,30 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import quality_scores
+
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5, threshold=0.3)
+
+
+def op2_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.simhash import simhash_components
+
+    return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontam import contamination
+
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5, threshold=0.5)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.packing import best_fit_packing
 
@@ -28,6 +52,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_simhash_gray": op2_simhash_gray,
+    "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_store": op10_token_store,
 }
