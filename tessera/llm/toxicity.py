@@ -5,8 +5,8 @@
    hit counts, shouting, exclamation marks and masked letters. A voter fires or not.
 2. Label model. A generative mixture of two classes explains how often the voters fire
    together: per class a tree of voters, each depending on the one it correlates with most
-   (given the class) and on the class. EM estimates accuracies and correlations from the
-   votes alone; labels only decide which class is the toxic one.
+   (given the class) and on the class. EM estimates accuracies and correlations; a known
+   label enters as evidence of fixed reliability (``TRUST`` in log odds), not as the truth.
 3. Classifier. A logistic regression on lexicon hits and patterns is fitted to the label
    model's posterior labels, so it also weighs words the voters hold together.
 
@@ -35,6 +35,7 @@ SAMPLE = 20_000
 LEXICON = 600          # words, and as many word beginnings, at most
 LEXICON_VOTERS = 6
 STEMS = (4, 5, 6)      # lengths of word beginnings
+TRUST = 4.0
 PATTERNS = ("two hits", "four hits", "shouting", "exclaims", "masked", "stem hit")
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -105,12 +106,13 @@ class LabelModel:
     def __init__(self, rounds: int = 60, pseudo: float = 0.5):
         self.rounds, self.pseudo = rounds, pseudo
 
-    def fit(self, seen: np.ndarray, weight: np.ndarray, start: np.ndarray) -> "LabelModel":
-        """``seen``: distinct 0/1 vote rows, with counts; ``start``: first guess of P(toxic)."""
+    def fit(self, seen: np.ndarray, weight: np.ndarray, evidence: np.ndarray, start: np.ndarray) -> "LabelModel":
+        """``seen``: distinct 0/1 vote rows, with counts and the log odds that their
+        labels add; ``start``: first guess of P(toxic)."""
         post = start.astype(float)
         for _ in range(self.rounds):
             self._maximise(seen, weight, post)
-            new = self.posterior(seen)
+            new = self.posterior(seen, evidence)
             moved, post = np.abs(new - post).max(), new
             if moved < 1e-6:
                 break
@@ -153,13 +155,13 @@ class LabelModel:
                 else:
                     self.table[y, j] = p[y, q, j] / p[y, q, j].sum(axis=1, keepdims=True)
 
-    def posterior(self, v: np.ndarray) -> np.ndarray:
+    def posterior(self, v: np.ndarray, evidence: np.ndarray | float = 0.0) -> np.ndarray:
         v = v.astype(int)
         logs = np.log(self.prior)[:, None] + np.zeros((2, v.shape[0]))
         for j, q in enumerate(self.parent):
             up = v[:, q] if q >= 0 else np.zeros(v.shape[0], int)
             logs += np.log(self.table[:, j, up, v[:, j]])
-        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
+        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1] - evidence, -500, 500)))
 
 
 @dataclass
@@ -245,12 +247,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int
 
     got = rows.mapInPandas(read, "label int, votes array<boolean>, words array<int>, stems array<int>").toPandas()
     v = np.array(got["votes"].tolist(), dtype=int)
-    seen, at, count = np.unique(v, axis=0, return_inverse=True, return_counts=True)
-    model = LabelModel().fit(seen, count, (seen[:, :LEXICON_VOTERS].sum(1) + 0.5) / (LEXICON_VOTERS + 1))
-    post = model.posterior(seen)[at.ravel()]
     label = got["label"].to_numpy()
-    if post[label == 1].mean() < post[label == 0].mean():  # which class is the toxic one
-        post = 1 - post
+    seen, at, count = np.unique(np.column_stack([v, label]), axis=0, return_inverse=True, return_counts=True)
+    seen, evidence = seen[:, :-1], TRUST * (2 * seen[:, -1] - 1)
+    model = LabelModel().fit(seen, count, evidence, 1 / (1 + np.exp(-evidence)))
+    post = model.posterior(seen, evidence)[at.ravel()]
     nw, ns, np_ = len(lex.words), len(lex.stems), len(PATTERNS)
     x = np.zeros((len(got), nw + ns + np_))
     for i, (words, stems) in enumerate(zip(got["words"], got["stems"])):
