@@ -31,38 +31,16 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bpe import text_slices
 from tessera.llm.simhash import popcount
+from tessera.llm.words import WORD_HASHES, words_of
 
 SHINGLE, THRESHOLD, RADIUS = 5, 0.8, 22
 ITEM_BLOCK, ITEM_BYTES = 20_000, 8 << 20   # items and text bytes of one broadcast block
-WORDS_CACHED = 500_000
 STRETCH = 1 << 15                          # window starts fingerprinted at once
 HITS = "doc_id long, item_id long, similarity double, start long, words long, distance int"
 
-_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_TABLE).split() if text else []
-
-
-class _Hashes(dict):
-    """XXH64 of each word, kept for the words seen last."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > WORDS_CACHED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASHES = _Hashes()
-
-
 def gram_hashes(words: list[bytes], k: int) -> np.ndarray:
     """A 64-bit hash of each run of k words."""
-    h = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(WORD_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
     n = h.size - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)

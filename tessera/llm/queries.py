@@ -26,6 +26,24 @@ def op2_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.search import similar_documents
+
+    return similar_documents(read_table(spark, sf_dir, "documents"), every=100, k=10, query_terms=64)
+
+
+def op4_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.langid import languages
+
+    return languages(read_table(spark, sf_dir, "documents"), folds=4, held_out=2)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.warc import warc_round_trip
+
+    return warc_round_trip(spark, read_table(spark, sf_dir, "pages"), least=0)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.decontam import contamination
 
@@ -54,6 +72,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_gray": op2_simhash_gray,
+    "op3_bm25_search": op3_bm25_search,
+    "op4_language_bloom": op4_language_bloom,
+    "op5_warc": op5_warc,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
