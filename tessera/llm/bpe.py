@@ -16,7 +16,7 @@ import re
 import sys
 from array import array
 
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 600_000
 
 # White space as the tokenizers' splitting rule sees it (Unicode White_Space).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
