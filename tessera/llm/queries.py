@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read_table
+from tessera.llm.oracles import ORACLES  # noqa: F401
 
 
 def tokenizer(name: str) -> str:
@@ -44,6 +45,13 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(spark, read_table(spark, sf_dir, "pages"), least=0)
 
 
+def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lmscore import cross_entropy_difference
+
+    scores = cross_entropy_difference(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "conversations"))
+    return scores.select("doc_id", "n_events", *[F.round(c, 6).alias(c) for c in ("h_target", "h_background", "score")])
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.decontam import contamination
 
@@ -75,9 +83,10 @@ QUERIES = {
     "op3_bm25_search": op3_bm25_search,
     "op4_language_bloom": op4_language_bloom,
     "op5_warc": op5_warc,
+    "op6_cross_entropy": op6_cross_entropy,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_store": op10_token_store,
 }
-ORACLES: dict[str, str] = {}
+

@@ -186,19 +186,25 @@ class ToxicityModel:
 def _mine(rows: DataFrame, limit: int) -> Lexicon:
     """Words and stems at least 20 times as frequent among toxic texts, in 1 % of them or more."""
 
-    def distinct(frames):
-        for pdf in frames:
-            for label, text in zip(pdf["label"], pdf["text"]):
+    def count(batches):
+        """Per batch: toxic and clean texts that hold each word and word beginning."""
+        for b in batches:
+            seen: dict[tuple[str, bool], list[int]] = {}
+            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = set(_WORD.findall((text or "").lower()))
                 stems = {w[:n] for w in found for n in STEMS if len(w) > n}
-                yield pd.DataFrame({"label": int(label), "term": [*found, *stems],
-                                    "stem": [False] * len(found) + [True] * len(stems)})
+                for term in [(w, False) for w in found] + [(w, True) for w in stems]:
+                    seen.setdefault(term, [0, 0])[label] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t for t, _ in seen], pa.string()), pa.array([s for _, s in seen], pa.bool_()),
+                 pa.array([c[1] for c in seen.values()], pa.int64()), pa.array([c[0] for c in seen.values()], pa.int64())],
+                names=["term", "stem", "toxic", "clean"])
 
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(n) < 2:
         return Lexicon([], [])
-    counts = (rows.select("label", "text").mapInPandas(distinct, "label int, term string, stem boolean")
-              .groupBy("term", "stem").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")))
+    counts = (rows.select("label", "text").mapInArrow(count, "term string, stem boolean, toxic long, clean long")
+              .groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     toxic, clean = F.col("toxic") / F.lit(n[1]), (F.col("clean") + 0.5) / F.lit(n[0] + 1)
     ratio = toxic / clean
     kept = counts.where((F.col("toxic") >= F.greatest(F.lit(3), F.lit(0.01 * n[1]))) & (ratio >= 20))
@@ -236,24 +242,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int
         p = min(max(share["p"] or 0.0, 0.0), 1.0)
         return ToxicityModel(lex, bias=float(np.log(p / (1 - p))) if 0 < p < 1 else (40.0 if p else -40.0))
 
-    def read(frames):
-        for pdf in frames:
-            out = []
-            for label, text in zip(pdf["label"], pdf["text"]):
-                text = text or ""
-                words, stems = lex.hits(text)
-                out.append((int(label), votes(lex, text), sorted(words), sorted(stems)))
-            yield pd.DataFrame(out, columns=["label", "votes", "words", "stems"])
-
-    got = rows.mapInPandas(read, "label int, votes array<boolean>, words array<int>, stems array<int>").toPandas()
-    v = np.array(got["votes"].tolist(), dtype=int)
-    label = got["label"].to_numpy()
+    def read(batches):
+        for b in text_slices(batches):
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            hits = [lex.hits(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([votes(lex, t) for t in texts], pa.list_(pa.bool_())),
+                 pa.array([sorted(w) for w, _ in hits], pa.list_(pa.int32())), pa.array([sorted(s) for _, s in hits], pa.list_(pa.int32()))],
+                names=["label", "votes", "words", "stems"])
+
+    got = rows.mapInArrow(read, "label int, votes array<boolean>, words array<int>, stems array<int>").toArrow().to_pydict()
+    v = np.array(got["votes"], dtype=int)
+    label = np.array(got["label"])
     seen, at, count = np.unique(np.column_stack([v, label]), axis=0, return_inverse=True, return_counts=True)
     seen, evidence = seen[:, :-1], TRUST * (2 * seen[:, -1] - 1)
     model = LabelModel().fit(seen, count, evidence, 1 / (1 + np.exp(-evidence)))
     post = model.posterior(seen, evidence)[at.ravel()]
     nw, ns, np_ = len(lex.words), len(lex.stems), len(PATTERNS)
-    x = np.zeros((len(got), nw + ns + np_))
+    x = np.zeros((label.size, nw + ns + np_))
     for i, (words, stems) in enumerate(zip(got["words"], got["stems"])):
         x[i, list(words)] = 1
         x[i, [nw + s for s in stems]] = 1
