@@ -62,15 +62,19 @@ def render_conversations(turns: DataFrame, fmt: ChatFormat = DEFAULT_CHAT,
                          key: str = "conv_id") -> DataFrame:
     """P10: every conversation of ``(conv_id, turn, role, text)`` rendered to one text.
 
-    Segments are rendered per turn as a projection; a system turn 0 is folded
-    into turn 1 via an equi-join on ``(conv_id, turn - 1)``. Only the ordered
-    concatenation groups by conversation (partial aggregation first).
+    Segments are rendered per turn as a projection. A system turn 0 is folded
+    into turn 1 (an equi-join on ``(conv_id, turn)``) if turn 1 is there and is
+    not a system turn itself; every other system turn is a turn of its own, so each
+    conversation has a row and no text is lost. A null role renders as an empty role.
+    Only the ordered concatenation groups by conversation (partial aggregation first).
     """
-    t = turns.select(key, "turn", "role", "text")
-    sys0 = t.where((F.col("turn") == 0) & (F.col("role") == "system")) \
-        .select(F.col(key).alias("_sk"), F.concat(F.col("text"), F.lit("\n\n")).alias("_prefix"))
-    body = t.where(F.col("role") != "system")
-    body = body.join(sys0, (body[key] == sys0["_sk"]) & (body["turn"] == 1), "left")
+    t = turns.select(key, "turn", F.coalesce("role", F.lit("")).alias("role"), "text")
+    head = t.where((F.col("turn") == 0) & (F.col("role") == "system")) \
+        .select(key, F.lit(1).cast(dict(turns.dtypes)["turn"]).alias("turn"), F.concat(F.coalesce("text", F.lit("")), F.lit("\n\n")).alias("_prefix"))
+    taker = t.where((F.col("turn") == 1) & (F.col("role") != "system")).select(key, F.lit(0).cast(dict(turns.dtypes)["turn"]).alias("turn"), F.lit(True).alias("_folds"))
+    body = t.join(taker.distinct(), [key, "turn"], "left").join(head, [key, "turn"], "left")
+    body = body.where(~((F.col("role") == "system") & (F.col("turn") == 0) & F.coalesce("_folds", F.lit(False))))
+    body = body.withColumn("_prefix", F.when(F.col("role") != "system", F.col("_prefix")))
     seg = body.select(key, "turn", turn_segment(F.col("role"), F.col("text"), F.col("_prefix"), fmt).alias("seg"))
     # ordered concatenation in two levels: turns within a chunk, then the chunks,
     # so no task sorts more than TURN_CHUNK segments of one conversation at once

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tessera.constants import WS29
 
@@ -32,18 +34,22 @@ def build_user_content(instruction, input_text) -> Column:
     return strip_unicode(F.concat(clean_field(instruction), F.lit("\n"), clean_field(input_text)))
 
 
+@F.pandas_udf(StringType())
+def _scientific(values: pd.Series) -> pd.Series:
+    """``%e`` of the exact binary value (the JVM rounds its shortest decimal text)."""
+    return pd.Series([None if pd.isna(v) or abs(v) == float("inf") else f"{v:e}" for v in values], dtype=object)
+
+
 def format_lr(col) -> Column:
     """``2.5e-4`` style text of a learning rate.
 
     Mantissa from ``%e`` with trailing zeros (and a bare dot) removed; the
     exponent printed as a plain integer. Infinite or NaN input gives null.
     """
-    v = _c(col).cast("double")
-    sci = F.format_string("%e", v)
+    sci = _scientific(_c(col).cast("double"))
     mant = F.regexp_replace(F.regexp_replace(F.split(sci, "e").getItem(0), "0+$", ""), "\\.$", "")
     expo = F.split(sci, "e").getItem(1).cast("int").cast("string")
-    ok = ~(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
-    return F.when(ok & v.isNotNull(), F.concat(mant, F.lit("e"), expo))
+    return F.concat(mant, F.lit("e"), expo)
 
 
 def checkpoint_path(output_dir, step) -> Column:
@@ -64,11 +70,14 @@ def with_fixed(df: DataFrame, col: str, out: str, decimals: int = 4) -> DataFram
     DuckDB round the exact value. Here ``|x| = M / 2**k`` exactly (``M`` a
     53-bit integer) and ``M * 10**N`` is divided by ``2**k`` in exact decimal
     arithmetic. Staged projections keep every intermediate computed once.
-    Valid for ``|x| < 1e12``; null stays null.
+    Valid for ``|x| < 1e12``; larger values, infinities and NaN print as Spark's own text
+    of the double, null stays null.
     """
     dec = "decimal(38,0)"
     one = F.lit(1).cast("bigint")
-    d = df.withColumn("_fx", F.col(col).cast("double"))
+    x = F.col(col).cast("double")
+    fits = ~F.isnan(x) & (F.abs(x) < 1e12)
+    d = df.withColumn("_fx", F.when(fits, x))
     d = d.withColumn("_fa", F.abs("_fx"))
     d = d.withColumn("_fk", F.lit(52) - F.floor(F.log2("_fa")).cast("int"))
     d = d.withColumn("_fm", F.col("_fa") * F.pow(F.lit(2.0), F.col("_fk")))
@@ -89,5 +98,5 @@ def with_fixed(df: DataFrame, col: str, out: str, decimals: int = 4) -> DataFram
     text = F.concat(ip, F.lit("."), F.lpad((F.col("_fq") % F.lit(scale)).cast("string"), decimals, "0")) \
         if decimals else ip
     sign = F.when(F.col("_fx") < 0, F.lit("-")).otherwise(F.lit(""))
-    d = d.withColumn(out, F.when(F.col("_fx").isNotNull(), F.concat(sign, text)))
+    d = d.withColumn(out, F.when(F.col("_fx").isNotNull(), F.concat(sign, text)).otherwise(F.lower(x.cast("string"))))
     return d.drop("_fx", "_fa", "_fk", "_fm", "_fkh", "_fden", "_fnum", "_fq", "_fr2")

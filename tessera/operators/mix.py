@@ -173,6 +173,11 @@ def seeded_shuffle(df: DataFrame, seed: int = SEED, key_cols: list[str] = KEY_CO
     return global_position(df, f"shuffle|{seed}", key_cols, out)
 
 
+def n_train(n: int, share: float) -> int:
+    """Training rows of an exact split of ``n`` rows."""
+    return n - math.ceil(share * n)
+
+
 def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     """A1: rows per split and source."""
     return df.groupBy(split_col, "source").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))

@@ -6,9 +6,9 @@ monotone numeric key (``floor(key / width)``):
 
 1. the running aggregate inside each chunk is a window over ``(group, chunk)``
    (bounded by the chunk width);
-2. per-chunk totals are a partial aggregate, their exclusive running value is
-   a window over the chunk rows of a group (one row per chunk, bounded by the
-   key span divided by the width);
+2. per-chunk totals are a partial aggregate; their exclusive running value
+   takes two windows: over the ``FAN`` chunks of a super-chunk, and over the
+   super-chunks of a group (4096 x 4096 rows give one super-chunk row);
 3. the chunk offsets join back on ``(group, chunk)``. The window of step 1
    already hash-partitions the big side by these keys, so the join adds no
    second shuffle of it; AQE turns it into a broadcast when the offsets are
@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+FAN = 4096  # chunks per super-chunk
+
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -64,10 +66,15 @@ def running_aggregates(df: DataFrame, group_cols: list[str], chunk_key: Column,
     # chunk totals -> exclusive running value over chunks
     totals = d.groupBy(*group_cols, ck).agg(
         *[_AGG[s.fn](vals[s.name]).alias(f"_t_{s.name}") for s in specs])
-    wchunks = Window.partitionBy(*group_cols).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group_cols, ck, *[
-        _AGG[s.fn](f"_t_{s.name}").over(wchunks).alias(f"_o_{s.name}")
-        for s in specs])
+    totals = totals.withColumn("_super", F.floor(F.col(ck) / F.lit(FAN)).cast("bigint"))
+    inside = Window.partitionBy(*group_cols, "_super").orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*group_cols).orderBy("_super").rowsBetween(Window.unboundedPreceding, -1)
+    supers = totals.groupBy(*group_cols, "_super").agg(*[_AGG[s.fn](f"_t_{s.name}").alias(f"_t_{s.name}") for s in specs])
+    supers = supers.select(*group_cols, "_super", *[_AGG[s.fn](f"_t_{s.name}").over(above).alias(f"_a_{s.name}") for s in specs])
+    offsets = totals.select(*group_cols, "_super", ck, *[
+        _AGG[s.fn](f"_t_{s.name}").over(inside).alias(f"_b_{s.name}") for s in specs])
+    offsets = offsets.join(supers, [*group_cols, "_super"], "left").select(*group_cols, ck, *[
+        _combine(s.fn, F.col(f"_a_{s.name}"), F.col(f"_b_{s.name}")).alias(f"_o_{s.name}") for s in specs])
 
     # running value inside the chunk
     win = Window.partitionBy(*group_cols, ck).orderBy(*order_cols)
@@ -83,27 +90,18 @@ def running_aggregates(df: DataFrame, group_cols: list[str], chunk_key: Column,
     return d.drop(*[c for c in drop if c in d.columns])
 
 
-def chunk_width(df: DataFrame, group_cols: list[str], chunk_key: Column, target_rows: int) -> float:
-    """A width giving the densest group about ``target_rows`` rows per chunk.
-
-    One small aggregate (span and count per group, partial aggregation).
-    """
-    per = df.groupBy(*group_cols).agg(
-        (F.max(chunk_key) - F.min(chunk_key) + 1).cast("double").alias("span"),
-        F.count(F.lit(1)).alias("n"))
-    r = per.agg(F.min(F.col("span") * F.lit(float(target_rows)) / F.col("n")).alias("w")).first()
-    return max(1.0, float(r["w"] or 1.0))
-
-
-def dense_rank_in_group(df: DataFrame, group_cols: list[str], chunk_key: Column,
-                        order_cols: list, out: str = "seq", width: float | None = None,
-                        target_rows: int = 200_000) -> DataFrame:
+def dense_rank_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "seq") -> DataFrame:
     """Exact 1-based ``row_number()`` per group, ordered by ``order_cols``.
 
-    ``chunk_key`` must be non-decreasing in ``order_cols`` (e.g. event time in
-    microseconds for order ``(ts, event_id)``). Without ``width`` the width
-    is chosen from the data so chunks hold about ``target_rows`` rows.
+    One distributed sort by (group, order) gives every row its global position
+    (``mix.global_rank``); a row's number is its distance from its group's first
+    position. A hot group is cut into ranges by the sort like any other rows.
     """
-    width = width or chunk_width(df, group_cols, chunk_key, target_rows)
-    return running_aggregates(df, group_cols, chunk_key, order_cols,
-                              [Running(out, F.lit(1).cast("bigint"), "sum", True)], width)
+    from tessera.operators.mix import global_rank
+
+    ranked = global_rank(df, [F.col(c) for c in [*group_cols, *order_cols]], out="_pos")
+    first = ranked.groupBy(*[F.col(c).alias(f"_g_{c}") for c in group_cols]).agg(F.min("_pos").alias("_first"))
+    same = F.lit(True)
+    for c in group_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return ranked.join(first, same).select(*df.columns, (F.col("_pos") - F.col("_first") + 1).cast("bigint").alias(out))

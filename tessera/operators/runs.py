@@ -1,8 +1,10 @@
 """Training-run analytics over a metric-event log.
 
-Input: ``log(run_id, seq, step, kind, loss_c)``, ``kind`` in {train, eval},
-``seq`` the total order inside a run, ``loss_c`` the loss in hundredths.
-A checkpoint is identified by the ``seq`` of its evaluation.
+Input: ``log(run_id, seq, step, kind, loss, loss_c)``, ``kind`` in {train, eval},
+``seq`` the total order inside a run, ``step`` the trainer's step, which names a
+checkpoint. ``loss`` is the value as logged (a double; NaN ranks last), ``loss_c``
+the same loss as an exact number of 1/``scale`` units (integer or decimal, null for NaN and
+infinity), so that sums do not depend on their order.
 
 Per-run running values (interval id, evaluation number, best so far, early
 stop counter) use ``prefix.running_aggregates``: exact, and no run is ever
@@ -24,7 +26,7 @@ from tessera.constants import (EARLY_STOP_THRESHOLD, GAP_MULTIPLE, REASON_BETTER
 from tessera.operators.prefix import Running, running_aggregates
 
 SEQ_CHUNK = 4096.0      # rows of a run per running-aggregate chunk
-LOSS_SCALE = 100        # loss_c units per 1.0 of loss (fixture: hundredths)
+LOSS_SCALE = 100_000    # loss_c units per 1.0 of loss
 ADMIT_CHUNK = 256.0     # evaluations per admission chunk (arrays of <= this + N)
 ADMIT_FAN = 256         # admission chunks per super-chunk
 
@@ -33,10 +35,6 @@ def is_eval() -> Column:
     return F.col("kind") == "eval"
 
 
-def eval_loss(col: str = "loss_c", scale: int | None = None) -> Column:
-    return F.col(col).cast("double") / F.lit(float(scale or LOSS_SCALE))
-
-
 def filter_loggable(log: DataFrame, save_steps: int = 1) -> DataFrame:
     """Evaluations, and train losses logged at a multiple of ``save_steps``."""
     keep = is_eval() | ((F.col("kind") == "train") & (F.col("step") % save_steps == 0))
@@ -58,22 +56,30 @@ def with_interval(log: DataFrame) -> DataFrame:
 def interval_train_loss(log: DataFrame, save_steps: int = 1, scale: int | None = None) -> DataFrame:
     """A2: count, sum and mean of the train losses inside each interval.
 
-    Losses are integers of a fixed ``scale``: the sum is exact and the mean is
-    one IEEE division, the same in every engine.
+    ``loss_c`` sums exactly and the mean is one IEEE division, the same in every
+    engine. A train loss without ``loss_c`` (NaN, infinity) makes the mean NaN.
     """
     return _interval_sums(with_interval(log), save_steps, scale)
 
 
+def _train_aggregates(scale: int | None, train: Column) -> list[Column]:
+    """Count, exact sum and number of train losses without an exact value."""
+    return [F.count(F.when(train, 1)).cast("bigint").alias("n_train"),
+            F.sum(F.when(train, F.col("loss_c"))).alias("sum_loss_c"),
+            F.count(F.when(train & F.col("loss_c").isNull(), 1)).alias("_odd")]
+
+
+def _mean_train(scale: int | None) -> Column:
+    mean = F.col("sum_loss_c").cast("double") / (F.col("n_train") * (scale or LOSS_SCALE)).cast("double")
+    return F.when(F.col("_odd") > 0, F.lit(float("nan"))).otherwise(mean)
+
+
 def _interval_sums(iv: DataFrame, save_steps: int, scale: int | None) -> DataFrame:
     """A2 on a log that already carries ``interval`` (partial aggregation, so a
     long interval is combined map-side)."""
-    scale = scale or LOSS_SCALE
     t = filter_loggable(iv, save_steps).where(F.col("kind") == "train")
-    return t.groupBy("run_id", "interval").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_train"),
-        F.sum("loss_c").cast("bigint").alias("sum_loss_c")) \
-        .withColumn("mean_train_loss",
-                    F.col("sum_loss_c").cast("double") / (F.col("n_train") * scale).cast("double"))
+    return t.groupBy("run_id", "interval").agg(*_train_aggregates(scale, F.lit(True))) \
+        .withColumn("mean_train_loss", _mean_train(scale)).drop("_odd")
 
 
 def warmup_threshold(multiple: int = GAP_MULTIPLE) -> Column:
@@ -94,28 +100,35 @@ def warmup_counter(log: DataFrame, multiple: int = GAP_MULTIPLE) -> DataFrame:
                     (F.col("eval_no") <= warmup_threshold(multiple)).alias("warmup"))
 
 
-def generalization_gap(log: DataFrame, multiple: int = GAP_MULTIPLE, save_steps: int = 1,
+def generalization_gap(log: DataFrame, multiple: int = GAP_MULTIPLE, save_steps: int | str = 1,
                        scale: int | None = None) -> DataFrame:
     """``|eval_loss - mean train loss since the previous evaluation|``.
 
-    Evaluations in the warm-up and evaluations with no train sample make no
-    decision and are absent.
+    An evaluation has the interval id of the train events it closes, so one
+    aggregate per (run, interval) holds both. Evaluations in the warm-up and
+    evaluations with no train sample make no decision and are absent.
+    ``save_steps`` is a number or the name of a per-run column of ``log``.
     """
-    iv = with_interval(log)  # one ordering pass shared by both branches
-    e = iv.where(is_eval()).withColumn("eval_no", (F.col("interval") + 1).cast("bigint")) \
-        .where(F.col("eval_no") > warmup_threshold(multiple))
-    a = _interval_sums(iv, save_steps, scale)
-    j = e.join(a, ["run_id", "interval"], "inner")
-    return j.select("run_id", "seq", "step", "eval_no", "n_train",
-                    eval_loss(scale=scale).alias("eval_loss"),
-                    F.col("mean_train_loss").alias("avg_train_loss"),
-                    F.abs(eval_loss(scale=scale) - F.col("mean_train_loss")).alias("gap"))
+    every = F.col(save_steps) if isinstance(save_steps, str) else F.lit(save_steps)
+    train = (F.col("kind") == "train") & (F.col("step") % every == 0)
+    evaluation = F.max(F.when(is_eval(), F.struct("seq", "step", "loss")))
+    g = with_interval(log).groupBy("run_id", "interval").agg(*_train_aggregates(scale, train), evaluation.alias("_e"))
+    g = g.withColumn("eval_no", (F.col("interval") + 1).cast("bigint")) \
+        .where(F.col("_e").isNotNull() & (F.col("n_train") > 0) & (F.col("eval_no") > warmup_threshold(multiple)))
+    g = g.select("run_id", F.col("_e.seq").alias("seq"), F.col("_e.step").alias("step"), "eval_no", "n_train",
+                 F.col("_e.loss").alias("eval_loss"), _mean_train(scale).alias("avg_train_loss"))
+    return g.withColumn("gap", F.abs(F.col("eval_loss") - F.col("avg_train_loss")))
 
 
 def existing(evals: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Keep evaluations whose checkpoint exists (``left_semi``)."""
-    m = manifest.select("run_id", F.col("step").alias("seq"))
-    return evals.join(m, ["run_id", "seq"], "left_semi")
+    """Keep evaluations whose checkpoint, named by its step, exists (``left_semi``)."""
+    return evals.join(manifest.select("run_id", "step"), ["run_id", "step"], "left_semi")
+
+
+def mark_existing(evals: DataFrame, manifest: DataFrame) -> DataFrame:
+    """J1 as a column ``exists``."""
+    m = manifest.select("run_id", "step", F.lit(True).alias("exists")).distinct()
+    return evals.join(m, ["run_id", "step"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
 
 
 def best_n(scored: DataFrame, score: str, n: int, rank_col: str = "rank", keep_col: str | None = None) -> DataFrame:
@@ -132,20 +145,20 @@ def best_n(scored: DataFrame, score: str, n: int, rank_col: str = "rank", keep_c
 
 def rank1(scored: DataFrame, score: str) -> DataFrame:
     """Best checkpoint per run (ties: earliest), as a partial aggregate."""
-    best = F.min(F.struct(F.col(score).alias("s"), F.col("seq").alias("q")))
+    best = F.min(F.struct(F.col(score).alias("s"), F.col("seq").alias("q"), F.col("step").alias("t")))
     return scored.groupBy("run_id").agg(best.alias("_b")).select(
-        "run_id", F.col("_b.q").alias("best_step"), F.col("_b.s").alias(f"best_{score}"))
+        "run_id", F.col("_b.t").alias("best_step"), F.col("_b.s").alias(f"best_{score}"))
 
 
 def prior_nth_smallest(items: DataFrame, score: str, exists: Column, n: int,
                        chunk: float | None = None) -> DataFrame:
     """For each row: the kept list before it, i.e. the N smallest ``(score, seq)``
-    among earlier rows with ``exists``; adds ``n_kept`` and ``worst`` (struct
-    ``s, q``, null until the list is full).
+    among earlier rows with ``exists``; adds ``n_kept`` and ``worst`` (struct of
+    score, seq, step ``s, q, t``, null until the list is full).
     """
     chunk = chunk or ADMIT_CHUNK
     d = items.withColumn("_ex", exists).withColumn("_c", F.floor(F.col("seq") / F.lit(chunk)).cast("bigint"))
-    sq = F.struct(F.col(score).alias("s"), F.col("seq").alias("q"))
+    sq = F.struct(F.col(score).alias("s"), F.col("seq").alias("q"), F.col("step").alias("t"))
     # N best existing rows of each chunk (partial top-N before the shuffle)
     wtop = Window.partitionBy("run_id", "_c").orderBy(F.col(score), F.col("seq"))
     tops = (d.where("_ex").withColumn("_r", F.row_number().over(wtop)).where(F.col("_r") <= n)
@@ -153,7 +166,7 @@ def prior_nth_smallest(items: DataFrame, score: str, exists: Column, n: int,
     # N best of all earlier chunks: one row per chunk (chunks without existing rows too),
     # two levels so no window holds more than ADMIT_FAN chunk rows or one row per
     # super-chunk (a run of 1e8 evaluations: 4e5 chunks, 1.5e3 super-chunks)
-    empty = F.array().cast("array<struct<s:%s,q:bigint>>" % dict(d.dtypes)[score])
+    empty = F.array().cast("array<struct<s:%s,q:bigint,t:bigint>>" % dict(d.dtypes)[score])
     fan = ADMIT_FAN
 
     def n_best(arrays_col):
@@ -188,17 +201,17 @@ def admission_trace(items: DataFrame, score: str, exists: Column, n: int) -> Dat
     reason = F.when(~full, F.lit(REASON_LIMIT)).when(admitted, F.lit(REASON_BETTER)) \
         .otherwise(F.lit(REASON_NOT_BETTER))
     return d.withColumn("admitted", admitted).withColumn("reason", reason) \
-        .withColumn("worst_score", F.col("worst.s")).withColumn("worst_step", F.col("worst.q")).drop("worst")
+        .withColumn("worst_score", F.col("worst.s")).withColumn("worst_step", F.col("worst.t")).drop("worst")
 
 
 def evicted(trace: DataFrame, exists: Column, n: int) -> DataFrame:
     """A saved admission into a full list evicts the worst kept row."""
     return trace.where(F.col("admitted") & exists & (F.col("n_kept") >= n)).select(
         "run_id", F.col("worst_step").alias("evicted_step"), F.col("worst_score").alias("evicted_score"),
-        F.col("seq").alias("evicted_by"))
+        F.col("step").alias("evicted_by"))
 
 
-def new_best_flag(evals: DataFrame, score: str = "loss_c") -> DataFrame:
+def new_best_flag(evals: DataFrame, score: str = "loss") -> DataFrame:
     """Strict new minimum of the run so far."""
     d = running_aggregates(evals, ["run_id"], F.col("seq"), ["seq"],
                            [Running("_prior_min", F.col(score), "min", False)], SEQ_CHUNK)
@@ -207,7 +220,7 @@ def new_best_flag(evals: DataFrame, score: str = "loss_c") -> DataFrame:
 
 
 def early_stop(evals: DataFrame, patience, threshold: float = EARLY_STOP_THRESHOLD,
-               score: str = "loss_c", scale: float | None = None) -> DataFrame:
+               score: str = "loss") -> DataFrame:
     """Patience counter of early stopping per evaluation.
 
     ``improved`` when there is no best yet, or the loss is below the best and
@@ -219,7 +232,7 @@ def early_stop(evals: DataFrame, patience, threshold: float = EARLY_STOP_THRESHO
     d = running_aggregates(evals, ["run_id"], F.col("seq"), ["seq"], [
         Running("eval_idx", F.lit(1).cast("bigint"), "sum", True),
         Running("_prior_min", F.col(score), "min", False)], SEQ_CHUNK, keep_chunk=True)
-    delta = (F.col("_prior_min") - F.col(score)).cast("double") / F.lit(float(scale or LOSS_SCALE))
+    delta = F.col("_prior_min") - F.col(score)
     improved = F.col("_prior_min").isNull() | ((F.col(score) < F.col("_prior_min")) & (F.abs(delta) > threshold))
     d = d.withColumn("improved", improved)
     d = running_aggregates(d, ["run_id"], F.col("seq"), ["seq"], [
@@ -234,21 +247,11 @@ def stop_points(trace: DataFrame) -> DataFrame:
     return trace.where("stop").groupBy("run_id").agg(F.min("seq").alias("stop_seq"))
 
 
-BROADCAST_ROWS = 1_000_000  # largest per-run table joined by broadcast after a size check
-
-
-def broadcast_if_small(per_run: DataFrame, limit: int | None = None) -> DataFrame:
-    """Broadcast a per-run table only after counting it; beyond the bound the
-    join is left to AQE (runtime size, skew-join splitting)."""
-    return F.broadcast(per_run) if per_run.count() <= (limit or BROADCAST_ROWS) else per_run
-
-
 def events_until_stop(log: DataFrame, stops: DataFrame) -> DataFrame:
     """Drop the events after a run's stop point (runs that never stop stay whole).
 
-    The stop table has one row per run; it is broadcast after a size check,
-    so the log is never shuffled by (a possibly hot) run. Beyond the bound the
-    join is left to AQE (skew-join splitting).
+    The stop table has one row per run; the join is left to AQE, which broadcasts
+    a table measured small and splits the partitions of a hot run otherwise.
     """
-    j = log.join(broadcast_if_small(stops), ["run_id"], "left")
+    j = log.join(stops, ["run_id"], "left")
     return j.where(F.col("stop_seq").isNull() | (F.col("seq") <= F.col("stop_seq"))).drop("stop_seq")

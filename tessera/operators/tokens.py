@@ -6,13 +6,12 @@ trained tokeniser can be plugged in through ``encode_with`` (an iterator
 
 Scale notes
 * Word counts are a partial aggregate, so frequent words combine map-side.
-* The vocabulary is capped at ``vocab_size`` rows: that cap is the bound
-  that makes its broadcast safe.
-* Texts are cut to ``max_len - 2`` words *before* exploding, so one huge
-  text cannot blow up a task; rows with no word survive (outer explode).
-* ``encode`` hash-partitions the texts by their key once; explode, the
-  broadcast lookup and the regrouping then run inside that partitioning
-  (no shuffle of exploded tokens).
+* The vocabulary holds all words unless the caller sets a size.
+* ``encode`` is map-only while the vocabulary's measured size is at most
+  ``LOOKUP_ROWS`` (broadcast once, looked up per Arrow batch, texts stay where they
+  are); a larger vocabulary is joined to the distinct words of each row.
+* Lengths need no ids: batches are padded from word counts, and id arrays move
+  once, only for the operators that return them.
 """
 
 from __future__ import annotations
@@ -20,6 +19,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from tessera.constants import (BOS_ID, BOS_TEXT, EOS_ID, EOS_TEXT, FIRST_WORD_ID
                                MAX_SEQ_LENGTH, PAD_ID, PAD_MULTIPLE, UNK_ID)
 
 WORD_SPLIT = "[ \\t\\n\\r]+"
-TOPK_GATHER_LIMIT = 1_000_000  # rows a top-k may gather into one task
+LOOKUP_ROWS = 2_000_000  # vocabulary rows that are shipped to every executor
 
 
 def words(text: Column) -> Column:
@@ -35,68 +36,91 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, WORD_SPLIT), "")
 
 
-def build_vocabulary(corpus: DataFrame, vocab_size: int, text: str = "text") -> DataFrame:
-    """``(token, id, cnt)`` for the ``vocab_size`` most frequent words.
+def build_vocabulary(corpus: DataFrame, vocab_size: int | None = None, text: str = "text") -> DataFrame:
+    """``(token, id, cnt)`` of all words, or of the ``vocab_size`` most frequent ones.
 
-    Order ``(count desc, token)``; ids start after the special tokens.
+    Order ``(count desc, token)``, ranked by a distributed sort; ids start after the special tokens.
     """
+    from tessera.operators.mix import global_rank
+
     counts = corpus.select(F.explode(F.split(F.col(text), WORD_SPLIT)).alias("token")) \
         .where(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).cast("bigint").alias("cnt"))
-    order = [F.col("cnt").desc(), F.col("token").asc()]
-    parts = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if vocab_size * parts <= TOPK_GATHER_LIMIT:
-        # a top-k gathers at most partitions x k rows in one task: bounded here
-        top = counts.orderBy(*order).limit(vocab_size)
-        w = Window.orderBy(*order)  # over <= vocab_size rows
-        return top.select("token", (F.row_number().over(w) + FIRST_WORD_ID - 1).cast("int").alias("id"), "cnt")
-    # beyond the bound: exact rank as a distributed sort
-    from tessera.operators.mix import global_rank
-    ranked = global_rank(counts, order, out="_r")
-    return ranked.where(F.col("_r") < vocab_size).select(
-        "token", (F.col("_r") + FIRST_WORD_ID).cast("int").alias("id"), "cnt")
+    ranked = global_rank(counts, [F.col("cnt").desc(), F.col("token").asc()], out="_r")
+    if vocab_size is not None:
+        ranked = ranked.where(F.col("_r") < vocab_size)
+    return ranked.select("token", (F.col("_r") + FIRST_WORD_ID).cast("int").alias("id"), "cnt")
+
+
+def token_lengths(text: Column, max_len: int = MAX_SEQ_LENGTH, add_special: bool = True) -> dict[str, Column]:
+    """``n_words``, ``n_tokens`` and ``n_dropped`` of a text, which need no vocabulary."""
+    special = 2 if add_special else 0
+    n = F.coalesce(F.greatest(F.size(words(text)), F.lit(0)), F.lit(0))
+    return {"n_words": n.cast("int"), "n_tokens": (F.least(n, F.lit(max_len - special)) + special).cast("int"),
+            "n_dropped": F.greatest(n - (max_len - special), F.lit(0)).cast("int")}
 
 
 def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text: str = "text",
-           max_len: int = MAX_SEQ_LENGTH, add_special: bool = True) -> DataFrame:
+           max_len: int = MAX_SEQ_LENGTH, add_special: bool = True, keep: list[Column] = ()) -> DataFrame:
     """T2 + T3: ``input_ids`` cut to ``max_len`` including BOS/EOS; unknown -> UNK.
 
-    Adds ``n_words`` (before truncation), ``n_tokens`` and ``n_dropped``.
+    Adds ``n_words`` (before truncation), ``n_tokens`` and ``n_dropped``. Further columns
+    of ``df``, or expressions over them, stay with ``keep``.
     """
     budget = max_len - 2 if add_special else max_len
-    d = df.select(*key_cols, words(F.col(text)).alias("_w"))
-    d = d.select(*key_cols, F.size("_w").alias("n_words"), F.slice("_w", 1, budget).alias("_w"))
-    d = d.repartition(*key_cols)
-    ex = d.select(*key_cols, "n_words", F.posexplode_outer("_w").alias("_p", "_t"))
-    v = F.broadcast(vocab.select(F.col("token").alias("_t"), F.col("id").alias("_id")))
-    j = ex.join(v, "_t", "left")
-    tok = F.when(F.col("_t").isNull(), F.lit(None)).otherwise(
-        F.struct(F.col("_p").alias("p"), F.coalesce(F.col("_id"), F.lit(UNK_ID)).cast("int").alias("i")))
-    g = j.groupBy(*key_cols).agg(F.first("n_words").alias("n_words"),
-                                 F.array_sort(F.collect_list(tok)).alias("_s"))
-    ids = F.transform("_s", lambda x: x["i"])
+    cut = F.coalesce(F.slice(words(F.col(text)), 1, budget), F.array().cast("array<string>"))
+    d = df.select(*key_cols, *keep, cut.alias("_w"), *[c.alias(n) for n, c in token_lengths(F.col(text), max_len, add_special).items()])
+    if vocab.count() <= LOOKUP_ROWS:
+        ids = _lookup(vocab)(F.col("_w"))
+    else:
+        # each row's distinct words fetch their ids; the row then reads its own map
+        d = d.withColumn("_row", F.monotonically_increasing_id())
+        pairs = d.select("_row", F.explode(F.array_distinct("_w")).alias("token")).join(vocab.select("token", "id"), "token")
+        maps = pairs.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("_m"))
+        d = d.join(maps, "_row", "left")
+        ids = F.transform("_w", lambda w: F.coalesce(F.col("_m")[w], F.lit(UNK_ID)).cast("int"))
     if add_special:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids, F.array(F.lit(EOS_ID)))
-    out = g.select(*key_cols, "n_words", ids.alias("input_ids"))
-    return out.select(*key_cols, "input_ids",
-                      F.size("input_ids").cast("int").alias("n_tokens"),
-                      F.greatest(F.col("n_words") - budget, F.lit(0)).cast("int").alias("n_dropped"),
-                      F.col("n_words").cast("int").alias("n_words"))
+    kept = [c for c in d.columns if c not in (*key_cols, "_w", "_m", "_row", "n_words", "n_tokens", "n_dropped")]
+    return d.select(*key_cols, *kept, ids.alias("input_ids"), "n_tokens", "n_dropped", "n_words")
+
+
+def _lookup(vocab: DataFrame):
+    """Arrow-batched word -> id lookup in a broadcast vocabulary of checked size."""
+    t = vocab.select("token", "id").toArrow()
+    held = vocab.sparkSession.sparkContext.broadcast((t["token"].combine_chunks(), t["id"].combine_chunks()))
+
+    @F.arrow_udf("array<int>")
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens, ids = held.value
+        for b in batches:
+            at = pc.index_in(b.flatten(), value_set=tokens.cast(b.type.value_type))
+            found = pc.fill_null(pc.take(ids, at), UNK_ID).cast(pa.int32())
+            lengths = pc.fill_null(pc.list_value_length(b), 0)
+            ends = pc.cumulative_sum(lengths).cast(pa.int32())
+            yield pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), found)
+
+    return look_up
 
 
 def encode_with(df: DataFrame, tokenize, key_cols: list[str], text: str = "text",
-                max_len: int = MAX_SEQ_LENGTH) -> DataFrame:
+                max_len: int = MAX_SEQ_LENGTH, keep: list[Column] = ()) -> DataFrame:
     """Encode with a user tokeniser ``tokenize(list[str]) -> list[list[int]]``.
 
-    Runs as an iterator pandas UDF over Arrow batches; truncation to
-    ``max_len`` is applied to the returned ids.
+    Runs as an iterator pandas UDF over Arrow batches. Ids beyond ``max_len`` are cut
+    from the content: an EOS at the end stays.
     """
+    def cut(ids: list[int]) -> list[int]:
+        if len(ids) <= max_len:
+            return ids
+        return ids[:max_len - 1] + [EOS_ID] if ids[-1] == EOS_ID else ids[:max_len]
+
     @F.pandas_udf("array<int>")
     def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
             out = tokenize(s.fillna("").tolist())
-            yield pd.Series([list(x)[:max_len] for x in out])
+            yield pd.Series([cut(list(x)) for x in out])
 
-    return df.select(*key_cols, _enc(F.col(text)).alias("input_ids")) \
+    return df.select(*key_cols, *keep, _enc(F.col(text)).alias("input_ids")) \
         .withColumn("n_tokens", F.size("input_ids").cast("int"))
 
 
@@ -108,15 +132,13 @@ def id_checksums(ids: str = "input_ids") -> list[Column]:
     return [s.alias("id_sum"), ws.alias("id_wsum")]
 
 
-def truncation_report(corpus: DataFrame, encoded: DataFrame, key_cols: list[str],
-                      text: str = "text") -> DataFrame:
-    """T4: per source, rows truncated, words dropped and kept, doubled BOS/EOS text."""
-    flags = corpus.select(*key_cols,
-                          F.col(text).startswith(BOS_TEXT).alias("_dbos"),
-                          F.col(text).endswith(EOS_TEXT).alias("_deos"))
-    j = encoded.join(flags, key_cols, "inner")
+def truncation_report(corpus: DataFrame, text: str = "text", max_len: int = MAX_SEQ_LENGTH) -> DataFrame:
+    """T4: per source, rows truncated, words dropped and kept, doubled BOS/EOS text (one pass)."""
+    cols = token_lengths(F.col(text), max_len)
+    d = corpus.select("source", *[c.alias(n) for n, c in cols.items()], F.col(text).startswith(BOS_TEXT).alias("_dbos"),
+                      F.col(text).endswith(EOS_TEXT).alias("_deos"))
     kept = (F.col("n_words") - F.col("n_dropped"))
-    return j.groupBy("source").agg(
+    return d.groupBy("source").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.sum(F.when(F.col("n_dropped") > 0, 1).otherwise(0)).cast("bigint").alias("n_truncated"),
         F.sum("n_dropped").cast("bigint").alias("n_dropped"),
@@ -154,27 +176,29 @@ def assign_microbatch(train: DataFrame, n_train: int, b: int, a: int, g: int, ma
                     micro.alias("batch_id"))
 
 
-def pad_batch(batched: DataFrame, multiple: int = PAD_MULTIPLE, pad_id: int = PAD_ID) -> DataFrame:
-    """Right-pad each row to its batch's longest, rounded up to ``multiple``;
-    attention mask and causal labels (padding -> -100).
+def size_batches(samples: DataFrame, lengths: DataFrame, key_cols: list[str], multiple: int = PAD_MULTIPLE) -> DataFrame:
+    """T6 on lengths: each sample with ``n_tokens``, its batch's ``padded_len`` (the longest,
+    rounded up to ``multiple``) and ``n_pad``. A batch holds ``b`` samples; no ids move."""
+    d = samples.join(lengths.select(*key_cols, "n_tokens"), key_cols, "inner")
+    longest = F.max("n_tokens").over(Window.partitionBy("batch_id"))
+    d = d.withColumn("padded_len", (F.ceil(longest / F.lit(multiple)) * F.lit(multiple)).cast("int"))
+    return d.withColumn("n_pad", (F.col("padded_len") - F.col("n_tokens")).cast("int"))
 
-    ``batched`` has ``batch_id`` and ``input_ids``; a batch holds ``b`` rows.
-    """
-    w = Window.partitionBy("batch_id")
-    n = F.size("input_ids")
-    padded_len = (F.ceil(F.max(n).over(w) / F.lit(multiple)) * F.lit(multiple)).cast("int")
-    d = batched.withColumn("padded_len", padded_len).withColumn("n_pad", (F.col("padded_len") - n).cast("int"))
+
+def pad_batch(sized: DataFrame, encoded: DataFrame, key_cols: list[str], pad_id: int = PAD_ID) -> DataFrame:
+    """Right-padded ids, attention mask and causal labels (padding -> -100) of sized samples."""
+    d = sized.join(encoded.select(*key_cols, "input_ids"), key_cols, "inner")
     d = d.withColumn("padded_ids", F.concat("input_ids", F.array_repeat(F.lit(pad_id), F.col("n_pad"))))
-    d = d.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.col("n_pad"))))
+    d = d.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.col("n_tokens")),
+                                                F.array_repeat(F.lit(0), F.col("n_pad"))))
     # the collator's rule: every id equal to the pad id is ignored in the loss
-    d = d.withColumn("labels", F.transform("padded_ids", lambda x: F.when(x == F.lit(pad_id), F.lit(LABEL_IGNORE))
-                                           .otherwise(x)))
-    return d
+    return d.withColumn("labels", F.transform("padded_ids", lambda x: F.when(x == F.lit(pad_id), F.lit(LABEL_IGNORE))
+                                              .otherwise(x)))
 
 
-def padding_efficiency(padded: DataFrame) -> DataFrame:
-    """Real tokens / padded tokens per batch."""
-    return padded.groupBy("batch_id").agg(
-        F.sum(F.size("input_ids")).cast("bigint").alias("real_tokens"),
+def padding_efficiency(sized: DataFrame) -> DataFrame:
+    """Real tokens / padded tokens per batch, from lengths."""
+    return sized.groupBy("batch_id").agg(
+        F.sum("n_tokens").cast("bigint").alias("real_tokens"),
         F.sum("padded_len").cast("bigint").alias("padded_tokens")) \
         .withColumn("efficiency", F.col("real_tokens").cast("double") / F.col("padded_tokens").cast("double"))

@@ -11,14 +11,14 @@ as Spark jobs (the only driver values are counts and the split cutoff).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.constants import CPT_VAL_SHARE, MAX_SEQ_LENGTH, SEED, SFT_VAL_SHARE
 from tessera.functions.chat import DEFAULT_CHAT, ChatFormat, build_conversation, render_chat
 from tessera.functions.templates import dictionary_text, literature_text
 from tessera.functions.text import build_user_content, clean_field
-from tessera.operators.mix import split_with_counts, union_all
+from tessera.operators.mix import seeded_shuffle, split_with_counts, union_all
 from tessera.operators.tokens import build_vocabulary, encode
 from tessera.sources.readers import SOURCE_KEY
 from tessera.sources.sinks import write_corpus
@@ -42,18 +42,27 @@ def chat_text(dialogue: DataFrame, technical: DataFrame, fmt: ChatFormat = DEFAU
     return union_all([p.withColumn("source_ord", F.lit(i)) for i, p in enumerate(parts)])
 
 
-def _tokenize_and_write(text: DataFrame, share: float, seed: int, vocab: DataFrame | None, vocab_size: int,
-                        max_len: int, out: str | None, key: list[str]):
+def token_table(text: DataFrame, share: float, seed: int, key: list[str], vocab: DataFrame | None = None,
+                vocab_size: int | None = None, max_len: int = MAX_SEQ_LENGTH) -> tuple[DataFrame, dict, DataFrame]:
+    """Split, vocabulary of the training rows, ids and shuffled position ``pos``; row counts per split.
+
+    ``split`` is an expression of the key, so it rides along with the encoding; ``pos`` comes from the keys alone.
+    """
     split, n, n_val = split_with_counts(text, share, seed, key_cols=key)
     vocab = vocab if vocab is not None else build_vocabulary(split.where(F.col("split") == "train"), vocab_size)
-    enc = encode(split, vocab, key, max_len=max_len)
-    table = enc.join(split.select(*key, "split"), key, "inner")
-    path = write_corpus(table, out)
-    return path, {"train": n - n_val, "val": n_val}, vocab
+    enc = encode(split, vocab, key, max_len=max_len, keep=[F.col("split")])
+    table = enc.join(seeded_shuffle(text.select(*key), seed, key), key, "inner")
+    return table, {"train": n - n_val, "val": n_val}, vocab
+
+
+def _tokenize_and_write(text: DataFrame, share: float, seed: int, vocab: DataFrame | None, vocab_size: int | None,
+                        max_len: int, out: str | None, key: list[str]):
+    table, counts, vocab = token_table(text, share, seed, key, vocab, vocab_size, max_len)
+    return write_corpus(table, out), counts, vocab
 
 
 def prepare_pretraining(spark: SparkSession, literature: DataFrame, dictionary: DataFrame,
-                        out: str | None = None, vocab: DataFrame | None = None, vocab_size: int = 32000,
+                        out: str | None = None, vocab: DataFrame | None = None, vocab_size: int | None = None,
                         max_len: int = MAX_SEQ_LENGTH, share: float = CPT_VAL_SHARE, seed: int = SEED):
     """Entry 1: the pre-training token table. Returns ``(path, counts, vocab)``."""
     return _tokenize_and_write(pretraining_text(literature, dictionary), share, seed, vocab, vocab_size,
@@ -61,7 +70,7 @@ def prepare_pretraining(spark: SparkSession, literature: DataFrame, dictionary:
 
 
 def prepare_chat(spark: SparkSession, dialogue: DataFrame, technical: DataFrame, out: str | None = None,
-                 vocab: DataFrame | None = None, vocab_size: int = 32000, max_len: int = MAX_SEQ_LENGTH,
+                 vocab: DataFrame | None = None, vocab_size: int | None = None, max_len: int = MAX_SEQ_LENGTH,
                  share: float = SFT_VAL_SHARE, seed: int = SEED, fmt: ChatFormat = DEFAULT_CHAT,
                  dialogue_first: bool = True):
     """Entry 2: the chat fine-tuning token table. Returns ``(path, counts, vocab)``."""
@@ -88,18 +97,15 @@ def write_batch_manifest(spark: SparkSession, token_table: str, b: int, a: int,
     import os
     import uuid
 
-    from tessera.operators.tokens import assign_microbatch
+    from tessera.operators.tokens import assign_microbatch, size_batches
     from tessera.session import checkpoint_dir
 
     tokens = spark.read.parquet(token_table).where(F.col("split") == "train")
     n_train = tokens.count()
     plan = plan_steps(n_train, b, a, g, epochs, eval_every)
     samples = assign_microbatch(tokens.select(*key), n_train, b, a, g, plan["max_steps"], seed, list(key))
-    lengths = tokens.select(*key, "n_tokens")
-    m = samples.join(lengths, list(key), "inner")
-    w = F.max("n_tokens").over(Window.partitionBy("batch_id"))  # b rows per batch
-    m = m.withColumn("padded_len", (F.ceil(w / F.lit(multiple)) * F.lit(multiple)).cast("int")) \
-        .withColumn("step_block", (F.floor((F.col("step") - 1) / F.lit(max(1, plan["save_steps"])))).cast("bigint"))
+    m = size_batches(samples, tokens, list(key), multiple).drop("n_pad")
+    m = m.withColumn("step_block", (F.floor((F.col("step") - 1) / F.lit(max(1, plan["save_steps"])))).cast("bigint"))
     path = out or os.path.join(checkpoint_dir(spark), "manifest-" + uuid.uuid4().hex)
     m.repartitionByRange("step", "device", "slot", "lane").write.mode("overwrite") \
         .partitionBy("step_block").parquet(path)

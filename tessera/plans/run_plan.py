@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.constants import (EARLY_STOP_PATIENCE, EVAL_EVERY_SAVES, GAP_MULTIPLE, HARDWARE_TABLE,
                                LEARNING_RATES, MODEL_STEM, SPLIT_NUM)
-from tessera.functions.text import checkpoint_path, format_lr
+from tessera.functions.text import checkpoint_path, format_lr, parent_label
 
 HW_SCHEMA = "model string, phase string, gpu_class int, b int, a int, keep int, epochs double"
 DEFAULT_STAMP = "240101"  # the yymmdd stamp is a parameter, for reproducible names
@@ -48,7 +48,7 @@ def run_plan(runs: DataFrame, n_train: DataFrame, hw: DataFrame, params: DataFra
     ``runs(run_id, model, phase, gpus)``; ``n_train(phase, n_train)``.
     """
     d = hardware_lookup(runs, hw).join(F.broadcast(params), ["model", "phase"], "inner") \
-        .join(n_train, ["phase"], "inner")
+        .join(F.broadcast(n_train), ["phase"], "inner")  # one row per phase
     denom = F.col("b") * F.col("a") * F.col("gpus") * F.lit(SPLIT_NUM * 10)
     save = F.ceil(F.col("n_train").cast("double") / denom.cast("double")).cast("bigint")
     d = d.withColumn("save_steps", save)
@@ -72,7 +72,7 @@ def checkpoint_paths(checkpoints: DataFrame, plan: DataFrame) -> DataFrame:
     """Checkpoint path and its parent-directory label."""
     j = checkpoints.join(plan.select("run_id", "phase", "output_dir"), ["run_id", "phase"], "inner")
     p = checkpoint_path(F.col("output_dir"), F.col("step"))
-    return j.withColumn("path", p).withColumn("label", F.element_at(F.split(p, "/"), -2))
+    return j.withColumn("path", p).withColumn("label", parent_label("path"))
 
 
 def phase_handoff(cpt_best: DataFrame, plan: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def q_scan_technical(spark, sf):
     return fixtures.technical(spark, sf)
 
 
-@register("scan_metric_log", ctes(*fx("metric_log"), body="SELECT run_id, seq, step, kind, loss_c FROM metric_log"))
+@register("scan_metric_log", ctes(*fx("metric_log"), body="SELECT run_id, seq, step, kind, loss_c, loss FROM metric_log"))
 def q_scan_metric_log(spark, sf):
     return fixtures.metric_log(spark, sf)
 
@@ -246,34 +246,36 @@ def _log(spark, sf):
     return cut_lineage(fixtures.metric_log(spark, sf))
 
 
+def _evals(log):
+    return log.where(F.col("kind") == "eval").select("run_id", "seq", "step", "loss", "loss_c")
+
+
 def _evals_exists(spark, sf, log=None):
+    from tessera.operators.runs import mark_existing
     log = log if log is not None else _log(spark, sf)
-    man = fixtures.checkpoint_manifest(spark, sf, log).select(
-        "run_id", F.col("step").alias("seq"), F.lit(True).alias("exists"))
-    ev = log.where(F.col("kind") == "eval").select("run_id", "seq", "step", "loss_c")
-    return ev.join(man, ["run_id", "seq"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+    return mark_existing(_evals(log), fixtures.checkpoint_manifest(spark, sf, log))
 
 
 _RUN_SQL = fx("metric_log", "checkpoint_manifest") + [
     ("ev", "SELECT m.run_id, m.seq, m.step, m.loss_c, (c.step IS NOT NULL) AS ex FROM metric_log m "
-           "LEFT JOIN checkpoint_manifest c ON c.run_id = m.run_id AND c.step = m.seq WHERE m.kind = 'eval'"),
+           "LEFT JOIN checkpoint_manifest c ON c.run_id = m.run_id AND c.step = m.step WHERE m.kind = 'eval'"),
     ("iv", "SELECT run_id, seq, step, kind, loss_c, CAST(coalesce(sum(CASE WHEN kind = 'eval' THEN 1 ELSE 0 END) "
            "OVER (PARTITION BY run_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) "
            "AS interval FROM metric_log"),
     ("itl", "SELECT run_id, interval, CAST(count(*) AS BIGINT) AS n_train, CAST(sum(loss_c) AS BIGINT) AS sum_loss_c, "
-            "CAST(sum(loss_c) AS DOUBLE) / CAST(count(*) * 100 AS DOUBLE) AS mean_train_loss "
+            "CAST(sum(loss_c) AS DOUBLE) / CAST(count(*) * 100000 AS DOUBLE) AS mean_train_loss "
             "FROM iv WHERE kind = 'train' GROUP BY run_id, interval"),
     ("evn", "SELECT run_id, seq, step, loss_c, interval, CAST(interval + 1 AS BIGINT) AS eval_no FROM iv "
             "WHERE kind = 'eval'"),
-    ("gap", "SELECT e.run_id, e.seq, e.step, e.eval_no, a.n_train, CAST(e.loss_c AS DOUBLE) / 100.0 AS eval_loss, "
+    ("gap", "SELECT e.run_id, e.seq, e.step, e.eval_no, a.n_train, CAST(e.loss_c AS DOUBLE) / 100000.0 AS eval_loss, "
             "a.mean_train_loss AS avg_train_loss, "
-            "abs(CAST(e.loss_c AS DOUBLE) / 100.0 - a.mean_train_loss) AS gap "
+            "abs(CAST(e.loss_c AS DOUBLE) / 100000.0 - a.mean_train_loss) AS gap "
             "FROM evn e JOIN itl a ON a.run_id = e.run_id AND a.interval = e.interval WHERE e.eval_no > 9"),
 ]
 
 
 @register("filter_loggable", ctes(*fx("metric_log"), body=(
-    f"SELECT run_id, seq, step, kind, loss_c FROM metric_log "
+    f"SELECT run_id, seq, step, kind, loss_c, loss FROM metric_log "
     f"WHERE kind = 'eval' OR (kind = 'train' AND step % {LOGGABLE_SAVE_STEPS} = 0)")))
 def q_filter_loggable(spark, sf):
     from tessera.operators.runs import filter_loggable
@@ -308,102 +310,127 @@ def q_generalization_gap(spark, sf):
 def q_existing_checkpoints(spark, sf):
     from tessera.operators.runs import existing
     log = _log(spark, sf)
-    ev = log.where(F.col("kind") == "eval").select("run_id", "seq", "step", "loss_c")
-    return existing(ev, fixtures.checkpoint_manifest(spark, sf, log))
+    return existing(_evals(log).drop("loss"), fixtures.checkpoint_manifest(spark, sf, log))
 
 
 @register("best_n_by_loss", ctes(*_RUN_SQL, body=(
-    f"SELECT run_id, rank, seq, eval_loss FROM (SELECT run_id, seq, CAST(loss_c AS DOUBLE) / 100.0 AS eval_loss, "
+    f"SELECT run_id, rank, seq, step, eval_loss FROM (SELECT run_id, seq, step, CAST(loss_c AS DOUBLE) / 100000.0 AS eval_loss, "
     f"CAST(row_number() OVER (PARTITION BY run_id ORDER BY loss_c, seq) AS INTEGER) AS rank FROM ev WHERE ex) t "
     f"WHERE rank <= {N_KEEP}")))
 def q_best_n_by_loss(spark, sf):
-    from tessera.operators.runs import best_n, eval_loss
-    ev = _evals_exists(spark, sf).where("exists")
-    return best_n(ev, "loss_c", N_KEEP).select("run_id", "rank", "seq", eval_loss().alias("eval_loss"))
+    return _kept_by_loss(spark, sf).select("run_id", "rank", "seq", "step", "eval_loss")
 
 
-def _gap_exists(spark, sf):
-    from tessera.operators.runs import generalization_gap
-    log = _log(spark, sf)
-    man = fixtures.checkpoint_manifest(spark, sf, log).select(
-        "run_id", F.col("step").alias("seq"), F.lit(True).alias("exists"))
-    g = generalization_gap(log)
-    return g.join(man, ["run_id", "seq"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+def _kept_by_loss(spark, sf, log=None):
+    from tessera.operators.runs import best_n
+    return best_n(_evals_exists(spark, sf, log).where("exists"), "loss", N_KEEP).withColumnRenamed("loss", "eval_loss")
+
+
+def _gap_exists(spark, sf, log=None):
+    from tessera.operators.runs import generalization_gap, mark_existing
+    log = log if log is not None else _log(spark, sf)
+    return mark_existing(generalization_gap(log), fixtures.checkpoint_manifest(spark, sf, log))
 
 
 _GAP_EX = ("gx", "SELECT g.*, (c.step IS NOT NULL) AS ex FROM gap g LEFT JOIN checkpoint_manifest c "
-                 "ON c.run_id = g.run_id AND c.step = g.seq")
+                 "ON c.run_id = g.run_id AND c.step = g.step")
 
 
 @register("best_n_by_gap", ctes(*_RUN_SQL, _GAP_EX, body=(
-    f"SELECT run_id, rank, seq, gap, eval_loss FROM (SELECT run_id, seq, gap, eval_loss, "
+    f"SELECT run_id, rank, seq, step, gap, eval_loss FROM (SELECT run_id, seq, step, gap, eval_loss, "
     f"CAST(row_number() OVER (PARTITION BY run_id ORDER BY gap, seq) AS INTEGER) AS rank FROM gx WHERE ex) t "
     f"WHERE rank <= {N_KEEP}")))
 def q_best_n_by_gap(spark, sf):
     from tessera.operators.runs import best_n
     g = _gap_exists(spark, sf).where("exists")
-    return best_n(g, "gap", N_KEEP).select("run_id", "rank", "seq", "gap", "eval_loss")
+    return best_n(g, "gap", N_KEEP).select("run_id", "rank", "seq", "step", "gap", "eval_loss")
 
 
 @register("stable_ranking", ctes(*_RUN_SQL, _GAP_EX, body=(
     f"SELECT * FROM (SELECT 'loss' AS list, run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY loss_c, seq) "
-    f"AS INTEGER) AS rank, seq, CAST(loss_c AS DOUBLE) / 100.0 AS score FROM ev WHERE ex "
+    f"AS INTEGER) AS rank, seq, CAST(loss_c AS DOUBLE) / 100000.0 AS score FROM ev WHERE ex "
     f"UNION ALL SELECT 'gap' AS list, run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY gap, seq) AS INTEGER) "
     f"AS rank, seq, gap AS score FROM gx WHERE ex) t WHERE rank <= {N_KEEP}")))
 def q_stable_ranking(spark, sf):
-    from tessera.operators.runs import best_n, eval_loss
+    from tessera.operators.runs import best_n
     log = _log(spark, sf)
-    a = best_n(_evals_exists(spark, sf, log).where("exists"), "loss_c", N_KEEP) \
-        .select(F.lit("loss").alias("list"), "run_id", "rank", "seq", eval_loss().alias("score"))
-    b = best_n(_gap_exists(spark, sf).where("exists"), "gap", N_KEEP) \
+    a = _kept_by_loss(spark, sf, log).select(F.lit("loss").alias("list"), "run_id", "rank", "seq", F.col("eval_loss").alias("score"))
+    b = best_n(_gap_exists(spark, sf, log).where("exists"), "gap", N_KEEP) \
         .select(F.lit("gap").alias("list"), "run_id", "rank", "seq", F.col("gap").alias("score"))
     return a.unionByName(b)
 
 
 @register("rank1_checkpoint", ctes(*_RUN_SQL, body=(
-    "SELECT run_id, arg_min(seq, loss_c * 1000000000 + seq) AS best_step, min(loss_c) AS best_loss_c "
+    "SELECT run_id, arg_min(step, loss_c * 1000000000 + seq) AS best_step, CAST(min(loss_c) AS DOUBLE) / 100000.0 AS best_loss "
     "FROM ev WHERE ex GROUP BY run_id")))
 def q_rank1_checkpoint(spark, sf):
     from tessera.operators.runs import rank1
-    return rank1(_evals_exists(spark, sf).where("exists"), "loss_c")
+    return rank1(_evals_exists(spark, sf).where("exists"), "loss")
 
 
-def _adm_sql(n: int) -> list[tuple[str, str]]:
+def _adm_sql(n: int, src: str = "ev", score: str = "loss_c") -> list[tuple[str, str]]:
+    """The decisions of one list, evaluation by evaluation, from ``src``."""
     return [
-        ("pr", "SELECT e.run_id, e.seq, p.loss_c AS ps, p.seq AS pq, row_number() OVER "
-               "(PARTITION BY e.run_id, e.seq ORDER BY p.loss_c, p.seq) AS r "
-               "FROM ev e JOIN ev p ON p.run_id = e.run_id AND p.seq < e.seq AND p.ex"),
+        ("pr", f"SELECT e.run_id, e.seq, p.{score} AS ps, p.step AS pt, row_number() OVER "
+               f"(PARTITION BY e.run_id, e.seq ORDER BY p.{score}, p.seq) AS r "
+               f"FROM {src} e JOIN {src} p ON p.run_id = e.run_id AND p.seq < e.seq AND p.ex"),
         ("pa", f"SELECT run_id, seq, count(*) AS k, max(CASE WHEN r = {n} THEN ps END) AS wl, "
-               f"max(CASE WHEN r = {n} THEN pq END) AS wq FROM pr WHERE r <= {n} GROUP BY run_id, seq"),
-        ("adm", f"SELECT e.run_id, e.seq, e.loss_c, e.ex, CAST(coalesce(a.k, 0) AS INTEGER) AS n_kept, a.wl, a.wq, "
-                f"(coalesce(a.k, 0) < {n} OR e.loss_c < a.wl) AS admitted FROM ev e LEFT JOIN pa a "
+               f"max(CASE WHEN r = {n} THEN pt END) AS wt FROM pr WHERE r <= {n} GROUP BY run_id, seq"),
+        ("adm", f"SELECT e.run_id, e.seq, e.step, e.{score}, e.ex, CAST(coalesce(a.k, 0) AS INTEGER) AS n_kept, a.wl, a.wt, "
+                f"(coalesce(a.k, 0) < {n} OR e.{score} < a.wl) AS admitted FROM {src} e LEFT JOIN pa a "
                 f"ON a.run_id = e.run_id AND a.seq = e.seq"),
     ]
 
 
+def _evicted_sql(n: int, src: str = "ev", score: str = "loss_c") -> list[tuple[str, str]]:
+    """Kept rows pushed out later: by the row that leaves ``n`` better ones."""
+    return _adm_sql(n, src, score) + [
+        ("px", f"SELECT x.run_id, x.seq, x.step, x.{score}, (SELECT count(*) FROM {src} p WHERE p.run_id = x.run_id "
+               f"AND p.seq < x.seq AND p.ex AND p.{score} <= x.{score}) AS p FROM adm x WHERE x.admitted AND x.ex"),
+        ("lt", f"SELECT x.run_id, x.step AS xs, x.p, y.step AS ys, row_number() OVER (PARTITION BY x.run_id, x.seq "
+               f"ORDER BY y.seq) AS r FROM px x JOIN {src} y ON y.run_id = x.run_id AND y.seq > x.seq AND y.ex "
+               f"AND y.{score} < x.{score}"),
+    ]
+
+
+_REASON_SQL = (f"CASE WHEN n_kept < {N_KEEP} THEN 'Limit not reached' WHEN admitted THEN 'Better than worst' "
+               f"ELSE 'Not better than worst' END AS reason")
+
+
 @register("admission_trace", ctes(*_RUN_SQL, *_adm_sql(N_KEEP), body=(
-    f"SELECT run_id, seq, CAST(loss_c AS DOUBLE) / 100.0 AS eval_loss, n_kept, "
-    f"CAST(wl AS DOUBLE) / 100.0 AS worst_loss, wq AS worst_step, admitted, "
-    f"CASE WHEN n_kept < {N_KEEP} THEN 'Limit not reached' WHEN admitted THEN 'Better than worst' "
-    f"ELSE 'Not better than worst' END AS reason FROM adm")))
+    f"SELECT run_id, seq, step, CAST(loss_c AS DOUBLE) / 100000.0 AS eval_loss, n_kept, "
+    f"CAST(wl AS DOUBLE) / 100000.0 AS worst_loss, wt AS worst_step, admitted, {_REASON_SQL} FROM adm")))
 def q_admission_trace(spark, sf):
-    from tessera.operators.runs import admission_trace, eval_loss
-    t = admission_trace(_evals_exists(spark, sf), "loss_c", F.col("exists"), N_KEEP)
-    return t.select("run_id", "seq", eval_loss().alias("eval_loss"), "n_kept",
-                    (F.col("worst_score").cast("double") / 100.0).alias("worst_loss"),
+    from tessera.operators.runs import admission_trace
+    t = admission_trace(_evals_exists(spark, sf), "loss", F.col("exists"), N_KEEP)
+    return t.select("run_id", "seq", "step", F.col("loss").alias("eval_loss"), "n_kept",
+                    F.col("worst_score").alias("worst_loss"), "worst_step", "admitted", "reason")
+
+
+@register("gap_admission_trace", ctes(*_RUN_SQL, _GAP_EX, *_adm_sql(N_KEEP, "gx", "gap"), body=(
+    f"SELECT run_id, seq, step, gap, n_kept, wl AS worst_gap, wt AS worst_step, admitted, {_REASON_SQL} FROM adm")))
+def q_gap_admission_trace(spark, sf):
+    """W4 for the list kept by generalisation gap."""
+    from tessera.operators.runs import admission_trace
+    t = admission_trace(_gap_exists(spark, sf), "gap", F.col("exists"), N_KEEP)
+    return t.select("run_id", "seq", "step", "gap", "n_kept", F.col("worst_score").alias("worst_gap"),
                     "worst_step", "admitted", "reason")
 
 
-@register("evicted_checkpoints", ctes(*_RUN_SQL, *_adm_sql(N_KEEP), (
-    "px", "SELECT x.run_id, x.seq, x.loss_c, (SELECT count(*) FROM ev p WHERE p.run_id = x.run_id AND p.seq < x.seq "
-          "AND p.ex AND p.loss_c <= x.loss_c) AS p FROM adm x WHERE x.admitted AND x.ex"), (
-    "lt", "SELECT x.run_id, x.seq AS xs, x.p, y.seq AS ys, row_number() OVER (PARTITION BY x.run_id, x.seq "
-          "ORDER BY y.seq) AS r FROM px x JOIN ev y ON y.run_id = x.run_id AND y.seq > x.seq AND y.ex "
-          "AND y.loss_c < x.loss_c"),
+@register("evicted_checkpoints", ctes(*_RUN_SQL, *_evicted_sql(N_KEEP),
     body=f"SELECT run_id, xs AS evicted_step, ys AS evicted_by FROM lt WHERE r = {N_KEEP} - p"))
 def q_evicted_checkpoints(spark, sf):
     from tessera.operators.runs import admission_trace, evicted
-    t = admission_trace(_evals_exists(spark, sf), "loss_c", F.col("exists"), N_KEEP)
+    t = admission_trace(_evals_exists(spark, sf), "loss", F.col("exists"), N_KEEP)
+    return evicted(t, F.col("exists"), N_KEEP).select("run_id", "evicted_step", "evicted_by")
+
+
+@register("gap_evicted", ctes(*_RUN_SQL, _GAP_EX, *_evicted_sql(N_KEEP, "gx", "gap"),
+    body=f"SELECT run_id, xs AS evicted_step, ys AS evicted_by FROM lt WHERE r = {N_KEEP} - p"))
+def q_gap_evicted(spark, sf):
+    """O7 for the list kept by generalisation gap."""
+    from tessera.operators.runs import admission_trace, evicted
+    t = admission_trace(_gap_exists(spark, sf), "gap", F.col("exists"), N_KEEP)
     return evicted(t, F.col("exists"), N_KEEP).select("run_id", "evicted_step", "evicted_by")
 
 
@@ -421,7 +448,7 @@ _ES_SQL = [
     ("es_a", "SELECT run_id, seq, loss_c, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS eval_idx, "
              "min(loss_c) OVER (PARTITION BY run_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm "
              "FROM ev"),
-    ("es_b", "SELECT *, (pm IS NULL OR (loss_c < pm AND abs(CAST(pm - loss_c AS DOUBLE) / 100.0) > 0.001)) AS improved "
+    ("es_b", "SELECT *, (pm IS NULL OR (loss_c < pm AND abs(CAST(pm AS DOUBLE) / 100000.0 - CAST(loss_c AS DOUBLE) / 100000.0) > 0.001)) AS improved "
              "FROM es_a"),
     ("es_c", "SELECT *, sum(CASE WHEN improved THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq "
              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM es_b"),
@@ -453,18 +480,18 @@ def q_events_until_stop(spark, sf):
 # tokens and batches
 # --------------------------------------------------------------------------
 
-VOCAB_SIZE = 2000
 MAX_LEN = 2880
 CPT_HW = dict(b=2, a=12, g=1, epochs=1.0)  # 12B, pre-training, one GPU
 
 _TOK_SQL = _CPT_SQL + [
     ("wd", "SELECT source, row_id, text, list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda x: x <> '') AS w "
            "FROM cpt"),
-    ("tk", "SELECT unnest(w) AS token FROM wd"),
+    ("sp", mix.split_sql("cpt", CPT_VAL_SHARE, cols="source, row_id")),
+    ("tk", "SELECT unnest(wd.w) AS token FROM wd JOIN sp ON sp.source = wd.source AND sp.row_id = wd.row_id "
+           "WHERE sp.split = 'train'"),
     ("vc", "SELECT token, count(*) AS cnt FROM tk GROUP BY token"),
-    ("vocab", f"SELECT token, CAST(rn + 3 AS INTEGER) AS id, CAST(cnt AS BIGINT) AS cnt FROM ("
-              f"SELECT token, cnt, row_number() OVER (ORDER BY cnt DESC, token) AS rn FROM vc) v "
-              f"WHERE rn <= {VOCAB_SIZE}"),
+    ("vocab", "SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 3 AS INTEGER) AS id, "
+              "CAST(cnt AS BIGINT) AS cnt FROM vc"),
     ("ex", f"SELECT source, row_id, unnest(w[1:{MAX_LEN - 2}]) AS token, "
            f"generate_subscripts(w[1:{MAX_LEN - 2}], 1) AS p FROM wd"),
     ("encs", "SELECT ex.source, ex.row_id, sum(coalesce(v.id, 3)) AS s, "
@@ -481,8 +508,9 @@ _TOK_SQL = _CPT_SQL + [
 
 
 def _vocab(spark, sf):
+    """All words of the training rows."""
     from tessera.operators.tokens import build_vocabulary
-    return build_vocabulary(corpus.cpt_corpus(spark, sf), VOCAB_SIZE)
+    return build_vocabulary(corpus.cpt_split(spark, sf).where(F.col("split") == "train"))
 
 
 def _encoded(spark, sf):
@@ -490,6 +518,11 @@ def _encoded(spark, sf):
     return encode(corpus.cpt_corpus(spark, sf), _vocab(spark, sf), mix.KEY_COLS, max_len=MAX_LEN)
 
 
+def _lengths(spark, sf):
+    from tessera.operators.tokens import token_lengths
+    return corpus.cpt_corpus(spark, sf).select(*mix.KEY_COLS, token_lengths(F.col("text"), MAX_LEN)["n_tokens"].alias("n_tokens"))
+
+
 @register("build_vocabulary", ctes(*_TOK_SQL, body="SELECT token, id, cnt FROM vocab"))
 def q_build_vocabulary(spark, sf):
     return _vocab(spark, sf)
@@ -520,7 +553,7 @@ def q_add_special_tokens(spark, sf):
     "AS kept_ratio FROM enc GROUP BY source")))
 def q_truncation_report(spark, sf):
     from tessera.operators.tokens import truncation_report
-    return truncation_report(corpus.cpt_corpus(spark, sf), _encoded(spark, sf), mix.KEY_COLS)
+    return truncation_report(corpus.cpt_corpus(spark, sf), max_len=MAX_LEN)
 
 
 def _train_samples(spark, sf):
@@ -535,7 +568,6 @@ def _train_samples(spark, sf):
 
 
 _MB_SQL = _TOK_SQL + [
-    ("sp", mix.split_sql("cpt", CPT_VAL_SHARE, cols="source, row_id")),
     ("tr", "SELECT source, row_id FROM sp WHERE split = 'train'"),
     ("prm", "SELECT n, total, CAST(ceil(total / n) AS BIGINT) AS e FROM (SELECT n, "
             "CAST(ceil(n / 6000.0) AS BIGINT) * 250 * 24 AS total FROM (SELECT count(*) AS n FROM tr) c) x"),
@@ -559,18 +591,21 @@ def q_assign_microbatch(spark, sf):
     return _train_samples(spark, sf)
 
 
+def _sized(spark, sf):
+    from tessera.operators.tokens import size_batches
+    s = _train_samples(spark, sf).select("source", "row_id", "batch_id", "lane")
+    return size_batches(s, _lengths(spark, sf), mix.KEY_COLS)
+
+
 def _padded(spark, sf):
     from tessera.operators.tokens import pad_batch
-    s = _train_samples(spark, sf).select("source", "row_id", "batch_id", "lane")
-    e = _encoded(spark, sf).select("source", "row_id", "input_ids")
-    return pad_batch(s.join(e, mix.KEY_COLS, "inner"))
+    return pad_batch(_sized(spark, sf), _encoded(spark, sf), mix.KEY_COLS)
 
 
 @register("pad_batch", ctes(*_MB_SQL, body=(
     "SELECT batch_id, lane, n_tokens, padded_len, CAST(padded_len - n_tokens AS INTEGER) AS n_pad FROM pb")))
 def q_pad_batch(spark, sf):
-    return _padded(spark, sf).select("batch_id", "lane", F.size("input_ids").cast("int").alias("n_tokens"),
-                                     "padded_len", "n_pad")
+    return _sized(spark, sf).select("batch_id", "lane", "n_tokens", "padded_len", "n_pad")
 
 
 @register("attention_mask", ctes(*_MB_SQL, body=(
@@ -598,7 +633,7 @@ def q_causal_labels(spark, sf):
     "CAST(sum(n_tokens) AS DOUBLE) / CAST(sum(padded_len) AS DOUBLE) AS efficiency FROM pb GROUP BY batch_id")))
 def q_padding_efficiency(spark, sf):
     from tessera.operators.tokens import padding_efficiency
-    return padding_efficiency(_padded(spark, sf))
+    return padding_efficiency(_sized(spark, sf))
 
 
 # --------------------------------------------------------------------------
@@ -607,7 +642,7 @@ def q_padding_efficiency(spark, sf):
 
 def _runs(spark, sf):
     """Run registry: one run per metric-log run id, in both phases."""
-    r = spark.read.parquet(f"{sf}/events.parquet").select((F.col("user_id") % 10).alias("run_id")).distinct()
+    r = spark.read.parquet(f"{sf}/events.parquet").select(F.col("user_id").alias("run_id")).distinct()
     model = F.when(F.col("run_id") % 2 == 0, "12b").otherwise("27b")
     gpus = (F.col("run_id") % 4 + 1).cast("int")
     return mix.union_all([r.select("run_id", model.alias("model"), F.lit(ph).alias("phase"), gpus.alias("gpus"))
@@ -615,10 +650,11 @@ def _runs(spark, sf):
 
 
 def _n_train(spark, sf):
-    """Training rows per phase: the split already counted them."""
-    _, n_c, v_c = mix.split_with_counts(corpus.cpt_corpus(spark, sf), CPT_VAL_SHARE)
-    _, n_s, v_s = mix.split_with_counts(corpus.sft_corpus(spark, sf), SFT_VAL_SHARE, key_cols=corpus.SFT_KEY)
-    return spark.createDataFrame([("cpt", n_c - v_c), ("sft", n_s - v_s)], "phase string, n_train long")
+    """Training rows per phase: a count per corpus is enough, the split is exact."""
+    n_c = fixtures.literature(spark, sf).count() + fixtures.dictionary(spark, sf).count()
+    n_s = spark.read.parquet(f"{sf}/conversations.parquet").where(F.col("role") == "user").count()
+    rows = [("cpt", mix.n_train(n_c, CPT_VAL_SHARE)), ("sft", mix.n_train(n_s, SFT_VAL_SHARE))]
+    return spark.createDataFrame(rows, "phase string, n_train long")
 
 
 def _plan(spark, sf):
@@ -658,7 +694,7 @@ _PLAN_SQL = _CPT_SQL + _SFT_SQL + [
     ("ntr", "SELECT 'cpt' AS phase, CAST(count(*) AS BIGINT) AS n_train FROM cs WHERE split = 'train' "
             "UNION ALL SELECT 'sft', CAST(count(*) AS BIGINT) FROM ss WHERE split = 'train'"),
     ("runs", "SELECT run_id, CASE WHEN run_id % 2 = 0 THEN '12b' ELSE '27b' END AS model, p.phase, "
-             "CAST(run_id % 4 + 1 AS INTEGER) AS gpus FROM (SELECT DISTINCT user_id % 10 AS run_id FROM events) r, "
+             "CAST(run_id % 4 + 1 AS INTEGER) AS gpus FROM (SELECT DISTINCT user_id AS run_id FROM events) r, "
              "(SELECT 'cpt' AS phase UNION ALL SELECT 'sft') p"),
     ("hw", _hw_values()),
     ("prm", _param_values()),
@@ -705,25 +741,23 @@ def q_format_lr(spark, sf):
 
 
 _KEPT_SQL = _RUN_SQL + [
-    ("kept", f"SELECT run_id, seq, loss_c, rank FROM (SELECT run_id, seq, loss_c, "
+    ("kept", f"SELECT run_id, seq, step, loss_c, rank FROM (SELECT run_id, seq, step, loss_c, "
              f"CAST(row_number() OVER (PARTITION BY run_id ORDER BY loss_c, seq) AS INTEGER) AS rank FROM ev WHERE ex) t "
              f"WHERE rank <= {N_KEEP}"),
 ]
 
 
 @register("checkpoint_path", ctes(*_PLAN_SQL, *_KEPT_SQL, body=(
-    "SELECT k.run_id, k.seq, 'models/output_' || p.run_name || '/checkpoint-' || CAST(k.seq AS VARCHAR) AS path, "
+    "SELECT k.run_id, k.step, 'models/output_' || p.run_name || '/checkpoint-' || CAST(k.step AS VARCHAR) AS path, "
     "'output_' || p.run_name AS label FROM kept k JOIN plan p ON p.run_id = k.run_id AND p.phase = 'cpt'")))
 def q_checkpoint_path(spark, sf):
-    from tessera.operators.runs import best_n
     from tessera.plans.run_plan import checkpoint_paths
-    kept = best_n(_evals_exists(spark, sf).where("exists"), "loss_c", N_KEEP) \
-        .select("run_id", "seq", F.col("seq").alias("step"), F.lit("cpt").alias("phase"))
-    return checkpoint_paths(kept, _plan(spark, sf)).select("run_id", "seq", "path", "label")
+    kept = _kept_by_loss(spark, sf).select("run_id", "step", F.lit("cpt").alias("phase"))
+    return checkpoint_paths(kept, _plan(spark, sf)).select("run_id", "step", "path", "label")
 
 
 @register("phase_handoff", ctes(*_PLAN_SQL, *_RUN_SQL, (
-    "b1", "SELECT run_id, arg_min(seq, loss_c * 1000000000 + seq) AS best_step FROM ev WHERE ex GROUP BY run_id"),
+    "b1", "SELECT run_id, arg_min(step, loss_c * 1000000000 + seq) AS best_step FROM ev WHERE ex GROUP BY run_id"),
     body=("SELECT b.run_id, s.run_name AS sft_run_name, b.best_step, "
           "'models/output_' || c.run_name || '/checkpoint-' || CAST(b.best_step AS VARCHAR) AS init_checkpoint "
           "FROM b1 b JOIN plan c ON c.run_id = b.run_id AND c.phase = 'cpt' "
@@ -731,17 +765,18 @@ def q_checkpoint_path(spark, sf):
 def q_phase_handoff(spark, sf):
     from tessera.operators.runs import rank1
     from tessera.plans.run_plan import phase_handoff
-    best = rank1(_evals_exists(spark, sf).where("exists"), "loss_c")
+    best = rank1(_evals_exists(spark, sf).where("exists"), "loss")
     return phase_handoff(best, _plan(spark, sf))
 
 
 @register("phase_orphans", ctes(*_RUN_SQL, body=(
-    "SELECT DISTINCT user_id % 10 AS run_id FROM events WHERE user_id % 10 NOT IN (SELECT run_id FROM ev WHERE ex)")))
+    "SELECT DISTINCT c_custkey AS run_id FROM customer WHERE c_custkey NOT IN (SELECT run_id FROM ev WHERE ex)")))
 def q_phase_orphans(spark, sf):
     from tessera.operators.runs import rank1
     from tessera.plans.run_plan import orphans
-    best = rank1(_evals_exists(spark, sf).where("exists"), "loss_c")
-    runs = spark.read.parquet(f"{sf}/events.parquet").select((F.col("user_id") % 10).alias("run_id"))
+    best = rank1(_evals_exists(spark, sf).where("exists"), "loss")
+    # the registry names every customer's run; most have no checkpoint
+    runs = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").cast("bigint").alias("run_id"))
     return orphans(runs, best)
 
 
@@ -756,87 +791,186 @@ def q_stage_accuracy(spark, sf):
     return stage_accuracy(fixtures.gold(spark, sf), fixtures.predictions(spark, sf))
 
 
-@register("write_corpus", ctes(*_TOK_SQL, ("sp", mix.split_sql("cpt", CPT_VAL_SHARE, cols="source, row_id")), body=(
-    "SELECT s.split, s.source, s.row_id, e.n_tokens FROM sp s JOIN enc e ON e.source = s.source "
-    "AND e.row_id = s.row_id")))
-def q_write_corpus(spark, sf):
+def _written(spark, text, share, key):
+    """The token table written in shuffled order, read back with the order of its files."""
+    from tessera.plans.prepare import token_table
     from tessera.sources.sinks import write_corpus
-    split = corpus.cpt_split(spark, sf).select("source", "row_id", "split")
-    table = _encoded(spark, sf).join(split, mix.KEY_COLS, "inner") \
-        .select("split", "source", "row_id", "input_ids", "n_tokens")
-    path = write_corpus(table)
-    return spark.read.parquet(path).select("split", "source", "row_id", "n_tokens")
+    table, _, _ = token_table(text, share, SEED, key, max_len=MAX_LEN)
+    return spark.read.parquet(write_corpus(table))
+
+
+@register("write_corpus", ctes(*_TOK_SQL, ("po", mix.shuffle_sql("cpt")), body=(
+    "SELECT s.split, s.source, s.row_id, p.pos, e.n_tokens, e.id_sum FROM sp s JOIN enc e ON e.source = s.source "
+    "AND e.row_id = s.row_id JOIN po p ON p.source = s.source AND p.row_id = s.row_id")))
+def q_write_corpus(spark, sf):
+    from tessera.operators.tokens import id_checksums
+    t = _written(spark, corpus.cpt_corpus(spark, sf), CPT_VAL_SHARE, mix.KEY_COLS)
+    return t.select("split", "source", "row_id", "pos", "n_tokens", id_checksums()[0])
+
+
+_SFT_TOK_SQL = _SFT_SQL + [
+    ("sp", mix.split_sql("sft", SFT_VAL_SHARE, key_cols=corpus.SFT_KEY, cols="source, row_id, turn")),
+    ("wd", "SELECT source, row_id, turn, list_filter(string_split_regex(text, '[ \\t\\n\\r]+'), lambda x: x <> '') AS w FROM sft"),
+    ("vc", "SELECT token, count(*) AS cnt FROM (SELECT unnest(wd.w) AS token FROM wd JOIN sp USING (source, row_id, turn) "
+           "WHERE sp.split = 'train') GROUP BY token"),
+    ("vocab", "SELECT token, row_number() OVER (ORDER BY cnt DESC, token) + 3 AS id FROM vc"),
+    ("ex", f"SELECT source, row_id, turn, unnest(w[1:{MAX_LEN - 2}]) AS token FROM wd"),
+    ("encs", "SELECT ex.source, ex.row_id, ex.turn, sum(coalesce(v.id, 3)) AS s FROM ex LEFT JOIN vocab v "
+             "ON v.token = ex.token GROUP BY ALL"),
+    ("po", mix.shuffle_sql("sft", key_cols=corpus.SFT_KEY)),
+]
+
+
+@register("write_corpus_sft", ctes(*_SFT_TOK_SQL, body=(
+    f"SELECT sp.split, wd.source, wd.row_id, wd.turn, po.pos, CAST(least(len(w), {MAX_LEN - 2}) + 2 AS INTEGER) AS n_tokens, "
+    f"CAST(3 + coalesce(e.s, 0) AS BIGINT) AS id_sum FROM wd JOIN sp USING (source, row_id, turn) "
+    f"JOIN po USING (source, row_id, turn) LEFT JOIN encs e USING (source, row_id, turn)")))
+def q_write_corpus_sft(spark, sf):
+    from tessera.operators.tokens import id_checksums
+    t = _written(spark, corpus.sft_corpus(spark, sf).drop("source_ord"), SFT_VAL_SHARE, corpus.SFT_KEY)
+    return t.select("split", "source", "row_id", "turn", "pos", "n_tokens", id_checksums()[0])
+
+
+@register("drop_source_columns", ctes(*_TOK_SQL, body="SELECT n_tokens, id_sum FROM enc"))
+def q_drop_source_columns(spark, sf):
+    """Only the token columns stay."""
+    from tessera.functions.templates import drop_source_columns
+    from tessera.operators.tokens import id_checksums
+    return drop_source_columns(_encoded(spark, sf), ["input_ids", "n_tokens"]).select("n_tokens", id_checksums()[0])
+
+
+@register("union_literature", ctes(*fx("literature"), body="SELECT source, row_id, title, text FROM literature"))
+def q_union_literature(spark, sf):
+    """Every source as a table of its own, appended."""
+    lit_df = fixtures.literature(spark, sf)
+    names = [r["source"] for r in lit_df.select("source").distinct().orderBy("source").collect()]
+    parts = [lit_df.where(F.col("source") == n) for n in names] + [lit_df.where(F.col("source").isNull())]
+    return mix.union_all(parts)
 
 
 @register("leaderboard_text", ctes(*_KEPT_SQL, (
     "n", "SELECT run_id, count(*) AS n FROM kept GROUP BY run_id"),
     body=("SELECT run_id, CAST(0 AS INTEGER) AS line_no, 'Currently keeping ' || CAST(n AS VARCHAR) || "
           "' checkpoints:' AS line FROM n UNION ALL "
-          "SELECT run_id, rank AS line_no, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(seq AS VARCHAR) "
-          "|| ': eval_loss=' || printf('%.4f', CAST(loss_c AS DOUBLE) / 100.0) AS line FROM kept UNION ALL "
+          "SELECT run_id, rank AS line_no, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(step AS VARCHAR) "
+          "|| ': eval_loss=' || printf('%.4f', CAST(loss_c AS DOUBLE) / 100000.0) AS line FROM kept UNION ALL "
           "SELECT run_id, CAST(n + 1 AS INTEGER) AS line_no, '' AS line FROM n")))
 def q_leaderboard_text(spark, sf):
-    from tessera.operators.runs import best_n, eval_loss
     from tessera.sources.sinks import loss_report
-    kept = best_n(_evals_exists(spark, sf).where("exists"), "loss_c", N_KEEP) \
-        .select("run_id", "rank", "seq", eval_loss().alias("eval_loss"))
-    return loss_report(kept)
+    return loss_report(_kept_by_loss(spark, sf).select("run_id", "rank", "step", "eval_loss"))
 
 
 @register("leaderboard_gap_text", ctes(*_RUN_SQL, _GAP_EX, (
-    "kg", f"SELECT * FROM (SELECT run_id, seq, gap, eval_loss, CAST(row_number() OVER (PARTITION BY run_id "
+    "kg", f"SELECT * FROM (SELECT run_id, seq, step, gap, eval_loss, CAST(row_number() OVER (PARTITION BY run_id "
           f"ORDER BY gap, seq) AS INTEGER) AS rank FROM gx WHERE ex) t WHERE rank <= {N_KEEP}"),
     body=("SELECT DISTINCT run_id, CAST(0 AS INTEGER) AS line_no, 'Stability Priority Leaderboard (Samples every 1 "
           "steps, Settlement every 10 steps)' AS line FROM kg UNION ALL "
-          "SELECT run_id, rank AS line_no, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(seq AS VARCHAR) "
+          "SELECT run_id, rank AS line_no, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(step AS VARCHAR) "
           "|| ': Gap=' || printf('%.4f', gap) || ' (Eval_Loss=' || printf('%.4f', eval_loss) || ')' AS line "
           "FROM kg")))
 def q_leaderboard_gap_text(spark, sf):
     from tessera.operators.runs import best_n
     from tessera.sources.sinks import gap_report
     kept = best_n(_gap_exists(spark, sf).where("exists"), "gap", N_KEEP) \
-        .select("run_id", "rank", "seq", "gap", "eval_loss")
+        .select("run_id", "rank", "step", "gap", "eval_loss")
     return gap_report(kept, 1, 10)
 
 
+_PLANNED_SQL = _PLAN_SQL + _RUN_SQL + [
+    ("cad", "SELECT run_id, save_steps, CAST(eval_every * save_steps AS BIGINT) AS eval_steps FROM (SELECT hl.run_id, p.eval_every, "
+            "CAST(ceil(CAST(n AS DOUBLE) / CAST(hl.b * hl.a * hl.gpus * 250 AS DOUBLE)) AS BIGINT) AS save_steps FROM hl "
+            "JOIN prm p ON p.model = hl.model AND p.phase = hl.phase, (SELECT count(*) AS n FROM lineitem) l WHERE hl.phase = 'sft') x"),
+    ("pit", "SELECT i.run_id, i.interval, count(*) AS n, sum(i.loss_c) AS s FROM iv i JOIN cad c ON c.run_id = i.run_id "
+            "WHERE i.kind = 'train' AND i.step % c.save_steps = 0 GROUP BY ALL"),
+    ("pgap", "SELECT e.run_id, e.seq, e.step, CAST(e.loss_c AS DOUBLE) / 100000.0 AS eval_loss, CAST(n AS BIGINT) AS n_train, "
+             "abs(CAST(e.loss_c AS DOUBLE) / 100000.0 - CAST(s AS DOUBLE) / CAST(n * 100000 AS DOUBLE)) AS gap "
+             "FROM evn e JOIN pit p ON p.run_id = e.run_id AND p.interval = e.interval WHERE e.eval_no > 9"),
+    ("pk", f"SELECT * FROM (SELECT g.*, row_number() OVER (PARTITION BY g.run_id ORDER BY gap, seq) AS rank FROM pgap g "
+           f"JOIN checkpoint_manifest c ON c.run_id = g.run_id AND c.step = g.step) t WHERE rank <= {N_KEEP}"),
+]
+
+
+def _gap_planned(spark, sf):
+    """Train losses sampled at each run's own ``save_steps``, from a plan over as many
+    training rows as ``lineitem`` has (so that cadences differ)."""
+    from tessera.operators.runs import existing, generalization_gap
+    from tessera.plans.run_plan import hardware, phase_params, run_plan
+    rows = spark.createDataFrame([("sft", spark.read.parquet(f"{sf}/lineitem.parquet").count())], "phase string, n_train long")
+    plan = run_plan(_runs(spark, sf), rows, hardware(spark), phase_params(spark)).select("run_id", "save_steps", "eval_steps")
+    log = _log(spark, sf)
+    g = generalization_gap(log.join(plan.select("run_id", "save_steps"), "run_id"), save_steps="save_steps")
+    return existing(g, fixtures.checkpoint_manifest(spark, sf, log)).join(plan, "run_id")
+
+
+@register("generalization_gap_planned", ctes(*_PLANNED_SQL, body=(
+    "SELECT g.run_id, g.seq, g.step, g.n_train, g.gap FROM pgap g JOIN checkpoint_manifest c ON c.run_id = g.run_id AND c.step = g.step")))
+def q_generalization_gap_planned(spark, sf):
+    return _gap_planned(spark, sf).select("run_id", "seq", "step", "n_train", "gap")
+
+
+@register("report_files", ctes(*_PLANNED_SQL, body=(
+    "SELECT DISTINCT k.run_id, 'Stability Priority Leaderboard (Samples every ' || CAST(p.save_steps AS VARCHAR) || ' steps, "
+    "Settlement every ' || CAST(p.eval_steps AS VARCHAR) || ' steps)' AS line FROM pk k JOIN cad p ON p.run_id = k.run_id UNION ALL "
+    "SELECT run_id, '   ' || CAST(rank AS VARCHAR) || '. checkpoint-' || CAST(step AS VARCHAR) || ': Gap=' || "
+    "printf('%.4f', gap) || ' (Eval_Loss=' || printf('%.4f', eval_loss) || ')' AS line FROM pk")))
+def q_report_files(spark, sf):
+    """S7 as files: each run's report with its own cadence, written and read back."""
+    from tessera.operators.runs import best_n
+    from tessera.sources.sinks import gap_report, write_report
+    kept = best_n(_gap_planned(spark, sf), "gap", N_KEEP)
+    path = _scratch(spark, "reports")
+    write_report(gap_report(kept), path)
+    return spark.read.text(path).select(F.col("run_id").cast("bigint").alias("run_id"), F.col("value").alias("line"))
+
+
 # --------------------------------------------------------------------------
 # streaming (ST1-ST4): run to completion, final state equals the batch query
 # --------------------------------------------------------------------------
 
-STREAM_FILES = 3
+STREAM_EVENTS = 32  # events of a run per micro-batch
 
 
 def _log_exists(spark, sf):
+    from tessera.operators.runs import mark_existing
     log = _log(spark, sf)
-    man = fixtures.checkpoint_manifest(spark, sf, log).select(
-        "run_id", F.col("step").alias("seq"), F.lit(True).alias("exists"))
-    return log.join(man, ["run_id", "seq"], "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
+    return mark_existing(log, fixtures.checkpoint_manifest(spark, sf, log))
 
 
 @register("stream_best_n", ORACLES["best_n_by_loss"])
 def q_stream_best_n(spark, sf):
     from tessera.streaming.checkpoints import best_n_processor, final_kept, run_available_now
-    out = run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES,
+    out = run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_EVENTS,
                             evals_only=True)
-    return final_kept(out).select("run_id", "rank", "seq", "eval_loss")
+    return final_kept(out).select("run_id", "rank", "seq", "step", "eval_loss")
 
 
 @register("stream_gap", ORACLES["best_n_by_gap"])
 def q_stream_gap(spark, sf):
     from tessera.streaming.checkpoints import final_kept, gap_processor, run_available_now
-    out = run_available_now(spark, _log_exists(spark, sf), gap_processor(N_KEEP, 9, 1), STREAM_FILES)
-    return final_kept(out).select("run_id", "rank", "seq", F.col("score").alias("gap"), "eval_loss")
+    out = run_available_now(spark, _log_exists(spark, sf), gap_processor(N_KEEP, 9, 1), STREAM_EVENTS)
+    return final_kept(out).select("run_id", "rank", "seq", "step", F.col("score").alias("gap"), "eval_loss")
 
 
 @register("stream_early_stop", ORACLES["early_stop"])
 def q_stream_early_stop(spark, sf):
     from tessera.streaming.checkpoints import early_stop_processor, run_available_now
-    out = run_available_now(spark, _log_exists(spark, sf), early_stop_processor(PATIENCE), STREAM_FILES,
+    out = run_available_now(spark, _log_exists(spark, sf), early_stop_processor(PATIENCE), STREAM_EVENTS,
                             evals_only=True)
     t = out.where((F.col("rec") == "trace") & ~F.col("late"))
     return t.select("run_id", "seq", F.col("eval_no").alias("eval_idx"), "improved", "counter", "stop")
 
 
+@register("stream_admission_trace", ctes(*_RUN_SQL, *_evicted_sql(N_KEEP), body=(
+    f"SELECT a.run_id, a.seq, a.step, CAST(a.loss_c AS DOUBLE) / 100000.0 AS eval_loss, a.n_kept, a.admitted, "
+    f"l.xs AS evicted_step FROM adm a LEFT JOIN lt l ON l.run_id = a.run_id AND l.ys = a.step AND l.r = {N_KEEP} - l.p")))
+def q_stream_admission_trace(spark, sf):
+    """ST1's decision at every evaluation: admitted, and what it pushed out."""
+    from tessera.streaming.checkpoints import best_n_processor, run_available_now
+    out = run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_EVENTS, evals_only=True)
+    t = out.where((F.col("rec") == "trace") & ~F.col("late"))
+    return t.select("run_id", "seq", "step", "eval_loss", "n_kept", "admitted", "evicted_step")
+
+
 @register("stream_leaderboard_sink", ORACLES["leaderboard_text"])
 def q_stream_leaderboard_sink(spark, sf):
     import os
@@ -847,7 +981,7 @@ def q_stream_leaderboard_sink(spark, sf):
     from tessera.streaming.checkpoints import best_n_processor, leaderboard_sink, run_available_now
     base = os.path.join(checkpoint_dir(spark), "stream-" + uuid.uuid4().hex)
     report = os.path.join(base, "report")
-    run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_FILES,
+    run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_EVENTS,
                       sink=leaderboard_sink(report, loss_report), base=base, evals_only=True)
     return spark.read.parquet(report).select(F.col("run_id").cast("bigint").alias("run_id"), "line_no", "line")
 
@@ -873,13 +1007,11 @@ def q_map_batches_format(spark, sf):
 @register("encode_with_hook", ORACLES["encode_truncate"])
 def q_encode_with_hook(spark, sf):
     from tessera.functions.hooks import whitespace_tokenizer
-    from tessera.operators.tokens import encode_with, id_checksums
+    from tessera.operators.tokens import encode_with, id_checksums, token_lengths
     tok = whitespace_tokenizer(_vocab(spark, sf), MAX_LEN)
-    enc = encode_with(corpus.cpt_corpus(spark, sf), tok, mix.KEY_COLS, max_len=MAX_LEN)
-    words = F.size(F.filter(F.split("text", "[ \\t\\n\\r]+"), lambda x: x != ""))
-    dropped = corpus.cpt_corpus(spark, sf).select(
-        *mix.KEY_COLS, F.greatest(words - (MAX_LEN - 2), F.lit(0)).cast("int").alias("n_dropped"))
-    return enc.join(dropped, mix.KEY_COLS).select("source", "row_id", "n_tokens", "n_dropped", *id_checksums())
+    enc = encode_with(corpus.cpt_corpus(spark, sf), tok, mix.KEY_COLS, max_len=MAX_LEN,
+                      keep=[token_lengths(F.col("text"), MAX_LEN)["n_dropped"].alias("n_dropped")])
+    return enc.select("source", "row_id", "n_tokens", "n_dropped", *id_checksums())
 
 
 # --------------------------------------------------------------------------
@@ -896,8 +1028,7 @@ def q_best_n_by_gap_planned(spark, sf):
     from tessera.plans.run_plan import hardware, hardware_lookup
     keep = hardware_lookup(_runs(spark, sf), hardware(spark)).where(F.col("phase") == "sft") \
         .select("run_id", "keep")
-    from tessera.operators.runs import broadcast_if_small
-    g = _gap_exists(spark, sf).where("exists").join(broadcast_if_small(keep), "run_id", "inner")
+    g = _gap_exists(spark, sf).where("exists").join(keep, "run_id", "inner")
     max_keep = max(k for *_, k, _e in HARDWARE_TABLE)
     return best_n(g, "gap", max_keep, keep_col="keep").select("run_id", "rank", "seq", "gap", "keep")
 
@@ -950,9 +1081,9 @@ def q_scan_instruction_files(spark, sf):
     "JOIN prm p ON p.model = r.model AND p.phase = 'sft'")))
 def q_early_stop_planned(spark, sf):
     """W6 with the fine-tuning patience of each run's model (5 for 12B, 3 for 27B)."""
-    from tessera.operators.runs import broadcast_if_small, early_stop
+    from tessera.operators.runs import early_stop
     from tessera.plans.run_plan import phase_params
     pat = _runs(spark, sf).where(F.col("phase") == "sft").join(
         F.broadcast(phase_params(spark)), ["model", "phase"]).select("run_id", "patience")  # 4-row table
-    ev = _log(spark, sf).where(F.col("kind") == "eval").join(broadcast_if_small(pat), "run_id")
+    ev = _log(spark, sf).where(F.col("kind") == "eval").join(pat, "run_id")
     return early_stop(ev, "patience").select("run_id", "seq", "counter", "patience", "stop")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Partial top-N per key before the shuffle for row_number() <= N filters.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Partial top-N per key before the shuffle for row_number() <= N filters, for any N.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     # Remove checkpoint files once their DataFrames are gone (long sessions).
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -44,8 +45,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    scratch folder serves local masters only (tests, one machine); on a cluster
+    executors could not share it, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,9 +1,9 @@
 """Stand-ins F1-F6 for the workload's inputs, derived from the driver tables.
 
-Each builder reads only the columns it needs (column pruning reaches the
-parquet scan) and avoids windows keyed by a possibly hot group: neighbouring
-turns are found by an equi-join on ``(conv_id, turn)`` and the per-run event
-order is an exact skew-safe prefix count (``operators.prefix``).
+Each builder reads whole tables and only the columns it needs (column pruning
+reaches the parquet scan), and avoids windows keyed by a possibly hot group:
+neighbouring turns are found by an equi-join on ``(conv_id, turn)`` and the
+per-run event order comes from one distributed sort (``operators.prefix``).
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import table_path
 
-N_LITERATURE_SOURCES = 17
-N_RUNS = 10
+STEP_PER_EVENT = 5     # a step is not an event position
+LOSS_SCALE = 100_000   # loss_c units per 1.0 of loss
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +22,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def literature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``source, row_id, title, text`` (17 sources)."""
+    """``source, row_id, title, text``."""
     d = _read(spark, sf_dir, "documents").select("source", "doc_id", "text")
-    return (d.where(F.substring("source", 4, 10).cast("int") < N_LITERATURE_SOURCES)
-            .select("source", F.col("doc_id").alias("row_id"),
-                    F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("title"),
-                    "text"))
+    return d.select("source", F.col("doc_id").alias("row_id"),
+                    F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("title"), "text")
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,23 +36,23 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "text")
 
 
-def _turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn with its previous and next turn (dense turns, equi-join)."""
+def _turn_pairs(spark: SparkSession, sf_dir: str, previous: bool) -> DataFrame:
+    """Each user turn with the assistant turn that follows it (null without a
+    reply) and, if asked for, the system turn before it."""
     c = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    prev = c.select(F.col("conv_id").alias("p_conv"), (F.col("turn") + 1).alias("p_turn"),
-                    F.col("role").alias("prev_role"), F.col("text").alias("prev_text"))
-    nxt = c.select(F.col("conv_id").alias("n_conv"), (F.col("turn") - 1).alias("n_turn"),
-                   F.col("role").alias("next_role"), F.col("text").alias("next_text"))
-    users = c.where(F.col("role") == "user")
-    return (users
-            .join(nxt, (users.conv_id == nxt.n_conv) & (users.turn == nxt.n_turn), "inner")
-            .where(F.col("next_role") == "assistant")
-            .join(prev, (users.conv_id == prev.p_conv) & (users.turn == prev.p_turn), "left"))
+    nxt = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
+                                                       F.col("text").alias("next_text"))
+    users = c.where(F.col("role") == "user").join(nxt, ["conv_id", "turn"], "left")
+    if not previous:
+        return users
+    prev = c.where(F.col("role") == "system").select("conv_id", (F.col("turn") + 1).alias("turn"),
+                                                     F.col("role").alias("prev_role"), F.col("text").alias("prev_text"))
+    return users.join(prev, ["conv_id", "turn"], "left")
 
 
 def dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``instruction / input / output`` rows (even conversations)."""
-    p = _turn_pairs(spark, sf_dir).where(F.col("conv_id") % 2 == 0)
+    p = _turn_pairs(spark, sf_dir, True).where(F.col("conv_id") % 2 == 0)
     sys_prev = F.col("prev_role") == "system"
     instruction = (F.when(sys_prev, F.col("prev_text"))
                    .when(F.col("conv_id") % 10 == 0, F.concat(F.lit("　"), F.col("text"), F.lit(" 　")))
@@ -68,41 +66,34 @@ def dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def technical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``Input / Output`` rows (odd conversations)."""
-    p = _turn_pairs(spark, sf_dir).where(F.col("conv_id") % 2 == 1)
+    p = _turn_pairs(spark, sf_dir, False).where(F.col("conv_id") % 2 == 1)
     return p.select(F.col("conv_id").alias("row_id"), "turn", F.col("text").alias("Input"),
                     F.col("next_text").alias("Output"))
 
 
-def _events_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``run_id, seq, step, kind, loss_c, loss``; one run per user, ``loss_c``
+    an exact integer of ``LOSS_SCALE`` units."""
     from tessera.operators.prefix import dense_rank_in_group
 
-    e = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    e = e.withColumn("run_id", F.col("user_id") % N_RUNS)
-    # order key: (ts, event_id); ts in microseconds is the coarse chunking key
-    return dense_rank_in_group(e, ["run_id"], F.unix_micros(F.col("ts").cast("timestamp")),
-                               ["ts", "event_id"], out="seq")
-
-
-def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``run_id, seq, step, kind, loss_c`` (loss in hundredths)."""
-    e = _events_ordered(spark, sf_dir)
+    e = _read(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("run_id"), "event_type", "value")
+    e = dense_rank_in_group(e, ["run_id"], ["ts", "event_id"], out="seq")
+    loss_c = F.round(F.col("value") * 100).cast("bigint")
     return e.select(
-        "run_id",
-        F.col("seq").cast("bigint").alias("seq"),
-        F.floor((F.col("seq") + 1) / 2).cast("bigint").alias("step"),
+        "run_id", "seq", (F.col("seq") * STEP_PER_EVENT).cast("bigint").alias("step"),
         F.when(F.col("event_type") == "purchase", "eval").otherwise("train").alias("kind"),
-        F.round(F.col("value") * 100).cast("bigint").alias("loss_c"))
+        loss_c.alias("loss_c"), (loss_c.cast("double") / F.lit(float(LOSS_SCALE))).alias("loss"))
 
 
 def checkpoint_manifest(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> DataFrame:
-    """Checkpoints that exist, as ``(run_id, step)`` with step = event seq.
+    """Checkpoints that exist, as ``(run_id, step)``.
 
     Derived from the metric log (evaluation events whose position is not a
     multiple of 7), so both share one scan and one ordering pass.
     """
     log = log if log is not None else metric_log(spark, sf_dir)
     return (log.where((F.col("kind") == "eval") & (F.col("seq") % 7 != 0))
-            .select("run_id", F.col("seq").alias("step")))
+            .select("run_id", "step"))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +126,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_LITERATURE = """
 SELECT source, doc_id AS row_id, concat(source, '/', CAST(doc_id AS VARCHAR)) AS title, text
-FROM documents WHERE CAST(substr(source, 4) AS int) < 17"""
+FROM documents"""
 
 SQL_DICTIONARY = """
 SELECT 'dict' AS source, item_id AS row_id, concat('item/', CAST(item_id AS VARCHAR)) AS title, text
@@ -149,35 +140,35 @@ SELECT conv_id AS row_id, turn,
        CASE WHEN prev_role = 'system' THEN text
             WHEN conv_id % 4 = 0 THEN ''
             ELSE NULL END AS input,
-       next_text AS output
+       CASE WHEN next_role = 'assistant' THEN next_text END AS output
 FROM (SELECT conv_id, turn, role, text,
              lag(role)  OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
              lag(text)  OVER (PARTITION BY conv_id ORDER BY turn) AS prev_text,
              lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
              lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
       FROM conversations) c
-WHERE role = 'user' AND next_role = 'assistant' AND conv_id % 2 = 0"""
+WHERE role = 'user' AND conv_id % 2 = 0"""
 
 SQL_TECHNICAL = """
-SELECT conv_id AS row_id, turn, text AS Input, next_text AS Output
+SELECT conv_id AS row_id, turn, text AS Input, CASE WHEN next_role = 'assistant' THEN next_text END AS Output
 FROM (SELECT conv_id, turn, role, text,
              lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
              lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
       FROM conversations) c
-WHERE role = 'user' AND next_role = 'assistant' AND conv_id % 2 = 1"""
+WHERE role = 'user' AND conv_id % 2 = 1"""
 
 SQL_METRIC_LOG = """
-SELECT run_id, CAST(seq AS bigint) AS seq, CAST(floor((seq + 1) / 2) AS bigint) AS step,
+SELECT run_id, CAST(seq AS bigint) AS seq, CAST(seq * 5 AS bigint) AS step,
        CASE WHEN event_type = 'purchase' THEN 'eval' ELSE 'train' END AS kind,
-       CAST(round(value * 100) AS bigint) AS loss_c
-FROM (SELECT user_id % 10 AS run_id, event_type, value,
-             row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS seq
+       CAST(round(value * 100) AS bigint) AS loss_c, CAST(round(value * 100) AS DOUBLE) / 100000.0 AS loss
+FROM (SELECT user_id AS run_id, event_type, value,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq
       FROM events) e"""
 
 SQL_CHECKPOINT_MANIFEST = """
-SELECT run_id, CAST(seq AS bigint) AS step
-FROM (SELECT user_id % 10 AS run_id, event_type,
-             row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS seq
+SELECT run_id, CAST(seq * 5 AS bigint) AS step
+FROM (SELECT user_id AS run_id, event_type,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq
       FROM events) e
 WHERE event_type = 'purchase' AND seq % 7 <> 0"""
 

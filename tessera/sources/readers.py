@@ -23,7 +23,7 @@ from tessera.constants import LITERATURE_SOURCES
 TEXT_SCHEMA = "title string, text string"
 DIALOGUE_SCHEMA = "instruction string, input string, output string"
 TECHNICAL_SCHEMA = "Input string, Output string"
-METRIC_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long"
+METRIC_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, loss double"
 SOURCE_KEY = ["source", "file", "row_id"]
 
 
@@ -83,21 +83,23 @@ def read_metric_log(spark: SparkSession, path: str, stream: bool = False,
     return r.parquet(path)
 
 
-def read_trainer_state(spark: SparkSession, path: str, scale: int = 1_000_000) -> DataFrame:
+def read_trainer_state(spark: SparkSession, path: str) -> DataFrame:
     """S5 from the trainer's own files: ``<run>/trainer_state.json`` (``log_history``).
 
     Each file is one run; the run id is its folder name. The position in
     ``log_history`` is the total order ``seq`` (train logs come before the
-    evaluation of the same step). Losses become integers of ``scale`` units
-    (``loss_c``), so sums stay exact; pass the same ``scale`` to the run
+    evaluation of the same step). ``loss`` is the logged double; ``loss_c`` the same
+    as an exact decimal, null for NaN and infinity: pass ``scale=1`` to the run
     analytics. A file is one JSON document, so one task reads one run's file.
     """
     entry = "struct<step:bigint, loss:double, eval_loss:double>"
-    raw = spark.read.schema(f"log_history array<{entry}>").option("multiLine", "true").json(path)
+    raw = spark.read.schema(f"log_history array<{entry}>").option("multiLine", "true") \
+        .option("allowNonNumericNumbers", "true").json(path)
     run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     ex = raw.select(run.alias("run_id"), F.posexplode("log_history").alias("pos", "e"))
     ex = ex.where(F.col("e.loss").isNotNull() | F.col("e.eval_loss").isNotNull())
     value = F.coalesce(F.col("e.eval_loss"), F.col("e.loss"))
+    finite = ~F.isnan(value) & (F.abs(value) < F.lit(1e18))
     return ex.select("run_id", (F.col("pos") + 1).cast("bigint").alias("seq"), F.col("e.step").alias("step"),
                      F.when(F.col("e.eval_loss").isNotNull(), "eval").otherwise("train").alias("kind"),
-                     F.round(value * F.lit(scale)).cast("bigint").alias("loss_c"))
+                     F.when(finite, value).cast("decimal(38,18)").alias("loss_c"), value.alias("loss"))

@@ -23,15 +23,15 @@ def write_corpus(df: DataFrame, path: str | None = None, split_col: str = "split
                  mode: str = "overwrite") -> str:
     """Write the split token table as parquet, one folder per split.
 
-    Rows are range-partitioned by their shuffle key first so files hold
-    disjoint, balanced key ranges. Default location: a fresh folder under
+    Rows are range-partitioned and sorted by their shuffled position ``pos`` first, so
+    files hold disjoint, balanced ranges in order. Default location: a fresh folder under
     the session's shared checkpoint folder.
     """
     spark = df.sparkSession
     if path is None:
         path = os.path.join(checkpoint_dir(spark), "corpus-" + uuid.uuid4().hex)
     order = [c for c in ("pos", "source", "row_id") if c in df.columns]
-    out = df.repartitionByRange(*order) if order else df
+    out = df.repartitionByRange(*order).sortWithinPartitions(split_col, *order) if order else df
     out.write.mode(mode).partitionBy(split_col).parquet(path)
     return path
 
@@ -48,18 +48,18 @@ def _fill(template: str, **cols) -> F.Column:
 
 
 def loss_report(kept: DataFrame) -> DataFrame:
-    """``kept(run_id, rank, seq, eval_loss)`` -> report lines of each run."""
+    """``kept(run_id, rank, step, eval_loss)`` -> report lines of each run."""
     k = with_fixed(kept, "eval_loss", "_l", 4)
     n = kept.groupBy("run_id").agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
     head = n.select("run_id", F.lit(0).alias("line_no"), _fill(LOSS_REPORT_HEADER, n=F.col("_n")).alias("line"))
     body = k.select("run_id", F.col("rank").alias("line_no"),
-                    _fill(LOSS_REPORT_LINE, i=F.col("rank"), step=F.col("seq"), loss=F.col("_l")).alias("line"))
+                    _fill(LOSS_REPORT_LINE, i=F.col("rank"), step=F.col("step"), loss=F.col("_l")).alias("line"))
     tail = n.select("run_id", (F.col("_n") + 1).cast("int").alias("line_no"), F.lit("").alias("line"))
     return head.unionByName(body).unionByName(tail).withColumn("line_no", F.col("line_no").cast("int"))
 
 
 def gap_report(kept: DataFrame, save_steps: int | None = None, eval_steps: int | None = None) -> DataFrame:
-    """``kept(run_id, rank, seq, gap, eval_loss)`` -> report lines of each run.
+    """``kept(run_id, rank, step, gap, eval_loss)`` -> report lines of each run.
 
     The header's cadence is given as numbers, or taken per run from
     ``save_steps`` / ``eval_steps`` columns of ``kept`` (the run plan).
@@ -71,7 +71,7 @@ def gap_report(kept: DataFrame, save_steps: int | None = None, eval_steps: int |
     head = runs.select("run_id", F.lit(0).alias("line_no"),
                        _fill(GAP_REPORT_HEADER, save=F.col("_sv"), eval=F.col("_ev")).alias("line"))
     body = k.select("run_id", F.col("rank").alias("line_no"),
-                    _fill(GAP_REPORT_LINE, i=F.col("rank"), step=F.col("seq"), gap=F.col("_g"),
+                    _fill(GAP_REPORT_LINE, i=F.col("rank"), step=F.col("step"), gap=F.col("_g"),
                           loss=F.col("_l")).alias("line"))
     return head.unionByName(body).withColumn("line_no", F.col("line_no").cast("int"))
 

@@ -4,13 +4,14 @@ Each run is a small sequential state machine, so the stateful part runs as
 ``groupBy(run_id).applyInPandasWithState``: the state per run is bounded
 (N kept checkpoints, a running sum and count, counters), and the rows a
 group sees per micro-batch are bounded by the trigger size
-(``maxFilesPerTrigger`` / ``maxBytesPerTrigger``). Rows of a micro-batch are
-ordered by ``seq`` inside each run; a row at or before the last processed
-``seq`` of its run is emitted with ``late = true`` and changes no state.
+(``maxFilesPerTrigger`` / ``maxBytesPerTrigger``; ``write_log_files`` bounds the events of
+a run per trigger). Rows of a micro-batch are ordered by ``seq`` inside each run. A row at or
+before the last processed ``seq`` of its run, and every repeat of a ``seq`` inside
+a micro-batch but the first, is emitted with ``late = true`` and changes no state.
 
 Output rows carry ``rec``: ``trace`` (one per event decision) or ``kept``
 (the run's kept list after the micro-batch, tagged with ``version`` = last
-processed seq). Once the input is complete, the ``kept`` rows of the
+processed seq; a micro-batch of late rows only emits none). Once the input is complete, the ``kept`` rows of the
 highest version equal the batch ``best_n`` queries, and the trace equals
 the batch admission / early-stop queries.
 """
@@ -30,14 +31,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tessera.constants import EARLY_STOP_THRESHOLD
 from tessera.session import checkpoint_dir
 
-LOG_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, exists boolean"
+LOG_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, loss double, exists boolean"
 
-OUT_SCHEMA = ("run_id long, rec string, version long, seq long, late boolean, eval_no long, n_train long, "
-              "score double, eval_loss double, n_kept int, admitted boolean, evicted_seq long, rank int, "
+OUT_SCHEMA = ("run_id long, rec string, version long, seq long, step long, late boolean, eval_no long, n_train long, "
+              "score double, eval_loss double, n_kept int, admitted boolean, evicted_step long, rank int, "
               "improved boolean, counter long, stop boolean")
 
 STATE_SCHEMA = ("last_seq long, eval_no long, buf_sum long, buf_n long, kept_score array<double>, "
-                "kept_loss array<double>, kept_seq array<long>, best double, last_improved long, stopped boolean")
+                "kept_loss array<double>, kept_seq array<long>, kept_step array<long>, best double, last_improved long, stopped boolean")
 
 _COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
 _PD_TYPES = {"long": "Int64", "int": "Int32", "double": "float64", "boolean": "boolean", "string": "object"}
@@ -55,80 +56,89 @@ def _row(**kw) -> dict:
     return r
 
 
+def _less(a: float, b: float) -> bool:
+    return a < b or (b != b and a == a)
+
+
 class _Run:
     """Mutable per-run state, read from and written back to ``GroupState``."""
 
     def __init__(self, state: GroupState):
         if state.exists:
-            (self.last_seq, self.eval_no, self.buf_sum, self.buf_n, ks, kl, kq, self.best,
+            (self.last_seq, self.eval_no, self.buf_sum, self.buf_n, ks, kl, kq, kt, self.best,
              self.last_improved, self.stopped) = state.get
-            self.kept = list(zip(ks or [], kl or [], kq or []))
+            self.kept = list(zip(ks or [], kl or [], kq or [], kt or []))
         else:
             self.last_seq, self.eval_no, self.buf_sum, self.buf_n = -1, 0, 0, 0
             self.kept, self.best, self.last_improved, self.stopped = [], None, 0, False
 
     def save(self, state: GroupState) -> None:
         state.update((self.last_seq, self.eval_no, self.buf_sum, self.buf_n,
-                      [k[0] for k in self.kept], [k[1] for k in self.kept], [k[2] for k in self.kept],
-                      self.best, self.last_improved, self.stopped))
+                      *([k[i] for k in self.kept] for i in range(4)), self.best, self.last_improved, self.stopped))
 
-    def admit(self, score: float, loss: float, seq: int, exists: bool, n: int):
+    def admit(self, score: float, loss: float, seq: int, step: int, exists: bool, n: int):
         """Keep-N rule: admitted while the list is not full or strictly better
-        than the worst; a saved admission that overfills evicts the worst."""
+        than the worst; a saved admission that overfills evicts the worst. NaN
+        ranks last, as Spark orders it."""
         full = len(self.kept) >= n
-        admitted = (not full) or score < self.kept[-1][0]
+        admitted = (not full) or _less(score, self.kept[-1][0])
         evicted = None
         if admitted and exists:
             pos = len(self.kept)
-            while pos > 0 and self.kept[pos - 1][0] > score:  # stable: after equal scores
+            while pos > 0 and _less(score, self.kept[pos - 1][0]):  # stable: after equal scores
                 pos -= 1
-            self.kept.insert(pos, (score, loss, seq))
+            self.kept.insert(pos, (score, loss, seq, step))
             if len(self.kept) > n:
-                evicted = self.kept.pop()[2]
+                evicted = self.kept.pop()[3]
         return admitted, evicted
 
 
-def _batch_rows(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
+def _batch_rows(pdfs: Iterator[pd.DataFrame], last_seq: int) -> tuple[pd.DataFrame, pd.Series]:
+    """A run's rows of a micro-batch in order, without late rows and repeats; and the
+    positions that were late or repeated."""
     frames = [p for p in pdfs if len(p)]
     if not frames:
-        return pd.DataFrame(columns=[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")])
-    return pd.concat(frames, ignore_index=True).sort_values("seq", kind="stable")
+        rows = pd.DataFrame(columns=[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")])
+    else:
+        rows = pd.concat(frames, ignore_index=True).sort_values("seq", kind="stable")
+    late = (rows["seq"] <= last_seq) | rows["seq"].duplicated()
+    return rows[~late], rows["seq"][late]
+
 
+def _late_rows(run_id: int, late: pd.Series) -> list[dict]:
+    return [_row(run_id=run_id, rec="trace", seq=int(q), late=True) for q in late]
 
-def _kept_rows(run_id: int, run: _Run) -> list[dict]:
-    return [_row(run_id=run_id, rec="kept", version=run.last_seq, seq=q, score=s, eval_loss=l, rank=i)
-            for i, (s, l, q) in enumerate(run.kept, 1)]
 
+def _kept_rows(run_id: int, run: _Run, moved: bool) -> list[dict]:
+    return [_row(run_id=run_id, rec="kept", version=run.last_seq, seq=q, step=t, score=s, eval_loss=l, rank=i)
+            for i, (s, l, q, t) in enumerate(run.kept, 1)] if moved else []
 
-def best_n_processor(n: int, scale: int = 100):
-    """ST1: keep the N lowest evaluation losses of each run (``loss_c / scale``)."""
+
+def best_n_processor(n: int):
+    """ST1: keep the N lowest evaluation losses of each run."""
 
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
         run = _Run(state)
-        out = []
-        for r in _batch_rows(pdfs).itertuples(index=False):
-            if r.seq <= run.last_seq:
-                out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=True))
-                continue
-            run.last_seq = int(r.seq)
-            if r.kind != "eval":
-                continue
+        rows, late = _batch_rows(pdfs, run.last_seq)
+        out = _late_rows(run_id, late)
+        for r in rows[rows["kind"] == "eval"].itertuples(index=False):
             run.eval_no += 1
-            loss = r.loss_c / scale
-            n_before = len(run.kept)
-            admitted, evicted = run.admit(loss, loss, int(r.seq), bool(r.exists), n)
-            out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), late=False, eval_no=run.eval_no,
+            n_before, loss = len(run.kept), float(r.loss)
+            admitted, evicted = run.admit(loss, loss, int(r.seq), int(r.step), bool(r.exists), n)
+            out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), step=int(r.step), late=False, eval_no=run.eval_no,
                             score=loss, eval_loss=loss, n_kept=min(n_before, n), admitted=admitted,
-                            evicted_seq=evicted))
-        out += _kept_rows(run_id, run)
+                            evicted_step=evicted))
+        if len(rows):
+            run.last_seq = int(rows["seq"].max())
+        out += _kept_rows(run_id, run, len(rows) > 0)
         run.save(state)
         yield _frame(out)
 
     return fn
 
 
-def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
+def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100_000):
     """ST2: keep the N smallest generalisation gaps, after ``warmup`` evaluations.
 
     Train-loss buffers are cumulative sums between evaluations (vectorised,
@@ -140,11 +150,8 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
         run = _Run(state)
-        rows = _batch_rows(pdfs)
-        seq = rows["seq"].to_numpy(dtype="int64")
-        late = seq <= run.last_seq
-        out = [_row(run_id=run_id, rec="trace", seq=int(q), late=True) for q in seq[late]]
-        cur = rows[~late]
+        cur, late = _batch_rows(pdfs, run.last_seq)
+        out = _late_rows(run_id, late)
         if len(cur):
             run.last_seq = int(cur["seq"].max())
             kind = cur["kind"].to_numpy()
@@ -160,30 +167,30 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100):
                 seg_c[0] += run.buf_n
                 eval_no = run.eval_no + 1 + np.arange(len(e_pos))
                 ev = cur.iloc[e_pos]
-                for q, loss_c, ex, no, total, n_train in zip(ev["seq"], ev["loss_c"], ev["exists"], eval_no,
-                                                             seg_l, seg_c):
+                for q, t, loss, ex, no, total, n_train in zip(ev["seq"], ev["step"], ev["loss"], ev["exists"], eval_no,
+                                                              seg_l, seg_c):
                     if no <= warmup or n_train == 0:
                         continue
-                    loss = int(loss_c) / scale
+                    loss = float(loss)
                     gap = abs(loss - int(total) / (int(n_train) * scale))
                     n_before = len(run.kept)
-                    admitted, evicted = run.admit(gap, loss, int(q), bool(ex), n)
-                    out.append(_row(run_id=run_id, rec="trace", seq=int(q), late=False, eval_no=int(no),
+                    admitted, evicted = run.admit(gap, loss, int(q), int(t), bool(ex), n)
+                    out.append(_row(run_id=run_id, rec="trace", seq=int(q), step=int(t), late=False, eval_no=int(no),
                                     n_train=int(n_train), score=gap, eval_loss=loss, n_kept=min(n_before, n),
-                                    admitted=admitted, evicted_seq=evicted))
+                                    admitted=admitted, evicted_step=evicted))
                 run.eval_no = int(eval_no[-1])
                 run.buf_sum, run.buf_n = int(cs_l[-1] - at_l[-1]), int(cs_c[-1] - at_c[-1])
             else:
                 run.buf_sum += int(cs_l[-1])
                 run.buf_n += int(cs_c[-1])
-        out += _kept_rows(run_id, run)
+        out += _kept_rows(run_id, run, len(cur) > 0)
         run.save(state)
         yield _frame(out)
 
     return fn
 
 
-def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD, scale: int = 100):
+def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD):
     """ST3: patience counter; the best moves on any strict decrease.
 
     Vectorised over the micro-batch of a run: the prior best is a running
@@ -194,19 +201,17 @@ def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD,
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
         run = _Run(state)
-        rows = _batch_rows(pdfs)
-        seq = rows["seq"].to_numpy(dtype="int64")
-        late = seq <= run.last_seq
-        out = [_row(run_id=run_id, rec="trace", seq=int(q), late=True) for q in seq[late]]
-        ev = rows[(~late) & (rows["kind"] == "eval").to_numpy()]
-        if len(seq[~late]):
-            run.last_seq = int(seq[~late].max())
+        rows, late = _batch_rows(pdfs, run.last_seq)
+        out = _late_rows(run_id, late)
+        ev = rows[(rows["kind"] == "eval").to_numpy()]
+        if len(rows):
+            run.last_seq = int(rows["seq"].max())
         if len(ev):
-            loss = ev["loss_c"].to_numpy(dtype="float64")
+            loss = ev["loss"].to_numpy(dtype="float64")
             best0 = np.inf if run.best is None else float(run.best)
-            running = np.minimum.accumulate(np.concatenate([[best0], loss]))
+            running = np.fmin.accumulate(np.concatenate([[best0], loss]))  # NaN is never best
             prior = running[:-1]
-            improved = np.isinf(prior) | ((loss < prior) & (np.abs((prior - loss) / scale) > threshold))
+            improved = np.isinf(prior) | ((loss < prior) & (np.abs(prior - loss) > threshold))
             idx = run.eval_no + 1 + np.arange(len(loss))
             last = np.maximum.accumulate(np.maximum(np.where(improved, idx, 0), run.last_improved))
             counter = idx - last
@@ -236,30 +241,32 @@ def stateful(stream: DataFrame, fn, evals_only: bool = False) -> DataFrame:
 
 # ---- running a stream to completion over files (availableNow) ----
 
-def write_log_files(log: DataFrame, folder: str, n_files: int) -> str:
-    """Write the log as ``n_files`` successive files in ``seq`` order (one job
-    each, so file times follow event order) for a file-stream source."""
-    os.makedirs(folder, exist_ok=True) if not folder.startswith(("hdfs:", "s3", "gs:", "abfs")) else None
-    bounds = log.agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).first()
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
-    width = max(1, math.ceil((hi - lo + 1) / n_files))
-    for i in range(n_files):
-        part = log.where((F.col("seq") >= lo + i * width) & (F.col("seq") < lo + (i + 1) * width))
-        part.coalesce(1).write.mode("append").parquet(folder)
+def write_log_files(log: DataFrame, folder: str, events_per_run: int, files: int) -> str:
+    """Write the log for a file-stream source: one job per ``events_per_run`` positions of
+    the runs, in order, each with up to ``files`` files dealt by run.
+
+    File times follow the jobs, so a run's events come in order, and a trigger of ``files``
+    files gives a run at most about ``events_per_run`` events, however long it is.
+    """
+    hi = log.agg(F.max("seq").alias("hi")).first()["hi"] or 0
+    block = F.floor((F.col("seq") - 1) / F.lit(events_per_run))
+    for i in range(max(1, math.ceil(hi / events_per_run))):
+        log.where(block == i).repartition(files, "run_id").write.mode("append").parquet(folder)
     return folder
 
 
-def run_available_now(spark: SparkSession, log: DataFrame, fn, n_files: int = 3,
+def run_available_now(spark: SparkSession, log: DataFrame, fn, events_per_run: int = 100_000, files: int | None = None,
                       sink=None, base: str | None = None, evals_only: bool = False) -> DataFrame:
     """Stream ``log`` through the stateful ``fn`` and return all output rows.
 
-    ``sink(batch_df, batch_id)`` (``foreachBatch``) replaces the default
-    parquet file sink when given.
+    ``sink(batch_df, batch_id)`` (``foreachBatch``) gets each micro-batch's rows as
+    written and read back, so the stateful plan runs once per micro-batch.
     """
     base = base or os.path.join(checkpoint_dir(spark), "stream-" + uuid.uuid4().hex)
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = write_log_files(log.select(*[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]),
-                          os.path.join(base, "input"), n_files)
-    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+                          os.path.join(base, "input"), events_per_run, files)
+    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files).parquet(src)
     out = stateful(stream, fn, evals_only)
     out_path = os.path.join(base, "out")
     writer = out.writeStream.option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True)
@@ -268,8 +275,9 @@ def run_available_now(spark: SparkSession, log: DataFrame, fn, n_files: int = 3,
     else:
         def _both(batch_df, batch_id):
             # idempotent on retry: a re-run micro-batch rewrites its own folder
-            batch_df.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={batch_id}"))
-            sink(batch_df, batch_id)
+            folder = os.path.join(out_path, f"batch={batch_id}")
+            batch_df.write.mode("overwrite").parquet(folder)
+            sink(batch_df.sparkSession.read.schema(batch_df.schema).parquet(folder), batch_id)
         q = writer.foreachBatch(_both).start()
     q.awaitTermination()
     cols = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
@@ -292,12 +300,6 @@ def leaderboard_sink(report_path: str, build_lines):
         last = kept.groupBy("run_id").agg(F.max("version").alias("version"))
         kept = kept.join(last, ["run_id", "version"], "inner")
         lines = build_lines(kept)
-        spark = batch_df.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            lines.write.mode("overwrite").partitionBy("run_id").parquet(report_path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(report_path)
 
     return sink

@@ -7,28 +7,28 @@ from pyspark.sql import functions as F
 
 from tessera.operators import runs
 from tessera.sources.sinks import loss_report, write_report
-from tests.test_runs import SCHEMA
+from tests.test_runs import SCHEMA, event
 
 
 def _evals(spark, losses, exists=True):
-    rows = [(0, i + 1, i + 1, "eval", l, exists) for i, l in enumerate(losses)]
+    rows = [event(0, i + 1, "eval", l, exists) for i, l in enumerate(losses)]
     return spark.createDataFrame(rows, SCHEMA)
 
 
 def test_tie_with_full_list_is_not_admitted(spark):
     # N = 2: losses 5 (seq 1), 3 (seq 2) fill the list; seq 3 ties the worst (5) -> not admitted
-    t = runs.admission_trace(_evals(spark, [5, 3, 5, 4]), "loss_c", F.col("exists"), 2)
+    t = runs.admission_trace(_evals(spark, [5, 3, 5, 4]), "loss", F.col("exists"), 2)
     got = [(r["seq"], r["admitted"], r["reason"]) for r in t.orderBy("seq").collect()]
     assert got == [(1, True, "Limit not reached"), (2, True, "Limit not reached"),
                    (3, False, "Not better than worst"), (4, True, "Better than worst")]
     ev = runs.evicted(t, F.col("exists"), 2).collect()
-    assert [(r["evicted_step"], r["evicted_by"]) for r in ev] == [(1, 4)]
+    assert [(r["evicted_step"], r["evicted_by"]) for r in ev] == [(10, 40)]
 
 
 def test_fewer_events_than_n(spark):
-    t = runs.admission_trace(_evals(spark, [7, 8, 9]), "loss_c", F.col("exists"), 10)
+    t = runs.admission_trace(_evals(spark, [7, 8, 9]), "loss", F.col("exists"), 10)
     assert [r["reason"] for r in t.collect()] == ["Limit not reached"] * 3
-    kept = runs.best_n(_evals(spark, [7, 8, 9]), "loss_c", 10)
+    kept = runs.best_n(_evals(spark, [7, 8, 9]), "loss", 10)
     assert kept.count() == 3
 
 
@@ -37,12 +37,10 @@ def test_empty_interval_and_warmup(spark):
     # eval 11 directly after it (empty interval: no decision), eval 12 with two samples
     rows, seq = [], 0
     for _ in range(9):
-        rows += [(0, seq + 1, seq + 1, "train", 100, True), (0, seq + 2, seq + 2, "eval", 120, True)]
+        rows += [event(0, seq + 1, "train", 100_000), event(0, seq + 2, "eval", 120_000)]
         seq += 2
-    rows += [(0, seq + 1, 0, "train", 100, True), (0, seq + 2, 0, "eval", 150, True),
-             (0, seq + 3, 0, "eval", 160, True),
-             (0, seq + 4, 0, "train", 100, True), (0, seq + 5, 0, "train", 101, True),
-             (0, seq + 6, 0, "eval", 99, True)]
+    rows += [event(0, seq + 1, "train", 100_000), event(0, seq + 2, "eval", 150_000), event(0, seq + 3, "eval", 160_000),
+             event(0, seq + 4, "train", 100_000), event(0, seq + 5, "train", 101_000), event(0, seq + 6, "eval", 99_000)]
     g = runs.generalization_gap(spark.createDataFrame(rows, SCHEMA)).orderBy("seq").collect()
     assert [r["eval_no"] for r in g] == [10, 12]
     assert abs(g[0]["gap"] - 0.5) < 1e-12 and g[0]["n_train"] == 1
@@ -58,7 +56,7 @@ def test_nan_ranks_last(spark):
 
 def test_report_files_are_ordered_per_run(spark):
     kept = spark.createDataFrame([(0, 1, 5, 0.25), (0, 2, 9, 0.5), (1, 1, 3, 1.03125)],
-                                 "run_id long, rank int, seq long, eval_loss double")
+                                 "run_id long, rank int, step long, eval_loss double")
     lines = loss_report(kept)
     out = os.path.join(tempfile.mkdtemp(prefix="tessera-report-"), "reports")
     write_report(lines, out)
@@ -73,7 +71,7 @@ def test_report_files_are_ordered_per_run(spark):
 def test_gap_report_header_per_run(spark):
     from tessera.sources.sinks import gap_report
     kept = spark.createDataFrame([(0, 1, 7, 0.03125, 2.5, 3, 30), (1, 1, 4, 0.5, 1.0, 1, 10)],
-                                 "run_id long, rank int, seq long, gap double, eval_loss double, "
+                                 "run_id long, rank int, step long, gap double, eval_loss double, "
                                  "save_steps long, eval_steps long")
     lines = {(r["run_id"], r["line_no"]): r["line"] for r in gap_report(kept).collect()}
     assert lines[(0, 0)] == "Stability Priority Leaderboard (Samples every 3 steps, Settlement every 30 steps)"

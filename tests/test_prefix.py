@@ -35,8 +35,13 @@ def test_running_equals_window(spark, data, width):
     assert got == {(r["g"], r["k"]): (r["a"], r["b"], r["c"], r["d"]) for r in ref.collect()}
 
 
-def test_dense_rank_adaptive_width(spark, data):
-    got = {(r["g"], r["k"]): r["seq"] for r in
-           dense_rank_in_group(data, ["g"], F.col("k"), ["k"], target_rows=7).collect()}
+def test_running_with_few_chunks_per_super_chunk(spark, data, monkeypatch):
+    from tessera.operators import prefix
+    monkeypatch.setattr(prefix, "FAN", 3)
+    test_running_equals_window(spark, data, 3.0)
+
+
+def test_dense_rank(spark, data):
+    got = {(r["g"], r["k"]): r["seq"] for r in dense_rank_in_group(data, ["g"], ["k"]).collect()}
     ref = data.select("g", "k", F.row_number().over(Window.partitionBy("g").orderBy("k")).alias("n"))
     assert got == {(r["g"], r["k"]): r["n"] for r in ref.collect()}

@@ -1,7 +1,8 @@
-"""Run analytics vs plain-Python sequential simulations of the callbacks.
+"""Run analytics against their definitions, evaluated directly on small logs.
 
-Random event streams with many ties, empty intervals and missing
-checkpoints; chunk widths are made tiny so every chunk boundary path runs.
+Random event logs with many ties, empty intervals and missing checkpoints;
+chunk widths are made tiny so every chunk boundary path runs. A step is not an
+event position (``step = 10 * seq``), and losses lie around the early-stop threshold.
 """
 
 import random
@@ -11,8 +12,13 @@ from pyspark.sql import functions as F
 
 from tessera.operators import runs
 
-SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, exists boolean"
+SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, loss double, exists boolean"
 N = 3
+UNIT = 100_000
+
+
+def event(run, seq, kind, loss_c, exists=True):
+    return (run, seq, 10 * seq, kind, loss_c, loss_c / UNIT, exists)
 
 
 def make_events(seed=7, n_runs=4, n_events=160):
@@ -23,77 +29,68 @@ def make_events(seed=7, n_runs=4, n_events=160):
         for _ in range(n_events):
             seq += rnd.choice([1, 1, 2, 5])  # gaps in seq are allowed
             kind = "eval" if rnd.random() < 0.35 else "train"
-            loss = rnd.randint(0, 12)  # small range: many ties
-            rows.append((run, seq, (seq + 1) // 2, kind, loss, rnd.random() < 0.8))
+            rows.append(event(run, seq, kind, 60 * rnd.randint(0, 12), rnd.random() < 0.8))  # many ties
     return rows
 
 
-def sim_loss(rows, n):
-    """Keep-N by eval loss: admission, insertion if saved, eviction."""
-    out, kept = {}, {}
-    for run, seq, step, kind, loss, ex in sorted(rows):
-        if kind != "eval":
-            continue
-        k = kept.setdefault(run, [])
-        full = len(k) >= n
-        worst = k[-1] if full else None
-        admitted = (not full) or loss < worst[0]
-        evicted = None
-        if admitted and ex:
-            k.append((loss, seq))
-            k.sort(key=lambda t: t[0])
-            if len(k) > n:
-                evicted = k.pop()[1]
-        out[(run, seq)] = (admitted, min(len(k) - (1 if admitted and ex else 0) + (1 if evicted else 0), n),
-                           worst[1] if worst else None, evicted)
-    return out, kept
-
-
-def sim_gap(rows, n, warmup):
-    kept, out, buf, cnt = {}, {}, {}, {}
-    for run, seq, step, kind, loss, ex in sorted(rows):
-        b = buf.setdefault(run, [])
-        if kind == "train":
-            b.append(loss)
-            continue
-        cnt[run] = cnt.get(run, 0) + 1
-        buf[run] = []
-        if cnt[run] <= warmup or not b:
-            continue
-        gap = abs(loss / 100.0 - sum(b) / (len(b) * 100))
-        k = kept.setdefault(run, [])
-        full = len(k) >= n
-        admitted = (not full) or gap < k[-1][0]
-        out[(run, seq)] = (gap, admitted)
-        if admitted and ex:
-            k.append((gap, seq))
-            k.sort(key=lambda t: t[0])
-            if len(k) > n:
-                k.pop()
-    return out, kept
-
-
-def sim_early_stop(rows, patience, thr=0.001):
-    out, best, counter = {}, {}, {}
-    for run, seq, step, kind, loss, ex in sorted(rows):
-        if kind != "eval":
-            continue
-        b = best.get(run)
-        if b is None or (loss < b and abs((b - loss) / 100.0) > thr):
-            counter[run] = 0
-        else:
-            counter[run] = counter.get(run, 0) + 1
-        if b is None or loss < b:
-            best[run] = loss
-        out[(run, seq)] = (counter[run], counter[run] >= patience)
+def evals_of(rows, run):
+    return sorted((seq, step, loss, ex) for r, seq, step, kind, _, loss, ex in rows if r == run and kind == "eval")
+
+
+def kept_before(scored, seq, n):
+    """The n best existing (score, seq, step) among the rows before ``seq``."""
+    return sorted((s, q, t) for q, t, s, ex in scored if ex and q < seq)[:n]
+
+
+def decisions(scored, n):
+    """seq -> (admitted, step of the worst kept row when the list is full)."""
+    out = {}
+    for seq, _, score, _ in scored:
+        kept = kept_before(scored, seq, n)
+        full = len(kept) == n
+        out[seq] = (not full or score < kept[-1][0], kept[-1][2] if full else None)
     return out
 
 
+def evictions(scored, n):
+    """(step pushed out, step that pushed it): the kept list before and after each row."""
+    out = set()
+    for seq, step, _, _ in scored:
+        before, after = kept_before(scored, seq, n), kept_before(scored, seq + 1, n)
+        out |= {(t, step) for _, _, t in set(before) - set(after)}
+    return out
+
+
+def gaps_of(rows, run, warmup):
+    """(seq, step, gap, exists) of each evaluation that makes a decision."""
+    events, out = sorted(r for r in rows if r[0] == run), []
+    ends = [i for i, e in enumerate(events) if e[3] == "eval"]
+    for number, (start, end) in enumerate(zip([-1, *ends], ends), 1):
+        train = [e[4] for e in events[start + 1:end]]
+        if number > warmup and train:
+            _, seq, step, _, _, loss, ex = events[end]
+            out.append((seq, step, abs(loss - sum(train) / (len(train) * UNIT)), ex))
+    return out
+
+
+def waits_of(rows, run, threshold=0.001):
+    """seq -> evaluations since the last one that beat all before it by more than ``threshold``."""
+    losses = [(seq, loss) for seq, _, loss, _ in evals_of(rows, run)]
+    better = [i for i, (_, x) in enumerate(losses)
+              if i == 0 or (x < min(y for _, y in losses[:i]) and min(y for _, y in losses[:i]) - x > threshold)]
+    return {seq: i - max(b for b in better if b <= i) for i, (seq, _) in enumerate(losses)}
+
+
+RUNS = range(4)
+
+
 @pytest.fixture
 def small_chunks(monkeypatch):
+    from tessera.operators import prefix
     monkeypatch.setattr(runs, "SEQ_CHUNK", 7.0)
     monkeypatch.setattr(runs, "ADMIT_CHUNK", 5.0)
     monkeypatch.setattr(runs, "ADMIT_FAN", 3)
+    monkeypatch.setattr(prefix, "FAN", 4)
 
 
 @pytest.fixture(scope="module")
@@ -101,92 +98,108 @@ def rows():
     return make_events()
 
 
+def check_list(trace, scored, n):
+    """Decisions and evictions of one run's list."""
+    got = {r["seq"]: (r["admitted"], r["worst_step"]) for r in trace.collect()}
+    assert got == decisions(scored, n)
+    out = runs.evicted(trace, F.col("exists"), n).collect()
+    assert {(r["evicted_step"], r["evicted_by"]) for r in out} == evictions(scored, n)
+
+
 def test_admission_and_eviction(spark, rows, small_chunks):
     df = spark.createDataFrame(rows, SCHEMA).where("kind = 'eval'")
-    trace = runs.admission_trace(df, "loss_c", F.col("exists"), N)
-    want, kept = sim_loss(rows, N)
-    got = {(r["run_id"], r["seq"]): r for r in trace.collect()}
-    assert set(got) == set(want)
-    for key, (admitted, _, worst_seq, _) in want.items():
-        assert got[key]["admitted"] == admitted, key
-        assert got[key]["worst_step"] == worst_seq, key
-    ev = runs.evicted(trace, F.col("exists"), N).collect()
-    want_ev = {(k[0], v[3], k[1]) for k, v in want.items() if v[3] is not None}
-    assert {(r["run_id"], r["evicted_step"], r["evicted_by"]) for r in ev} == want_ev
+    trace = runs.admission_trace(df, "loss", F.col("exists"), N)
+    for run in RUNS:
+        check_list(trace.where(f"run_id = {run}"), evals_of(rows, run), N)
+
+
+def test_gap_admission_and_eviction(spark, rows, small_chunks):
+    df = spark.createDataFrame(rows, SCHEMA)
+    gaps = runs.generalization_gap(df.drop("exists")).join(df.select("run_id", "seq", "exists"), ["run_id", "seq"])
+    trace = runs.admission_trace(gaps, "gap", F.col("exists"), N)
+    for run in RUNS:
+        check_list(trace.where(f"run_id = {run}"), gaps_of(rows, run, 9), N)
 
 
 def test_best_n_equals_final_list(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA).where("kind = 'eval' AND exists")
     got = {}
-    for r in runs.best_n(df, "loss_c", N).orderBy("run_id", "rank").collect():
-        got.setdefault(r["run_id"], []).append((r["loss_c"], r["seq"]))
-    _, kept = sim_loss(rows, N)
-    assert got == kept
+    for r in runs.best_n(df, "loss", N).orderBy("run_id", "rank").collect():
+        got.setdefault(r["run_id"], []).append((r["loss"], r["seq"], r["step"]))
+    assert got == {run: kept_before(evals_of(rows, run), 10**9, N) for run in RUNS}
 
 
 def test_gap_and_gap_list(spark, rows, small_chunks):
     df = spark.createDataFrame(rows, SCHEMA)
     gaps = runs.generalization_gap(df.drop("exists"), multiple=10)
-    want, kept = sim_gap(rows, N, warmup=9)
     got = {(r["run_id"], r["seq"]): r["gap"] for r in gaps.collect()}
-    assert got == {k: v[0] for k, v in want.items()}
-    g = gaps.join(df.select("run_id", "seq", "exists"), ["run_id", "seq"])
-    lst = {}
-    for r in runs.best_n(g.where("exists"), "gap", N).orderBy("run_id", "rank").collect():
-        lst.setdefault(r["run_id"], []).append((r["gap"], r["seq"]))
-    assert lst == kept
+    assert got == {(run, seq): gap for run in RUNS for seq, _, gap, _ in gaps_of(rows, run, 9)}
+
+
+def test_gap_per_run_cadence(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    every = F.when(F.col("run_id") % 2 == 0, 20).otherwise(10)
+    got = runs.generalization_gap(df.withColumn("every", every), save_steps="every").collect()
+    sampled = [r for r in rows if r[3] == "eval" or r[0] % 2 or r[2] % 20 == 0]
+    assert {(r["run_id"], r["seq"]): r["gap"] for r in got} == \
+        {(run, seq): gap for run in RUNS for seq, _, gap, _ in gaps_of(sampled, run, 9)}
 
 
 def test_early_stop(spark, rows, small_chunks):
     df = spark.createDataFrame(rows, SCHEMA).where("kind = 'eval'")
     got = {(r["run_id"], r["seq"]): (r["counter"], r["stop"]) for r in runs.early_stop(df, 3).collect()}
-    assert got == sim_early_stop(rows, 3)
+    assert got == {(run, seq): (n, n >= 3) for run in RUNS for seq, n in waits_of(rows, run).items()}
 
 
 def test_early_stop_threshold_edges(spark):
-    # best 1.000; improvement of exactly 0.001 (not > threshold) then 0.0005 moves
-    # the best without resetting patience. Losses here in thousandths: scale 1000.
-    rows = [(0, 1, 1, "eval", 1000, True), (0, 2, 1, "eval", 999, True),
-            (0, 3, 2, "eval", 998, True), (0, 4, 2, "eval", 996, True)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    got = [(r["improved"], r["counter"]) for r in runs.early_stop(df, 3, scale=1000.0).orderBy("seq").collect()]
+    # 0.0005 better moves the best without resetting patience; 0.002 better resets it
+    df = spark.createDataFrame([event(0, i + 1, "eval", x) for i, x in enumerate([100_000, 99_950, 99_900, 99_700])], SCHEMA)
+    got = [(r["improved"], r["counter"]) for r in runs.early_stop(df, 3).orderBy("seq").collect()]
     assert got == [(True, 0), (False, 1), (False, 2), (True, 0)]
 
 
+def test_nan_losses(spark):
+    nan = float("nan")
+    rows = [(0, i + 1, 10 * (i + 1), k, None if x != x else int(x * UNIT), x, True) for i, (k, x) in enumerate(
+        [("eval", nan), ("train", nan), ("eval", 0.5), ("train", 0.25), ("eval", 0.5)])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ev = df.where("kind = 'eval'")
+    assert [r["seq"] for r in runs.best_n(ev, "loss", 3).orderBy("rank").collect()] == [3, 5, 1]  # NaN ranks last
+    means = {r["interval"]: r["mean_train_loss"] for r in runs.interval_train_loss(df).collect()}
+    assert means[1] != means[1] and means[2] == 0.25
+    assert [r["improved"] for r in runs.early_stop(ev, 3).orderBy("seq").collect()][1:] == [True, False]
+
+
 def test_interval_and_warmup(spark, rows, small_chunks):
     df = spark.createDataFrame(rows, SCHEMA)
-    iv = {(r["run_id"], r["seq"]): r["interval"] for r in runs.with_interval(df).collect()}
-    count = {}
-    for run, seq, *_rest in sorted(rows):
-        kind = _rest[1]
-        assert iv[(run, seq)] == count.get(run, 0)
-        if kind == "eval":
-            count[run] = count.get(run, 0) + 1
+    got = {(r["run_id"], r["seq"]): r["interval"] for r in runs.with_interval(df).collect()}
+    for run in RUNS:
+        at = [seq for seq, *_ in evals_of(rows, run)]
+        assert all(got[(run, r[1])] == sum(q < r[1] for q in at) for r in rows if r[0] == run)
     w = runs.warmup_counter(df, multiple=10).where("run_id = 0").orderBy("seq").collect()
     assert [r["warmup"] for r in w][:10] == [True] * 9 + [False]
 
 
 def test_new_best_and_rank1(spark, rows, small_chunks):
     df = spark.createDataFrame(rows, SCHEMA).where("kind = 'eval'")
-    nb = {(r["run_id"], r["seq"]): r["new_best"] for r in runs.new_best_flag(df).collect()}
-    best = {}
-    for run, seq, step, kind, loss, ex in sorted(rows):
-        if kind == "eval":
-            assert nb[(run, seq)] == (run not in best or loss < best[run])
-            best[run] = min(best.get(run, loss), loss)
-    r1 = {r["run_id"]: r["best_step"] for r in runs.rank1(df.where("exists"), "loss_c").collect()}
-    _, kept = sim_loss(rows, N)
-    assert r1 == {run: lst[0][1] for run, lst in kept.items()}
+    got = {(r["run_id"], r["seq"]): r["new_best"] for r in runs.new_best_flag(df).collect()}
+    for run in RUNS:
+        ev = evals_of(rows, run)
+        assert all(got[(run, q)] == all(x < y for p, _, y, _ in ev if p < q) for q, _, x, _ in ev)
+    best = {r["run_id"]: r["best_step"] for r in runs.rank1(df.where("exists"), "loss").collect()}
+    assert best == {run: kept_before(evals_of(rows, run), 10**9, 1)[0][2] for run in RUNS}
+
+
+def test_existing_checkpoints_match_on_step(spark):
+    df = spark.createDataFrame([event(0, 1, "train", 7), event(0, 2, "eval", 5), event(0, 4, "eval", 4)], SCHEMA).drop("exists")
+    manifest = spark.createDataFrame([(0, 20), (0, 4)], "run_id long, step long")
+    ev = df.where("kind = 'eval'")
+    assert [r["step"] for r in runs.existing(ev, manifest).collect()] == [20]
+    assert {r["step"]: r["exists"] for r in runs.mark_existing(ev, manifest).collect()} == {20: True, 40: False}
 
 
 def test_events_until_stop(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    stops = runs.stop_points(runs.early_stop(df.where("kind = 'eval'"), 3))
-    kept = runs.events_until_stop(df, stops)
-    sim = sim_early_stop(rows, 3)
-    first = {}
-    for (run, seq), (_, stop) in sorted(sim.items()):
-        if stop and run not in first:
-            first[run] = seq
-    want = sum(1 for r in rows if r[0] not in first or r[1] <= first[r[0]])
-    assert kept.count() == want
+    kept = runs.events_until_stop(df, runs.stop_points(runs.early_stop(df.where("kind = 'eval'"), 3)))
+    stop = {run: min((q for q, n in waits_of(rows, run).items() if n >= 3), default=10**9) for run in RUNS}
+    assert kept.count() == sum(r[1] <= stop[r[0]] for r in rows)

@@ -15,3 +15,22 @@ def test_cut_lineage_is_reliable(spark):
     cut = cut_lineage(df)
     assert cut.count() == 100
     assert cut._jdf.queryExecution().optimizedPlan().toString().startswith("LogicalRDD")  # lineage cut
+
+
+def test_unset_folder_is_an_error_on_a_cluster():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

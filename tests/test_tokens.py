@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessera.constants import BOS_ID, EOS_ID, LABEL_IGNORE, PAD_ID, UNK_ID
-from tessera.operators.tokens import build_vocabulary, encode, pad_batch, padding_efficiency
+from tessera.operators.tokens import build_vocabulary, encode, pad_batch, padding_efficiency, size_batches
 
 
 def test_length_edges_and_empty_text(spark):
@@ -28,33 +28,56 @@ def test_vocabulary_order_and_ties(spark):
     assert got == [("a", 4, 2), ("b", 5, 2), ("c", 6, 1)]
 
 
+def padded(spark, rows, **kw):
+    """Samples (batch, lane) whose ids are stored under their own key."""
+    ids = spark.createDataFrame([(k, x, len(x)) for k, (_, _, x) in enumerate(rows)], "key long, input_ids array<int>, n_tokens int")
+    samples = spark.createDataFrame([(k, b, lane) for k, (b, lane, _) in enumerate(rows)], "key long, batch_id long, lane int")
+    sized = size_batches(samples, ids, ["key"])
+    return sized, pad_batch(sized, ids, ["key"], **kw)
+
+
 def test_pad_to_multiple_of_8(spark):
     rows = [(0, 0, list(range(1, 8))), (0, 1, [5]), (1, 0, list(range(1, 9))), (2, 0, list(range(1, 10))),
             (2, 1, [1, 2])]
-    df = spark.createDataFrame(rows, "batch_id long, lane int, input_ids array<int>")
-    p = {(r["batch_id"], r["lane"]): r for r in pad_batch(df).collect()}
+    sized, out = padded(spark, rows)
+    p = {(r["batch_id"], r["lane"]): r for r in out.collect()}
     assert p[(0, 0)]["padded_len"] == 8 and p[(1, 0)]["padded_len"] == 8 and p[(2, 0)]["padded_len"] == 16
     r = p[(0, 1)]
     assert r["padded_ids"] == [5] + [PAD_ID] * 7
     assert r["attention_mask"] == [1] + [0] * 7
     assert r["labels"] == [5] + [LABEL_IGNORE] * 7
-    eff = {r["batch_id"]: r["efficiency"] for r in padding_efficiency(pad_batch(df)).collect()}
+    eff = {r["batch_id"]: r["efficiency"] for r in padding_efficiency(sized).collect()}
     assert eff[0] == 8 / 16 and eff[1] == 1.0 and eff[2] == 11 / 32
 
 
 def test_labels_follow_pad_id(spark):
-    df = spark.createDataFrame([(0, 0, [2, 7, 1]), (0, 1, [2, 1])], "batch_id long, lane int, input_ids array<int>")
     # pad falling back to EOS masks every EOS too
-    r = {x["lane"]: x["labels"] for x in pad_batch(df, pad_id=EOS_ID).collect()}
+    _, out = padded(spark, [(0, 0, [2, 7, 1]), (0, 1, [2, 1])], pad_id=EOS_ID)
+    r = {x["lane"]: x["labels"] for x in out.collect()}
     assert r[0] == [2, 7, LABEL_IGNORE] + [LABEL_IGNORE] * 5
     assert F is not None
 
 
-def test_vocabulary_distributed_rank_path(spark, monkeypatch):
+def test_encode_beyond_the_lookup_bound(spark, monkeypatch):
     from tessera.operators import tokens
+    df = spark.createDataFrame([("s", i, " ".join(f"w{j * i % 23}" for j in range(i % 17))) for i in range(80)] + [("s", 90, None)],
+                               "source string, row_id long, text string")
+    vocab = build_vocabulary(df, 12)
+    read = lambda: sorted(map(tuple, encode(df, vocab, ["source", "row_id"], max_len=10).collect()))
+    small = read()
+    monkeypatch.setattr(tokens, "LOOKUP_ROWS", 0)
+    assert read() == small and any(UNK_ID in r[2] for r in small)
+
+
+def test_hook_keeps_the_end_token(spark):
+    from tessera.operators.tokens import encode_with
+    df = spark.createDataFrame([("s", 1, "x")], "source string, row_id long, text string")
+    for ids, want in (([2, 10, 11, 12, 13, 14, EOS_ID], [2, 10, 11, 12, EOS_ID]), ([2, 3, 4, 5, 6, 7], [2, 3, 4, 5, 6])):
+        assert encode_with(df, lambda t, ids=ids: [ids for _ in t], ["row_id"], max_len=5).first()["input_ids"] == want
+
+
+def test_vocabulary_of_all_words(spark):
     df = spark.createDataFrame([("s", i, " ".join(f"w{j}" for j in range(i % 17 + 1))) for i in range(300)],
                                "source string, row_id long, text string")
-    small = {(r["token"], r["id"]) for r in tokens.build_vocabulary(df, 12).collect()}
-    monkeypatch.setattr(tokens, "TOPK_GATHER_LIMIT", 0)
-    big = {(r["token"], r["id"]) for r in tokens.build_vocabulary(df, 12).collect()}
-    assert small == big and len(small) == 12
+    every = [(r["token"], r["id"]) for r in build_vocabulary(df).orderBy("id").collect()]
+    assert len(every) == 17 and every[:12] == [(r["token"], r["id"]) for r in build_vocabulary(df, 12).orderBy("id").collect()]
