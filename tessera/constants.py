@@ -18,9 +18,8 @@ WS29 = (
 )
 
 # --- fixed values: pre-training text templates (continuation lines keep 4 spaces) ---
-LITERATURE_HEAD = "台語文學\n    ### 標題："
-LITERATURE_MID = "\n\n    ### 文章：\n    "
-DICTIONARY_HEAD = "台語文本：\n    "
+LITERATURE_TEMPLATE = "台語文學\n    ### 標題：{title}\n\n    ### 文章：\n    {text}"
+DICTIONARY_TEMPLATE = "台語文本：\n    {text}"
 
 # --- fixed values: special tokens of the default chat format ---
 BOS_TEXT = "<bos>"

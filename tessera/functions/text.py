@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,12 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def fill_template(template: str, **columns: Column) -> Column:
+    """Fill the ``{name}`` placeholders of a fixed template; braces in the data stay inert."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[columns[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts) if p])
+
+
 def strip_unicode(col) -> Column:
     """P5: remove the 29 whitespace code points of ``str.strip`` from both ends."""
     return F.btrim(_c(col), F.lit(WS29))

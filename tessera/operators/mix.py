@@ -62,8 +62,8 @@ def global_position(df: DataFrame, salt: str, key_cols: list[str] = KEY_COLS,
     counts = d.groupBy(*pcols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*pcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*pcols, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
-    # bounded: at most 16**digits rows per partition value
-    d = d.join(F.broadcast(offsets), [*pcols, "_b"], "inner")
+    # the window below needs the same partitioning as this join; AQE broadcasts offsets measured small
+    d = d.join(offsets, [*pcols, "_b"], "inner")
     wi = Window.partitionBy(*pcols, "_b").orderBy("_h", *key_cols)
     pos = (F.col("_off") + F.row_number().over(wi) - 1).cast("bigint")
     return d.withColumn(out, pos).drop("_h", "_b", "_off")

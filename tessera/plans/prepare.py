@@ -94,11 +94,8 @@ def write_batch_manifest(spark: SparkSession, token_table: str, b: int, a: int,
     """T5 + T6 over a written token table: every training sample of the run
     with its step, accumulation slot, device, lane and batch, and the batch's
     padded length. Written partitioned by a step range. Returns ``(path, plan)``."""
-    import os
-    import uuid
-
     from tessera.operators.tokens import assign_microbatch, size_batches
-    from tessera.session import checkpoint_dir
+    from tessera.session import scratch_folder
 
     tokens = spark.read.parquet(token_table).where(F.col("split") == "train")
     n_train = tokens.count()
@@ -106,7 +103,7 @@ def write_batch_manifest(spark: SparkSession, token_table: str, b: int, a: int,
     samples = assign_microbatch(tokens.select(*key), n_train, b, a, g, plan["max_steps"], seed, list(key))
     m = size_batches(samples, tokens, list(key), multiple).drop("n_pad")
     m = m.withColumn("step_block", (F.floor((F.col("step") - 1) / F.lit(max(1, plan["save_steps"])))).cast("bigint"))
-    path = out or os.path.join(checkpoint_dir(spark), "manifest-" + uuid.uuid4().hex)
+    path = out or scratch_folder(spark, "manifest")
     m.repartitionByRange("step", "device", "slot", "lane").write.mode("overwrite") \
         .partitionBy("step_block").parquet(path)
     return path, dict(plan, n_train=n_train)

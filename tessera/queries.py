@@ -18,6 +18,7 @@ from tessera.constants import CPT_VAL_SHARE, SEED, SFT_VAL_SHARE
 from tessera.functions.templates import dictionary_text_sql, literature_text_sql
 from tessera.operators import mix
 from tessera.plans import corpus
+from tessera.session import scratch_folder
 from tessera.sources import fixtures
 from tessera.sources.fixtures import FIXTURE_SQL
 
@@ -234,6 +235,7 @@ def q_split_sft(spark, sf):
 # --------------------------------------------------------------------------
 
 N_KEEP = 10
+GAP_KEEP = 2  # the smallest list of the hardware table: fills after the warm-up of short runs
 PATIENCE = 3
 LOGGABLE_SAVE_STEPS = 3
 
@@ -393,13 +395,14 @@ def _evicted_sql(n: int, src: str = "ev", score: str = "loss_c") -> list[tuple[s
     ]
 
 
-_REASON_SQL = (f"CASE WHEN n_kept < {N_KEEP} THEN 'Limit not reached' WHEN admitted THEN 'Better than worst' "
-               f"ELSE 'Not better than worst' END AS reason")
+def _reason_sql(n: int) -> str:
+    return (f"CASE WHEN n_kept < {n} THEN 'Limit not reached' WHEN admitted THEN 'Better than worst' "
+            f"ELSE 'Not better than worst' END AS reason")
 
 
 @register("admission_trace", ctes(*_RUN_SQL, *_adm_sql(N_KEEP), body=(
     f"SELECT run_id, seq, step, CAST(loss_c AS DOUBLE) / 100000.0 AS eval_loss, n_kept, "
-    f"CAST(wl AS DOUBLE) / 100000.0 AS worst_loss, wt AS worst_step, admitted, {_REASON_SQL} FROM adm")))
+    f"CAST(wl AS DOUBLE) / 100000.0 AS worst_loss, wt AS worst_step, admitted, {_reason_sql(N_KEEP)} FROM adm")))
 def q_admission_trace(spark, sf):
     from tessera.operators.runs import admission_trace
     t = admission_trace(_evals_exists(spark, sf), "loss", F.col("exists"), N_KEEP)
@@ -407,12 +410,12 @@ def q_admission_trace(spark, sf):
                     F.col("worst_score").alias("worst_loss"), "worst_step", "admitted", "reason")
 
 
-@register("gap_admission_trace", ctes(*_RUN_SQL, _GAP_EX, *_adm_sql(N_KEEP, "gx", "gap"), body=(
-    f"SELECT run_id, seq, step, gap, n_kept, wl AS worst_gap, wt AS worst_step, admitted, {_REASON_SQL} FROM adm")))
+@register("gap_admission_trace", ctes(*_RUN_SQL, _GAP_EX, *_adm_sql(GAP_KEEP, "gx", "gap"), body=(
+    f"SELECT run_id, seq, step, gap, n_kept, wl AS worst_gap, wt AS worst_step, admitted, {_reason_sql(GAP_KEEP)} FROM adm")))
 def q_gap_admission_trace(spark, sf):
     """W4 for the list kept by generalisation gap."""
     from tessera.operators.runs import admission_trace
-    t = admission_trace(_gap_exists(spark, sf), "gap", F.col("exists"), N_KEEP)
+    t = admission_trace(_gap_exists(spark, sf), "gap", F.col("exists"), GAP_KEEP)
     return t.select("run_id", "seq", "step", "gap", "n_kept", F.col("worst_score").alias("worst_gap"),
                     "worst_step", "admitted", "reason")
 
@@ -425,13 +428,13 @@ def q_evicted_checkpoints(spark, sf):
     return evicted(t, F.col("exists"), N_KEEP).select("run_id", "evicted_step", "evicted_by")
 
 
-@register("gap_evicted", ctes(*_RUN_SQL, _GAP_EX, *_evicted_sql(N_KEEP, "gx", "gap"),
-    body=f"SELECT run_id, xs AS evicted_step, ys AS evicted_by FROM lt WHERE r = {N_KEEP} - p"))
+@register("gap_evicted", ctes(*_RUN_SQL, _GAP_EX, *_evicted_sql(GAP_KEEP, "gx", "gap"),
+    body=f"SELECT run_id, xs AS evicted_step, ys AS evicted_by FROM lt WHERE r = {GAP_KEEP} - p"))
 def q_gap_evicted(spark, sf):
     """O7 for the list kept by generalisation gap."""
     from tessera.operators.runs import admission_trace, evicted
-    t = admission_trace(_gap_exists(spark, sf), "gap", F.col("exists"), N_KEEP)
-    return evicted(t, F.col("exists"), N_KEEP).select("run_id", "evicted_step", "evicted_by")
+    t = admission_trace(_gap_exists(spark, sf), "gap", F.col("exists"), GAP_KEEP)
+    return evicted(t, F.col("exists"), GAP_KEEP).select("run_id", "evicted_step", "evicted_by")
 
 
 @register("new_best_flag", ctes(*_RUN_SQL, body=(
@@ -918,7 +921,7 @@ def q_report_files(spark, sf):
     from tessera.operators.runs import best_n
     from tessera.sources.sinks import gap_report, write_report
     kept = best_n(_gap_planned(spark, sf), "gap", N_KEEP)
-    path = _scratch(spark, "reports")
+    path = scratch_folder(spark, "reports")
     write_report(gap_report(kept), path)
     return spark.read.text(path).select(F.col("run_id").cast("bigint").alias("run_id"), F.col("value").alias("line"))
 
@@ -974,12 +977,10 @@ def q_stream_admission_trace(spark, sf):
 @register("stream_leaderboard_sink", ORACLES["leaderboard_text"])
 def q_stream_leaderboard_sink(spark, sf):
     import os
-    import uuid
 
-    from tessera.session import checkpoint_dir
     from tessera.sources.sinks import loss_report
     from tessera.streaming.checkpoints import best_n_processor, leaderboard_sink, run_available_now
-    base = os.path.join(checkpoint_dir(spark), "stream-" + uuid.uuid4().hex)
+    base = scratch_folder(spark, "stream")
     report = os.path.join(base, "report")
     run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_EVENTS,
                       sink=leaderboard_sink(report, loss_report), base=base, evals_only=True)
@@ -992,12 +993,13 @@ def q_stream_leaderboard_sink(spark, sf):
 
 @register("map_batches_format", ORACLES["format_literature"])
 def q_map_batches_format(spark, sf):
-    from tessera.constants import EOS_TEXT, LITERATURE_HEAD, LITERATURE_MID
+    from tessera.constants import EOS_TEXT, LITERATURE_TEMPLATE
     from tessera.functions.hooks import map_batches
 
     def fmt(pdf):
         pdf = pdf.copy()
-        pdf["text"] = LITERATURE_HEAD + pdf["title"].fillna("") + LITERATURE_MID + pdf["text"].fillna("") + EOS_TEXT
+        pdf["text"] = [LITERATURE_TEMPLATE.format(title=a, text=b) + EOS_TEXT
+                       for a, b in zip(pdf["title"].fillna(""), pdf["text"].fillna(""))]
         return pdf
 
     lit_df = fixtures.literature(spark, sf)
@@ -1037,21 +1039,13 @@ def q_best_n_by_gap_planned(spark, sf):
 # file readers (S1-S4) end to end: the inputs written as files, read back
 # --------------------------------------------------------------------------
 
-def _scratch(spark, tag):
-    import os
-    import uuid
-
-    from tessera.session import checkpoint_dir
-    return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
-
-
 @register("scan_sources_files", ctes(*_CPT_SQL, body="SELECT source, title, text FROM cpt"))
 def q_scan_sources_files(spark, sf):
     import os
 
     from tessera.plans.prepare import pretraining_text
     from tessera.sources.readers import read_text_sources
-    root = _scratch(spark, "sources")
+    root = scratch_folder(spark, "sources")
     fixtures.literature(spark, sf).select("source", "title", "text") \
         .write.partitionBy("source").parquet(os.path.join(root, "literature"))
     fixtures.dictionary(spark, sf).select("source", "title", "text") \
@@ -1067,7 +1061,7 @@ def q_scan_instruction_files(spark, sf):
 
     from tessera.plans.prepare import chat_text
     from tessera.sources.readers import DIALOGUE_SCHEMA, TECHNICAL_SCHEMA, read_instructions
-    root = _scratch(spark, "instructions")
+    root = scratch_folder(spark, "instructions")
     fixtures.dialogue(spark, sf).drop("row_id", "turn").write.json(os.path.join(root, "dialogue"))
     fixtures.technical(spark, sf).drop("row_id", "turn").write.json(os.path.join(root, "technical"))
     dlg = read_instructions(spark, os.path.join(root, "dialogue"), "dialogue", DIALOGUE_SCHEMA)

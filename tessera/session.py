@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +66,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder name below the shared checkpoint folder, removed when the driver exits.
+
+    Results that read it stay valid until then; a path of the caller's own is never removed.
+    """
+    path = os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            jvm = spark._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)

@@ -7,18 +7,19 @@
   with ``multi_line=True``), read with their own schemas: lower-case
   ``instruction/input/output`` and capitalised ``Input/Output`` stay in
   separate readers (Spark resolves names case-insensitively).
-* Every row gets a stable key ``(source, file, row_id)`` that does not
-  depend on the partition layout: a given key column, else the Parquet row
-  index inside its file, else (JSON) a content hash plus a duplicate rank.
-  Absent fields read as null; blank rows are kept.
+* Every row gets a stable key ``(source, file, row_id)``: a given key column,
+  else the Parquet row index inside its file. JSON is landed once as Parquet
+  in the shared folder and read from there, so its rows have an index too and are
+  parsed once. Absent fields read as null; blank rows are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.constants import LITERATURE_SOURCES
+from tessera.session import scratch_folder
 
 TEXT_SCHEMA = "title string, text string"
 DIALOGUE_SCHEMA = "instruction string, input string, output string"
@@ -27,18 +28,18 @@ METRIC_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, los
 SOURCE_KEY = ["source", "file", "row_id"]
 
 
-def _with_key(df: DataFrame, fmt: str, content: list[str], key: str | None) -> DataFrame:
+def _with_key(df: DataFrame, fmt: str, cols: list[str], key: str | None) -> DataFrame:
+    if fmt != "parquet" and not key:
+        spark, path = df.sparkSession, scratch_folder(df.sparkSession, "json")
+        schema = df.select("source", *cols).schema
+        df.select("source", *cols).write.parquet(path)
+        df = spark.read.schema(schema).parquet(path)
     d = df.withColumn("file", F.col("_metadata.file_path"))
     if key:
         return d.withColumn("row_id", F.col(key).cast("bigint"))
-    if fmt == "parquet":
-        return d.withColumn("row_id", F.col("_metadata.row_index").cast("bigint"))
-    # JSON: identical rows are interchangeable, so hash + duplicate rank is a stable key
-    h = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000null")) for c in content])
-    w = Window.partitionBy("source", "file", "_h").orderBy("_h")
-    # 64-bit key per file: collisions need ~4e9 rows in one file to become likely
-    return d.withColumn("_h", h).withColumn(
-        "row_id", F.xxhash64(F.col("_h"), F.row_number().over(w))).drop("_h")
+    # the landed folder's name is new each time; the file's own name is the key
+    return d.withColumn("file", F.regexp_extract("file", "[^/]+$", 0) if fmt != "parquet" else F.col("file")) \
+        .withColumn("row_id", F.col("_metadata.row_index").cast("bigint"))
 
 
 def read_text_sources(spark: SparkSession, root: str, fmt: str = "parquet", schema: str = TEXT_SCHEMA,

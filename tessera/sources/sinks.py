@@ -7,16 +7,13 @@ are formatted in parallel; ``write_report`` writes one text file per run
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.constants import (GAP_REPORT_HEADER, GAP_REPORT_LINE, LOSS_REPORT_HEADER,
                                LOSS_REPORT_LINE)
-from tessera.functions.text import with_fixed
-from tessera.session import checkpoint_dir
+from tessera.functions.text import fill_template, with_fixed
+from tessera.session import scratch_folder
 
 
 def write_corpus(df: DataFrame, path: str | None = None, split_col: str = "split",
@@ -29,31 +26,20 @@ def write_corpus(df: DataFrame, path: str | None = None, split_col: str = "split
     """
     spark = df.sparkSession
     if path is None:
-        path = os.path.join(checkpoint_dir(spark), "corpus-" + uuid.uuid4().hex)
+        path = scratch_folder(spark, "corpus")
     order = [c for c in ("pos", "source", "row_id") if c in df.columns]
     out = df.repartitionByRange(*order).sortWithinPartitions(split_col, *order) if order else df
     out.write.mode(mode).partitionBy(split_col).parquet(path)
     return path
 
 
-def _fill(template: str, **cols) -> F.Column:
-    """Fill ``{name}`` placeholders of a fixed template with column values."""
-    parts, rest = [], template
-    while "{" in rest:
-        head, tail = rest.split("{", 1)
-        name, rest = tail.split("}", 1)
-        parts += [F.lit(head), cols[name].cast("string")]
-    parts.append(F.lit(rest))
-    return F.concat(*parts)
-
-
 def loss_report(kept: DataFrame) -> DataFrame:
     """``kept(run_id, rank, step, eval_loss)`` -> report lines of each run."""
     k = with_fixed(kept, "eval_loss", "_l", 4)
     n = kept.groupBy("run_id").agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
-    head = n.select("run_id", F.lit(0).alias("line_no"), _fill(LOSS_REPORT_HEADER, n=F.col("_n")).alias("line"))
+    head = n.select("run_id", F.lit(0).alias("line_no"), fill_template(LOSS_REPORT_HEADER, n=F.col("_n")).alias("line"))
     body = k.select("run_id", F.col("rank").alias("line_no"),
-                    _fill(LOSS_REPORT_LINE, i=F.col("rank"), step=F.col("step"), loss=F.col("_l")).alias("line"))
+                    fill_template(LOSS_REPORT_LINE, i=F.col("rank"), step=F.col("step"), loss=F.col("_l")).alias("line"))
     tail = n.select("run_id", (F.col("_n") + 1).cast("int").alias("line_no"), F.lit("").alias("line"))
     return head.unionByName(body).unionByName(tail).withColumn("line_no", F.col("line_no").cast("int"))
 
@@ -69,9 +55,9 @@ def gap_report(kept: DataFrame, save_steps: int | None = None, eval_steps: int |
     every = F.lit(eval_steps) if eval_steps is not None else F.col("eval_steps")
     runs = kept.groupBy("run_id").agg(F.first(save).alias("_sv"), F.first(every).alias("_ev"))
     head = runs.select("run_id", F.lit(0).alias("line_no"),
-                       _fill(GAP_REPORT_HEADER, save=F.col("_sv"), eval=F.col("_ev")).alias("line"))
+                       fill_template(GAP_REPORT_HEADER, save=F.col("_sv"), eval=F.col("_ev")).alias("line"))
     body = k.select("run_id", F.col("rank").alias("line_no"),
-                    _fill(GAP_REPORT_LINE, i=F.col("rank"), step=F.col("step"), gap=F.col("_g"),
+                    fill_template(GAP_REPORT_LINE, i=F.col("rank"), step=F.col("step"), gap=F.col("_g"),
                           loss=F.col("_l")).alias("line"))
     return head.unionByName(body).withColumn("line_no", F.col("line_no").cast("int"))
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import os
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.constants import EARLY_STOP_THRESHOLD
-from tessera.session import checkpoint_dir
+from tessera.session import scratch_folder
 
 LOG_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, loss double, exists boolean"
 
@@ -262,7 +261,7 @@ def run_available_now(spark: SparkSession, log: DataFrame, fn, events_per_run: i
     ``sink(batch_df, batch_id)`` (``foreachBatch``) gets each micro-batch's rows as
     written and read back, so the stateful plan runs once per micro-batch.
     """
-    base = base or os.path.join(checkpoint_dir(spark), "stream-" + uuid.uuid4().hex)
+    base = base or scratch_folder(spark, "stream")
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = write_log_files(log.select(*[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]),
                           os.path.join(base, "input"), events_per_run, files)
