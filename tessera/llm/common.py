@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir, table_path
-
-# The white space of the word rule: U+0020 and U+0009 to U+000D.
-WORD_SPACE = "[ \\t-\\r]+"
-
+from tessera.session import scratch_folder, table_path
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -23,27 +16,16 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-
-
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage: executors that are lost later cost a re-read, not a re-run.
     """
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder of the shared file system, through Hadoop's file system API."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def labelled_sample(labels: DataFrame, column: str, parts: int, limit: int) -> DataFrame:
     """At most ``limit`` labelled training rows (doc_id, label), smallest id hash first.
 

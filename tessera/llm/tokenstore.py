@@ -34,8 +34,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import encoder, text_slices
-from tessera.llm.common import landed, scratch
+from tessera.llm.common import landed
 from tessera.llm.files import committed, opened
+from tessera.session import scratch_folder
 
 HEADER = struct.Struct("<8sQQQQQQ")
 MAGIC = b"IDSHARD1"
@@ -260,4 +261,4 @@ def lookup(manifest: DataFrame, keys: DataFrame) -> DataFrame:
 
 def token_store(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Write a store and read it back whole."""
-    return read_store(write_store(docs, tokenizer_path, end_id, folder or scratch(spark, "store")))
+    return read_store(write_store(docs, tokenizer_path, end_id, folder or scratch_folder(spark, "store")))

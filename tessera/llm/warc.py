@@ -24,8 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import text_slices
-from tessera.llm.common import landed, scratch
+from tessera.llm.common import landed
 from tessera.llm.files import committed, opened
+from tessera.session import scratch_folder
 
 ARCHIVE_BYTES = 32 << 20   # compressed bytes of one archive, about
 DATE = "2024-01-01T00:00:00Z"
@@ -269,5 +270,5 @@ def resolved(captures: DataFrame) -> DataFrame:
 
 def warc_round_trip(spark: SparkSession, pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:
     """Write all pages, read the archives back, assemble and resolve the captures."""
-    archives = write_archives(pages, folder or scratch(spark, "warc"), least)
+    archives = write_archives(pages, folder or scratch_folder(spark, "warc"), least)
     return resolved(transactions(read_records(archives, with_block=False)))
