@@ -27,7 +27,7 @@ def summarise(plan: str) -> dict:
         "shuffle_keys": sorted(set(keys)),
         "broadcasts": plan.count("BroadcastExchange"),
         "partial_topn": plan.count("WindowGroupLimit") > 0,
-        "python": any(p in plan for p in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas",
+        "python": any(p in plan for p in ("ArrowEvalPython", "BatchEvalPython", "ArrowUDF", "MapInPandas",
                                            "FlatMapGroupsInPandas")),
         "reads": reads,
     }
@@ -36,7 +36,7 @@ def summarise(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from tessera.session import get_spark
-    import __spark_entry__ as entry
+    from tessera.queries import QUERIES
 
     spark = get_spark("local[8]", 8)
     out = ["# Physical plans of the registered queries", "",
@@ -46,7 +46,7 @@ def main(argv):
            "batch read-back only.", "",
            "| query | shuffles | shuffle keys | broadcasts | partial top-N | Python | parquet columns read |",
            "|---|---|---|---|---|---|---|"]
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
