@@ -215,15 +215,15 @@ def _mine(rows: DataFrame, limit: int) -> Lexicon:
     return Lexicon(*out)
 
 
-def _logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Ridge logistic regression on soft targets by Newton steps; the last weight is the bias."""
+def _logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+    """Ridge logistic regression on soft targets of weighted rows by Newton steps; the last weight is the bias."""
     x = np.hstack([x, np.ones((x.shape[0], 1))])
     w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     keep[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - target) + keep * w
-        h = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x + np.diag(keep)
+        g = x.T @ (weight * (p - target)) + keep * w
+        h = (x.T * (weight * np.maximum(p * (1 - p), 1e-6))) @ x + np.diag(keep)
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -258,13 +258,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int
     seen, evidence = seen[:, :-1], TRUST * (2 * seen[:, -1] - 1)
     model = LabelModel().fit(seen, count, evidence, 1 / (1 + np.exp(-evidence)))
     post = model.posterior(seen, evidence)[at.ravel()]
-    nw, ns, np_ = len(lex.words), len(lex.stems), len(PATTERNS)
-    x = np.zeros((label.size, nw + ns + np_))
-    for i, (words, stems) in enumerate(zip(got["words"], got["stems"])):
+    # texts with the same features are one weighted row: most have none
+    rows_seen: dict[tuple, list[float]] = {}
+    for words, stems, fired, p in zip(got["words"], got["stems"], v[:, LEXICON_VOTERS:].tolist(), post.tolist()):
+        cell = rows_seen.setdefault((tuple(words), tuple(stems), tuple(fired)), [0.0, 0.0])
+        cell[0] += 1
+        cell[1] += p
+    nw, ns = len(lex.words), len(lex.stems)
+    x = np.zeros((len(rows_seen), nw + ns + len(PATTERNS)))
+    for i, (words, stems, fired) in enumerate(rows_seen):
         x[i, list(words)] = 1
         x[i, [nw + s for s in stems]] = 1
-    x[:, nw + ns:] = v[:, LEXICON_VOTERS:]
-    w = _logistic(x, post)
+        x[i, nw + ns:] = fired
+    weight, total = np.array(list(rows_seen.values())).T
+    w = _logistic(x, total / weight, weight)
     return ToxicityModel(lex, float(w[-1]), w[:nw], w[nw:nw + ns], w[nw + ns:-1], model)
 
 
