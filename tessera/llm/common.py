@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_folder, table_path
 
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
