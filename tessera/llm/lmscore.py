@@ -9,7 +9,7 @@ A document's score is its mean loss under the target less its mean loss under th
 scores read like the target.
 
 Texts are dealt to blocks by a hash. A block counts its distinct words and word pairs (64-bit hashes)
-and sends them, sorted and packed, to count buckets; a bucket sums all blocks and answers each block with
+and sends them, sorted and packed, to count buckets (ranges of the hash); a bucket sums all blocks and answers each block with
 the totals of the keys it sent, in the same order; the block then scores its texts. A key crosses the
 network once per block that holds it, however often it occurs, and no task holds more than a block or a bucket.
 
@@ -67,11 +67,21 @@ def _block_keys(texts: list[str | None]):
     return keys, counts, at[:n], at[n:], np.array(sizes, dtype=np.int64)
 
 
-def _buckets(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
-    """Places of the keys of each bucket, ascending."""
-    b = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(b, kind="stable")
-    return np.split(order, np.searchsorted(b[order], np.arange(1, buckets)))
+def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's run of the ascending keys begins, and the end of the last."""
+    b = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(b, np.arange(buckets + 1))
+
+
+def packed(a: np.ndarray) -> bytes:
+    """Little-endian numbers by byte planes, which shuffle compression shrinks: leading bytes of
+    ascending keys and of small counts hardly change."""
+    return np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+
+
+def unpacked(b: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(b, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def n_events(text: Column) -> Column:
@@ -97,14 +107,15 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, block_bytes: in
 
     def count(key, table):
         keys, counts, *_ = _block_keys(table["text"].to_pylist())
-        parts = _buckets(keys, buckets)
+        at = _bounds(keys, buckets)
+        parts = [slice(a, z) for a, z in zip(at, at[1:])]
         return pa.table([pa.array(range(buckets), pa.int32()), pa.array([key[0].as_py()] * buckets, pa.int32()),
-                         pa.array([keys[p].tobytes() for p in parts], pa.binary()),
-                         pa.array([counts[p].astype("<u4").tobytes() for p in parts], pa.binary())],
+                         pa.array([packed(keys[p]) for p in parts], pa.binary()),
+                         pa.array([packed(counts[p].astype("<u4")) for p in parts], pa.binary())],
                         names=["bucket", "block", "keys", "seen"])
 
     def total(key, table):
-        rows = [(b, np.frombuffer(k, "<u8"), np.frombuffer(n, "<u4"))
+        rows = [(b, unpacked(k, "<u8"), unpacked(n, "<u4"))
                 for b, k, n in zip(table["block"].to_pylist(), table["keys"].to_pylist(), table["seen"].to_pylist())]
         keys = np.unique(np.concatenate([k for _, k, _ in rows]))
         back, aimed = np.zeros(keys.size, np.int64), np.zeros(keys.size, np.int64)
@@ -113,16 +124,16 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, block_bytes: in
             (back if b >= 0 else aimed)[at] += n
         asked = [(b, at) for (b, _, _), at in zip(rows, places) if b >= 0]
         return pa.table([pa.array([b for b, _ in asked], pa.int32()), pa.array([key[0].as_py()] * len(asked), pa.int32()),
-                         pa.array([back[at].tobytes() for _, at in asked], pa.binary()),
-                         pa.array([aimed[at].tobytes() for _, at in asked], pa.binary())],
+                         pa.array([packed(back[at]) for _, at in asked], pa.binary()),
+                         pa.array([packed(aimed[at]) for _, at in asked], pa.binary())],
                         names=["block", "bucket", "background", "target"])
 
     def score(key, texts, totals):
         keys, _, word, pair, sizes = _block_keys(texts["text"].to_pylist())
-        parts = _buckets(keys, buckets)
+        at = _bounds(keys, buckets)
         back, aimed = np.zeros(keys.size), np.zeros(keys.size)
         for b, x, y in zip(totals["bucket"].to_pylist(), totals["background"].to_pylist(), totals["target"].to_pylist()):
-            back[parts[b]], aimed[parts[b]] = np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8")
+            back[at[b]:at[b + 1]], aimed[at[b]:at[b + 1]] = unpacked(x, "<i8"), unpacked(y, "<i8")
         ends = np.cumsum(sizes)
         begins = ends - sizes
         # the word before each event; before the first stands the start, as frequent as the end
@@ -137,7 +148,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, block_bytes: in
         return pa.table([texts["doc_id"], pa.array(sizes), pa.array(mean_t), pa.array(mean_b), pa.array(mean_t - mean_b)],
                         names=["doc_id", "n_events", "h_target", "h_background", "score"])
 
-    sent = docs.select("block", "text").groupBy("block").applyInArrow(count, SENT).unionByName(
+    # the same columns as below, so that the texts are dealt to their blocks once
+    sent = docs.groupBy("block").applyInArrow(count, SENT).unionByName(
         aim.select("block", "text").groupBy("block").applyInArrow(count, SENT))
     totals = sent.groupBy("bucket").applyInArrow(total, TOTALS)
     return docs.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, SCORES)
