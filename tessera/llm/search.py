@@ -3,7 +3,9 @@
 ``build_index`` turns every stretch of ``SHARD_DOCS`` documents into one index shard: sorted terms,
 postings (document, count) and document lengths. Document frequencies and the mean length are
 summed over all shards, so scores of different shards compare. ``search`` runs each query on
-every shard and merges the shards' best ``k`` exactly.
+every shard and merges the best ``k`` exactly: a task goes through its shards one after the other and
+carries each query's best ``k`` along, so later shards start with its threshold and a
+task sends ``k`` rows a query, however many shards it had.
 
 Within a shard, documents stand in blocks of ``BLOCK``; per term and block the largest impact is known.
 The sum of a query's block maxima bounds every score in a block. Blocks are scored from the
@@ -146,14 +148,14 @@ class Shard:
         self.seg_start = np.searchsorted(self.seg, self.start)
         self.blocks = -(-lengths.size // BLOCK)
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int | None]]:
-        """The k best (score, doc_id); ``terms`` are this shard's term numbers, ascending."""
+    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, best: list[tuple] = ()) -> list[tuple[float, int | None]]:
+        """The k best (score, doc_id) of ``best`` and this shard; ``terms`` are its term numbers, ascending."""
         segs = _ranges(self.seg_start[terms], self.seg_start[terms + 1])
         weight = np.repeat(weights, self.seg_start[terms + 1] - self.seg_start[terms])
         bound = np.bincount(self.seg_block[segs], weights=weight * self.seg_max[segs], minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        best: list[tuple] = []
+        best = list(best)
         at, step = 0, 4
         while at < order.size:
             chosen = order[at:at + step]
@@ -202,20 +204,22 @@ def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> Da
             asked = held.value
             every = pa.array([t for _, terms, _ in asked for t in terms], pa.string())
             cut = np.cumsum([0] + [len(terms) for _, terms, _ in asked])
+            best: list[list[tuple]] = [[] for _ in asked]
             for b in batches:
                 for r in range(b.num_rows):
                     shard = Shard(b.slice(r, 1).to_pylist()[0], mean)
                     number = pc.index_in(every, value_set=pa.array(shard.terms, pa.string())).fill_null(-1).to_numpy()
-                    hits = []
-                    for (query, _, weights), a, z in zip(asked, cut, cut[1:]):
+                    for i, ((_, _, weights), a, z) in enumerate(zip(asked, cut, cut[1:])):
                         t = number[a:z]
                         if (t >= 0).any():
-                            hits += [(query, d, s) for s, d in shard.top(t[t >= 0].astype(np.int64), weights[t >= 0], k)]
-                    cols = list(zip(*hits)) or [(), (), ()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
-                                                     names=["query_id", "doc_id", "score"])
-
-        got = index.mapInArrow(run, HITS)
+                            best[i] = shard.top(t[t >= 0].astype(np.int64), weights[t >= 0], k, best[i])
+            hits = [(query, d, s) for (query, _, _), found in zip(asked, best) for s, d in found]
+            if hits:
+                cols = list(zip(*hits))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
+                                                 names=["query_id", "doc_id", "score"])
+
+        got = index.coalesce(2 * sc.defaultParallelism).mapInArrow(run, HITS)
         out = got if out is None else out.unionByName(got)
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), F.col("doc_id").asc_nulls_last())
     return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
