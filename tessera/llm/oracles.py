@@ -22,6 +22,10 @@ WINDOW w AS (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id NULLS L
 QUALIFY row_number() OVER w <= 10
 """
 
+#: queries of all distinct terms
+BM25_WHOLE = BM25.replace("""
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 9) DESC, term) <= 64""", "")
+
 WARC = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
                   row_number() OVER w AS k, first_value(page_id) OVER w AS lead_id
@@ -56,3 +60,4 @@ FROM e GROUP BY r, doc_id
 """
 
 ORACLES = {"op3_bm25_search": BM25, "op5_warc": WARC, "op6_cross_entropy": CROSS_ENTROPY}
+WHOLE_ORACLES = {"op3_bm25_search_whole": BM25_WHOLE}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import read_table
-from tessera.llm.oracles import ORACLES  # noqa: F401
+from tessera.llm.oracles import ORACLES, WHOLE_ORACLES  # noqa: F401
 
 
 def tokenizer(name: str) -> str:
@@ -33,6 +33,12 @@ def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(read_table(spark, sf_dir, "documents"), every=100, k=10, query_terms=64)
 
 
+def op3_bm25_search_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.search import similar_documents
+
+    return similar_documents(read_table(spark, sf_dir, "documents"), every=100, k=10)
+
+
 def op4_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.langid import languages
 
@@ -90,3 +96,5 @@ QUERIES = {
     "op10_token_store": op10_token_store,
 }
 
+#: the whole job where the query above keeps a given parameter
+WHOLE_QUERIES = {"op3_bm25_search_whole": op3_bm25_search_whole}

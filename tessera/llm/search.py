@@ -7,17 +7,19 @@ every shard and merges the best ``k`` exactly: a task goes through its shards on
 carries each query's best ``k`` along, so later shards start with its threshold and a
 task sends ``k`` rows a query, however many shards it had.
 
-Within a shard, documents stand in blocks of ``BLOCK``; per term and block the largest impact is known.
-The sum of a query's block maxima bounds every score in a block. Blocks are scored from the
-largest bound down, and a block is skipped once its bound is below the k-th best score so far (the
-pivot rule of block-max WAND, taken for whole blocks at a time so that numpy does the work).
+Within a shard, the impacts of its ``DENSE`` commonest terms stand in a table of documents by terms, with
+the maxima of each ``BLOCK`` documents. A document's bound is its sum over the query's other terms, read from
+their postings, and the block's maxima of the common ones. Documents are scored from the largest bound
+down, until the bound is below the k-th best score so far (the pivot rule of block-max WAND, taken for many
+documents at a time so that numpy does the work). What enters the best k is summed without
+rounding, so equal documents of different shards tie.
 
 BM25: idf = ln(1 + (N - df + 0.5) / (df + 0.5)), impact = tf (k1 + 1) / (tf + k1 (1 - b + b len / mean)).
-A query made from a document (``document_queries``) takes the ``query_terms`` terms of its whole text
-with the largest tf * idf (ties: term order); a term counts once in a query. Ties in score go to the
-smaller doc_id (null last).
+A query made from a document (``document_queries``) has all distinct terms of its whole text, or, where the
+caller sets ``query_terms``, so many with the largest tf * idf (ties: term order); a term counts once in
+a query. Ties in score go to the smaller doc_id (null last).
 
-Queries pass in blocks of bounded size, each broadcast; every block sees all shards.
+Queries pass in blocks of bounded numbers of queries and of terms, each broadcast; every block sees all shards.
 
 Defined cases: null and wordless texts are documents of length zero that nothing finds, and queries
 without rows; repeated rows are documents of their own; an empty table gives no rows;
@@ -27,6 +29,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -39,9 +42,10 @@ from tessera.llm.bpe import text_slices
 from tessera.llm.common import landed
 from tessera.llm.words import words_of
 
-SHARD_DOCS, SHARD_BYTES, BLOCK = 8192, 24 << 20, 64
+SHARD_DOCS, SHARD_BYTES, BLOCK, DENSE = 8192, 24 << 20, 64, 256
 K1, B = 1.2, 0.75
-QUERY_BLOCK = 4096   # queries of one broadcast
+QUERY_BLOCK, QUERY_TERMS = 4096, 1 << 20   # queries of one broadcast, and the terms of all of them
+SLACK = 2e-9   # scores are compared after rounding to nine places
 INDEX = "doc_ids binary, known binary, lengths binary, terms array<string>, dfs array<int>, docs binary, counts binary"
 HITS = "query_id long, doc_id long, score double"
 
@@ -50,26 +54,25 @@ def build_index(docs: DataFrame) -> DataFrame:
     """The landed index, one row per shard."""
 
     def shard(ids: list, texts: list) -> pa.RecordBatch:
-        lengths, terms, counts, sizes = [], [], [], []
+        lengths, terms, counts, sizes, number = [], array("i"), array("i"), [], {}
         for t in texts:
             c = Counter(words_of(t))
             lengths.append(c.total())
-            terms += c.keys()
-            counts += c.values()
+            terms.extend([number.setdefault(w, len(number)) for w in c])
+            counts.extend(c.values())
             sizes.append(len(c))
-        coded = pa.array(terms, pa.binary()).dictionary_encode()
-        words = coded.dictionary
+        words = pa.array(number.keys(), pa.binary())
         order = pc.array_sort_indices(words).to_numpy()
-        rank = np.empty(order.size, np.int64)
+        rank = np.empty(order.size, np.int32)
         rank[order] = np.arange(order.size)
-        term = rank[coded.indices.to_numpy()] if terms else np.zeros(0, np.int64)
+        term = rank[np.frombuffer(terms, "i4")]
         doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
         by_term = np.argsort(term, kind="stable")
         known = np.array([i is not None for i in ids], np.uint8)
         row = (np.array([i or 0 for i in ids], "<i8").tobytes(), known.tobytes(), np.array(lengths, "<i4").tobytes(),
                [w.decode("utf-8", "replace") for w in words.take(pa.array(order)).to_pylist()],
                np.bincount(term, minlength=order.size).astype(np.int32).tolist(),
-               doc[by_term].astype("<i4").tobytes(), np.array(counts, "<i4")[by_term].tobytes())
+               doc[by_term].astype("<i4").tobytes(), np.frombuffer(counts, "i4")[by_term].astype("<i4").tobytes())
         kinds = (pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
                                           names=[c.split()[0] for c in INDEX.split(", ")])
@@ -104,8 +107,8 @@ def statistics(index: DataFrame) -> tuple[DataFrame, int, float]:
     return dfs, n, (row["w"] or 0) / n if n else 0.0
 
 
-def document_queries(rows: DataFrame, dfs: DataFrame, n: int, query_terms: int) -> DataFrame:
-    """(query_id, terms, weights) of the given documents."""
+def document_queries(rows: DataFrame, dfs: DataFrame, n: int, query_terms: int | None = None) -> DataFrame:
+    """(query_id, terms, weights) of the given documents: all terms, or the best ``query_terms``."""
 
     def read(batches):
         for b in text_slices(batches):
@@ -119,63 +122,74 @@ def document_queries(rows: DataFrame, dfs: DataFrame, n: int, query_terms: int)
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     # repeated ids: one query of all their texts
     weighed = terms.groupBy("query_id", "term").agg(F.sum("tf").alias("tf")).join(dfs, "term").withColumn("idf", idf)
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "term")
-    top = weighed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= query_terms)
+    top = weighed
+    if query_terms is not None:
+        order = Window.partitionBy("query_id").orderBy(F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "term")
+        top = weighed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= query_terms)
     pairs = F.sort_array(F.collect_list(F.struct("term", "idf")))
     return top.groupBy("query_id").agg(pairs.alias("p")).select("query_id", F.col("p.term").alias("terms"), F.col("p.idf").alias("weights"))
 
 
 class Shard:
-    """One index shard in memory, with the block maxima of all terms."""
+    """One index shard in memory, with the table of its commonest terms."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["doc_ids"], "<i8")
         self.known = np.frombuffer(row["known"], np.uint8).astype(bool)
         lengths = np.frombuffer(row["lengths"], "<i4")
-        self.docs, tf = np.frombuffer(row["docs"], "<i4"), np.frombuffer(row["counts"], "<i4").astype(float)
+        self.docs, tf = np.frombuffer(row["docs"], "<i4"), np.frombuffer(row["counts"], "<i4")
         self.terms = row["terms"]
         dfs = np.array(row["dfs"], dtype=np.int64)
         self.start = np.concatenate([[0], np.cumsum(dfs)])
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.docs] / mean))
-        # segments: runs of one term within one block
-        term = np.repeat(np.arange(dfs.size), dfs)
-        block = self.docs // BLOCK
-        new = np.ones(self.docs.size, bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        self.seg = np.append(np.flatnonzero(new), self.docs.size)
-        self.seg_block = block[self.seg[:-1]]
-        self.seg_max = np.maximum.reduceat(self.impact, self.seg[:-1]) if self.docs.size else np.zeros(0)
-        self.seg_start = np.searchsorted(self.seg, self.start)
-        self.blocks = -(-lengths.size // BLOCK)
+        self.impact = (K1 * (1 - B + B * lengths / mean))[self.docs]
+        self.impact += tf
+        np.divide(tf * (K1 + 1), self.impact, out=self.impact)
+        common = np.argsort(-dfs, kind="stable")[:DENSE]
+        self.column = np.full(dfs.size, -1)
+        self.column[common] = np.arange(common.size)
+        blocks = -(-lengths.size // BLOCK)
+        self.dense = np.zeros((blocks * BLOCK, common.size))
+        a, z = self.start[common], self.start[common + 1]
+        post = _ranges(a, z)
+        self.dense[self.docs[post], np.repeat(np.arange(common.size), z - a)] = self.impact[post]
+        self.dense_max = self.dense.reshape(blocks, BLOCK, common.size).max(1)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, best: list[tuple] = ()) -> list[tuple[float, int | None]]:
-        """The k best (score, doc_id) of ``best`` and this shard; ``terms`` are its term numbers, ascending."""
-        segs = _ranges(self.seg_start[terms], self.seg_start[terms + 1])
-        weight = np.repeat(weights, self.seg_start[terms + 1] - self.seg_start[terms])
-        bound = np.bincount(self.seg_block[segs], weights=weight * self.seg_max[segs], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
+        """The k best (score, doc_id) of ``best`` and this shard; ``terms`` are its term numbers."""
+        column = self.column[terms]
+        rare = column < 0
+        dense = np.zeros(self.dense.shape[1])
+        dense[column[~rare]] = weights[~rare]
+        a, z = self.start[terms[rare]], self.start[terms[rare] + 1]
+        post = _ranges(a, z)
+        docs, parts = self.docs[post], np.repeat(weights[rare], z - a) * self.impact[post]
+        sparse = np.bincount(docs, weights=parts, minlength=len(self.dense))
+        bound = sparse + np.repeat(self.dense_max @ dense, BLOCK)
         best = list(best)
-        at, step = 0, 4
+        order = np.flatnonzero((bound > 0) & (bound >= (best[-1][0] - SLACK if len(best) == k else 0)))
+        order = order[np.argsort(-bound[order], kind="stable")]
+        at, step = 0, 4 * BLOCK
         while at < order.size:
             chosen = order[at:at + step]
             if len(best) == k:
-                chosen = chosen[bound[chosen] >= best[-1][0] - 1e-9]
+                chosen = chosen[bound[chosen] >= best[-1][0] - SLACK]
                 if not chosen.size:
                     break
-            take = np.zeros(self.blocks, bool)
-            take[chosen] = True
-            inside = take[self.seg_block[segs]]
-            s = segs[inside]
-            post = _ranges(self.seg[s], self.seg[s + 1])
-            w = np.repeat(weight[inside], self.seg[s + 1] - self.seg[s])
-            docs, local = np.unique(self.docs[post], return_inverse=True)
-            scores = np.bincount(local, weights=w * self.impact[post])
-            if docs.size > k:  # all that tie with the k-th stay until ids decide
-                low = np.partition(scores, docs.size - k)[docs.size - k]
-                docs, scores = docs[scores >= low], scores[scores >= low]
-            best += [(float(x), int(self.ids[d]) if self.known[d] else None) for x, d in zip(scores, docs)]
-            best = sorted(best, key=_place)[:k]
+            scores = sparse[chosen] + self.dense[chosen] @ dense
+            low = best[-1][0] if len(best) == k else 0.0
+            if chosen.size > k:  # all that tie with the k-th stay until ids decide
+                low = max(low, np.partition(scores, chosen.size - k)[chosen.size - k])
+            chosen = chosen[(scores > 0) & (scores >= low - SLACK)]
+            if chosen.size:
+                place = np.full(len(self.dense), -1)
+                place[chosen] = np.arange(chosen.size)
+                inside = np.flatnonzero(place[docs] >= 0)
+                inside = inside[np.argsort(place[docs[inside]], kind="stable")]
+                cut = np.searchsorted(place[docs[inside]], np.arange(chosen.size + 1))
+                for i, d in enumerate(chosen):
+                    exact = math.fsum(np.concatenate([parts[inside[cut[i]:cut[i + 1]]], self.dense[d] * dense]).tolist())
+                    best.append((exact, int(self.ids[d]) if self.known[d] else None))
+                best = sorted(best, key=_place)[:k]
             at, step = at + step, step * 2
         return best
 
@@ -194,26 +208,30 @@ def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
 def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> DataFrame:
     """The k best documents of each query, with their rank."""
     queries = landed(queries, "bm25-queries")
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("terms")).alias("terms")).first()
+    blocks = max(1, math.ceil(size["n"] / QUERY_BLOCK), math.ceil((size["terms"] or 0) / QUERY_TERMS))
     sc, out = index.sparkSession.sparkContext, None
     for n in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n).orderBy("query_id").collect()
-        held = sc.broadcast([(r["query_id"], r["terms"], np.array(r["weights"])) for r in part])
+        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n).select("query_id", "terms", "weights").toArrow().combine_chunks()
+        ids, terms, weights = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in part.columns]
+        cut = np.concatenate([[0], np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False).astype(np.int64))])
+        coded = terms.flatten().dictionary_encode()
+        held = sc.broadcast((ids.to_pylist(), cut, coded.dictionary, coded.indices.to_numpy(), weights.flatten().to_numpy()))
 
         def run(batches, held=held):
-            asked = held.value
-            every = pa.array([t for _, terms, _ in asked for t in terms], pa.string())
-            cut = np.cumsum([0] + [len(terms) for _, terms, _ in asked])
-            best: list[list[tuple]] = [[] for _ in asked]
+            ids, cut, every, coded, weights = held.value
+            best: list[list[tuple]] = [[] for _ in ids]
             for b in batches:
                 for r in range(b.num_rows):
-                    shard = Shard(b.slice(r, 1).to_pylist()[0], mean)
-                    number = pc.index_in(every, value_set=pa.array(shard.terms, pa.string())).fill_null(-1).to_numpy()
-                    for i, ((_, _, weights), a, z) in enumerate(zip(asked, cut, cut[1:])):
-                        t = number[a:z]
+                    row = {c: b.column(c)[r].values if c in ("terms", "dfs") else b.column(c)[r].as_buffer() for c in b.schema.names}
+                    shard = None  # one at a time
+                    shard = Shard(row, mean)
+                    number = pc.index_in(every, value_set=shard.terms.cast(every.type)).fill_null(-1).to_numpy().astype(np.int64)
+                    for i, (a, z) in enumerate(zip(cut, cut[1:])):
+                        t = number[coded[a:z]]
                         if (t >= 0).any():
-                            best[i] = shard.top(t[t >= 0].astype(np.int64), weights[t >= 0], k, best[i])
-            hits = [(query, d, s) for (query, _, _), found in zip(asked, best) for s, d in found]
+                            best[i] = shard.top(t[t >= 0], weights[a:z][t >= 0], k, best[i])
+            hits = [(query, d, s) for query, found in zip(ids, best) for s, d in found]
             if hits:
                 cols = list(zip(*hits))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
@@ -225,8 +243,8 @@ def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> Da
     return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
-def similar_documents(docs: DataFrame, every: int = 100, k: int = 10, query_terms: int = 64) -> DataFrame:
-    """Queries from each document whose id is divisible by ``every``, against all documents."""
+def similar_documents(docs: DataFrame, every: int = 100, k: int = 10, query_terms: int | None = None) -> DataFrame:
+    """Queries from each document whose id is divisible by ``every`` (all its terms, or the best ``query_terms``), against all documents."""
     index = build_index(docs)
     dfs, n, mean = statistics(index)
     asked = document_queries(docs.where(F.col("doc_id") % every == 0), dfs, n, query_terms)

@@ -119,6 +119,29 @@ def test_search_equals_brute_force(spark, odd, monkeypatch, shard, block):
         assert np.allclose([r[3] for r in out], [r[3] for r in want], atol=2e-6)
 
 
+def test_search_with_whole_texts(spark, monkeypatch):
+    """All distinct terms of a query document count, in blocks of bounded terms."""
+    monkeypatch.setattr(search, "QUERY_TERMS", 500)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    data = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    out = sorted((tuple(r) for r in similar_documents(docs, 25, 5).collect()), key=lambda r: r[:2])
+    want = brute_search(data, 25, 5, None)
+    assert [r[:3] for r in out] == [r[:3] for r in want] != [r[:3] for r in brute_search(data, 25, 5, 64)]
+    assert np.allclose([r[3] for r in out], [r[3] for r in want], atol=2e-6)
+
+
+def test_whole_search_equals_sql(spark):
+    import duckdb
+    from tessera.llm.queries import WHOLE_ORACLES, WHOLE_QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name, query in WHOLE_QUERIES.items():
+        df = query(spark, SF)
+        want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({WHOLE_ORACLES[name]})").fetchall()
+        assert "<= 64" not in WHOLE_ORACLES[name] and sorted(tuple(r) for r in df.collect()) == sorted(want) and want
+
+
 def test_search_empty(none):
     assert similar_documents(none).collect() == []
 
