@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import re
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -54,8 +55,21 @@ class WhitespaceTokenizer:
         return out
 
 
-def whitespace_tokenizer(vocab_df: DataFrame, max_len: int = MAX_SEQ_LENGTH) -> WhitespaceTokenizer:
-    """Build the X2 tokeniser from a vocabulary table (bounded by its size cap),
-    broadcast once to the executors."""
+class TableTokenizer:
+    """X2 with a vocabulary that stays a table: ``tokens.encode_with`` joins it to each row's
+    distinct words and calls ``bound`` with the words and ids of one Arrow batch."""
+
+    def __init__(self, table: DataFrame, max_len: int = MAX_SEQ_LENGTH):
+        self.table, self.max_len = table.select("token", "id"), max_len
+        self.bound = partial(WhitespaceTokenizer, max_len=max_len)
+
+
+def whitespace_tokenizer(vocab_df: DataFrame, max_len: int = MAX_SEQ_LENGTH) -> WhitespaceTokenizer | TableTokenizer:
+    """Build the X2 tokeniser from a vocabulary table: broadcast once to the executors while
+    its measured size is at most ``tokens.LOOKUP_ROWS``, else joined by ``encode_with``."""
+    from tessera.operators import tokens
+
+    if vocab_df.count() > tokens.LOOKUP_ROWS:
+        return TableTokenizer(vocab_df, max_len)
     vocab = {r["token"]: int(r["id"]) for r in vocab_df.select("token", "id").toLocalIterator()}
     return WhitespaceTokenizer(vocab_df.sparkSession.sparkContext.broadcast(vocab), max_len)

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tessera.constants import (BOS_ID, BOS_TEXT, EOS_ID, EOS_TEXT, FIRST_WORD_ID, LABEL_IGNORE,
                                MAX_SEQ_LENGTH, PAD_ID, PAD_MULTIPLE, UNK_ID)
+from tessera.functions.hooks import TableTokenizer
+from tessera.session import cut_lineage
 
 WORD_SPLIT = "[ \\t\\n\\r]+"
 LOOKUP_ROWS = 2_000_000  # vocabulary rows that are shipped to every executor
@@ -107,7 +109,8 @@ def encode_with(df: DataFrame, tokenize, key_cols: list[str], text: str = "text"
     """Encode with a user tokeniser ``tokenize(list[str]) -> list[list[int]]``.
 
     Runs as an iterator pandas UDF over Arrow batches. Ids beyond ``max_len`` are cut
-    from the content: an EOS at the end stays.
+    from the content: an EOS at the end stays. A ``hooks.TableTokenizer`` gets the ids of
+    each row's words by a join.
     """
     def cut(ids: list[int]) -> list[int]:
         if len(ids) <= max_len:
@@ -120,6 +123,24 @@ def encode_with(df: DataFrame, tokenize, key_cols: list[str], text: str = "text"
             out = tokenize(s.fillna("").tolist())
             yield pd.Series([cut(list(x)) for x in out])
 
+    if isinstance(tokenize, TableTokenizer):
+        bound = tokenize.bound
+
+        @F.pandas_udf("array<int>")
+        def _enc_joined(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for s, tokens, ids in batches:
+                vocab = {w: int(i) for ws, ns in zip(tokens, ids) for w, i in zip(ws, ns)}
+                yield pd.Series([cut(x) for x in bound(vocab)(s.fillna("").tolist())])
+
+        # stored: both branches must see the same row numbers
+        d = cut_lineage(df.select(*key_cols, *keep, F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row")))
+        seen = F.array_distinct(F.slice(words(F.col("_text")), 1, tokenize.max_len - 2))
+        pairs = d.select("_row", F.explode(seen).alias("token")).join(tokenize.table, "token")
+        found = pairs.groupBy("_row").agg(F.collect_list(F.struct("token", "id")).alias("_m"))
+        d = d.join(found, "_row", "left")
+        ids = _enc_joined("_text", F.coalesce(F.col("_m.token"), F.array().cast("array<string>")),
+                          F.coalesce(F.col("_m.id"), F.array().cast("array<int>")))
+        return d.withColumn("input_ids", ids).drop("_row", "_text", "_m").withColumn("n_tokens", F.size("input_ids").cast("int"))
     return df.select(*key_cols, *keep, _enc(F.col(text)).alias("input_ids")) \
         .withColumn("n_tokens", F.size("input_ids").cast("int"))
 

@@ -69,6 +69,22 @@ def test_encode_beyond_the_lookup_bound(spark, monkeypatch):
     assert read() == small and any(UNK_ID in r[2] for r in small)
 
 
+def test_hook_beyond_the_lookup_bound(spark, monkeypatch):
+    """A large vocabulary does not pass through the driver, and the ids stay the same."""
+    from tessera.functions.hooks import whitespace_tokenizer
+    from tessera.operators import tokens
+    df = spark.createDataFrame([("s", i, " ".join(f"w{j * i % 23}" for j in range(i % 17))) for i in range(80)] + [("s", 90, None)],
+                               "source string, row_id long, text string")
+    vocab = build_vocabulary(df, 12)
+    keep = [F.length("text").alias("chars")]
+    read = lambda: sorted(map(tuple, tokens.encode_with(df, whitespace_tokenizer(vocab, 10), ["source", "row_id"], max_len=10, keep=keep)
+                              .collect()), key=lambda r: r[:2])
+    small = read()
+    monkeypatch.setattr(tokens, "LOOKUP_ROWS", 0)
+    monkeypatch.setattr(type(df), "toLocalIterator", None)
+    assert read() == small and any(UNK_ID in r[3] for r in small)
+
+
 def test_hook_keeps_the_end_token(spark):
     from tessera.operators.tokens import encode_with
     df = spark.createDataFrame([("s", 1, "x")], "source string, row_id long, text string")
