@@ -59,5 +59,20 @@ SELECT doc_id, count(*) AS n_events, round(avg(lt), 6) AS h_target, round(avg(lb
 FROM e GROUP BY r, doc_id
 """
 
-ORACLES = {"op3_bm25_search": BM25, "op5_warc": WARC, "op6_cross_entropy": CROSS_ENTROPY}
+FILL_IN_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, [CAST('0x' || substr(x, 1 + 8 * i, 8) AS BIGINT) for i in range(4)] AS h FROM d),
+c AS (SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                  WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {"op3_bm25_search": BM25, "op5_warc": WARC, "op6_cross_entropy": CROSS_ENTROPY, "op11_fill_in_middle": FILL_IN_MIDDLE}
 WHOLE_ORACLES = {"op3_bm25_search_whole": BM25_WHOLE}

@@ -83,6 +83,14 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.fim import fill_in_middle, restore_middle
+
+    rows = restore_middle(fill_in_middle(read_table(spark, sf_dir, "documents"), salt="1"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_gray": op2_simhash_gray,
@@ -94,6 +102,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_store": op10_token_store,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 #: the whole job where the query above keeps a given parameter
