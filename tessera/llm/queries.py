@@ -91,6 +91,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.align import align_tokenizers
+
+    return align_tokenizers(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_gray": op2_simhash_gray,
@@ -103,6 +109,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_store": op10_token_store,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 #: the whole job where the query above keeps a given parameter
