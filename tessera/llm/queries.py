@@ -97,6 +97,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
 
 
+def op13_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.minhash import minhash_components
+
+    return minhash_components(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_simhash_gray": op2_simhash_gray,
@@ -110,6 +116,7 @@ QUERIES = {
     "op10_token_store": op10_token_store,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_token_alignment": op12_token_alignment,
+    "op13_minhash_join": op13_minhash_join,
 }
 
 #: the whole job where the query above keeps a given parameter

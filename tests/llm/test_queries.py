@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 def test_names():
     import __spark_entry__ as e
 
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 13))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(e.queries()) and set(ORACLES) <= set(e.oracle_sql())
 
 
