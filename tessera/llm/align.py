@@ -28,8 +28,10 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import pickle
 import re
+import struct
 from array import array
 from collections import Counter
 from dataclasses import dataclass, field
@@ -44,8 +46,8 @@ from tessera.llm.common import landed
 
 CHUNK = 1 << 16         # characters of a text that one task aligns
 FAN = 16                # neighbouring fragments composed in one group
-BLOCK_LINKS, BLOCK_DOCS = 1 << 21, 1 << 14   # a block of documents ends when it has as many
-PIECES = 400_000        # words a worker remembers
+BLOCK_LINKS, BLOCK_DOCS = 1 << 22, 1 << 14   # a block of documents ends when it has as many
+PIECES = 700_000        # words a worker remembers
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -152,6 +154,14 @@ def compose(x: Fragment, y: Fragment) -> Fragment:
 
 # ---- the two tokenizers ----
 
+# A word that the worker remembers: its four counts, a pair code a link, the groups' text; empty if its bytes changed.
+_HEAD = struct.Struct("<4I")
+
+
+def _spelt(table: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
+
+
 class Pair:
     """Tokenizer A (a byte-level ``tokenizers`` file) and B (a ``sentencepiece`` model) with their token bytes.
 
@@ -161,6 +171,7 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark deals out the work
         self.a = Encoder(path_a)
         self.a.tok.encode_special_tokens = True   # their strings in a text are plain text
         back = {c: b for b, c in byte_alphabet().items()}
@@ -172,11 +183,13 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         plain = [p.replace("▁", " ") for i, p in enumerate(pieces) if not self.b.is_byte(i)]
-        # no token holds these two characters: B cuts between them in any text
+        # no token holds two characters that are not in here: B cuts between them in any text
         self.inside = {p[k:k + 2] for p in plain for k in range(len(p) - 1)}
         if any(x[1] in " \n" and x[0] != " " for x in self.inside) or any("\n" in p for p in plain):
             raise ValueError("the piece model joins words over spaces or line feeds")
-        self.words: dict = {}
+        self.lengths_a, self.lengths_b = [np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b)]
+        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.words: dict[object, bytes | None] = {}
 
     def _b_ids(self, piece: str) -> list[int]:
         """B's ids of a piece that begins where B cuts; behind a line feed the library adds no space of its own."""
@@ -184,47 +197,103 @@ class Pair:
 
     def tokens(self, part_a: str, part_b: str, at_a: int = 0, at_b: int = 0) -> tuple[Tokens, Tokens, bool]:
         """Both runs of tokens, from the given byte places on, and whether they spell the parts."""
-        ids_a = _unpacked(self.a.encode(part_a))
+        ids_a = np.frombuffer(self.a.encode(part_a), "<u4").tolist()
         ids_b = self._b_ids(part_b) if part_b else []
-        spelt_a, spelt_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        ok = b"".join(spelt_a) == part_a.encode() and b"".join(spelt_b) == part_b.encode()
-        ends_a, ends_b = [np.cumsum([at, *map(len, s)])[1:].tolist() for at, s in ((at_a, spelt_a), (at_b, spelt_b))]
+        ok = _spelt(self.bytes_a, ids_a) == part_a.encode() and _spelt(self.bytes_b, ids_b) == part_b.encode()
+        ends_a, ends_b = [(at + np.cumsum(t[np.array(ids, dtype=int)])).tolist() for at, t, ids in ((at_a, self.lengths_a, ids_a), (at_b, self.lengths_b, ids_b))]
         return (ids_a, ends_a), (ids_b, ends_b), ok
 
-    def word(self, key) -> tuple | None:
-        """(text, counts, pair codes, their numbers, ok) of a word; None if a key is no plain word.
+    def learn(self, keys) -> None:
+        """Put the words of unknown ``keys`` into ``words``; None for a key that is no plain word.
 
         A key is a word that follows a space, a line feed with a word, or ``(piece,)`` for any other piece.
         """
-        if key in self.words:
-            return self.words[key]
-        if isinstance(key, str):
-            piece = key if key[:1] == "\n" else " " + key
-            plain = len(piece) > 1 and not _WS.search(piece, 1)
-        else:
-            piece, plain = key[0], True
-        out = None
-        if plain:
-            a, b, ok = self.tokens(piece, piece)
-            text, n, pairs = groups(a, b) if ok else (b"", 0, Counter())
-            out = text, (len(a[0]), len(b[0]), n, pairs.total()), array("q", pairs.keys()), array("q", pairs.values()), ok
-        if len(self.words) >= PIECES:
-            self.words.clear()
-        self.words[key] = out
+        words = self.words
+        if len(words) > PIECES:
+            words.clear()
+        pieces, marked = {}, []
+        for key in keys:
+            if key in words:
+                continue
+            if not isinstance(key, str):
+                pieces[key] = key[0]
+            elif not _PLAIN.fullmatch(key):
+                words[key] = None
+            elif key[-1] in _MARKS and key[-2:-1].isalpha() and key[-2:] not in self.inside:
+                marked.append(key)   # both tokenizers cut before the mark
+                pieces[(key[-1],)] = key[-1]
+                pieces[key[:-1]] = self._piece(key[:-1])
+            else:
+                pieces[key] = self._piece(key)
+        todo = [k for k in pieces if k not in words]
+        for a in range(0, len(todo), 4096):
+            some = todo[a:a + 4096]
+            words.update(zip(some, self._aligned([pieces[k] for k in some])))
+        for key in marked:
+            words[key] = _neighbours(words[key[:-1]], words[(key[-1],)])
+
+    @staticmethod
+    def _piece(key: str) -> str:
+        return key if key[0] == "\n" else " " + key
+
+    def _aligned(self, pieces: list[str]) -> list[bytes]:
+        """The closed fragments of many pieces at once: their ends are common ends of one long run."""
+        every_a = [e.ids for e in self.a.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        every_b = [x[2:] for x in self.b.encode(["\n" + p for p in pieces])]
+        spelt = [p.encode() for p in pieces]
+        good = [_spelt(self.bytes_a, x) == s == _spelt(self.bytes_b, y) for x, y, s in zip(every_a, every_b, spelt)]
+        out = [b""] * len(pieces)
+        keep = [i for i, ok in enumerate(good) if ok]
+        if not keep:
+            return out
+        flat_a, flat_b = [x for i in keep for x in every_a[i]], [x for i in keep for x in every_b[i]]
+        a, b = np.array(flat_a), np.array(flat_b)
+        end_a, end_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+        from_a, from_b = end_a - self.lengths_a[a], end_b - self.lengths_b[b]
+        first, last = np.searchsorted(end_b, from_a, "right"), np.searchsorted(from_b, end_a, "left")
+        n = last - first
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        codes = ((b[at] << 32) | np.repeat(a, n)).astype("<i8").tobytes()
+        common_a, common_b = np.isin(end_a, end_b), np.isin(end_b, end_a)
+        cut_a, cut_b = (np.flatnonzero(common_a) + 1).tolist(), (np.flatnonzero(common_b) + 1).tolist()
+        names_a, names_b = [self.names[x] for x in flat_a], [self.names[x] for x in flat_b]
+        groups_, x, y = [], 0, 0
+        for u, v in zip(cut_a, cut_b):
+            groups_.append((names_a[x] if u == x + 1 else ",".join(names_a[x:u])) + "|" + (names_b[y] if v == y + 1 else ",".join(names_b[y:v])))
+            x, y = u, v
+        size_a = np.array([len(every_a[i]) for i in keep])
+        ends = np.cumsum(size_a)
+        upto_link, upto_group = np.cumsum(n)[ends - 1].tolist(), np.cumsum(common_a)[ends - 1].tolist()
+        link = group = 0
+        for i, l, g in zip(keep, upto_link, upto_group):
+            out[i] = _HEAD.pack(len(every_a[i]), len(every_b[i]), g - group, l - link) + codes[8 * link:8 * l] + ";".join(groups_[group:g]).encode()
+            link, group = l, g
         return out
 
 
-_WS = re.compile(r"\s")
+def _opened(word: bytes) -> tuple[tuple, bytes, bytes]:
+    """(counts, pair codes, text)."""
+    counts = _HEAD.unpack_from(word)
+    at = _HEAD.size + 8 * counts[3]
+    return counts, word[_HEAD.size:at], word[at:]
+
+
+def _neighbours(x: bytes, y: bytes) -> bytes:
+    """Two closed fragments, one behind the other."""
+    if not x or not y:
+        return b""
+    (n, c, t), (n2, c2, t2) = _opened(x), _opened(y)
+    return _HEAD.pack(*map(sum, zip(n, n2))) + c + c2 + t + b";" + t2
+
+
+_MARKS = ",.!?;:"
+_PLAIN = re.compile(r"\n?\S+")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")   # both tokenizers cut here
 # A cuts here: before white space that follows another character, and between a letter or digit and a mark
 _CUT_A = re.compile(r"(?<=\S)(?=\s)|(?<=[A-Za-z0-9À-ÖØ-öø-ÿぁ-ゖァ-ヺ一-鿿가-힣])(?=[!-/:-@\[-`{-~、。！，：；？])")
 _PAIRS: dict = {}
 
 
-def _unpacked(ids: bytes) -> list[int]:
-    return np.frombuffer(ids, "<u4").tolist()
-
-
 def pair(path_a: str, path_b: str) -> Pair:
     """One pair per worker process, so that its memory of words serves all tasks."""
     if (path_a, path_b) not in _PAIRS:
@@ -307,56 +376,57 @@ def _whole_fragments(long_docs: DataFrame, path_a: str, path_b: str, size: int)
 
 # ---- blocks of documents ----
 
-class _Numbers(dict):
-    """Word -> its number in the block; None for a key that is no plain word."""
-
-    def __init__(self, block: "Block"):
-        self.block = block
-
-    def __missing__(self, key):
-        w = self.block.both.word(key)
-        self[key] = n = None if w is None else self.block.add(w)
-        return n
-
-
 class Block:
     """Documents whose words (or whole long texts) are numbered entries with their pairs."""
 
     def __init__(self, both: Pair | None):
-        self.both, self.numbers = both, _Numbers(self)
+        self.both, self.numbers = both, {}
         self.texts, self.counts, self.codes, self.times, self.bad = [], [], [], [], set()
         self.docs, self.links = [], 0
 
-    def add(self, word: tuple) -> int:
-        text, counts, codes, times, ok = word
+    def add(self, counts: tuple, codes: bytes, text: bytes, ok: bool = True) -> int:
         n = len(self.texts)
         self.texts.append(text)
         self.counts.append(counts)
         self.codes.append(codes)
-        self.times.append(times)
         if not ok:
             self.bad.add(n)
         return n
 
+    def _entries(self, every: list[list]) -> list[list[int | None]]:
+        """The numbers of lists of keys; None where a key is no plain word."""
+        numbers, words = self.numbers, self.both.words
+        new = set().union(*every).difference(numbers)
+        self.both.learn(new)
+        for key in new:
+            w = words[key]
+            numbers[key] = None if w is None else self.add(*_opened(w)) if w else self.add((0,) * len(COUNTS), b"", b"", False)
+        return [list(map(numbers.__getitem__, keys)) for keys in every]
+
+    def take_texts(self, docs: list[tuple]) -> None:
+        """(doc_id, text) rows."""
+        texts = [" " + t if t else None for _, t in docs]
+        every = self._entries([t.replace("\n", " \n").split(" ")[1:] if t else [] for t in texts])
+        odd = [i for i, e in enumerate(every) if None in e]   # irregular white space: the exact cut
+        for i, e in zip(odd, self._entries([[(p,) for p in _CUT.split(texts[i])] for i in odd])):
+            every[i] = e
+        for (doc, _), e in zip(docs, every):
+            self._take(doc, e)
+
     def _take(self, doc_id, entries: list[int]) -> None:
         if self.bad and not self.bad.isdisjoint(entries):
             entries = []
         sha = hashlib.sha256(b";".join(map(self.texts.__getitem__, entries))).hexdigest() if entries else ""
         self.docs.append((doc_id, array("I", entries), sha))
-        self.links += 3 * len(entries) // 2
-
-    def take_text(self, doc_id, text: str | None) -> None:
-        entries = []
-        if text:
-            s = " " + text
-            entries = list(map(self.numbers.__getitem__, s.replace("\n", " \n").split(" ")[1:]))
-            if None in entries:   # irregular white space: the exact cut
-                entries = list(map(self.numbers.__getitem__, [(p,) for p in _CUT.split(s)]))
-        self._take(doc_id, entries)
+        self.links += 4 * len(entries)
 
     def take_fragment(self, doc_id, f: Fragment) -> None:
+        """A whole long document: one entry."""
         whole = f.ok and not (f.a2[0] or f.b2[0])
-        self._take(doc_id, [self.add((f.text, (f.n_a, f.n_b, f.n_groups, f.pairs.total()), array("q", f.pairs.keys()), array("q", f.pairs.values()), whole))])
+        counts = f.n_a, f.n_b, f.n_groups, f.pairs.total()
+        n = self.add(counts, array("q", f.pairs.keys()).tobytes(), f.text, whole)
+        self.times.append((n, array("q", f.pairs.values()).tobytes()))
+        self._take(doc_id, [n])
         self.links += len(f.pairs)
         self.texts[-1] = b""
 
@@ -367,16 +437,18 @@ class Block:
         """(block, pairs, their numbers, the documents as packed arrays)."""
         import zstandard
 
-        entries = np.concatenate([np.frombuffer(e, "u4") for _, e, _ in self.docs]) if self.docs else np.zeros(0, "u4")
+        entries = np.frombuffer(b"".join(e.tobytes() for _, e, _ in self.docs), "u4")
         sizes = np.array([len(e) for _, e, _ in self.docs], dtype="i8")
-        codes = np.concatenate([np.frombuffer(c, "i8") for c in self.codes]) if self.codes else np.zeros(0, "i8")
-        times = np.concatenate([np.frombuffer(c, "i8") for c in self.times]) if self.codes else np.zeros(0, "i8")
-        lengths = np.array([len(c) for c in self.codes], dtype="i8")
-        used = np.bincount(entries, minlength=len(self.codes))
+        codes = np.frombuffer(b"".join(self.codes), "<i8")
+        lengths = np.array([len(c) >> 3 for c in self.codes], dtype="i8")
+        times, ends = np.ones(codes.size, np.int64), np.cumsum(lengths)
+        for n, t in self.times:
+            times[ends[n] - lengths[n]:ends[n]] = np.frombuffer(t, "i8")
+        used = np.bincount(entries, minlength=lengths.size)
         pairs, at = np.unique(codes, return_inverse=True)
-        total = np.zeros(pairs.size, np.int64)
-        np.add.at(total, at, times * np.repeat(used, lengths))
-        counts = np.array(self.counts, dtype=np.int64).reshape(-1, 4)
+        # sums stay below 2^53, so that weights of doubles are exact
+        total = np.bincount(at, weights=times * np.repeat(used, lengths), minlength=pairs.size).astype(np.int64)
+        counts = np.array(self.counts, dtype=np.int64).reshape(-1, len(COUNTS))
         per_doc = _sums(counts[entries], sizes)
         held = (at.astype("u4"), times.astype("u4"), lengths.astype("u4"), entries, sizes.astype("u4"), per_doc, [d for d, *_ in self.docs], [s for *_, s in self.docs])
         return number, pairs.tolist(), total.tolist(), zstandard.compress(pickle.dumps(held))
@@ -401,14 +473,15 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, whole: bool) -> DataFrame
         both, number = pair(path_a, path_b), TaskContext.get().partitionId() << 32
         block = Block(both)
         for b in text_slices(batches, 64):
-            for doc, held in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if whole:
+            rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            if whole:
+                for doc, held in rows:
                     block.take_fragment(doc, pickle.loads(held))
-                else:
-                    block.take_text(doc, held)
-                if block.full():
-                    yield _batch([block.row(number)], BLOCKS)
-                    block, number = Block(both), number + 1
+            else:
+                block.take_texts(rows)
+            if block.full():
+                yield _batch([block.row(number)], BLOCKS)
+                block, number = Block(both), number + 1
         if block.docs:
             yield _batch([block.row(number)], BLOCKS)
 

@@ -102,7 +102,7 @@ def test_words_equal_whole_texts(spark):
     texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(20).collect()]
     for t in texts:
         block = align.Block(both)
-        block.take_text(1, t)
+        block.take_texts([(1, t)])
         _, pairs, times, packed = block.row(0)
         a, b = plain.both(t)
         links = Counter(y << 32 | x for x, y in (sweep(a, b) if a else []))
