@@ -46,8 +46,8 @@ from tessera.llm.common import landed
 
 CHUNK = 1 << 16         # characters of a text that one task aligns
 FAN = 16                # neighbouring fragments composed in one group
-BLOCK_LINKS, BLOCK_DOCS = 1 << 22, 1 << 14   # a block of documents ends when it has as many
-PIECES = 700_000        # words a worker remembers
+BLOCK_LINKS, BLOCK_DOCS = 1 << 21, 1 << 14   # a block of documents ends when it has as many
+PIECES = 300_000        # words a worker remembers
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -188,7 +188,8 @@ class Pair:
         if any(x[1] in " \n" and x[0] != " " for x in self.inside) or any("\n" in p for p in plain):
             raise ValueError("the piece model joins words over spaces or line feeds")
         self.lengths_a, self.lengths_b = [np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b)]
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.size = max(len(self.bytes_a), len(self.bytes_b))
+        self.names = [b"%d%c" % (i, c) for c in b",|;" for i in range(self.size)]   # inside a list, behind A's list, behind B's
         self.words: dict[object, bytes | None] = {}
 
     def _b_ids(self, piece: str) -> list[int]:
@@ -226,6 +227,8 @@ class Pair:
             else:
                 pieces[key] = self._piece(key)
         todo = [k for k in pieces if k not in words]
+        words.update((k, self._alone(k[0])) for k in todo if not isinstance(k, str))
+        todo = [k for k in todo if isinstance(k, str)]
         for a in range(0, len(todo), 4096):
             some = todo[a:a + 4096]
             words.update(zip(some, self._aligned([pieces[k] for k in some])))
@@ -236,38 +239,44 @@ class Pair:
     def _piece(key: str) -> str:
         return key if key[0] == "\n" else " " + key
 
+    def _alone(self, piece: str) -> bytes:
+        """The closed fragment of any piece; empty if a tokenizer changes its bytes."""
+        a, b, ok = self.tokens(piece, piece)
+        if not ok:
+            return b""
+        text, n, pairs = groups(a, b)
+        codes = array("q", pairs.elements())
+        return _HEAD.pack(len(a[0]), len(b[0]), n, len(codes)) + codes.tobytes() + text
+
     def _aligned(self, pieces: list[str]) -> list[bytes]:
-        """The closed fragments of many pieces at once: their ends are common ends of one long run."""
-        every_a = [e.ids for e in self.a.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-        every_b = [x[2:] for x in self.b.encode(["\n" + p for p in pieces])]
-        spelt = [p.encode() for p in pieces]
-        good = [_spelt(self.bytes_a, x) == s == _spelt(self.bytes_b, y) for x, y, s in zip(every_a, every_b, spelt)]
-        out = [b""] * len(pieces)
-        keep = [i for i, ok in enumerate(good) if ok]
-        if not keep:
-            return out
-        flat_a, flat_b = [x for i in keep for x in every_a[i]], [x for i in keep for x in every_b[i]]
+        """The closed fragments of words, encoded as one run: both tokenizers cut where they meet."""
+        text = "".join(pieces)
+        spelt = text.encode()
+        flat_a, flat_b = self.a.tok.encode(text, add_special_tokens=False).ids, self._b_ids(text)
+        if not _spelt(self.bytes_a, flat_a) == spelt == _spelt(self.bytes_b, flat_b):
+            return [self._alone(p) for p in pieces]
         a, b = np.array(flat_a), np.array(flat_b)
         end_a, end_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
         from_a, from_b = end_a - self.lengths_a[a], end_b - self.lengths_b[b]
+        end = np.cumsum([len(p) for p in pieces] if len(text) == len(spelt) else [len(p.encode()) for p in pieces])
+        upto_a, upto_b = np.searchsorted(end_a, end, "right"), np.searchsorted(end_b, end, "right")
+        if (end_a[upto_a - 1] != end).any() or (end_b[upto_b - 1] != end).any():
+            return [self._alone(p) for p in pieces]
         first, last = np.searchsorted(end_b, from_a, "right"), np.searchsorted(from_b, end_a, "left")
         n = last - first
         at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
         codes = ((b[at] << 32) | np.repeat(a, n)).astype("<i8").tobytes()
-        common_a, common_b = np.isin(end_a, end_b), np.isin(end_b, end_a)
-        cut_a, cut_b = (np.flatnonzero(common_a) + 1).tolist(), (np.flatnonzero(common_b) + 1).tolist()
-        names_a, names_b = [self.names[x] for x in flat_a], [self.names[x] for x in flat_b]
-        groups_, x, y = [], 0, 0
-        for u, v in zip(cut_a, cut_b):
-            groups_.append((names_a[x] if u == x + 1 else ",".join(names_a[x:u])) + "|" + (names_b[y] if v == y + 1 else ",".join(names_b[y:v])))
-            x, y = u, v
-        size_a = np.array([len(every_a[i]) for i in keep])
-        ends = np.cumsum(size_a)
-        upto_link, upto_group = np.cumsum(n)[ends - 1].tolist(), np.cumsum(common_a)[ends - 1].tolist()
-        link = group = 0
-        for i, l, g in zip(keep, upto_link, upto_group):
-            out[i] = _HEAD.pack(len(every_a[i]), len(every_b[i]), g - group, l - link) + codes[8 * link:8 * l] + ";".join(groups_[group:g]).encode()
-            link, group = l, g
+        # the text: in each group A's ids, then B's, each with the separator behind it
+        close_a, close_b = np.isin(end_a, end_b), np.isin(end_b, end_a)
+        group_a, group_b = np.cumsum(close_a) - close_a, np.cumsum(close_b) - close_b
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        shown = np.concatenate([a + self.size * close_a, b + 2 * self.size * close_b])[order]
+        names = list(map(self.names.__getitem__, shown.tolist()))
+        links, group_ends = np.cumsum(n)[upto_a - 1].tolist(), (group_a[upto_a - 1] + 1).tolist()
+        out, link, group, x, y = [], 0, 0, 0, 0
+        for l, g, u, v in zip(links, group_ends, upto_a.tolist(), upto_b.tolist()):
+            out.append(_HEAD.pack(u - x, v - y, g - group, l - link) + codes[8 * link:8 * l] + b"".join(names[x + y:u + v])[:-1])
+            link, group, x, y = l, g, u, v
         return out
 
 
