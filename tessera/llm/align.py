@@ -41,13 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import Encoder, byte_alphabet, text_slices
+from tessera.llm.bpe import byte_alphabet, text_slices
 from tessera.llm.common import landed
 
 CHUNK = 1 << 16         # characters of a text that one task aligns
 FAN = 16                # neighbouring fragments composed in one group
 BLOCK_LINKS, BLOCK_DOCS = 1 << 21, 1 << 14   # a block of documents ends when it has as many
-PIECES = 300_000        # words a worker remembers
+PIECES = 200_000        # words a worker remembers
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -170,12 +170,13 @@ class Pair:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+        from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark deals out the work
-        self.a = Encoder(path_a)
-        self.a.tok.encode_special_tokens = True   # their strings in a text are plain text
+        self.a = Tokenizer.from_file(path_a)
+        self.a.encode_special_tokens = True   # their strings in a text are plain text
         back = {c: b for b, c in byte_alphabet().items()}
-        vocab = self.a.tok.get_vocab(with_added_tokens=True)
+        vocab = self.a.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for t, i in vocab.items():
             self.bytes_a[i] = bytes(back[c] for c in t) if all(c in back for c in t) else t.encode()
@@ -192,13 +193,16 @@ class Pair:
         self.names = [b"%d%c" % (i, c) for c in b",|;" for i in range(self.size)]   # inside a list, behind A's list, behind B's
         self.words: dict[object, bytes | None] = {}
 
+    def _a_ids(self, piece: str) -> list[int]:
+        return self.a.encode(piece, add_special_tokens=False).ids
+
     def _b_ids(self, piece: str) -> list[int]:
         """B's ids of a piece that begins where B cuts; behind a line feed the library adds no space of its own."""
         return self.b.encode("\n" + piece)[2:]
 
     def tokens(self, part_a: str, part_b: str, at_a: int = 0, at_b: int = 0) -> tuple[Tokens, Tokens, bool]:
         """Both runs of tokens, from the given byte places on, and whether they spell the parts."""
-        ids_a = np.frombuffer(self.a.encode(part_a), "<u4").tolist()
+        ids_a = self._a_ids(part_a)
         ids_b = self._b_ids(part_b) if part_b else []
         ok = _spelt(self.bytes_a, ids_a) == part_a.encode() and _spelt(self.bytes_b, ids_b) == part_b.encode()
         ends_a, ends_b = [(at + np.cumsum(t[np.array(ids, dtype=int)])).tolist() for at, t, ids in ((at_a, self.lengths_a, ids_a), (at_b, self.lengths_b, ids_b))]
@@ -252,7 +256,7 @@ class Pair:
         """The closed fragments of words, encoded as one run: both tokenizers cut where they meet."""
         text = "".join(pieces)
         spelt = text.encode()
-        flat_a, flat_b = self.a.tok.encode(text, add_special_tokens=False).ids, self._b_ids(text)
+        flat_a, flat_b = self._a_ids(text), self._b_ids(text)
         if not _spelt(self.bytes_a, flat_a) == spelt == _spelt(self.bytes_b, flat_b):
             return [self._alone(p) for p in pieces]
         a, b = np.array(flat_a), np.array(flat_b)
