@@ -12,9 +12,7 @@ t AS (SELECT r, doc_id, dl, term, count(*) AS tf
       FROM (SELECT r, doc_id, len(w) AS dl, unnest(w) AS term FROM d) GROUP BY ALL),
 f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
 i AS (SELECT term, ln(1 + (g.n - df + 0.5) / (df + 0.5)) AS idf FROM f, g),
-q AS (SELECT doc_id AS query_id, term, idf FROM
-        (SELECT doc_id, term, sum(tf) AS tf FROM t WHERE doc_id % 100 = 0 GROUP BY ALL) JOIN i USING (term)
-      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 9) DESC, term) <= 64),
+q AS (SELECT DISTINCT doc_id AS query_id, term, idf FROM t JOIN i USING (term) WHERE doc_id % 100 = 0),
 s AS (SELECT query_id, r, t.doc_id, sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean))) AS score
       FROM q JOIN t USING (term), g GROUP BY ALL)
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM s
@@ -22,10 +20,6 @@ WINDOW w AS (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id NULLS L
 QUALIFY row_number() OVER w <= 10
 """
 
-#: queries of all distinct terms
-BM25_WHOLE = BM25.replace("""
-      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 9) DESC, term) <= 64""", "")
-
 WARC = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h,
                   row_number() OVER w AS k, first_value(page_id) OVER w AS lead_id
@@ -75,4 +69,3 @@ FROM p
 """
 
 ORACLES = {"op3_bm25_search": BM25, "op5_warc": WARC, "op6_cross_entropy": CROSS_ENTROPY, "op11_fill_in_middle": FILL_IN_MIDDLE}
-WHOLE_ORACLES = {"op3_bm25_search_whole": BM25_WHOLE}

@@ -1,29 +1,37 @@
-"""Exact top-k BM25 search over a sharded inverted index with block-max pruning.
+"""Exact top-k BM25 search over a sharded inverted index with block-max WAND.
 
 ``build_index`` turns every stretch of ``SHARD_DOCS`` documents into one index shard: sorted terms,
-postings (document, count) and document lengths. Document frequencies and the mean length are
-summed over all shards, so scores of different shards compare. ``search`` runs each query on
-every shard and merges the best ``k`` exactly: a task goes through its shards one after the other and
-carries each query's best ``k`` along, so later shards start with its threshold and a
-task sends ``k`` rows a query, however many shards it had.
-
-Within a shard, the impacts of its ``DENSE`` commonest terms stand in a table of documents by terms, with
-the maxima of each ``BLOCK`` documents. A document's bound is its sum over the query's other terms, read from
-their postings, and the block's maxima of the common ones. Documents are scored from the largest bound
-down, until the bound is below the k-th best score so far (the pivot rule of block-max WAND, taken for many
-documents at a time so that numpy does the work). What enters the best k is summed without
-rounding, so equal documents of different shards tie.
+postings (document, count) and document lengths, as packed columns. Document frequencies and the mean length
+are summed over all shards, so scores of different shards compare. ``search`` runs each query on every shard and
+merges the best ``k`` exactly.
+
+Each term's postings are cut into blocks of ``BLOCK`` postings with their first and last document and their largest
+impact. A query meets a shard in three steps, each with the k-th best score so far as the threshold:
+
+1. A shard is skipped if the terms' largest impacts together stay below the threshold.
+2. Pivots: every document gets the sum of the maxima of the blocks that span it, as one difference array over
+   block ends and its cumulative sum. Of terms with one block only the documents are read, so their maximum
+   stands at these and not between. Documents below the threshold are no pivots.
+3. The pivots' postings in one-block terms are scored, which lowers the bounds and leaves fewer pivots. Of the other
+   terms only blocks that span a pivot are opened, and in them only the pivots' postings are scored. While there
+   is no threshold yet, the pivots with the largest bounds go first.
+
+Inside a shard documents stand by their commonest word and their length: block maxima are tight where
+neighbours are alike, and a block seldom spans documents of another language.
+
+The threshold goes along from shard to shard of a task. A score is the exactly rounded sum of its parts (``fsum``), so
+equal documents of different shards tie.
 
 BM25: idf = ln(1 + (N - df + 0.5) / (df + 0.5)), impact = tf (k1 + 1) / (tf + k1 (1 - b + b len / mean)).
-A query made from a document (``document_queries``) has all distinct terms of its whole text, or, where the
-caller sets ``query_terms``, so many with the largest tf * idf (ties: term order); a term counts once in
+A query made from a document (``document_queries``) has all distinct terms of its whole text; a term counts once in
 a query. Ties in score go to the smaller doc_id (null last).
 
-Queries pass in blocks of bounded numbers of queries and of terms, each broadcast; every block sees all shards.
+Queries pass in blocks of bounded numbers of queries and of terms; a block is broadcast, meets all shards, and its hits are stored
+before the next block starts. A task has at most ``TASK_SHARDS`` shards and sends k rows a query.
 
 Defined cases: null and wordless texts are documents of length zero that nothing finds, and queries
-without rows; repeated rows are documents of their own; an empty table gives no rows;
-other columns are ignored.
+without rows; a null doc_id is never a query, as a hit it comes last of a tie; repeated ids are one query of all their
+texts, repeated rows are documents of their own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,21 +50,42 @@ from tessera.llm.bpe import text_slices
 from tessera.llm.common import landed
 from tessera.llm.words import words_of
 
-SHARD_DOCS, SHARD_BYTES, BLOCK, DENSE = 8192, 24 << 20, 64, 256
+SHARD_DOCS, SHARD_BYTES, BLOCK = 8192, 12 << 20, 64
 K1, B = 1.2, 0.75
 QUERY_BLOCK, QUERY_TERMS = 4096, 1 << 20   # queries of one broadcast, and the terms of all of them
+TASK_SHARDS = 16
 SLACK = 2e-9   # scores are compared after rounding to nine places
-INDEX = "doc_ids binary, known binary, lengths binary, terms array<string>, dfs array<int>, docs binary, counts binary"
+FIELDS = ("doc_ids", "known", "lengths", "terms", "dfs", "docs", "counts")
+INDEX = ", ".join(f"{f} binary" for f in FIELDS)
 HITS = "query_id long, doc_id long, score double"
 
 
+def _packed(x: np.ndarray | bytes) -> bytes:
+    import zstandard
+
+    return zstandard.compress(x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes(), 1)
+
+
+def _unpacked(x, kind: str = "<i4") -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.decompress(x), kind)
+
+
+def _terms(x) -> pa.Array:
+    return pa.array(bytes(_unpacked(x, "u1")).split(b"\n")[:-1], pa.binary())   # no term holds a line feed
+
+
 def build_index(docs: DataFrame) -> DataFrame:
     """The landed index, one row per shard."""
 
     def shard(ids: list, texts: list) -> pa.RecordBatch:
         lengths, terms, counts, sizes, number = [], array("i"), array("i"), [], {}
-        for t in texts:
-            c = Counter(words_of(t))
+        bags = [Counter(words_of(t)) for t in texts]
+        # neighbours alike: by their commonest word (its language), then by length
+        order = sorted(range(len(bags)), key=lambda i: (max(bags[i].items(), key=lambda x: (x[1], x[0]), default=(b"", 0))[0], bags[i].total()))
+        ids, bags = [ids[i] for i in order], [bags[i] for i in order]
+        for c in bags:
             lengths.append(c.total())
             terms.extend([number.setdefault(w, len(number)) for w in c])
             counts.extend(c.values())
@@ -66,16 +95,13 @@ def build_index(docs: DataFrame) -> DataFrame:
         rank = np.empty(order.size, np.int32)
         rank[order] = np.arange(order.size)
         term = rank[np.frombuffer(terms, "i4")]
-        doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        doc = np.repeat(np.arange(len(bags), dtype=np.int32), sizes)
         by_term = np.argsort(term, kind="stable")
         known = np.array([i is not None for i in ids], np.uint8)
-        row = (np.array([i or 0 for i in ids], "<i8").tobytes(), known.tobytes(), np.array(lengths, "<i4").tobytes(),
-               [w.decode("utf-8", "replace") for w in words.take(pa.array(order)).to_pylist()],
-               np.bincount(term, minlength=order.size).astype(np.int32).tolist(),
-               doc[by_term].astype("<i4").tobytes(), np.frombuffer(counts, "i4")[by_term].astype("<i4").tobytes())
-        kinds = (pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)],
-                                          names=[c.split()[0] for c in INDEX.split(", ")])
+        row = (np.array([i or 0 for i in ids], "<i8"), known, np.array(lengths, "<i4"),
+               b"".join(w + b"\n" for w in words.take(pa.array(order)).to_pylist()), np.bincount(term, minlength=order.size).astype("<i4"),
+               doc[by_term].astype("<i4"), np.frombuffer(counts, "i4")[by_term].astype("<i4"))
+        return pa.RecordBatch.from_arrays([pa.array([_packed(v)], pa.binary()) for v in row], names=list(FIELDS))
 
     def build(batches):
         ids, texts, size = [], [], 0
@@ -94,104 +120,145 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 def statistics(index: DataFrame) -> tuple[DataFrame, int, float]:
     """(term, df) over all shards, number of documents and their mean length."""
-    dfs = index.select(F.explode(F.arrays_zip("terms", "dfs")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.dfs").alias("df"))
+
+    def terms(batches):
+        for b in batches:
+            for t, f in zip(b.column(0), b.column(1)):
+                yield pa.RecordBatch.from_arrays([_terms(t.as_py()), pa.array(_unpacked(f.as_py()), pa.int64())], names=["term", "df"])
 
     def sizes(batches):
         for b in batches:
-            lengths = [np.frombuffer(x, "<i4") for x in b.column(0).to_pylist()]
+            lengths = [_unpacked(x) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([x.size for x in lengths], pa.int64()),
                                               pa.array([int(x.sum()) for x in lengths], pa.int64())], names=["n", "words"])
 
+    dfs = index.select("terms", "dfs").mapInArrow(terms, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
     row = index.select("lengths").mapInArrow(sizes, "n long, words long").agg(F.sum("n").alias("n"), F.sum("words").alias("w")).first()
     n = row["n"] or 0
     return dfs, n, (row["w"] or 0) / n if n else 0.0
 
 
-def document_queries(rows: DataFrame, dfs: DataFrame, n: int, query_terms: int | None = None) -> DataFrame:
-    """(query_id, terms, weights) of the given documents: all terms, or the best ``query_terms``."""
+def document_queries(rows: DataFrame, dfs: DataFrame, n: int) -> DataFrame:
+    """(query_id, terms, weights) of the given documents: all their distinct terms with the idf."""
 
     def read(batches):
         for b in text_slices(batches):
-            out = [(i, w.decode("utf-8", "replace"), c) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                   for w, c in Counter(words_of(t)).items()]
-            cols = list(zip(*out)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64()))],
-                                             names=["query_id", "term", "tf"])
+            out = [(i, w) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in set(words_of(t))]
+            cols = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["query_id", "term"])
 
-    terms = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(read, "query_id long, term string, tf long")
+    terms = rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(read, "query_id long, term binary")
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    # repeated ids: one query of all their texts
-    weighed = terms.groupBy("query_id", "term").agg(F.sum("tf").alias("tf")).join(dfs, "term").withColumn("idf", idf)
-    top = weighed
-    if query_terms is not None:
-        order = Window.partitionBy("query_id").orderBy(F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "term")
-        top = weighed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= query_terms)
-    pairs = F.sort_array(F.collect_list(F.struct("term", "idf")))
-    return top.groupBy("query_id").agg(pairs.alias("p")).select("query_id", F.col("p.term").alias("terms"), F.col("p.idf").alias("weights"))
+    pairs = F.sort_array(F.collect_list(F.struct("term", idf.alias("idf"))))
+    asked = terms.distinct().join(dfs, "term").groupBy("query_id").agg(pairs.alias("p"))
+    return asked.select("query_id", F.col("p.term").alias("terms"), F.col("p.idf").alias("weights"))
 
 
 class Shard:
-    """One index shard in memory, with the table of its commonest terms."""
+    """One index shard in memory: postings by term, and the blocks over them.
+
+    ``read`` counts the postings whose impact was computed for a query, ``met`` those of all its terms.
+    """
 
     def __init__(self, row: dict, mean: float):
-        self.ids = np.frombuffer(row["doc_ids"], "<i8")
-        self.known = np.frombuffer(row["known"], np.uint8).astype(bool)
-        lengths = np.frombuffer(row["lengths"], "<i4")
-        self.docs, tf = np.frombuffer(row["docs"], "<i4"), np.frombuffer(row["counts"], "<i4")
-        self.terms = row["terms"]
-        dfs = np.array(row["dfs"], dtype=np.int64)
+        self.ids, self.known = _unpacked(row["doc_ids"], "<i8"), _unpacked(row["known"], "u1").astype(bool)
+        lengths = _unpacked(row["lengths"])
+        self.terms, dfs = _terms(row["terms"]), _unpacked(row["dfs"]).astype(np.int64)
+        self.docs, self.tf = _unpacked(row["docs"]), _unpacked(row["counts"])
+        self.norm = K1 * (1 - B + B * lengths / mean)
+        self.n, self.read, self.met = lengths.size, 0, 0
         self.start = np.concatenate([[0], np.cumsum(dfs)])
-        self.impact = (K1 * (1 - B + B * lengths / mean))[self.docs]
-        self.impact += tf
-        np.divide(tf * (K1 + 1), self.impact, out=self.impact)
-        common = np.argsort(-dfs, kind="stable")[:DENSE]
-        self.column = np.full(dfs.size, -1)
-        self.column[common] = np.arange(common.size)
-        blocks = -(-lengths.size // BLOCK)
-        self.dense = np.zeros((blocks * BLOCK, common.size))
-        a, z = self.start[common], self.start[common + 1]
-        post = _ranges(a, z)
-        self.dense[self.docs[post], np.repeat(np.arange(common.size), z - a)] = self.impact[post]
-        self.dense_max = self.dense.reshape(blocks, BLOCK, common.size).max(1)
+        blocks = -(-dfs // BLOCK)
+        self.block = np.concatenate([[0], np.cumsum(blocks)])   # first block of each term
+        begin = np.repeat(self.start[:-1], blocks) + BLOCK * (np.arange(self.block[-1]) - np.repeat(self.block[:-1], blocks))
+        self.begin = np.append(begin, self.start[-1])           # first posting of each block
+        self.first, self.last = self.docs[begin], self.docs[self.begin[1:] - 1]
+        self.max = np.maximum.reduceat(self._impact(slice(None)), begin) if begin.size else np.zeros(0)
+        self.top_impact = np.maximum.reduceat(self.max, self.block[:-1]) if dfs.size else np.zeros(0)
+
+    def _impact(self, at) -> np.ndarray:
+        tf = self.tf[at]
+        return tf * (K1 + 1) / (tf + self.norm[self.docs[at]])
+
+    def _sum(self, docs: np.ndarray, parts: np.ndarray) -> np.ndarray:
+        return np.bincount(docs, weights=parts, minlength=self.n).astype(float)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, best: list[tuple] = ()) -> list[tuple[float, int | None]]:
         """The k best (score, doc_id) of ``best`` and this shard; ``terms`` are its term numbers."""
-        column = self.column[terms]
-        rare = column < 0
-        dense = np.zeros(self.dense.shape[1])
-        dense[column[~rare]] = weights[~rare]
-        a, z = self.start[terms[rare]], self.start[terms[rare] + 1]
-        post = _ranges(a, z)
-        docs, parts = self.docs[post], np.repeat(weights[rare], z - a) * self.impact[post]
-        sparse = np.bincount(docs, weights=parts, minlength=len(self.dense))
-        bound = sparse + np.repeat(self.dense_max @ dense, BLOCK)
         best = list(best)
-        order = np.flatnonzero((bound > 0) & (bound >= (best[-1][0] - SLACK if len(best) == k else 0)))
-        order = order[np.argsort(-bound[order], kind="stable")]
-        at, step = 0, 4 * BLOCK
-        while at < order.size:
-            chosen = order[at:at + step]
+        least = best[-1][0] - SLACK if len(best) == k else 0.0
+        self.met += int((self.start[terms + 1] - self.start[terms]).sum())
+        if weights @ self.top_impact[terms] < least:
+            return best
+        short = self.block[terms + 1] - self.block[terms] == 1
+        # terms of one block: documents with the block's maximum
+        t, w = terms[short], weights[short]
+        post = _ranges(self.start[t], self.start[t + 1])
+        sizes = self.start[t + 1] - self.start[t]
+        docs = self.docs[post]
+        # terms of several blocks: a block's maximum from its first document to its last
+        t2, w2 = terms[~short], weights[~short]
+        block = _ranges(self.block[t2], self.block[t2 + 1])
+        part = np.repeat(w2, self.block[t2 + 1] - self.block[t2]) * self.max[block]
+        change = np.bincount(self.first[block], part, self.n + 1) - np.bincount(self.last[block] + 1, part, self.n + 1)
+        span = np.cumsum(change, dtype=float)[:self.n]
+        span += SLACK / 4   # the cumulative sum rounds
+        bound = span + self._sum(docs, np.repeat(w * self.max[self.block[t]], sizes))
+        near = self._sum(docs, np.ones(docs.size)) > 0
+        near |= span > SLACK / 2
+        pivot = near & (bound >= least)
+        # the pivots' postings in terms of one block
+        held = np.flatnonzero(pivot[docs])
+        self.read += held.size
+        docs, parts = docs[held], np.repeat(w, sizes)[held] * self._impact(post[held])
+        bound = span + self._sum(docs, parts)
+        pivot &= bound >= least
+        while True:
+            rest = np.flatnonzero(pivot)
+            if not rest.size:
+                return best
+            # without a threshold the most promising pivots go first
+            chosen, more = rest, len(best) < k and rest.size > 8 * k
+            if more:
+                chosen = rest[np.argpartition(-bound[rest], 4 * k)[:4 * k]]
+            best = self._scored(chosen, docs, parts, block, w2, t2, k, best)
+            if not more:
+                return best
+            pivot[chosen] = False
             if len(best) == k:
-                chosen = chosen[bound[chosen] >= best[-1][0] - SLACK]
-                if not chosen.size:
-                    break
-            scores = sparse[chosen] + self.dense[chosen] @ dense
-            low = best[-1][0] if len(best) == k else 0.0
-            if chosen.size > k:  # all that tie with the k-th stay until ids decide
-                low = max(low, np.partition(scores, chosen.size - k)[chosen.size - k])
-            chosen = chosen[(scores > 0) & (scores >= low - SLACK)]
-            if chosen.size:
-                place = np.full(len(self.dense), -1)
-                place[chosen] = np.arange(chosen.size)
-                inside = np.flatnonzero(place[docs] >= 0)
-                inside = inside[np.argsort(place[docs[inside]], kind="stable")]
-                cut = np.searchsorted(place[docs[inside]], np.arange(chosen.size + 1))
-                for i, d in enumerate(chosen):
-                    exact = math.fsum(np.concatenate([parts[inside[cut[i]:cut[i + 1]]], self.dense[d] * dense]).tolist())
-                    best.append((exact, int(self.ids[d]) if self.known[d] else None))
-                best = sorted(best, key=_place)[:k]
-            at, step = at + step, step * 2
-        return best
+                pivot &= bound >= best[-1][0] - SLACK
+
+    def _scored(self, chosen: np.ndarray, docs: np.ndarray, parts: np.ndarray, block: np.ndarray, weights: np.ndarray,
+                terms: np.ndarray, k: int, best: list[tuple]) -> list[tuple]:
+        """``best`` with the ``chosen`` documents; of the terms' blocks those that span none of them stay shut."""
+        asked = np.zeros(self.n + 1, np.int64)
+        asked[chosen + 1] = 1
+        before = np.cumsum(asked)   # chosen documents below each one
+        weight = np.repeat(weights, self.block[terms + 1] - self.block[terms])
+        open_ = before[self.last[block] + 1] > before[self.first[block]]
+        block, weight = block[open_], weight[open_]
+        post = _ranges(self.begin[block], self.begin[block + 1])
+        inside = asked[self.docs[post] + 1] > 0
+        weight = np.repeat(weight, self.begin[block + 1] - self.begin[block])[inside]
+        post = post[inside]
+        self.read += post.size
+        mine = asked[docs + 1] > 0
+        docs, parts = np.concatenate([docs[mine], self.docs[post]]), np.concatenate([parts[mine], weight * self._impact(post)])
+        scores = self._sum(docs, parts)[chosen]
+        low = best[-1][0] if len(best) == k else 0.0
+        if chosen.size > k:   # all that tie with the k-th stay until ids decide
+            low = max(low, np.partition(scores, chosen.size - k)[chosen.size - k])
+        taken = chosen[(scores >= low - SLACK) & (scores > 0)]
+        if taken.size:
+            place = np.full(self.n, -1)
+            place[taken] = np.arange(taken.size)
+            at = place[docs]
+            held = np.flatnonzero(at >= 0)
+            held = held[np.argsort(at[held], kind="stable")]
+            cut = np.searchsorted(at[held], np.arange(taken.size + 1))
+            for i, d in enumerate(taken):   # exactly rounded
+                best = [*best, (math.fsum(parts[held[cut[i]:cut[i + 1]]].tolist()), int(self.ids[d]) if self.known[d] else None)]
+        return sorted(best, key=_place)[:k]
 
 
 def _place(hit: tuple):
@@ -210,7 +277,8 @@ def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> Da
     queries = landed(queries, "bm25-queries")
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("terms")).alias("terms")).first()
     blocks = max(1, math.ceil(size["n"] / QUERY_BLOCK), math.ceil((size["terms"] or 0) / QUERY_TERMS))
-    sc, out = index.sparkSession.sparkContext, None
+    sc = index.sparkSession.sparkContext
+    tasks, out = max(2 * sc.defaultParallelism, math.ceil(index.count() / TASK_SHARDS)), None
     for n in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n).select("query_id", "terms", "weights").toArrow().combine_chunks()
         ids, terms, weights = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in part.columns]
@@ -223,10 +291,9 @@ def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> Da
             best: list[list[tuple]] = [[] for _ in ids]
             for b in batches:
                 for r in range(b.num_rows):
-                    row = {c: b.column(c)[r].values if c in ("terms", "dfs") else b.column(c)[r].as_buffer() for c in b.schema.names}
                     shard = None  # one at a time
-                    shard = Shard(row, mean)
-                    number = pc.index_in(every, value_set=shard.terms.cast(every.type)).fill_null(-1).to_numpy().astype(np.int64)
+                    shard = Shard({c: b.column(c)[r].as_py() for c in FIELDS}, mean)
+                    number = pc.index_in(every, value_set=shard.terms).fill_null(-1).to_numpy().astype(np.int64)
                     for i, (a, z) in enumerate(zip(cut, cut[1:])):
                         t = number[coded[a:z]]
                         if (t >= 0).any():
@@ -237,15 +304,15 @@ def search(index: DataFrame, queries: DataFrame, mean: float, k: int = 10) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
                                                  names=["query_id", "doc_id", "score"])
 
-        got = index.coalesce(2 * sc.defaultParallelism).mapInArrow(run, HITS)
+        got = landed(index.coalesce(tasks).mapInArrow(run, HITS), "bm25-hits")
+        held.unpersist()
         out = got if out is None else out.unionByName(got)
     order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), F.col("doc_id").asc_nulls_last())
     return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 
 
-def similar_documents(docs: DataFrame, every: int = 100, k: int = 10, query_terms: int | None = None) -> DataFrame:
-    """Queries from each document whose id is divisible by ``every`` (all its terms, or the best ``query_terms``), against all documents."""
+def similar_documents(docs: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
+    """Queries from all terms of each document whose id is divisible by ``every``, against all documents."""
     index = build_index(docs)
     dfs, n, mean = statistics(index)
-    asked = document_queries(docs.where(F.col("doc_id") % every == 0), dfs, n, query_terms)
-    return search(index, asked, mean, k)
+    return search(index, document_queries(docs.where(F.col("doc_id") % every == 0), dfs, n), mean, k)

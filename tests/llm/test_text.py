@@ -85,7 +85,7 @@ def test_contamination_table(spark, odd, none, monkeypatch):
 
 # --- search
 
-def brute_search(docs, every, k, query_terms):
+def brute_search(docs, every, k):
     texts = [(d, Counter(words_of(t))) for d, t in docs]
     n, mean = len(texts), sum(c.total() for _, c in texts) / len(texts)
     df = Counter(w for _, c in texts for w in c)
@@ -96,10 +96,9 @@ def brute_search(docs, every, k, query_terms):
             asked[d].update(c)
     out = []
     for q, c in asked.items():
-        terms = sorted(c, key=lambda w: (-round(c[w] * idf[w], 9), w))[:query_terms]
         hits = []
         for d, t in texts:
-            s = sum(idf[w] * t[w] * (K1 + 1) / (t[w] + K1 * (1 - B + B * t.total() / mean)) for w in sorted(terms) if w in t)
+            s = sum(idf[w] * t[w] * (K1 + 1) / (t[w] + K1 * (1 - B + B * t.total() / mean)) for w in sorted(c) if w in t)
             if s > 0:
                 hits.append((-round(s, 9), d is None, d or 0, s))
         out += [(q, r + 1, None if h[1] else h[2], round(h[3], 6)) for r, h in enumerate(sorted(hits)[:k])]
@@ -113,62 +112,70 @@ def test_search_equals_brute_force(spark, odd, monkeypatch, shard, block):
     monkeypatch.setattr(search, "QUERY_BLOCK", 3)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for df, data, every in ((docs, [(r["doc_id"], r["text"]) for r in docs.collect()], 25), (odd, [(r[0], r[1]) for r in rows()], 1)):
-        out = sorted((tuple(r) for r in similar_documents(df, every, 5, 20).collect()), key=lambda r: r[:2])
-        want = brute_search(data, every, 5, 20)
+        out = sorted((tuple(r) for r in similar_documents(df, every, 5).collect()), key=lambda r: r[:2])
+        want = brute_search(data, every, 5)
         assert [r[:3] for r in out] == [r[:3] for r in want]
         assert np.allclose([r[3] for r in out], [r[3] for r in want], atol=2e-6)
 
 
-def test_search_with_whole_texts(spark, monkeypatch):
+def test_search_in_blocks_of_terms(spark, monkeypatch):
     """All distinct terms of a query document count, in blocks of bounded terms."""
     monkeypatch.setattr(search, "QUERY_TERMS", 500)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     data = [(r["doc_id"], r["text"]) for r in docs.collect()]
     out = sorted((tuple(r) for r in similar_documents(docs, 25, 5).collect()), key=lambda r: r[:2])
-    want = brute_search(data, 25, 5, None)
-    assert [r[:3] for r in out] == [r[:3] for r in want] != [r[:3] for r in brute_search(data, 25, 5, 64)]
+    want = brute_search(data, 25, 5)
+    assert [r[:3] for r in out] == [r[:3] for r in want]
     assert np.allclose([r[3] for r in out], [r[3] for r in want], atol=2e-6)
 
 
-def test_whole_search_equals_sql(spark):
-    import duckdb
-    from tessera.llm.queries import WHOLE_ORACLES, WHOLE_QUERIES
+def test_search_empty(none):
+    assert similar_documents(none).collect() == []
 
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    for name, query in WHOLE_QUERIES.items():
-        df = query(spark, SF)
-        want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({WHOLE_ORACLES[name]})").fetchall()
-        assert "<= 64" not in WHOLE_ORACLES[name] and sorted(tuple(r) for r in df.collect()) == sorted(want) and want
 
+def held(spark, texts):
+    index = build_index(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1))
+    dfs, n, mean = statistics(index)
+    shard = search.Shard(index.first().asDict(), mean)
+    names = shard.terms.to_pylist()
+    return shard, {w: i for i, w in enumerate(names)}, {bytes(r["term"]): r["df"] for r in dfs.collect()}
 
-def test_search_empty(none):
-    assert similar_documents(none).collect() == []
+
+def asked(shard, number, weights, k, best=()):
+    """The answer, and the postings whose impact was computed of those that the terms have."""
+    shard.read = shard.met = 0
+    out = shard.top(np.array([number[w] for w in weights]), np.array(list(weights.values())), k, best)
+    return out, shard.read, shard.met
 
 
 def test_blocks_are_skipped(spark):
-    """The pivot rule leaves blocks unscored and still gives the same top k."""
-    texts = [f"common filler w{i}" for i in range(640)] + ["rare rare rare common"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-    index = build_index(df)
-    _, n, mean = statistics(index)
-    s = search.Shard(index.first().asDict(), mean)
-    terms = np.array([s.terms.index("common"), s.terms.index("rare")])
-    seen = []
-    original = search._ranges
-    search._ranges = lambda a, z: seen.append(int((z - a).sum())) or original(a, z)
-    try:
-        assert s.top(terms, np.array([0.001, 6.0]), 1)[0][1] == 640
-    finally:
-        search._ranges = original
-    assert sum(seen[1:]) < 641 // 2
-
-
-def test_query_terms(spark):
-    df = spark.createDataFrame([(0, "a a a b c"), (1, "a b"), (100, None)], "doc_id long, text string")
+    """Pivots leave postings of common and of rare terms unread; the answer is that of all documents."""
+    texts = [f"common filler w{i}" for i in range(640)] + ["rare rare rare common"] + ["rare " + "pad " * 400 for _ in range(30)]
+    shard, number, df = held(spark, texts)
+    assert df[b"common"] == 641 and df[b"rare"] == 31
+    (best, *_), read, met = asked(shard, number, {b"common": 0.001, b"rare": 6.0}, 1)
+    assert best[1] == 640 and met == 672 and read < met // 2
+    # a threshold that the common term alone cannot reach: its blocks stay shut but for the pivot's
+    out, read, _ = asked(shard, number, {b"common": 0.001, b"rare": 6.0}, 1, [(best[0] - 1, 5)])
+    assert out == [best] and read <= 1 + search.BLOCK + 31
+    # a threshold above the shard's largest impacts: nothing is read
+    assert asked(shard, number, {b"common": 0.001, b"rare": 6.0}, 1, [(99.0, 5)])[:2] == ([(99.0, 5)], 0)
+    # rare terms whose documents stay below the threshold are no pivots
+    out, read, met = asked(shard, number, {b"rare": 6.0, **{b"w%d" % i: 0.01 for i in range(300)}}, 1, [(best[0] - 1, 5)])
+    assert out[0][1] == 640 and read < 31 + 300 and met == 331
+
+
+def test_alike_documents_are_neighbours(spark):
+    shard, number, _ = held(spark, [f"{'der der' if i % 2 else 'the the'} x{i}" for i in range(400)])
+    the = shard.docs[shard.start[number[b"the"]]:shard.start[number[b"the"] + 1]]
+    assert the[-1] - the[0] == 199
+
+
+def test_queries_have_all_terms(spark):
+    df = spark.createDataFrame([(0, "a a a b c"), (0, "a d"), (1, "a b"), (100, None), (None, "a")], "doc_id long, text string")
     dfs, n, _ = statistics(build_index(df))
-    q = document_queries(df.where("doc_id = 0"), dfs, n, 2).collect()
-    assert n == 3 and [(r["query_id"], r["terms"]) for r in q] == [(0, ["a", "c"])]
+    q = document_queries(df.where("doc_id % 100 = 0"), dfs, n).collect()
+    assert n == 5 and [(r["query_id"], r["terms"]) for r in q] == [(0, [b"a", b"b", b"c", b"d"])]
 
 
 # --- cross-entropy difference
