@@ -1,8 +1,8 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
 One Bloom filter per language, stored by slice: cell i holds a bit mask of the languages whose
-filter has bit i set, so one lookup (the AND of a gram's ``HASHES`` cells) gives
-all languages that contain the gram. A text is decided by counting, per language, the grams whose
+filter has bit i set (one 64-bit word for each 64 languages), so one lookup (the AND of a gram's
+``HASHES`` cells) gives all languages that contain the gram. A text is decided by counting, per language, the grams whose
 mask has its bit; the count is corrected for the false positives expected from that
 language's fill, and the largest corrected count wins (ties: the language with more training texts).
 
@@ -11,7 +11,8 @@ space. A gram belongs to a language if its share of that language's grams is at
 ``SHARE`` of the largest share any language gives it and it was seen ``SEEN`` times.
 
 The filters are fitted on about ``per_language`` texts of each language (those with the smallest
-hashes); every text is classified whole. Up to 64 languages fit in a mask.
+hashes); every text is classified whole. Any number of languages is learned; the broadcast model takes
+8 MB for each 64 of them, and the driver holds one row a language.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every text
 when nothing can be learned; a text without a known gram gets the language with most
@@ -35,6 +36,8 @@ GRAM, HASHES, CELLS = 4, 3, 1 << 20
 SHARE, SEEN, PER_LANGUAGE = 0.3, 3, 4_000
 STRETCH = 1 << 20  # bytes of a text whose grams are held at once
 
+#: the eight bits of each byte value
+_BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(float)
 _TABLE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
@@ -72,11 +75,17 @@ def positions(g: np.ndarray, hashes: int = HASHES, cells: int = CELLS) -> list[n
 @dataclass
 class LanguageModel:
     languages: list[str]   # bit order; most training texts first
-    masks: np.ndarray      # languages per cell
+    masks: np.ndarray      # languages per cell: cells x words of 64 languages
 
     def __post_init__(self):
-        fill = [float(((self.masks >> np.uint64(k)) & np.uint64(1)).mean()) for k in range(len(self.languages))]
-        self.false = np.array(fill) ** HASHES
+        self.false = (self._bits(self.masks) / max(1, len(self.masks))) ** HASHES
+
+    def _bits(self, masks: np.ndarray) -> np.ndarray:
+        """How many of the mask rows have each language's bit."""
+        columns = masks.astype("<u8").view(np.uint8).reshape(len(masks), -1)
+        used = range((len(self.languages) + 7) // 8)
+        counts = [np.bincount(columns[:, k], minlength=256) @ _BIT_OF_BYTE for k in used]
+        return np.concatenate([np.zeros(0), *counts])[:len(self.languages)]
 
     def counts(self, text: str | None) -> np.ndarray | None:
         """Corrected grams per language; None for a text without a letter."""
@@ -86,13 +95,11 @@ class LanguageModel:
         hits, n = np.zeros(len(self.languages)), 0
         for g in grams(raw):
             seen = None
-            for at in positions(g, HASHES, self.masks.size):
+            for at in positions(g, HASHES, len(self.masks)):
                 cell = self.masks[at]
                 seen = cell if seen is None else seen & cell
             n += g.size
-            bits = np.unpackbits(seen.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :(len(self.languages) + 7) // 8],
-                                 axis=1, bitorder="little")
-            hits += bits.sum(axis=0, dtype=np.int64)[:len(self.languages)]
+            hits += self._bits(seen)
         return np.maximum(0.0, (hits - n * self.false) / (1 - np.minimum(self.false, 0.999)))
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -109,17 +116,14 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2, per_langua
     known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.col("lang").cast("string").alias("lang"))
              .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held_out)))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(65).collect()
+    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = [r["lang"] for r in sizes]
-    if len(languages) > 64:
-        raise ValueError("a mask holds at most 64 languages")
     if not languages:
-        return LanguageModel([], np.zeros(CELLS, np.uint64))
+        return LanguageModel([], np.zeros((CELLS, 1), np.uint64))
     # rows by a hash threshold per language: about ``per_language`` each, without a sort
-    bit = F.create_map(*[x for k, name in enumerate(languages) for x in (F.lit(name), F.lit(k))])
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
+    table = docs.sparkSession.createDataFrame([(r["lang"], k, min(1.0, per_language / r["count"])) for k, r in enumerate(sizes)], "lang string, k int, share double")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    rows = known.where(draw < share[F.col("lang")]).select(bit[F.col("lang")].alias("k"), "text")
+    rows = known.join(F.broadcast(table), "lang").where(draw < F.col("share")).select("k", "text")   # one row a language
 
     def count(batches):
         """Per task: how often each (language, gram) stands in its texts."""
@@ -146,28 +150,27 @@ def fit_languages(docs: DataFrame, folds: int = 4, held_out: int = 2, per_langua
 
     seen = rows.mapInArrow(count, "k int, gram long, n long").groupBy("k", "gram").agg(F.sum("n").alias("n"))
     seen = landed(seen, "gram-counts")
-    totals = {r["k"]: r["n"] for r in seen.groupBy("k").agg(F.sum("n").alias("n")).collect()}
-    total = F.create_map(*[x for k, n in totals.items() for x in (F.lit(k), F.lit(float(n)))])
-    share = F.col("n") / total[F.col("k")]
-    best = seen.select("k", "gram", "n", share.alias("share")).withColumn("best", F.max("share").over(Window.partitionBy("gram")))
+    totals = seen.groupBy("k").agg(F.sum("n").cast("double").alias("total"))
+    best = seen.join(F.broadcast(totals), "k").select("k", "gram", "n", (F.col("n") / F.col("total")).alias("share")) \
+        .withColumn("best", F.max("share").over(Window.partitionBy("gram")))
     member = best.where((F.col("share") >= SHARE * F.col("best")) & (F.col("n") >= SEEN))
 
     def cells(batches):
         for b in batches:
             k, g = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.uint32)
             at = np.concatenate(positions(g))
-            mask = np.tile(np.uint64(1) << k.astype(np.uint64), HASHES)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask.view(np.int64))], names=["cell", "mask"])
+            mask = np.tile(np.uint64(1) << (k % 64).astype(np.uint64), HASHES)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.tile(k // 64, HASHES)), pa.array(mask.view(np.int64))], names=["cell", "word", "mask"])
 
-    slices = member.select("k", "gram").mapInArrow(cells, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask"))
-    got = slices.toPandas()  # at most CELLS rows
-    masks = np.zeros(CELLS, np.uint64)
-    masks[got["cell"].to_numpy()] = got["mask"].to_numpy().astype(np.int64).view(np.uint64)
+    slices = member.select("k", "gram").mapInArrow(cells, "cell long, word int, mask long").groupBy("cell", "word").agg(F.bit_or("mask").alias("mask"))
+    got = slices.toPandas()  # at most CELLS rows for each 64 languages
+    masks = np.zeros((CELLS, -(-len(languages) // 64)), np.uint64)
+    masks[got["cell"].to_numpy(), got["word"].to_numpy()] = got["mask"].to_numpy().astype(np.int64).view(np.uint64)
     return LanguageModel(languages, masks)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred, score of each whole text. The model (8 bytes a cell) is broadcast."""
+    """doc_id, lang_pred, score of each whole text. The model (8 bytes a cell and 64 languages) is broadcast."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def read(batches):
