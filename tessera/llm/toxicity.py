@@ -1,16 +1,20 @@
 """Toxicity scores by weak supervision.
 
-1. Voters. Words and word beginnings that labelled toxic texts use far more often than
-   clean ones form lexicons, dealt over several lexicon voters; pattern voters look at
-   hit counts, shouting, exclamation marks and masked letters. A voter fires or not.
-2. Label model. A generative mixture of two classes explains how often the voters fire
-   together: per class a tree of voters, each depending on the one it correlates with most
-   (given the class) and on the class. EM estimates accuracies and correlations; a known
-   label enters as evidence of fixed reliability (``TRUST`` in log odds), not as the truth.
-3. Classifier. A logistic regression on lexicon hits and patterns is fitted to the label
-   model's posterior labels, so it also weighs words the voters hold together.
-
-The fit uses at most ``sample`` labelled rows (see ``labelled_sample``); every text is scored whole.
+1. Voters. Words, word beginnings and word endings that labelled toxic texts use far more often than
+   clean ones form lexicons of different kinds, one voter each; further voters look at how hits lie together
+   (density, repetition, both halves, neighbours) and at how a text is written (shouting, exclamation marks, masked
+   letters, digits inside words, stretched letters). A voter fires or not: ``VOTERS`` bits a text.
+2. Label model. All documents vote, labelled or not; their vote patterns are counted by Spark. A generative mixture
+   of two classes explains how often voters fire together: per class a tree of voters, each depending on the one
+   it correlates with most (given the class) and on the class. EM estimates accuracies and correlations from the counts
+   of all documents. Labels only say which class is which: the labelled rows' patterns are added with a mass of
+   ``ANCHOR`` of the corpus, and a logistic line over the labelled rows calibrates the posterior.
+3. Classifier. A logistic regression on lexicon hits and patterns is fitted to the label model's posterior
+   labels, of labelled and unlabelled rows, so it also weighs words that the voters hold together. A row's own label
+   enters nowhere but in the lexicons, the anchor and the calibration.
+
+The lexicons come from at most ``sample`` labelled rows (see ``labelled_sample``), the classifier is fitted on these and about as many
+unlabelled rows with the smallest hashes; votes are counted over all documents, and every text is scored whole.
 
 Defined cases: null and empty texts are scored like texts without hits; without labelled rows of
 both classes every score is the share of toxic rows (0 if there are none); repeated
@@ -33,93 +37,134 @@ from tessera.llm.common import fold, labelled_sample, landed
 
 SAMPLE = 20_000
 LEXICON = 600          # words, and as many word beginnings, at most
-LEXICON_VOTERS = 6
 STEMS = (4, 5, 6)      # lengths of word beginnings
-TRUST = 4.0
-PATTERNS = ("two hits", "four hits", "shouting", "exclaims", "masked", "stem hit")
+ENDS = (4, 5)          # lengths of word endings
+STRONG, WEAK = 20, 5   # how much more often toxic texts use a word
+COMMON, WIDER = 0.01, 1.3   # toxic texts that hold a term, at least; how many more a beginning or ending has than any word with it
+ANCHOR = 0.05
+KINDS = ("strong words, commoner half", "strong words, rarer half", "weak words", *[f"beginnings of {n}" for n in STEMS], "endings")
+PATTERNS = ("two hits", "four hits", "dense hits", "hits in both halves", "shouting", "exclaims", "masked", "digits inside", "stretched")
+VOTERS = len(KINDS) + len(PATTERNS)   # 2 ** 16 vote patterns at most
 
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"[^\W\d_]\*{2,}[^\W\d_]|[^\W\d_][@$#*]{2,}")
+_INSIDE = re.compile(r"[^\W\d_][013457]{1,2}[^\W\d_]")
+_STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
 
 
 @dataclass
 class Lexicon:
-    """Words and stems, in order; the automaton is built once per worker."""
+    """Words (the first ``strong`` of them strong ones), stems and endings; the automaton is built once per worker."""
 
     words: list[str]
     stems: list[str]
+    ends: list[str] = field(default_factory=list)
+    strong: int | None = None
     _finder: object = field(default=None, repr=False, compare=False)
 
     def __getstate__(self):
-        return {"words": self.words, "stems": self.stems, "_finder": None}
+        return {**self.__dict__, "_finder": None}
+
+    @property
+    def n_strong(self) -> int:
+        return len(self.words) if self.strong is None else self.strong
 
     def finder(self):
         if self._finder is None:
             import ahocorasick
 
             a = ahocorasick.Automaton()
-            for k, w in enumerate(self.words):
-                a.add_word(w, [(True, k)])
-            for k, s in enumerate(self.stems):
-                a.add_word(s, a.get(s, []) + [(False, k)])
+            for kind, terms in enumerate((self.words, self.stems, self.ends)):
+                for k, w in enumerate(terms):
+                    a.add_word(w, a.get(w, []) + [(kind, k, len(w))])
             a.make_automaton()
             self._finder = a
         return self._finder
 
-    def hits(self, text: str) -> tuple[set[int], set[int]]:
-        """Indices of the words that stand in the text, and of the stems that begin a word of it."""
-        words, stems = set(), set()
-        if not (self.words or self.stems):
-            return words, stems
+    def hits(self, text: str) -> "Hits":
+        """The words that stand in the text, the stems that begin a word of it, the endings that end one."""
+        out = Hits()
+        if not (self.words or self.stems or self.ends):
+            return out
         low = text.lower()
         for end, found in self.finder().iter(low):
-            for whole, k in found:
-                at = end + 1 - len(self.words[k] if whole else self.stems[k])
-                if at and low[at - 1].isalpha():
-                    continue
-                if not whole:
-                    stems.add(k)
-                elif end + 1 == len(low) or not low[end + 1].isalpha():
-                    words.add(k)
-        return words, stems
-
-
-def patterns(text: str, words: set[int], stems: set[int]) -> list[bool]:
+            last = end + 1 == len(low) or not low[end + 1].isalpha()
+            for kind, k, n in found:
+                at = end + 1 - n
+                begins = not at or not low[at - 1].isalpha()
+                if kind == 0 and begins and last:
+                    out.words.add(k)
+                    if k < self.n_strong:
+                        out.strong.add(k)
+                        out.places.append(at / len(low))
+                elif kind == 1 and begins:
+                    out.stems.add(k)
+                elif kind == 2 and last and not begins:
+                    out.ends.add(k)
+        return out
+
+    def votes(self, text: str, hits: "Hits") -> list[bool]:
+        strong = self.n_strong
+        lengths = {len(self.stems[k]) for k in hits.stems}
+        kinds = [any(k < (strong + 1) // 2 for k in hits.words), any((strong + 1) // 2 <= k < strong for k in hits.words),
+                 any(k >= strong for k in hits.words), *[n in lengths for n in STEMS], bool(hits.ends)]
+        return kinds + patterns(text, hits)
+
+
+@dataclass
+class Hits:
+    words: set[int] = field(default_factory=set)
+    strong: set[int] = field(default_factory=set)
+    stems: set[int] = field(default_factory=set)
+    ends: set[int] = field(default_factory=set)
+    places: list[float] = field(default_factory=list)   # of strong words, 0 to 1
+
+
+def patterns(text: str, hits: Hits) -> list[bool]:
     n = max(1, len(text))
     upper = sum(map(text.count, "AEIOURST"))
     lower = sum(map(text.count, "aeiourst"))
-    return [len(words) >= 2, len(words) >= 4, upper > lower, 100 * text.count("!") > n,
-            bool(text.count("*") and _MASKED.search(text)), bool(stems)]
-
-
-def votes(lexicon: Lexicon, text: str) -> list[bool]:
-    words, stems = lexicon.hits(text)
-    dealt = [False] * LEXICON_VOTERS
-    for k in words:
-        dealt[k % LEXICON_VOTERS] = True
-    return dealt + patterns(text, words, stems)
+    places = hits.places
+    return [len(hits.strong) >= 2, len(hits.strong) >= 4, 500 * len(places) > n, bool(places) and min(places) < 0.5 <= max(places),
+            upper > lower, 100 * text.count("!") > n, bool(text.count("*") and _MASKED.search(text)),
+            bool(_INSIDE.search(text)), bool(_STRETCHED.search(text))]
 
 
 class LabelModel:
     """Two classes; in each, voters form a tree: P(votes, y) = P(y) prod P(v_j | v_parent(j), y)."""
 
-    def __init__(self, rounds: int = 60, pseudo: float = 0.5):
-        self.rounds, self.pseudo = rounds, pseudo
+    def __init__(self, rounds: int = 200, pseudo: float = 0.5):
+        self.rounds, self.pseudo, self.slope, self.shift = rounds, pseudo, 1.0, 0.0
 
-    def fit(self, seen: np.ndarray, weight: np.ndarray, evidence: np.ndarray, start: np.ndarray) -> "LabelModel":
-        """``seen``: distinct 0/1 vote rows, with counts and the log odds that their
-        labels add; ``start``: first guess of P(toxic)."""
-        post = start.astype(float)
+    def fit(self, seen: np.ndarray, weight: np.ndarray, told: np.ndarray, anchor: float = ANCHOR) -> "LabelModel":
+        """``seen``: distinct 0/1 vote rows; ``weight``: how many documents vote so; ``told``: how many labelled
+        rows of class 0 and 1 do (two columns). The labelled rows begin EM, stay in it with a mass of ``anchor`` of all
+        documents, and calibrate the posterior."""
+        held = told * (anchor * max(1.0, weight.sum()) / max(1.0, told.sum()))
+        self._maximise(seen, told.T.astype(float) if told.sum() else np.stack([weight / 2, weight / 2]))
+        post = None
         for _ in range(self.rounds):
-            self._maximise(seen, weight, post)
-            new = self.posterior(seen, evidence)
-            moved, post = np.abs(new - post).max(), new
-            if moved < 1e-6:
+            new = self.posterior(seen)
+            if post is not None and np.abs(new - post).max() < 1e-6:
                 break
+            post = new
+            self._maximise(seen, np.stack([weight * (1 - post), weight * post]) + held.T)
+        self._calibrate(seen, told)
         return self
 
-    def _maximise(self, v: np.ndarray, w: np.ndarray, post: np.ndarray) -> None:
-        m, mass = v.shape[1], np.stack([w * (1 - post), w * post])
+    def _calibrate(self, seen: np.ndarray, told: np.ndarray) -> None:
+        """A logistic line from the posterior's log odds to the labels."""
+        n = told.sum(1)
+        if not (told.sum(0) > 0).all():
+            return
+        odds = self._odds(seen)
+        slope, shift = _logistic(odds[n > 0][:, None], told[n > 0, 1] / n[n > 0], n[n > 0], ridge=0.01)
+        if slope > 0:
+            self.slope, self.shift = float(slope), float(shift)
+
+    def _maximise(self, v: np.ndarray, mass: np.ndarray) -> None:
+        """The parameters from the mass of each vote row in each class."""
+        m = v.shape[1]
         self.prior = (mass.sum(1) + self.pseudo) / (mass.sum() + 2 * self.pseudo)
         joint = np.zeros((2, m, m, 2, 2))  # class, i, j, value of i, value of j
         one = v.astype(float)
@@ -155,64 +200,76 @@ class LabelModel:
                 else:
                     self.table[y, j] = p[y, q, j] / p[y, q, j].sum(axis=1, keepdims=True)
 
-    def posterior(self, v: np.ndarray, evidence: np.ndarray | float = 0.0) -> np.ndarray:
+    def _odds(self, v: np.ndarray) -> np.ndarray:
         v = v.astype(int)
         logs = np.log(self.prior)[:, None] + np.zeros((2, v.shape[0]))
         for j, q in enumerate(self.parent):
             up = v[:, q] if q >= 0 else np.zeros(v.shape[0], int)
             logs += np.log(self.table[:, j, up, v[:, j]])
-        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1] - evidence, -500, 500)))
+        return np.clip(logs[1] - logs[0], -50, 50)
+
+    def posterior(self, v: np.ndarray) -> np.ndarray:
+        """P(toxic) of vote rows, calibrated once the model is fitted."""
+        return 1 / (1 + np.exp(-np.clip(self.slope * self._odds(v) + self.shift, -500, 500)))
 
 
 @dataclass
 class ToxicityModel:
     lexicon: Lexicon
     bias: float = 0.0
-    word_weight: np.ndarray = None
-    stem_weight: np.ndarray = None
-    pattern_weight: np.ndarray = None
-    label_model: LabelModel = None
+    weights: np.ndarray | None = None   # of words, stems, endings and patterns, in this order
+    label_model: LabelModel | None = None
 
     def score(self, text: str | None) -> float:
         text = text or ""
-        words, stems = self.lexicon.hits(text)
         z = self.bias
-        if self.word_weight is not None:
-            z += sum(self.word_weight[k] for k in sorted(words)) + sum(self.stem_weight[k] for k in sorted(stems))
-            z += float(self.pattern_weight @ np.array(patterns(text, words, stems), dtype=float))
+        if self.weights is not None:
+            hits = self.lexicon.hits(text)
+            z += float(self.weights[_features(self.lexicon, hits, patterns(text, hits))].sum())
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
+def _features(lex: Lexicon, hits: Hits, fired: list[bool]) -> list[int]:
+    """Numbers of the features that a text has."""
+    a, b = len(lex.words), len(lex.words) + len(lex.stems)
+    c = b + len(lex.ends)
+    return [*sorted(hits.words), *[a + k for k in sorted(hits.stems)], *[b + k for k in sorted(hits.ends)], *[c + k for k, x in enumerate(fired) if x]]
+
+
 def _mine(rows: DataFrame, limit: int) -> Lexicon:
-    """Words and stems at least 20 times as frequent among toxic texts, in 1 % of them or more."""
+    """Words, stems and endings that stand in a share of ``COMMON`` of the toxic texts or more, ``STRONG`` (words: or ``WEAK``) times as
+    often as in clean ones. A stem or ending that is no more than one of these words is left out."""
 
     def count(batches):
-        """Per batch: toxic and clean texts that hold each word and word beginning."""
+        """Per batch: toxic and clean texts that hold each word (0), word beginning (1) and word ending (2)."""
         for b in batches:
-            seen: dict[tuple[str, bool], list[int]] = {}
+            seen: dict[tuple[str, int], list[int]] = {}
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = set(_WORD.findall((text or "").lower()))
-                stems = {w[:n] for w in found for n in STEMS if len(w) > n}
-                for term in [(w, False) for w in found] + [(w, True) for w in stems]:
+                terms = {(w, 0) for w in found} | {(w[:n], 1) for w in found for n in STEMS if len(w) > n} | {(w[-n:], 2) for w in found for n in ENDS if len(w) > n}
+                for term in terms:
                     seen.setdefault(term, [0, 0])[label] += 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array([t for t, _ in seen], pa.string()), pa.array([s for _, s in seen], pa.bool_()),
+                [pa.array([t for t, _ in seen], pa.string()), pa.array([k for _, k in seen], pa.int32()),
                  pa.array([c[1] for c in seen.values()], pa.int64()), pa.array([c[0] for c in seen.values()], pa.int64())],
-                names=["term", "stem", "toxic", "clean"])
+                names=["term", "kind", "toxic", "clean"])
 
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(n) < 2:
         return Lexicon([], [])
-    counts = (rows.select("label", "text").mapInArrow(count, "term string, stem boolean, toxic long, clean long")
-              .groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    toxic, clean = F.col("toxic") / F.lit(n[1]), (F.col("clean") + 0.5) / F.lit(n[0] + 1)
-    ratio = toxic / clean
-    kept = counts.where((F.col("toxic") >= F.greatest(F.lit(3), F.lit(0.01 * n[1]))) & (ratio >= 20))
-    out = []
-    for stem in (False, True):
-        top = kept.where(F.col("stem") == stem).orderBy(F.desc("toxic"), "term").limit(limit)
-        out.append([r["term"] for r in top.collect()])
-    return Lexicon(*out)
+    counts = (rows.select("label", "text").mapInArrow(count, "term string, kind int, toxic long, clean long")
+              .groupBy("term", "kind").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    ratio = (F.col("toxic") / F.lit(n[1])) / ((F.col("clean") + 0.5) / F.lit(n[0] + 1))
+    kept = landed(counts.where(F.col("toxic") >= F.greatest(F.lit(3), F.lit(COMMON * n[1]))).withColumn("ratio", ratio).where(F.col("ratio") >= WEAK), "toxic-terms")
+
+    def top(kind: int, low: float, high: float = float("inf")) -> list[tuple[str, int]]:
+        found = kept.where((F.col("kind") == kind) & (F.col("ratio") >= low) & (F.col("ratio") < high))
+        return [(r["term"], r["toxic"]) for r in found.orderBy(F.desc("toxic"), "term").limit(limit).collect()]
+
+    strong, weak = top(0, STRONG), top(0, WEAK, STRONG)
+    stems = [t for t, k in top(1, STRONG) if all(k >= WIDER * m for w, m in strong + weak if w.startswith(t))]
+    ends = [t for t, k in top(2, STRONG) if all(k >= WIDER * m for w, m in strong + weak if w.endswith(t))]
+    return Lexicon([w for w, _ in strong + weak], stems, ends, len(strong))
 
 
 def _logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -231,48 +288,63 @@ def _logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: floa
     return w
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMPLE, lexicon: int = LEXICON) -> ToxicityModel:
-    """Fit on at most ``sample`` labelled rows outside fold 0."""
+def _voted(texts: DataFrame, lex: Lexicon, column: str) -> DataFrame:
+    """Adds ``votes`` (a bit a voter) and the ``features`` of each text to (``column``, text) rows."""
+
+    def read(batches):
+        for b in text_slices(batches):
+            masks, features = [], []
+            for t in b.column(1).to_pylist():
+                t = t or ""
+                hits = lex.hits(t)
+                fired = lex.votes(t, hits)
+                masks.append(sum(1 << k for k, x in enumerate(fired) if x))
+                features.append(_features(lex, hits, fired[len(KINDS):]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(masks, pa.int32()), pa.array(features, pa.list_(pa.int32()))],
+                                             names=[column, "votes", "features"])
+
+    return texts.select(F.col(column).cast("int").alias(column), "text").mapInArrow(read, f"{column} int, votes int, features array<int>")
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMPLE, lexicon: int = LEXICON, weigh=None) -> ToxicityModel:
+    """Fit on at most ``sample`` labelled rows outside fold 0, about as many unlabelled ones, and the votes of all.
+
+    ``weigh(votes)`` replaces the label model's posterior of 0/1 vote rows (to compare with).
+    """
     picked = labelled_sample(labels, "toxic", folds, sample)
-    rows = landed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                  .join(F.broadcast(picked), "doc_id").select("label", "text"), "toxic-sample")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = landed(texts.join(F.broadcast(picked), "doc_id").select("label", "text"), "toxic-sample")
     lex = _mine(rows, lexicon)
     share = rows.agg(F.avg("label").alias("p"), F.min("label").alias("a"), F.max("label").alias("b")).first()
     if share["a"] == share["b"]:
         p = min(max(share["p"] or 0.0, 0.0), 1.0)
         return ToxicityModel(lex, bias=float(np.log(p / (1 - p))) if 0 < p < 1 else (40.0 if p else -40.0))
-
-    def read(batches):
-        for b in text_slices(batches):
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            hits = [lex.hits(t) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([votes(lex, t) for t in texts], pa.list_(pa.bool_())),
-                 pa.array([sorted(w) for w, _ in hits], pa.list_(pa.int32())), pa.array([sorted(s) for _, s in hits], pa.list_(pa.int32()))],
-                names=["label", "votes", "words", "stems"])
-
-    got = rows.mapInArrow(read, "label int, votes array<boolean>, words array<int>, stems array<int>").toArrow().to_pydict()
-    v = np.array(got["votes"], dtype=int)
-    label = np.array(got["label"])
-    seen, at, count = np.unique(np.column_stack([v, label]), axis=0, return_inverse=True, return_counts=True)
-    seen, evidence = seen[:, :-1], TRUST * (2 * seen[:, -1] - 1)
-    model = LabelModel().fit(seen, count, evidence, 1 / (1 + np.exp(-evidence)))
-    post = model.posterior(seen, evidence)[at.ravel()]
-    # texts with the same features are one weighted row: most have none
+    # every document votes; a row for each of the 2 ** VOTERS patterns at most
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)).cast("int").alias("draw")
+    voted = landed(_voted(texts.select(draw, "text"), lex, "draw"), "toxic-votes")
+    every = voted.groupBy("votes").count().toArrow().to_pydict()
+    told = _voted(rows, lex, "label").select("label", "votes", "features").toArrow().to_pydict()
+    mask = np.array(every["votes"], dtype=np.int64)
+    seen = ((mask[:, None] >> np.arange(VOTERS)) & 1).astype(np.int8)
+    place = {m: k for k, m in enumerate(every["votes"])}
+    labelled = np.zeros((mask.size, 2))
+    np.add.at(labelled, ([place[m] for m in told["votes"]], told["label"]), 1)
+    model = LabelModel().fit(seen, np.array(every["count"], dtype=float), labelled)
+    post = dict(zip(every["votes"], (weigh(seen) if weigh else model.posterior(seen)).tolist()))
+    # the classifier's rows: the labelled ones and about as many others; texts with the same features are one weighted row
+    most = int(min(1.0, sample / max(1, sum(every["count"]))) * (1 << 31))
+    other = voted.where(F.col("draw") < most).groupBy("votes", "features").count().toArrow().to_pydict()
     rows_seen: dict[tuple, list[float]] = {}
-    for words, stems, fired, p in zip(got["words"], got["stems"], v[:, LEXICON_VOTERS:].tolist(), post.tolist()):
-        cell = rows_seen.setdefault((tuple(words), tuple(stems), tuple(fired)), [0.0, 0.0])
-        cell[0] += 1
-        cell[1] += p
-    nw, ns = len(lex.words), len(lex.stems)
-    x = np.zeros((len(rows_seen), nw + ns + len(PATTERNS)))
-    for i, (words, stems, fired) in enumerate(rows_seen):
-        x[i, list(words)] = 1
-        x[i, [nw + s for s in stems]] = 1
-        x[i, nw + ns:] = fired
+    for votes, features, n in [*zip(told["votes"], told["features"], [1] * len(told["votes"])), *zip(other["votes"], other["features"], other["count"])]:
+        cell = rows_seen.setdefault(tuple(features), [0.0, 0.0])
+        cell[0] += n
+        cell[1] += n * post[votes]
+    x = np.zeros((len(rows_seen), len(lex.words) + len(lex.stems) + len(lex.ends) + len(PATTERNS)))
+    for i, features in enumerate(rows_seen):
+        x[i, list(features)] = 1
     weight, total = np.array(list(rows_seen.values())).T
     w = _logistic(x, total / weight, weight)
-    return ToxicityModel(lex, float(w[-1]), w[:nw], w[nw:nw + ns], w[nw + ns:-1], model)
+    return ToxicityModel(lex, float(w[-1]), w[:-1], model)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, column: str = "score") -> DataFrame:

@@ -1,9 +1,13 @@
+import zlib
+from collections import Counter
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm.langid import HASHES, LanguageModel, fit_languages, grams, identify, languages, letters_of, positions
+from tessera.llm.langid import CELLS, HASHES, SEEN, SHARE, LanguageModel, fit_languages, grams, identify, languages, letters_of, positions
 from tessera.llm.quality import STATS, RuleModel, fit_quality, quality_scores, statistics, tree_rules, with_statistics
-from tessera.llm.toxicity import TRUST, LabelModel, Lexicon, ToxicityModel, fit_toxicity, score_toxicity, toxicity_scores
+from tessera.llm.toxicity import KINDS, PATTERNS, VOTERS, Hits, LabelModel, Lexicon, ToxicityModel, fit_toxicity, patterns, score_toxicity, toxicity_scores
 
 from .conftest import LONG, rows
 
@@ -75,22 +79,57 @@ def test_toxicity_held_out(spark, odd, none, no_labels):
     assert clash.columns == [*odd.columns, "__s"]
 
 
-def test_lexicon_hits_whole_words_and_beginnings():
-    lex = Lexicon(["bad", "éva"], ["bad", "xyz"])
-    assert lex.hits("BAD, badly. Xyzzy abad évah") == ({0}, {0, 1})
-    assert lex.hits("a bad") == ({0}, {0}) and lex.hits("") == (set(), set()) and Lexicon([], []).hits("x") == (set(), set())
+def test_label_model_beats_the_unweighted_vote(spark):
+    """The classifier trained on the label model's posteriors finds what a majority of voters leaves out, and spoils nothing."""
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    found = {}
+    for name, weigh in (("model", None), ("vote", lambda v: v.mean(1)), ("lexicons", lambda v: v[:, :len(KINDS)].mean(1))):
+        model = fit_toxicity(docs, labels, weigh=weigh)
+        scored = score_toxicity(docs.select("doc_id", "text"), model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        scored = scored.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+        got = held_out(scored, labels, "toxic")
+        hits, told, real = sum(p and y for p, y in got), sum(p for p, _ in got), sum(y for _, y in got)
+        found[name] = 2 * hits / max(1, told + real)
+    assert found["model"] > 0.9 and found["model"] > max(found["vote"], found["lexicons"]) + 0.1
+
+
+def test_lexicon_hits_whole_words_beginnings_and_endings():
+    lex = Lexicon(["bad", "éva"], ["bad", "xyz"], ["zzy", "bad"], strong=1)
+    h = lex.hits("BAD, badly. Xyzzy abad évah éva")
+    assert (h.words, h.strong, h.stems, h.ends, h.places) == ({0, 1}, {0}, {0, 1}, {0, 1}, [0.0])
+    assert lex.hits("a bad").words == {0} and lex.hits("") == Hits() and Lexicon([], []).hits("x") == Hits()
+    votes = dict(zip(KINDS, lex.votes("BAD, badly.", lex.hits("BAD, badly."))))
+    assert votes == {k: k == "strong words, commoner half" for k in KINDS}
+
+
+def test_pattern_voters():
+    def fired(text, words=()):
+        return {n for n, x in zip(PATTERNS, patterns(text, Lexicon(list(words), []).hits(text))) if x}
+
+    assert fired("") == set() and fired("some calm words") == set()
+    assert fired("STOP THAT NOISE") == {"shouting"} and fired("no! no!! no!!!") == {"exclaims"}
+    assert fired("d**n h4te sooooo") == {"masked", "digits inside", "stretched"}
+    assert fired("vile x" + " x" * 30 + " mean", ["vile", "mean"]) == {"two hits", "hits in both halves", "dense hits"}
+    assert len(PATTERNS) + len(KINDS) == VOTERS <= 16
+
+
+def drawn(rng, n, share=0.1):
+    """Votes of a known model, with a copy of voter 2, and the classes."""
+    y = rng.random(n) < share
+    fire = [(0.7, 0.02), (0.5, 0.05), (0.6, 0.1), (0.4, 0.01)]
+    v = np.stack([rng.random(n) < np.where(y, a, b) for a, b in fire], axis=1).astype(int)
+    return y, np.column_stack([v, np.where(rng.random(n) < 0.9, v[:, 2], 1 - v[:, 2])]), fire
 
 
 def test_label_model_finds_accuracies_and_correlation():
+    """From votes of all, and labels of one row in fifty."""
     rng = np.random.default_rng(2)
-    y = rng.random(6000) < 0.3
-    fire = [(0.7, 0.02), (0.5, 0.05), (0.6, 0.1), (0.4, 0.01)]
-    v = np.stack([rng.random(y.size) < np.where(y, a, b) for a, b in fire], axis=1).astype(int)
-    v = np.column_stack([v, np.where(rng.random(y.size) < 0.9, v[:, 2], 1 - v[:, 2])])  # a copy of voter 2, mostly
-    told = np.where(rng.random(y.size) < 0.2, 2 * y.astype(int) - 1, 0)  # a fifth of the labels is known
-    seen, count = np.unique(np.column_stack([v, told]), axis=0, return_counts=True)
-    seen, evidence = seen[:, :-1], TRUST * seen[:, -1]
-    m = LabelModel().fit(seen, count, evidence, (seen.sum(1) + 0.5) / 6)
+    y, v, fire = drawn(rng, 20_000, 0.3)
+    seen, at = np.unique(v, axis=0, return_inverse=True)
+    told = np.zeros((len(seen), 2))
+    np.add.at(told, (at[:400], y[:400].astype(int)), 1)
+    m = LabelModel().fit(seen, np.bincount(at).astype(float), told)
     assert abs(m.prior[1] - 0.3) < 0.05
     for j, (a, b) in enumerate(fire):
         assert abs(m.accuracy[1, j] - a) < 0.1 and abs(m.accuracy[0, j] - b) < 0.06
@@ -98,6 +137,20 @@ def test_label_model_finds_accuracies_and_correlation():
     assert m.parent[2] == 4 or m.parent[4] == 2
 
 
+def test_unlabelled_votes_teach_the_label_model():
+    """Few and wrong labels: votes of all rows set the accuracies right, where the labels alone mislead."""
+    rng = np.random.default_rng(7)
+    y, v, _ = drawn(rng, 30_000)
+    seen, at = np.unique(v, axis=0, return_inverse=True)
+    told = np.zeros((len(seen), 2))
+    wrong = np.where(rng.random(200) < 0.2, ~y[:200], y[:200])
+    np.add.at(told, (at[:200], wrong.astype(int)), 1)
+    weight = np.bincount(at).astype(float)
+    full, alone = LabelModel().fit(seen, weight, told), LabelModel().fit(seen, told.sum(1), told)
+    right = [((m._odds(seen)[at] > 0) == y).mean() for m in (full, alone)]
+    assert right[0] > 0.95 and right[0] > right[1]
+
+
 def test_toxicity_fit_uses_training_fold_only(spark):
     docs = spark.createDataFrame([(d, "awful text" if d % 2 else "fine text") for d in range(200)], "doc_id long, text string")
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
@@ -122,16 +175,16 @@ def test_language_held_out(spark, odd, none):
 
 def test_bloom_slices_have_no_false_negatives_and_correct_counts():
     rng = np.random.default_rng(4)
-    masks, sets = np.zeros(1 << 14, np.uint64), [np.unique(rng.integers(0, 2**32, 2500).astype(np.uint32)) for _ in range(3)]
+    masks, sets = np.zeros((1 << 14, 1), np.uint64), [np.unique(rng.integers(0, 2**32, 2500).astype(np.uint32)) for _ in range(3)]
     for k, s in enumerate(sets):
-        for at in positions(s, HASHES, masks.size):
-            np.bitwise_or.at(masks, at, np.uint64(1 << k))
+        for at in positions(s, HASHES, len(masks)):
+            np.bitwise_or.at(masks[:, 0], at, np.uint64(1 << k))
     m = LanguageModel(["a", "b", "c"], masks)
     for k, s in enumerate(sets):
-        seen = np.bitwise_and.reduce([masks[at] for at in positions(s, HASHES, masks.size)])
+        seen = np.bitwise_and.reduce([masks[at] for at in positions(s, HASHES, len(masks))])
         assert ((seen >> np.uint64(k)) & np.uint64(1)).all()
     other = rng.integers(0, 2**32, 200_000).astype(np.uint32)
-    seen = np.bitwise_and.reduce([masks[at] for at in positions(other, HASHES, masks.size)])
+    seen = np.bitwise_and.reduce([masks[at] for at in positions(other, HASHES, len(masks))])
     for k in range(3):  # false positives are as many as the correction takes away
         assert abs(((seen >> np.uint64(k)) & np.uint64(1)).mean() - m.false[k]) < 0.01
 
@@ -152,3 +205,57 @@ def test_language_fit_ignores_held_out_fold(spark):
     a, b = fit_languages(docs), fit_languages(wrong)
     assert a.languages == b.languages and (a.masks == b.masks).all()
     assert identify(docs, a).columns == ["doc_id", "lang_pred", "score"]
+
+
+def plain_languages(docs):
+    """Languages by plain sets of grams: (doc_id, prediction, known grams of each language)."""
+    train, order = {}, {}
+    for d, t, lang in docs:
+        if d is not None and lang is not None and zlib.crc32(str(d).encode()) % 4 != 2:
+            order[lang] = order.get(lang, 0) + 1
+            for g in grams(letters_of(t)):
+                train.setdefault(lang, Counter()).update(g.tolist())
+    names = sorted(order, key=lambda x: (-order[x], x))
+    share = {x: {g: n / c.total() for g, n in c.items()} for x, c in train.items()}
+    best = Counter()
+    for x in share.values():
+        for g, p in x.items():
+            best[g] = max(best[g], p)
+    sets = {x: {g for g, p in share.get(x, {}).items() if p >= SHARE * best[g] and train[x][g] >= SEEN} for x in names}
+    out = []
+    for d, t, _ in docs:
+        raw = letters_of(t)
+        if not raw:
+            out.append((d, "und", None))
+            continue
+        held = [g for part in grams(raw) for g in part.tolist()]
+        counts = [sum(g in sets[x] for g in held) for x in names]
+        out.append((d, names[int(np.argmax(counts))], counts))
+    return out
+
+
+def test_languages_equal_plain_sets(spark):
+    """The whole query against sets of grams: the filters and the correction change no prediction that sets decide."""
+    docs = table(spark, "documents")
+    want = plain_languages([(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()])
+    got = {r["doc_id"]: r["lang_pred"] for r in languages(docs).collect()}
+    clear = {d: p for d, p, c in want if c is None or len(c) < 2 or sorted(c)[-1] - sorted(c)[-2] > 2}
+    assert len(clear) > 0.9 * len(want) and {d: got[d] for d in clear} == clear
+    model, text = fit_languages(docs), {r["doc_id"]: r["text"] for r in docs.collect()}
+    for d, _, c in want[:100]:
+        if c is not None:
+            assert np.allclose(model.counts(text[d]), c, atol=3 + 0.01 * max(c))
+
+
+@pytest.mark.parametrize("n", [65, 130])
+def test_more_languages_than_a_word_has_bits(spark, n):
+    rng = np.random.default_rng(n)
+    spoken = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(25)] for _ in range(n)]
+    rows = [(d, " ".join(rng.choice(spoken[d % n], 30)), f"l{d % n:03d}") for d in range(12 * n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs)
+    assert model.masks.shape == (CELLS, -(-n // 64)) and sorted(model.languages) == sorted({r[2] for r in rows})
+    got = {r["doc_id"]: r["lang_pred"] for r in languages(docs).collect()}
+    assert np.mean([got[d] == x for d, _, x in rows]) > 0.99
+    clear = {d: p for d, p, c in plain_languages(rows) if sorted(c)[-1] - sorted(c)[-2] > 2}
+    assert len(clear) > 0.9 * len(rows) and {d: got[d] for d in clear} == clear
