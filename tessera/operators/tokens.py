@@ -187,7 +187,12 @@ def assign_microbatch(train: DataFrame, n_train: int, b: int, a: int, g: int, ma
     d = train.select(*key_cols).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     d = global_position(d, f"shuffle|{seed}", ["epoch", *key_cols], out="pos", partition_cols=["epoch"])
     sample = (F.col("epoch").cast("bigint") * F.lit(n_train) + F.col("pos"))
-    d = d.withColumn("sample", sample).where(F.col("sample") < F.lit(total))
+    return _placed(d.withColumn("sample", sample).where(F.col("sample") < F.lit(total)), b, a, g, key_cols)
+
+
+def _placed(d: DataFrame, b: int, a: int, g: int, key_cols: list[str]) -> DataFrame:
+    """Step, slot, device, lane and batch of each ``sample``."""
+    per_step = b * g * a
     micro = F.floor(F.col("sample") / F.lit(b)).cast("bigint")
     return d.select(*key_cols, F.col("epoch").cast("int").alias("epoch"), "sample",
                     (F.floor(F.col("sample") / F.lit(per_step)) + 1).cast("bigint").alias("step"),
@@ -197,6 +202,20 @@ def assign_microbatch(train: DataFrame, n_train: int, b: int, a: int, g: int, ma
                     micro.alias("batch_id"))
 
 
+def keyed_microbatch(rows: DataFrame, n_train: int, b: int, a: int, g: int, max_steps: int, seed: int, key_cols: list[str]) -> DataFrame:
+    """T5 with ``permute.position``: ``rows`` have one dense number (``row``) for all epochs, an epoch's order is
+    arithmetic on it. Map-only; ``permute.row_at`` finds the row of any place of the manifest without it."""
+    from tessera.operators.permute import position
+
+    per_step = b * g * a
+    total = max_steps * per_step
+    epochs = max(1, -(-total // n_train)) if n_train else 0
+    d = rows.select(*key_cols, "row").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))) if epochs else F.lit(0))
+    d = position(d, "row", n_train, seed, F.col("epoch"), out="pos")
+    d = d.withColumn("sample", F.col("epoch").cast("bigint") * n_train + F.col("pos")).where(F.col("sample") < total)
+    return _placed(d, b, a, g, key_cols)
+
+
 def size_batches(samples: DataFrame, lengths: DataFrame, key_cols: list[str], multiple: int = PAD_MULTIPLE) -> DataFrame:
     """T6 on lengths: each sample with ``n_tokens``, its batch's ``padded_len`` (the longest,
     rounded up to ``multiple``) and ``n_pad``. A batch holds ``b`` samples; no ids move."""

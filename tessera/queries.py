@@ -98,6 +98,14 @@ def q_format_dictionary(spark, sf):
     return corpus.formatted_dictionary(spark, sf).drop("source_ord")
 
 
+@register("map_overwrite", ctes(*fx("dictionary"), body=(
+    f"SELECT source, row_id, title, {dictionary_text_sql()} AS text FROM dictionary")))
+def q_map_overwrite(spark, sf):
+    """The mapped value takes the place of ``text``, all other columns stay."""
+    from tessera.functions.templates import dictionary_text, map_overwrite
+    return map_overwrite(fixtures.dictionary(spark, sf).select("source", "row_id", "title", "text"), dictionary_text())
+
+
 @register("union_cpt", ctes(*_CPT_SQL, body="SELECT source, row_id, title, text FROM cpt"))
 def q_union_cpt(spark, sf):
     return corpus.cpt_corpus(spark, sf).drop("source_ord")
@@ -594,6 +602,43 @@ def q_assign_microbatch(spark, sf):
     return _train_samples(spark, sf)
 
 
+# T5 by arithmetic (operators/permute): rows numbered once, each epoch's order a keyed bijection of the numbers.
+# One recursion step is one round; a walk of four rounds is repeated while its result is n or more.
+_KEYED_SQL = _TOK_SQL + [
+    ("num", "SELECT source, row_id, row_number() OVER (ORDER BY source, row_id) - 1 AS x, count(*) OVER () AS n FROM sp WHERE split = 'train'"),
+    ("size", "SELECT n, total, CAST(ceil(total / n) AS BIGINT) AS e, (SELECT CAST(min(h) AS BIGINT) FROM range(1, 31) t(h) WHERE (CAST(1 AS BIGINT) << CAST(2 * h AS INTEGER)) >= greatest(n, 2)) AS h "
+             "FROM (SELECT n, CAST(ceil(n / 6000.0) AS BIGINT) * 250 * 24 AS total FROM (SELECT DISTINCT n FROM num) a) b"),
+    ("feistel", "SELECT x, epoch, (x >> h) AS l, x % (CAST(1 AS BIGINT) << h) AS r, 0 AS i, n, h, (CAST(1 AS BIGINT) << h) AS s "
+                "FROM (SELECT num.x, num.n, CAST(unnest(range(0, e)) AS BIGINT) AS epoch, CAST(h AS INTEGER) AS h FROM num, size) start "
+                "UNION ALL SELECT x, epoch, r, (l + (((y % 65536 * 32749 + (y >> 15) * 31 + k) % 2147483648 * 48271 % 2147483647) >> 7)) % s, i + 1, n, h, s "
+                "FROM (SELECT *, ((r + k) % 2147483648 * 1103515245 + 12345) % 2147483648 AS y FROM "
+                f"(SELECT *, (epoch * 69069 + ({SEED} * 2654435 + (i % 4) * 40692503) % 2147483647) % 2147483647 AS k FROM feistel "
+                "WHERE i % 4 <> 0 OR i = 0 OR l * s + r >= n) a) b"),
+    ("placed", "SELECT x, epoch, l * s + r AS pos, n FROM feistel WHERE i > 0 AND i % 4 = 0 AND l * s + r < n"),
+    ("keyed", "SELECT num.source, num.row_id, p.epoch, CAST(p.epoch * p.n + p.pos AS BIGINT) AS sample FROM placed p JOIN num USING (x), size "
+              "WHERE p.epoch * p.n + p.pos < size.total"),
+]
+
+
+def _recursive(sql: str) -> str:
+    return "WITH RECURSIVE" + sql.removeprefix("WITH")
+
+
+@register("keyed_microbatch", _recursive(ctes(*_KEYED_SQL, body=(
+    "SELECT source, row_id, CAST(epoch AS INTEGER) AS epoch, sample, CAST(sample // 24 + 1 AS BIGINT) AS step, "
+    "CAST((sample // 2) % 12 AS INTEGER) AS slot, CAST(0 AS INTEGER) AS device, CAST(sample % 2 AS INTEGER) AS lane, "
+    "CAST(sample // 2 AS BIGINT) AS batch_id FROM keyed"))))
+def q_keyed_microbatch(spark, sf):
+    """T5 with a keyed permutation: one numbering, no sort and no shuffle for an epoch."""
+    from tessera.operators.tokens import keyed_microbatch
+    from tessera.plans.prepare import plan_steps
+    split, n, n_val = mix.split_with_counts(corpus.cpt_corpus(spark, sf), CPT_VAL_SHARE)
+    b, a, g = CPT_HW["b"], CPT_HW["a"], CPT_HW["g"]
+    max_steps = plan_steps(n - n_val, b, a, g, CPT_HW["epochs"], 5)["max_steps"]
+    rows = mix.global_rank(split.where(F.col("split") == "train").select(*mix.KEY_COLS), mix.KEY_COLS, out="row")
+    return keyed_microbatch(rows, n - n_val, b, a, g, max_steps, SEED, mix.KEY_COLS)
+
+
 def _sized(spark, sf):
     from tessera.operators.tokens import size_batches
     s = _train_samples(spark, sf).select("source", "row_id", "batch_id", "lane")
@@ -987,6 +1032,36 @@ def q_stream_leaderboard_sink(spark, sf):
     return spark.read.parquet(report).select(F.col("run_id").cast("bigint").alias("run_id"), "line_no", "line")
 
 
+@register("stream_on_save", ctes(*_RUN_SQL, *_evicted_sql(N_KEEP), body=(
+    "SELECT a.run_id, a.seq, a.step, CAST(a.loss_c AS DOUBLE) / 100000.0 AS eval_loss, a.n_kept, a.admitted, "
+    "CASE WHEN NOT a.admitted THEN 'skipped' WHEN a.ex THEN 'kept' ELSE 'dropped' END AS outcome, "
+    f"l.xs AS evicted_step FROM adm a LEFT JOIN lt l ON l.run_id = a.run_id AND l.ys = a.step AND l.r = {N_KEEP} - l.p")))
+def q_stream_on_save(spark, sf):
+    """Log events propose, save events of a second stream admit or drop; saves come before, after and never."""
+    from tessera.streaming.saves import run_with_saves, saves_feed
+    log = _log(spark, sf)
+    feed = saves_feed(fixtures.checkpoint_manifest(spark, sf, log), log, every=8)
+    # blocks of another length: the feed is now ahead of the log and now behind it
+    return run_with_saves(spark, log, feed, N_KEEP, scratch_folder(spark, "on-save"), STREAM_EVENTS, STREAM_EVENTS * 2 // 3,
+                          int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@register("stream_out_of_order", ORACLES["best_n_by_loss"])
+def q_stream_out_of_order(spark, sf):
+    """ST1 over a log whose blocks arrive in another order than its events."""
+    import os
+
+    from tessera.streaming.checkpoints import write_blocks
+    from tessera.streaming.reorder import EVENTS, KeepBest, present_list, run_ordered
+    base, files = scratch_folder(spark, "out-of-order"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    block = F.floor((F.col("seq") - 1) / STREAM_EVENTS)
+    swapped = F.when(block % 2 == 0, block + 1).otherwise(block - 1)   # neighbouring blocks change places
+    path = write_blocks(_log_exists(spark, sf).select(*[c.split(" ")[0] for c in EVENTS.split(", ")], swapped.alias("block")), os.path.join(base, "log"), files)
+    stream = spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(path)
+    rows, _ = run_ordered(spark, stream, KeepBest(N_KEEP), base)
+    return present_list(rows).select("run_id", F.col("rank").cast("int").alias("rank"), "seq", "step", "eval_loss")
+
+
 # --------------------------------------------------------------------------
 # user-function hooks (X1, X2) on the workload's own functions
 # --------------------------------------------------------------------------

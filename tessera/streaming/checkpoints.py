@@ -18,10 +18,12 @@ the batch admission / early-stop queries.
 
 from __future__ import annotations
 
-import math
 import os
+import re
 from collections.abc import Iterator
+from decimal import Context, Decimal, localcontext
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +32,31 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tessera.constants import EARLY_STOP_THRESHOLD
 from tessera.session import scratch_folder
 
-LOG_SCHEMA = "run_id long, seq long, step long, kind string, loss_c long, loss double, exists boolean"
+# loss_c: an exact number of 1/scale units, null where the loss is NaN or infinite
+LOG_SCHEMA = "run_id long, seq long, step long, kind string, loss_c decimal(38,18), loss double, exists boolean"
 
 OUT_SCHEMA = ("run_id long, rec string, version long, seq long, step long, late boolean, eval_no long, n_train long, "
               "score double, eval_loss double, n_kept int, admitted boolean, evicted_step long, rank int, "
               "improved boolean, counter long, stop boolean")
 
-STATE_SCHEMA = ("last_seq long, eval_no long, buf_sum long, buf_n long, kept_score array<double>, "
+STATE_SCHEMA = ("last_seq long, eval_no long, buf_sum decimal(38,18), buf_n long, buf_odd long, kept_score array<double>, "
                 "kept_loss array<double>, kept_seq array<long>, kept_step array<long>, best double, last_improved long, stopped boolean")
 
 _COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
-_PD_TYPES = {"long": "Int64", "int": "Int32", "double": "float64", "boolean": "boolean", "string": "object"}
-_DTYPES = {c.strip().split(" ")[0]: _PD_TYPES[c.strip().split(" ")[1]] for c in OUT_SCHEMA.split(",")}
+_PD_TYPES = {"long": "Int64", "int": "Int32", "boolean": "boolean", "string": "object"}
+
+
+def typed_frame(rows: list, schema: str) -> pd.DataFrame:
+    """Output rows with explicit nullable dtypes (no untyped all-null columns); NaN stays NaN and None null."""
+    fields = [c.strip().split(" ") for c in schema.split(",")]
+    frame = pd.DataFrame(rows, columns=[n for n, _ in fields], dtype=object)
+    kept = {n: pd.arrays.FloatingArray(np.array([0.0 if x is None else x for x in frame[n]], dtype=float), np.array([x is None for x in frame[n]], dtype=bool))
+            for n, t in fields if t == "double"}
+    return frame.astype({n: _PD_TYPES[t] for n, t in fields if t != "double"}).assign(**kept)
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    """Output rows with explicit nullable dtypes (no untyped all-null columns)."""
-    return pd.DataFrame(rows, columns=_COLS).astype(_DTYPES)
+    return typed_frame(rows, OUT_SCHEMA)
 
 
 def _row(**kw) -> dict:
@@ -64,15 +74,15 @@ class _Run:
 
     def __init__(self, state: GroupState):
         if state.exists:
-            (self.last_seq, self.eval_no, self.buf_sum, self.buf_n, ks, kl, kq, kt, self.best,
+            (self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd, ks, kl, kq, kt, self.best,
              self.last_improved, self.stopped) = state.get
             self.kept = list(zip(ks or [], kl or [], kq or [], kt or []))
         else:
-            self.last_seq, self.eval_no, self.buf_sum, self.buf_n = -1, 0, 0, 0
+            self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd = -1, 0, Decimal(0), 0, 0
             self.kept, self.best, self.last_improved, self.stopped = [], None, 0, False
 
     def save(self, state: GroupState) -> None:
-        state.update((self.last_seq, self.eval_no, self.buf_sum, self.buf_n,
+        state.update((self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd,
                       *([k[i] for k in self.kept] for i in range(4)), self.best, self.last_improved, self.stopped))
 
     def admit(self, score: float, loss: float, seq: int, step: int, exists: bool, n: int):
@@ -140,11 +150,9 @@ def best_n_processor(n: int):
 def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100_000):
     """ST2: keep the N smallest generalisation gaps, after ``warmup`` evaluations.
 
-    Train-loss buffers are cumulative sums between evaluations (vectorised,
-    seeded by the buffer kept in state); only evaluations that make a
-    decision go through the sequential keep-N admission.
+    The buffer of train losses between evaluations is their exact sum, their number and the number of odd
+    ones (NaN, infinity: no exact value). An odd loss makes the mean and so the gap NaN, which ranks last.
     """
-    import numpy as np
 
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
@@ -153,35 +161,28 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100_000
         out = _late_rows(run_id, late)
         if len(cur):
             run.last_seq = int(cur["seq"].max())
-            kind = cur["kind"].to_numpy()
-            is_train = (kind == "train") & (cur["step"].to_numpy(dtype="int64") % save_steps == 0)
-            cs_l = np.cumsum(np.where(is_train, cur["loss_c"].to_numpy(dtype="int64"), 0))
-            cs_c = np.cumsum(is_train.astype("int64"))
-            e_pos = np.flatnonzero(kind == "eval")
-            if len(e_pos):
-                at_l, at_c = cs_l[e_pos], cs_c[e_pos]
-                seg_l = at_l - np.concatenate([[0], at_l[:-1]])
-                seg_c = at_c - np.concatenate([[0], at_c[:-1]])
-                seg_l[0] += run.buf_sum
-                seg_c[0] += run.buf_n
-                eval_no = run.eval_no + 1 + np.arange(len(e_pos))
-                ev = cur.iloc[e_pos]
-                for q, t, loss, ex, no, total, n_train in zip(ev["seq"], ev["step"], ev["loss"], ev["exists"], eval_no,
-                                                              seg_l, seg_c):
-                    if no <= warmup or n_train == 0:
-                        continue
-                    loss = float(loss)
-                    gap = abs(loss - int(total) / (int(n_train) * scale))
-                    n_before = len(run.kept)
-                    admitted, evicted = run.admit(gap, loss, int(q), int(t), bool(ex), n)
-                    out.append(_row(run_id=run_id, rec="trace", seq=int(q), step=int(t), late=False, eval_no=int(no),
-                                    n_train=int(n_train), score=gap, eval_loss=loss, n_kept=min(n_before, n),
-                                    admitted=admitted, evicted_step=evicted))
-                run.eval_no = int(eval_no[-1])
-                run.buf_sum, run.buf_n = int(cs_l[-1] - at_l[-1]), int(cs_c[-1] - at_c[-1])
-            else:
-                run.buf_sum += int(cs_l[-1])
-                run.buf_n += int(cs_c[-1])
+        with localcontext(Context(prec=60)):   # sums of 38 digits stay exact
+            for q, t, kind, units, loss, ex in zip(cur["seq"], cur["step"], cur["kind"], cur["loss_c"], cur["loss"], cur["exists"]):
+                if kind == "train" and t % save_steps == 0:
+                    run.buf_n += 1
+                    if units is None or units != units:
+                        run.buf_odd += 1
+                    else:
+                        run.buf_sum += units
+                if kind != "eval":
+                    continue
+                run.eval_no += 1
+                total, n_train, odd = run.buf_sum, run.buf_n, run.buf_odd
+                run.buf_sum, run.buf_n, run.buf_odd = Decimal(0), 0, 0
+                if run.eval_no <= warmup or n_train == 0:
+                    continue
+                loss = float(loss)
+                gap = float("nan") if odd else abs(loss - float(total) / float(n_train * scale))
+                n_before = len(run.kept)
+                admitted, evicted = run.admit(gap, loss, int(q), int(t), bool(ex), n)
+                out.append(_row(run_id=run_id, rec="trace", seq=int(q), step=int(t), late=False, eval_no=run.eval_no,
+                                n_train=n_train, score=gap, eval_loss=loss, n_kept=min(n_before, n),
+                                admitted=admitted, evicted_step=evicted))
         out += _kept_rows(run_id, run, len(cur) > 0)
         run.save(state)
         yield _frame(out)
@@ -195,8 +196,6 @@ def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD)
     Vectorised over the micro-batch of a run: the prior best is a running
     minimum seeded by the state, the last improvement a running maximum.
     """
-    import numpy as np
-
     def fn(key, pdfs, state: GroupState):
         run_id = int(key[0])
         run = _Run(state)
@@ -240,20 +239,34 @@ def stateful(stream: DataFrame, fn, evals_only: bool = False) -> DataFrame:
 
 # ---- running a stream to completion over files (availableNow) ----
 
-def write_log_files(log: DataFrame, folder: str, events_per_run: int, files: int) -> str:
-    """Write the log for a file-stream source: one job per ``events_per_run`` positions of
-    the runs, in order, each with up to ``files`` files dealt by run.
+def write_blocks(rows: DataFrame, folder: str, files: int) -> str:
+    """Write rows for a file-stream source in one job: ``files`` files at most for each value of ``block`` (0, 1, ...), dealt by run.
 
-    File times follow the jobs, so a run's events come in order, and a trigger of ``files``
-    files gives a run at most about ``events_per_run`` events, however long it is.
+    A file stream takes files by their time. Files are stamped with their block's number once all are written (a
+    rename-free metadata call a file), so a stream of ``files`` files a trigger meets the blocks in order.
     """
-    hi = log.agg(F.max("seq").alias("hi")).first()["hi"] or 0
-    block = F.floor((F.col("seq") - 1) / F.lit(events_per_run))
-    for i in range(max(1, math.ceil(hi / events_per_run))):
-        log.where(block == i).repartition(files, "run_id").write.mode("append").parquet(folder)
+    spark = rows.sparkSession
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("run_id"), F.lit(files)))
+    dealt.repartition("block", "part").write.partitionBy("block", "part").parquet(folder)
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, start = fs.listFiles(root, True), None
+    while found.hasNext():
+        f = found.next()
+        start = f.getModificationTime() if start is None else start
+        place = re.search(r"/block=(\d+)/", f.getPath().toString())
+        if place:   # all in the past
+            fs.setTimes(f.getPath(), start - 10_000_000_000 + 10 * int(place.group(1)), -1)
     return folder
 
 
+def write_log_files(log: DataFrame, folder: str, events_per_run: int, files: int) -> str:
+    """The log in blocks of ``events_per_run`` positions of the runs: a trigger of ``files``
+    files gives a run at most about so many events, however long it is."""
+    return write_blocks(log.withColumn("block", F.floor((F.col("seq") - 1) / F.lit(events_per_run))), folder, files)
+
+
 def run_available_now(spark: SparkSession, log: DataFrame, fn, events_per_run: int = 100_000, files: int | None = None,
                       sink=None, base: str | None = None, evals_only: bool = False) -> DataFrame:
     """Stream ``log`` through the stateful ``fn`` and return all output rows.
@@ -263,9 +276,9 @@ def run_available_now(spark: SparkSession, log: DataFrame, fn, events_per_run: i
     """
     base = base or scratch_folder(spark, "stream")
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = write_log_files(log.select(*[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]),
+    src = write_log_files(log.withColumn("loss_c", F.col("loss_c").cast("decimal(38,18)")).select(*[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]),
                           os.path.join(base, "input"), events_per_run, files)
-    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files).parquet(src)
+    stream = spark.readStream.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(src)
     out = stateful(stream, fn, evals_only)
     out_path = os.path.join(base, "out")
     writer = out.writeStream.option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True)
