@@ -43,16 +43,26 @@ STATE_SCHEMA = ("last_seq long, eval_no long, buf_sum decimal(38,18), buf_n long
                 "kept_loss array<double>, kept_seq array<long>, kept_step array<long>, best double, last_improved long, stopped boolean")
 
 _COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
-_PD_TYPES = {"long": "Int64", "int": "Int32", "boolean": "boolean", "string": "object"}
+_ARRAYS = {"long": (pd.arrays.IntegerArray, "int64", 0), "int": (pd.arrays.IntegerArray, "int32", 0),
+           "double": (pd.arrays.FloatingArray, "float64", 0.0), "boolean": (pd.arrays.BooleanArray, "bool", False)}
 
 
 def typed_frame(rows: list, schema: str) -> pd.DataFrame:
-    """Output rows with explicit nullable dtypes (no untyped all-null columns); NaN stays NaN and None null."""
+    """Rows (dicts or tuples in column order) with nullable types; NaN stays NaN and None null.
+
+    Columns are built as arrays: a stream makes one small frame for each run and micro-batch.
+    """
     fields = [c.strip().split(" ") for c in schema.split(",")]
-    frame = pd.DataFrame(rows, columns=[n for n, _ in fields], dtype=object)
-    kept = {n: pd.arrays.FloatingArray(np.array([0.0 if x is None else x for x in frame[n]], dtype=float), np.array([x is None for x in frame[n]], dtype=bool))
-            for n, t in fields if t == "double"}
-    return frame.astype({n: _PD_TYPES[t] for n, t in fields if t != "double"}).assign(**kept)
+    columns = list(zip(*(r.values() if isinstance(r, dict) else r for r in rows))) or [()] * len(fields)
+    out = {}
+    for (name, kind), values in zip(fields, columns):
+        if kind == "string":
+            out[name] = pd.Series(values, dtype=object)
+            continue
+        array, dtype, blank = _ARRAYS[kind]
+        missing = np.fromiter((v is None for v in values), bool, len(values))
+        out[name] = array(np.array([blank if v is None else v for v in values], dtype=dtype), missing)
+    return pd.DataFrame(out)
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
