@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tessera.constants import (EARLY_STOP_THRESHOLD, GAP_MULTIPLE, REASON_BETTER, REASON_LIMIT,
                                REASON_NOT_BETTER, WARMUP_PER_MULTIPLE)
 from tessera.operators.prefix import Running, running_aggregates
+from tessera.session import cut_lineage
 
 SEQ_CHUNK = 4096.0      # rows of a run per running-aggregate chunk
 LOSS_SCALE = 100_000    # loss_c units per 1.0 of loss
@@ -157,7 +158,8 @@ def prior_nth_smallest(items: DataFrame, score: str, exists: Column, n: int,
     score, seq, step ``s, q, t``, null until the list is full).
     """
     chunk = chunk or ADMIT_CHUNK
-    d = items.withColumn("_ex", exists).withColumn("_c", F.floor(F.col("seq") / F.lit(chunk)).cast("bigint"))
+    # stored: three branches read the scored evaluations, which are a fraction of the log they come from
+    d = cut_lineage(items).withColumn("_ex", exists).withColumn("_c", F.floor(F.col("seq") / F.lit(chunk)).cast("bigint"))
     sq = F.struct(F.col(score).alias("s"), F.col("seq").alias("q"), F.col("step").alias("t"))
     # N best existing rows of each chunk (partial top-N before the shuffle)
     wtop = Window.partitionBy("run_id", "_c").orderBy(F.col(score), F.col("seq"))

@@ -9,7 +9,7 @@ Scale notes
 * The vocabulary holds all words unless the caller sets a size.
 * ``encode`` is map-only while the vocabulary's measured size is at most
   ``LOOKUP_ROWS`` (broadcast once, looked up per Arrow batch, texts stay where they
-  are); a larger vocabulary is joined to the distinct words of each row.
+  are); of a larger vocabulary every word fetches its id by a join, and a row's ids go back in order.
 * Lengths need no ids: batches are padded from word counts, and id arrays move
   once, only for the operators that return them.
 """
@@ -30,7 +30,7 @@ from tessera.functions.hooks import TableTokenizer
 from tessera.session import cut_lineage
 
 WORD_SPLIT = "[ \\t\\n\\r]+"
-LOOKUP_ROWS = 2_000_000  # vocabulary rows that are shipped to every executor
+LOOKUP_ROWS = 1_000_000  # vocabulary rows that are shipped to every executor
 
 
 def words(text: Column) -> Column:
@@ -71,32 +71,44 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text: str = "te
     budget = max_len - 2 if add_special else max_len
     cut = F.coalesce(F.slice(words(F.col(text)), 1, budget), F.array().cast("array<string>"))
     d = df.select(*key_cols, *keep, cut.alias("_w"), *[c.alias(n) for n, c in token_lengths(F.col(text), max_len, add_special).items()])
-    if vocab.count() <= LOOKUP_ROWS:
-        ids = _lookup(vocab)(F.col("_w"))
+    held = vocab.select("token", "id").limit(LOOKUP_ROWS + 1).toArrow()   # bounded by the guard
+    if held.num_rows <= LOOKUP_ROWS:
+        ids = _lookup(vocab.sparkSession, held)(F.col("_w"))
     else:
-        # each row's distinct words fetch their ids; the row then reads its own map
-        d = d.withColumn("_row", F.monotonically_increasing_id())
-        pairs = d.select("_row", F.explode(F.array_distinct("_w")).alias("token")).join(vocab.select("token", "id"), "token")
-        maps = pairs.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("_m"))
-        d = d.join(maps, "_row", "left")
-        ids = F.transform("_w", lambda w: F.coalesce(F.col("_m")[w], F.lit(UNK_ID)).cast("int"))
+        # stored: both branches must see the same row numbers; every word fetches its id, a row's ids go back in order
+        d = cut_lineage(d.withColumn("_row", F.monotonically_increasing_id()))
+        placed = d.select("_row", F.posexplode("_w").alias("pos", "token")).join(vocab.select("token", "id"), "token", "left")
+        found = placed.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_m"))
+        d = d.join(found, "_row", "left")
+        ids = F.coalesce(F.col("_m.id"), F.array().cast("array<int>"))
     if add_special:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids, F.array(F.lit(EOS_ID)))
     kept = [c for c in d.columns if c not in (*key_cols, "_w", "_m", "_row", "n_words", "n_tokens", "n_dropped")]
     return d.select(*key_cols, *kept, ids.alias("input_ids"), "n_tokens", "n_dropped", "n_words")
 
 
-def _lookup(vocab: DataFrame):
-    """Arrow-batched word -> id lookup in a broadcast vocabulary of checked size."""
-    t = vocab.select("token", "id").toArrow()
-    held = vocab.sparkSession.sparkContext.broadcast((t["token"].combine_chunks(), t["id"].combine_chunks()))
+_TABLES: dict[int, dict] = {}   # of this worker process: broadcast id -> word -> id
+
+
+def _lookup(spark, vocab: pa.Table):
+    """Arrow-batched word -> id lookup in a broadcast vocabulary of checked size.
+
+    The table is built once per worker; a batch looks up its distinct words.
+    """
+    held = spark.sparkContext.broadcast((vocab["token"].combine_chunks(), vocab["id"].combine_chunks()))
+    name = held._jbroadcast.id()
 
     @F.arrow_udf("array<int>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens, ids = held.value
+        if name not in _TABLES:
+            tokens, ids = held.value
+            _TABLES.clear()   # one vocabulary at a time
+            _TABLES[name] = dict(zip(tokens.to_pylist(), ids.to_pylist()))
+        table = _TABLES[name]
         for b in batches:
-            at = pc.index_in(b.flatten(), value_set=tokens.cast(b.type.value_type))
-            found = pc.fill_null(pc.take(ids, at), UNK_ID).cast(pa.int32())
+            words_ = b.flatten().dictionary_encode()
+            known = pa.array([table.get(w, UNK_ID) for w in words_.dictionary.to_pylist()], pa.int32())
+            found = pc.take(known, words_.indices)
             lengths = pc.fill_null(pc.list_value_length(b), 0)
             ends = pc.cumulative_sum(lengths).cast(pa.int32())
             yield pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), found)

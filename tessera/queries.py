@@ -18,7 +18,7 @@ from tessera.constants import CPT_VAL_SHARE, SEED, SFT_VAL_SHARE
 from tessera.functions.templates import dictionary_text_sql, literature_text_sql
 from tessera.operators import mix
 from tessera.plans import corpus
-from tessera.session import scratch_folder
+from tessera.session import cut_lineage, scratch_folder
 from tessera.sources import fixtures
 from tessera.sources.fixtures import FIXTURE_SQL
 
@@ -252,7 +252,6 @@ def _log(spark, sf):
     """The ordered metric log, written once to the shared checkpoint folder:
     every analytics query reads it in two to four branches, and the ordering
     pass (chunked prefix count) should run once, not per branch."""
-    from tessera.session import cut_lineage
     return cut_lineage(fixtures.metric_log(spark, sf))
 
 
