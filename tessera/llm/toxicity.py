@@ -241,8 +241,8 @@ def _mine(rows: DataFrame, limit: int) -> Lexicon:
     often as in clean ones. A stem or ending that is no more than one of these words is left out."""
 
     def count(batches):
-        """Per batch: toxic and clean texts that hold each word (0), word beginning (1) and word ending (2)."""
-        for b in batches:
+        """Per slice: toxic and clean texts that hold each word (0), word beginning (1) and word ending (2)."""
+        for b in text_slices(batches):
             seen: dict[tuple[str, int], list[int]] = {}
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = set(_WORD.findall((text or "").lower()))
