@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes a stage's rows as
 Parquet in the shared checkpoint folder and reads them back as the next stage's ``docs``. All
 stages but the last return the columns they were given.
+
+In every stage a null text is an empty one, whole texts count however long they are, columns of other names
+(also those that operators use inside) go through untouched, repeated rows are rows of their own, and an empty table
+gives an empty one. ``docs`` must be a stored table: rows are told apart by their place in it.
 """
 
 from __future__ import annotations
@@ -20,29 +24,30 @@ from tessera.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5 stay."""
+    """Documents scored below 0.5 stay; without labels of both classes those of the share of toxic labels (none: all stay)."""
     model, score = fit_toxicity(docs, read_table(spark, sf_dir, "labels")), free_name(docs, "score")
     return score_toxicity(docs, model, score).where(F.col(score) < 0.5).drop(score)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.3 or more stay."""
+    """Documents scored 0.3 or more stay; empty texts are scored like others, equal texts alike."""
     model, stats = fit_quality(docs, read_table(spark, sf_dir, "labels")), free_name(docs, "stats")
     return with_statistics(docs, stats).where(model.column(stats) >= 0.3).drop(stats)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest id."""
+    """One document of each near-duplicate group stays, the one with the smallest id (null last; of equal ids the
+    first in the table). Empty texts are one group."""
     return one_per_component(docs, shingle=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item stay."""
+    """Documents that hold no benchmark item stay; empty documents and items match nothing."""
     return uncontaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece in sequences of at most 2048 ids."""
+    """The place of every piece in sequences of at most 2048 ids; an empty text is its end id, a longer one is cut."""
     return best_fit_packing(docs, tokenizer("word_bpe_49k.json"), 0, 2048)
 
 
