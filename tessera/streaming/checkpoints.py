@@ -9,6 +9,11 @@ a run per trigger). Rows of a micro-batch are ordered by ``seq`` inside each run
 before the last processed ``seq`` of its run, and every repeat of a ``seq`` inside
 a micro-batch but the first, is emitted with ``late = true`` and changes no state.
 
+A call of a group costs some milliseconds however few rows it has, so a stream of many short runs takes a group for
+a *shard* of runs (``stateful(shards=...)``): the hash of the run, with the states of its runs side by side. ``run_available_now``
+takes as many shards as give one about ``SHARD_EVENTS`` events per trigger and ``SHARD_RUNS`` runs at most; without
+``shards`` a run is a group of its own. The output is the same.
+
 Output rows carry ``rec``: ``trace`` (one per event decision) or ``kept``
 (the run's kept list after the micro-batch, tagged with ``version`` = last
 processed seq; a micro-batch of late rows only emits none). Once the input is complete, the ``kept`` rows of the
@@ -20,8 +25,10 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from decimal import Context, Decimal, localcontext
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -42,6 +49,15 @@ OUT_SCHEMA = ("run_id long, rec string, version long, seq long, step long, late
 STATE_SCHEMA = ("last_seq long, eval_no long, buf_sum decimal(38,18), buf_n long, buf_odd long, kept_score array<double>, "
                 "kept_loss array<double>, kept_seq array<long>, kept_step array<long>, best double, last_improved long, stopped boolean")
 
+SHARD_EVENTS = 8192   # events of a shard per trigger, about
+SHARD_RUNS = 256      # runs of a shard, about
+
+
+def of_shard(state_schema: str) -> str:
+    """State of a shard: that of each of its runs."""
+    return "runs array<struct<run_id: long, " + ", ".join(re.sub(r"^(\w+) ", r"\1: ", c) for c in re.split(r", (?=[a-z_]+ )", state_schema)) + ">>"
+
+
 _COLS = [c.strip().split(" ")[0] for c in OUT_SCHEMA.split(",")]
 _ARRAYS = {"long": (pd.arrays.IntegerArray, "int64", 0), "int": (pd.arrays.IntegerArray, "int32", 0),
            "double": (pd.arrays.FloatingArray, "float64", 0.0), "boolean": (pd.arrays.BooleanArray, "bool", False)}
@@ -80,20 +96,20 @@ def _less(a: float, b: float) -> bool:
 
 
 class _Run:
-    """Mutable per-run state, read from and written back to ``GroupState``."""
+    """Mutable per-run state, read from and written back to its shard's ``GroupState``."""
 
-    def __init__(self, state: GroupState):
-        if state.exists:
+    def __init__(self, stored: tuple | None):
+        if stored:
             (self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd, ks, kl, kq, kt, self.best,
-             self.last_improved, self.stopped) = state.get
+             self.last_improved, self.stopped) = stored
             self.kept = list(zip(ks or [], kl or [], kq or [], kt or []))
         else:
             self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd = -1, 0, Decimal(0), 0, 0
             self.kept, self.best, self.last_improved, self.stopped = [], None, 0, False
 
-    def save(self, state: GroupState) -> None:
-        state.update((self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd,
-                      *([k[i] for k in self.kept] for i in range(4)), self.best, self.last_improved, self.stopped))
+    def stored(self) -> tuple:
+        return (self.last_seq, self.eval_no, self.buf_sum, self.buf_n, self.buf_odd,
+                *([k[i] for k in self.kept] for i in range(4)), self.best, self.last_improved, self.stopped)
 
     def admit(self, score: float, loss: float, seq: int, step: int, exists: bool, n: int):
         """Keep-N rule: admitted while the list is not full or strictly better
@@ -112,20 +128,32 @@ class _Run:
         return admitted, evicted
 
 
-def _batch_rows(pdfs: Iterator[pd.DataFrame], last_seq: int) -> tuple[pd.DataFrame, pd.Series]:
-    """A run's rows of a micro-batch in order, without late rows and repeats; and the
-    positions that were late or repeated."""
+def events_by_run(pdfs: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple[int, list[tuple]]]:
+    """A shard's rows of a micro-batch as (run, its rows in the order of ``seq``)."""
     frames = [p for p in pdfs if len(p)]
     if not frames:
-        rows = pd.DataFrame(columns=[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")])
-    else:
-        rows = pd.concat(frames, ignore_index=True).sort_values("seq", kind="stable")
-    late = (rows["seq"] <= last_seq) | rows["seq"].duplicated()
-    return rows[~late], rows["seq"][late]
+        return
+    events = pd.concat(frames, ignore_index=True)
+    order = np.lexsort((events["seq"].to_numpy(), events["run_id"].to_numpy()))   # stable
+    rows = zip(*(events[c].to_numpy()[order].tolist() for c in ["run_id", *columns]))
+    for run_id, mine in groupby(rows, itemgetter(0)):
+        yield int(run_id), [r[1:] for r in mine]
+
+
+def _timely(rows: list[tuple], last_seq: int) -> tuple[list[tuple], list[int]]:
+    """A run's rows without late rows and repeats; and the positions that were late or repeated."""
+    timely, late = [], []
+    for r in rows:
+        if r[0] <= last_seq:
+            late.append(int(r[0]))
+        else:
+            timely.append(r)
+            last_seq = r[0]
+    return timely, late
 
 
-def _late_rows(run_id: int, late: pd.Series) -> list[dict]:
-    return [_row(run_id=run_id, rec="trace", seq=int(q), late=True) for q in late]
+def _late_rows(run_id: int, late: list[int]) -> list[dict]:
+    return [_row(run_id=run_id, rec="trace", seq=q, late=True) for q in late]
 
 
 def _kept_rows(run_id: int, run: _Run, moved: bool) -> list[dict]:
@@ -133,28 +161,49 @@ def _kept_rows(run_id: int, run: _Run, moved: bool) -> list[dict]:
             for i, (s, l, q, t) in enumerate(run.kept, 1)] if moved else []
 
 
+def sharded(load, step, columns: list[str], frame, state_schema: str):
+    """A processor for groups of one run or of a shard of them.
+
+    ``load(stored or None)`` makes a run's state (``stored()`` gives it back), ``step(run_id, run, rows)`` the run's output rows.
+    """
+    def fn(key, pdfs, state: GroupState):
+        runs = {r[0]: tuple(r[1:]) for r in state.get[0]} if state.exists else {}
+        out: list = []
+        for run_id, rows in events_by_run(pdfs, columns):
+            run = load(runs.get(run_id))
+            out += step(run_id, run, rows)
+            runs[run_id] = run.stored()
+        state.update(([(k, *v) for k, v in runs.items()],))
+        yield frame(out)
+
+    fn.state_schema = of_shard(state_schema)
+    return fn
+
+
+def _processor(step):
+    return sharded(_Run, step, ["seq", "step", "kind", "loss_c", "loss", "exists"], _frame, STATE_SCHEMA)
+
+
 def best_n_processor(n: int):
     """ST1: keep the N lowest evaluation losses of each run."""
 
-    def fn(key, pdfs, state: GroupState):
-        run_id = int(key[0])
-        run = _Run(state)
-        rows, late = _batch_rows(pdfs, run.last_seq)
+    def step(run_id: int, run: _Run, rows: list[tuple]) -> Iterable[dict]:
+        rows, late = _timely(rows, run.last_seq)
         out = _late_rows(run_id, late)
-        for r in rows[rows["kind"] == "eval"].itertuples(index=False):
+        for q, t, kind, _, loss, ex in rows:
+            if kind != "eval":
+                continue
             run.eval_no += 1
-            n_before, loss = len(run.kept), float(r.loss)
-            admitted, evicted = run.admit(loss, loss, int(r.seq), int(r.step), bool(r.exists), n)
-            out.append(_row(run_id=run_id, rec="trace", seq=int(r.seq), step=int(r.step), late=False, eval_no=run.eval_no,
+            n_before, loss = len(run.kept), float(loss)
+            admitted, evicted = run.admit(loss, loss, int(q), int(t), bool(ex), n)
+            out.append(_row(run_id=run_id, rec="trace", seq=int(q), step=int(t), late=False, eval_no=run.eval_no,
                             score=loss, eval_loss=loss, n_kept=min(n_before, n), admitted=admitted,
                             evicted_step=evicted))
-        if len(rows):
-            run.last_seq = int(rows["seq"].max())
-        out += _kept_rows(run_id, run, len(rows) > 0)
-        run.save(state)
-        yield _frame(out)
+        if rows:
+            run.last_seq = int(rows[-1][0])
+        return out + _kept_rows(run_id, run, len(rows) > 0)
 
-    return fn
+    return _processor(step)
 
 
 def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100_000):
@@ -164,15 +213,13 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100_000
     ones (NaN, infinity: no exact value). An odd loss makes the mean and so the gap NaN, which ranks last.
     """
 
-    def fn(key, pdfs, state: GroupState):
-        run_id = int(key[0])
-        run = _Run(state)
-        cur, late = _batch_rows(pdfs, run.last_seq)
+    def step(run_id: int, run: _Run, rows: list[tuple]) -> Iterable[dict]:
+        cur, late = _timely(rows, run.last_seq)
         out = _late_rows(run_id, late)
-        if len(cur):
-            run.last_seq = int(cur["seq"].max())
+        if cur:
+            run.last_seq = int(cur[-1][0])
         with localcontext(Context(prec=60)):   # sums of 38 digits stay exact
-            for q, t, kind, units, loss, ex in zip(cur["seq"], cur["step"], cur["kind"], cur["loss_c"], cur["loss"], cur["exists"]):
+            for q, t, kind, units, loss, ex in cur:
                 if kind == "train" and t % save_steps == 0:
                     run.buf_n += 1
                     if units is None or units != units:
@@ -193,58 +240,59 @@ def gap_processor(n: int, warmup: int, save_steps: int = 1, scale: int = 100_000
                 out.append(_row(run_id=run_id, rec="trace", seq=int(q), step=int(t), late=False, eval_no=run.eval_no,
                                 n_train=n_train, score=gap, eval_loss=loss, n_kept=min(n_before, n),
                                 admitted=admitted, evicted_step=evicted))
-        out += _kept_rows(run_id, run, len(cur) > 0)
-        run.save(state)
-        yield _frame(out)
+        return out + _kept_rows(run_id, run, len(cur) > 0)
 
-    return fn
+    return _processor(step)
 
 
 def early_stop_processor(patience: int, threshold: float = EARLY_STOP_THRESHOLD):
-    """ST3: patience counter; the best moves on any strict decrease.
+    """ST3: patience counter; the best moves on any strict decrease."""
 
-    Vectorised over the micro-batch of a run: the prior best is a running
-    minimum seeded by the state, the last improvement a running maximum.
-    """
-    def fn(key, pdfs, state: GroupState):
-        run_id = int(key[0])
-        run = _Run(state)
-        rows, late = _batch_rows(pdfs, run.last_seq)
+    def step(run_id: int, run: _Run, rows: list[tuple]) -> Iterable[dict]:
+        rows, late = _timely(rows, run.last_seq)
         out = _late_rows(run_id, late)
-        ev = rows[(rows["kind"] == "eval").to_numpy()]
-        if len(rows):
-            run.last_seq = int(rows["seq"].max())
-        if len(ev):
-            loss = ev["loss"].to_numpy(dtype="float64")
-            best0 = np.inf if run.best is None else float(run.best)
-            running = np.fmin.accumulate(np.concatenate([[best0], loss]))  # NaN is never best
-            prior = running[:-1]
-            improved = np.isinf(prior) | ((loss < prior) & (np.abs(prior - loss) > threshold))
-            idx = run.eval_no + 1 + np.arange(len(loss))
-            last = np.maximum.accumulate(np.maximum(np.where(improved, idx, 0), run.last_improved))
-            counter = idx - last
-            stop = counter >= patience
-            out += [_row(run_id=run_id, rec="trace", seq=int(q), late=False, eval_no=int(i), improved=bool(b),
-                         counter=int(c), stop=bool(s))
-                    for q, i, b, c, s in zip(ev["seq"], idx, improved, counter, stop)]
-            run.eval_no = int(idx[-1])
-            run.best = float(running[-1])
-            run.last_improved = int(last[-1])
-            run.stopped = run.stopped or bool(stop.any())
-        run.save(state)
-        yield _frame(out)
+        if rows:
+            run.last_seq = int(rows[-1][0])
+        for q, _, kind, _, loss, _ in rows:
+            if kind != "eval":
+                continue
+            loss, prior = float(loss), float("inf") if run.best is None else run.best
+            run.eval_no += 1
+            improved = prior in (float("inf"), float("-inf")) or (loss < prior and abs(prior - loss) > threshold)
+            if improved:
+                run.last_improved = run.eval_no
+            counter = run.eval_no - run.last_improved
+            run.best = loss if loss < prior else prior   # NaN is never best
+            run.stopped = run.stopped or counter >= patience
+            out.append(_row(run_id=run_id, rec="trace", seq=int(q), late=False, eval_no=run.eval_no, improved=improved,
+                            counter=counter, stop=counter >= patience))
+        return out
 
-    return fn
+    return _processor(step)
+
+
+def by_shard(stream: DataFrame, shards: int | None):
+    """Rows grouped by the hash of their run, or by run."""
+    if shards is None:
+        return stream.groupBy("run_id")
+    return stream.withColumn("shard", F.pmod(F.xxhash64("run_id"), F.lit(shards))).groupBy("shard")
+
+
+def shards_for(events: DataFrame, events_per_run: int, files: int) -> int:
+    """How many shards a stream of these events, so many of a run per trigger, is grouped into."""
+    runs = events.agg(F.approx_count_distinct("run_id")).first()[0]
+    each = max(1, min(SHARD_RUNS, SHARD_EVENTS // events_per_run))
+    return max(files, -(-runs // each))
 
 
-def stateful(stream: DataFrame, fn, evals_only: bool = False) -> DataFrame:
+def stateful(stream: DataFrame, fn, evals_only: bool = False, shards: int | None = None) -> DataFrame:
     """Run a per-run processor. ``evals_only`` drops train events on the JVM
     side first (the keep-N-by-loss and early-stop processors never read them),
-    so fewer rows cross into Python."""
+    so fewer rows cross into Python. ``shards`` is for processors made by ``sharded``."""
     if evals_only:
         stream = stream.where(F.col("kind") == "eval")
-    return stream.groupBy("run_id").applyInPandasWithState(
-        fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    return by_shard(stream, shards).applyInPandasWithState(
+        fn, OUT_SCHEMA, getattr(fn, "state_schema", STATE_SCHEMA), "append", GroupStateTimeout.NoTimeout)
 
 
 # ---- running a stream to completion over files (availableNow) ----
@@ -289,7 +337,9 @@ def run_available_now(spark: SparkSession, log: DataFrame, fn, events_per_run: i
     src = write_log_files(log.withColumn("loss_c", F.col("loss_c").cast("decimal(38,18)")).select(*[c.split(" ")[0] for c in LOG_SCHEMA.split(", ")]),
                           os.path.join(base, "input"), events_per_run, files)
     stream = spark.readStream.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(src)
-    out = stateful(stream, fn, evals_only)
+    shards = shards_for(spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(src), events_per_run, files) \
+        if hasattr(fn, "state_schema") else None
+    out = stateful(stream, fn, evals_only, shards)
     out_path = os.path.join(base, "out")
     writer = out.writeStream.option("checkpointLocation", os.path.join(base, "chk")).trigger(availableNow=True)
     if sink is None:

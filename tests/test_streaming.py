@@ -103,3 +103,22 @@ def test_hot_run_is_cut_into_micro_batches(spark):
     write_log_files(spark.createDataFrame(hot, SCHEMA).select(*cols), base, 10, 2)
     per_file = spark.read.parquet(base).groupBy(F.input_file_name(), "run_id").count()
     assert per_file.agg(F.max("count")).first()[0] == 10
+
+
+def test_short_runs_share_a_group(spark):
+    """A stream of many short runs calls a group for a shard of them, not for each."""
+    rows = [event(r, s, "eval", 60 * ((s + r) * 7 % 10)) for r in range(40) for s in range(1, 7)]
+    events = spark.createDataFrame(rows, SCHEMA)
+    calls = spark.sparkContext.accumulator(0)
+    fn = best_n_processor(3)
+
+    def counted(key, pdfs, state):
+        calls.add(1)
+        yield from fn(key, pdfs, state)
+
+    counted.state_schema = fn.state_schema
+    out = run_available_now(spark, events, counted, 3, 2)
+    assert 0 < calls.value <= 4   # 2 shards, 2 micro-batches; a call for each run would be 80
+    got = sorted((r["run_id"], r["rank"], r["seq"]) for r in final_kept(out).collect())
+    assert got == sorted((r["run_id"], r["rank"], r["seq"]) for r in
+                         runs.best_n(events.where("kind = 'eval' AND exists"), "loss", 3).collect())
