@@ -28,12 +28,11 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tessera.streaming.checkpoints import typed_frame, write_blocks
+from tessera.streaming.checkpoints import by_shard, sharded, shards_for, typed_frame, write_blocks
 
 EVENTS = "run_id long, kind string, seq long, step long, loss double"
 DECISIONS = "run_id long, seq long, step long, eval_loss double, n_kept int, admitted boolean, outcome string, evicted_step long"
@@ -44,21 +43,21 @@ STATE = ("last_seq long, decided_step long, upto long, kept_loss array<double>,
 class _Saves:
     """One run: proposals wait for their save."""
 
-    def __init__(self, state: GroupState):
-        if state.exists:
-            self.last_seq, self.decided, self.upto, loss, step, *wait, saved, missing = state.get
+    def __init__(self, stored: tuple | None):
+        if stored:
+            self.last_seq, self.decided, self.upto, loss, step, *wait, saved, missing = stored
             self.kept, self.waiting = list(zip(loss, step)), list(zip(*wait))
             self.saved, self.missing = set(saved), set(missing)
         else:
             self.last_seq = self.decided = self.upto = -1
             self.kept, self.waiting, self.saved, self.missing = [], [], set(), set()
 
-    def save(self, state: GroupState) -> None:
+    def stored(self) -> tuple:
         # the log may hold further evaluations of the last decided step
         self.saved = {s for s in self.saved if s >= self.decided}
         self.missing = {s for s in self.missing if s >= self.decided}
-        state.update((self.last_seq, self.decided, self.upto, [x for x, _ in self.kept], [s for _, s in self.kept],
-                      *([w[i] for w in self.waiting] for i in range(3)), sorted(self.saved), sorted(self.missing)))
+        return (self.last_seq, self.decided, self.upto, [x for x, _ in self.kept], [s for _, s in self.kept],
+                *([w[i] for w in self.waiting] for i in range(3)), sorted(self.saved), sorted(self.missing))
 
     def answer(self, step: int) -> bool | None:
         """Whether the proposal's folder is there; None while nobody has told."""
@@ -94,32 +93,34 @@ class _Saves:
 
 def on_save_processor(n: int):
     """Keep the N lowest evaluation losses of each run among the checkpoints that were really saved."""
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        run_id, run, out = int(key[0]), _Saves(state), []
-        events = pd.concat([p for p in pdfs if len(p)] or [pd.DataFrame(columns=["kind", "seq", "step", "loss"])], ignore_index=True)
-        for r in events[events["kind"] != "eval"].itertuples(index=False):
-            if r.kind == "upto":
-                run.upto = max(run.upto, int(r.step))
-            else:
-                (run.saved if r.kind == "saved" else run.missing).add(int(r.step))
-        for r in events[events["kind"] == "eval"].sort_values("seq", kind="stable").itertuples(index=False):
-            if r.seq <= run.last_seq:
-                out.append((run_id, int(r.seq), int(r.step), float(r.loss), None, None, "late", None))
+    def step(run_id: int, run: _Saves, rows: list[tuple]) -> list[tuple]:
+        out = []
+        for kind, _, at, _ in rows:
+            if kind == "upto":
+                run.upto = max(run.upto, int(at))
+            elif kind != "eval":
+                (run.saved if kind == "saved" else run.missing).add(int(at))
+        for kind, seq, at, loss in rows:
+            if kind != "eval":
                 continue
-            run.last_seq = int(r.seq)
-            run.waiting.append((int(r.seq), int(r.step), float(r.loss)))
-        out += [(run_id, *d) for d in run.decide(n)]
-        run.save(state)
-        yield typed_frame(out, DECISIONS)
+            if seq <= run.last_seq:
+                out.append((run_id, int(seq), int(at), float(loss), None, None, "late", None))
+                continue
+            run.last_seq = int(seq)
+            run.waiting.append((int(seq), int(at), float(loss)))
+        return out + [(run_id, *d) for d in run.decide(n)]
+
+    return sharded(_Saves, step, ["kind", "seq", "step", "loss"], lambda out: typed_frame(out, DECISIONS), STATE)
 
-    return fn
 
+def with_saves(log: DataFrame, saves: DataFrame, n: int, shards: int | None = None) -> DataFrame:
+    """Decisions from a stream of log events and a stream of save events (each with the columns of ``EVENTS``).
 
-def with_saves(log: DataFrame, saves: DataFrame, n: int) -> DataFrame:
-    """Decisions from a stream of log events and a stream of save events (each with the columns of ``EVENTS``)."""
+    ``shards`` as in ``checkpoints.stateful``."""
     names = [c.split(" ")[0] for c in EVENTS.split(", ")]
     both = log.where(F.col("kind") == "eval").select(*names).unionByName(saves.select(*names))
-    return both.groupBy("run_id").applyInPandasWithState(on_save_processor(n), DECISIONS, STATE, "append", GroupStateTimeout.NoTimeout)
+    fn = on_save_processor(n)
+    return by_shard(both, shards).applyInPandasWithState(fn, DECISIONS, fn.state_schema, "append", GroupStateTimeout.NoTimeout)
 
 
 def saves_feed(manifest: DataFrame, log: DataFrame, every: int) -> DataFrame:
@@ -142,7 +143,8 @@ def run_with_saves(spark: SparkSession, log: DataFrame, saves: DataFrame, n: int
         path = write_blocks(df.select("run_id", "kind", "seq", "step", "loss", F.floor((at - 1) / F.lit(block)).alias("block")), os.path.join(base, name), files)
         sources.append(spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(path))
     out = os.path.join(base, "decisions")
-    q = with_saves(*sources, n).writeStream.format("parquet").option("checkpointLocation", os.path.join(base, "chk-saves")) \
+    shards = shards_for(log, max(log_block, saves_block), files)
+    q = with_saves(*sources, n, shards).writeStream.format("parquet").option("checkpointLocation", os.path.join(base, "chk-saves")) \
         .trigger(availableNow=True).start(out)
     q.awaitTermination()
     return spark.read.schema(DECISIONS).parquet(out)
