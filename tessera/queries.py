@@ -1023,12 +1023,12 @@ def q_stream_leaderboard_sink(spark, sf):
     import os
 
     from tessera.sources.sinks import loss_report
-    from tessera.streaming.checkpoints import best_n_processor, leaderboard_sink, run_available_now
+    from tessera.streaming.checkpoints import best_n_processor, leaderboard_sink, read_leaderboard, run_available_now
     base = scratch_folder(spark, "stream")
     report = os.path.join(base, "report")
     run_available_now(spark, _log_exists(spark, sf), best_n_processor(N_KEEP), STREAM_EVENTS,
                       sink=leaderboard_sink(report, loss_report), base=base, evals_only=True)
-    return spark.read.parquet(report).select(F.col("run_id").cast("bigint").alias("run_id"), "line_no", "line")
+    return read_leaderboard(spark, report).select("run_id", "line_no", "line")
 
 
 @register("stream_on_save", ctes(*_RUN_SQL, *_evicted_sql(N_KEEP), body=(

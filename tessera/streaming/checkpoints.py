@@ -363,15 +363,28 @@ def final_kept(out: DataFrame) -> DataFrame:
     return kept.join(last, ["run_id", "version"], "inner")
 
 
+LINES = "run_id long, line_no int, line string"
+
+
 def leaderboard_sink(report_path: str, build_lines):
-    """ST4: ``foreachBatch`` keyed upsert - rewrite the report of every run
-    whose kept list changed in the micro-batch (dynamic partition overwrite)."""
+    """ST4: ``foreachBatch`` keyed upsert - the new report of every run whose kept list changed in the micro-batch.
+
+    A micro-batch writes one table, not a file for each run; ``read_leaderboard`` takes each run's last report.
+    """
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         kept = batch_df.where(F.col("rec") == "kept")
         last = kept.groupBy("run_id").agg(F.max("version").alias("version"))
         kept = kept.join(last, ["run_id", "version"], "inner")
-        lines = build_lines(kept)
-        lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(report_path)
+        # idempotent on retry: a re-run micro-batch rewrites its own folder
+        build_lines(kept).select(*[c.split(" ")[0] for c in LINES.split(", ")]) \
+            .write.mode("overwrite").parquet(os.path.join(report_path, f"batch={batch_id}"))
 
     return sink
+
+
+def read_leaderboard(spark: SparkSession, report_path: str) -> DataFrame:
+    """The present report of every run."""
+    lines = spark.read.schema(LINES + ", batch long").parquet(report_path)
+    last = lines.groupBy("run_id").agg(F.max("batch").alias("batch"))
+    return lines.join(last, ["run_id", "batch"]).drop("batch")

@@ -122,3 +122,18 @@ def test_short_runs_share_a_group(spark):
     got = sorted((r["run_id"], r["rank"], r["seq"]) for r in final_kept(out).collect())
     assert got == sorted((r["run_id"], r["rank"], r["seq"]) for r in
                          runs.best_n(events.where("kind = 'eval' AND exists"), "loss", 3).collect())
+
+
+def test_leaderboard_has_no_file_for_each_run(spark):
+    from tessera.session import scratch_folder
+    from tessera.sources.sinks import loss_report
+    from tessera.streaming.checkpoints import leaderboard_sink, read_leaderboard
+
+    events = spark.createDataFrame([event(r, s, "eval", 60 * (s * 7 % 10)) for r in range(60) for s in range(1, 7 if r % 2 else 4)], SCHEMA)
+    base = scratch_folder(spark, "board")
+    run_available_now(spark, events, best_n_processor(3), 3, 2, sink=leaderboard_sink(base + "/report", loss_report), base=base)
+    files = [f for _, _, names in os.walk(base.removeprefix("file:") + "/report") for f in names if f.endswith(".parquet")]
+    assert 0 < len(files) < 60
+    kept = runs.best_n(events.where("kind = 'eval' AND exists"), "loss", 3).select("run_id", "rank", "step", F.col("loss").alias("eval_loss"))
+    assert sorted(map(tuple, read_leaderboard(spark, base + "/report").select("run_id", "line_no", "line").collect())) == \
+        sorted(map(tuple, loss_report(kept).collect()))
