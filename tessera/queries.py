@@ -963,11 +963,11 @@ def q_generalization_gap_planned(spark, sf):
 def q_report_files(spark, sf):
     """S7 as files: each run's report with its own cadence, written and read back."""
     from tessera.operators.runs import best_n
-    from tessera.sources.sinks import gap_report, write_report
+    from tessera.sources.sinks import gap_report, read_report, write_report
     kept = best_n(_gap_planned(spark, sf), "gap", N_KEEP)
     path = scratch_folder(spark, "reports")
     write_report(gap_report(kept), path)
-    return spark.read.text(path).select(F.col("run_id").cast("bigint").alias("run_id"), F.col("value").alias("line"))
+    return read_report(spark, path)
 
 
 # --------------------------------------------------------------------------

@@ -7,7 +7,7 @@ are formatted in parallel; ``write_report`` writes one text file per run
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.constants import (GAP_REPORT_HEADER, GAP_REPORT_LINE, LOSS_REPORT_HEADER,
@@ -66,3 +66,10 @@ def write_report(lines: DataFrame, path: str) -> None:
     """Write one ordered text file per run."""
     (lines.repartition("run_id").sortWithinPartitions("run_id", "line_no")
      .select("run_id", "line").write.mode("overwrite").partitionBy("run_id").text(path))
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """``run_id, line`` of the files of ``write_report``. Where no run had a report there is no folder to name ``run_id``."""
+    files = spark.read.text(path)
+    run = F.col("run_id") if "run_id" in files.columns else F.lit(None)
+    return files.select(run.cast("bigint").alias("run_id"), F.col("value").alias("line"))

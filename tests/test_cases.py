@@ -88,3 +88,15 @@ def test_position_digits_auto(spark):
     a = {r["row_id"]: r["pos"] for r in global_position(df, "x", digits="auto").collect()}
     b = {r["row_id"]: r["pos"] for r in global_position(df, "x", digits=2).collect()}
     assert a == b and sorted(a.values()) == list(range(300))
+
+
+def test_no_report_reads_back_as_no_rows(spark):
+    from tessera.sources.sinks import read_report, write_report
+    kept = spark.createDataFrame([], "run_id long, rank int, step long, eval_loss double")
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-report-"), "reports")
+    write_report(loss_report(kept), out)
+    back = read_report(spark, out)
+    assert back.columns == ["run_id", "line"] and back.count() == 0
+    write_report(loss_report(spark.createDataFrame([(7, 1, 5, 0.25)], kept.schema)), out)
+    assert sorted(map(tuple, read_report(spark, out).collect())) == [
+        (7, ""), (7, "   1. checkpoint-5: eval_loss=0.2500"), (7, "Currently keeping 1 checkpoints:")]
