@@ -7,9 +7,9 @@ trained tokeniser can be plugged in through ``encode_with`` (an iterator
 Scale notes
 * Word counts are a partial aggregate, so frequent words combine map-side.
 * The vocabulary holds all words unless the caller sets a size.
-* ``encode`` is map-only while the vocabulary's measured size is at most
-  ``LOOKUP_ROWS`` (broadcast once, looked up per Arrow batch, texts stay where they
-  are); of a larger vocabulary every word fetches its id by a join, and a row's ids go back in order.
+* ``encode`` looks words up in the ``LOOKUP_ROWS`` words of the lowest ids, the most frequent ones (broadcast
+  once, looked up per Arrow batch, texts stay where they are). A vocabulary of no more words needs no
+  shuffle; of a larger one only the words not found there fetch their ids by a join, and go back in order.
 * Lengths need no ids: batches are padded from word counts, and id arrays move
   once, only for the operators that return them.
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -71,34 +72,38 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text: str = "te
     budget = max_len - 2 if add_special else max_len
     cut = F.coalesce(F.slice(words(F.col(text)), 1, budget), F.array().cast("array<string>"))
     d = df.select(*key_cols, *keep, cut.alias("_w"), *[c.alias(n) for n, c in token_lengths(F.col(text), max_len, add_special).items()])
-    held = vocab.select("token", "id").limit(LOOKUP_ROWS + 1).toArrow()   # bounded by the guard
-    if held.num_rows <= LOOKUP_ROWS:
-        ids = _lookup(vocab.sparkSession, held)(F.col("_w"))
+    whole = vocab.select("token", "id").limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
+    frequent = vocab if whole else vocab.where(F.col("id") < FIRST_WORD_ID + LOOKUP_ROWS)
+    held = frequent.select("token", "id").limit(LOOKUP_ROWS).toArrow()   # bounded by the guard
+    if whole:
+        ids = _lookup(vocab.sparkSession, held, UNK_ID)(F.col("_w"))["ids"]
     else:
-        # stored: both branches must see the same row numbers; every word fetches its id, a row's ids go back in order
-        d = cut_lineage(d.withColumn("_row", F.monotonically_increasing_id()))
-        placed = d.select("_row", F.posexplode("_w").alias("pos", "token")).join(vocab.select("token", "id"), "token", "left")
-        found = placed.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_m"))
-        d = d.join(found, "_row", "left")
-        ids = F.coalesce(F.col("_m.id"), F.array().cast("array<int>"))
+        # stored: both branches must see the same row numbers; a rare word fetches its id, a row's ids go back in order
+        found = _lookup(vocab.sparkSession, held)(F.col("_w"))
+        d = cut_lineage(d.withColumn("_f", found).drop("_w").withColumn("_row", F.monotonically_increasing_id()))
+        placed = d.select("_row", F.posexplode("_f.rare").alias("pos", "token")).join(vocab.select("token", "id"), "token", "left")
+        rare = placed.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("_m"))
+        d = d.join(rare, "_row", "left")
+        ids = _filled(F.col("_f.ids"), F.coalesce(F.col("_m.id"), F.array().cast("array<int>")))
     if add_special:
         ids = F.concat(F.array(F.lit(BOS_ID)), ids, F.array(F.lit(EOS_ID)))
-    kept = [c for c in d.columns if c not in (*key_cols, "_w", "_m", "_row", "n_words", "n_tokens", "n_dropped")]
+    kept = [c for c in d.columns if c not in (*key_cols, "_w", "_f", "_m", "_row", "n_words", "n_tokens", "n_dropped")]
     return d.select(*key_cols, *kept, ids.alias("input_ids"), "n_tokens", "n_dropped", "n_words")
 
 
 _TABLES: dict[int, dict] = {}   # of this worker process: broadcast id -> word -> id
 
 
-def _lookup(spark, vocab: pa.Table):
-    """Arrow-batched word -> id lookup in a broadcast vocabulary of checked size.
+def _lookup(spark, vocab: pa.Table, unknown: int | None = None):
+    """Arrow-batched word -> id lookup in a broadcast vocabulary of checked size: the ids, ``unknown``
+    where a word is not held; with null there, also those words in order.
 
     The table is built once per worker; a batch looks up its distinct words.
     """
     held = spark.sparkContext.broadcast((vocab["token"].combine_chunks(), vocab["id"].combine_chunks()))
     name = held._jbroadcast.id()
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids: array<int>, rare: array<string>>")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if name not in _TABLES:
             tokens, ids = held.value
@@ -106,16 +111,31 @@ def _lookup(spark, vocab: pa.Table):
             _TABLES[name] = dict(zip(tokens.to_pylist(), ids.to_pylist()))
         table = _TABLES[name]
         for b in batches:
-            words_ = b.flatten().dictionary_encode()
-            known = pa.array([table.get(w, UNK_ID) for w in words_.dictionary.to_pylist()], pa.int32())
-            found = pc.take(known, words_.indices)
-            lengths = pc.fill_null(pc.list_value_length(b), 0)
-            ends = pc.cumulative_sum(lengths).cast(pa.int32())
-            yield pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), found)
+            words_ = b.flatten()
+            coded = words_.dictionary_encode()
+            known = pa.array([table.get(w, unknown) for w in coded.dictionary.to_pylist()], pa.int32())
+            found = pc.take(known, coded.indices)
+            missing = np.concatenate([[0], np.cumsum(pc.is_null(found).to_numpy(zero_copy_only=False))])
+            lengths = pc.fill_null(pc.list_value_length(b), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            yield pa.StructArray.from_arrays([
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
+                pa.ListArray.from_arrays(pa.array(missing[ends], pa.int32()), words_.filter(pc.is_null(found)))], names=["ids", "rare"])
 
     return look_up
 
 
+def _filled(ids: Column, rare: Column) -> Column:
+    """The null ids of each row replaced by its ``rare`` ids, in order."""
+    @F.arrow_udf("array<int>")
+    def fill(a: pa.Array, b: pa.Array) -> pa.Array:
+        flat = a.flatten()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(a).to_numpy(zero_copy_only=False))])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.replace_with_mask(flat, pc.is_null(flat), b.flatten()))
+
+    return fill(ids, rare)
+
+
 def encode_with(df: DataFrame, tokenize, key_cols: list[str], text: str = "text",
                 max_len: int = MAX_SEQ_LENGTH, keep: list[Column] = ()) -> DataFrame:
     """Encode with a user tokeniser ``tokenize(list[str]) -> list[list[int]]``.

@@ -97,3 +97,20 @@ def test_vocabulary_of_all_words(spark):
                                "source string, row_id long, text string")
     every = [(r["token"], r["id"]) for r in build_vocabulary(df).orderBy("id").collect()]
     assert len(every) == 17 and every[:12] == [(r["token"], r["id"]) for r in build_vocabulary(df, 12).orderBy("id").collect()]
+
+
+def test_only_rare_words_are_joined(spark, monkeypatch):
+    """Beyond the bound the frequent words are looked up; the plan's join meets the other words only."""
+    from tessera.operators import tokens
+    rows = [("s", i, " ".join(["the"] * 20 + [f"w{j * i % 23}" for j in range(i % 17)])) for i in range(80)] + [("s", 90, None), ("s", 91, "")]
+    df = spark.createDataFrame(rows, "source string, row_id long, text string")
+    vocab = build_vocabulary(df, 12)
+    read = lambda: sorted(map(tuple, encode(df, vocab, ["source", "row_id"], max_len=30).collect()))
+    small = read()
+    monkeypatch.setattr(tokens, "LOOKUP_ROWS", 5)
+    stored = []
+    cut = tokens.cut_lineage
+    monkeypatch.setattr(tokens, "cut_lineage", lambda d: stored.append(cut(d)) or stored[-1])
+    assert read() == small
+    rare = [w for r in stored[0].select("_f.rare").collect() for w in r[0]]
+    assert rare and "the" not in rare
