@@ -7,9 +7,9 @@ trained tokeniser can be plugged in through ``encode_with`` (an iterator
 Scale notes
 * Word counts are a partial aggregate, so frequent words combine map-side.
 * The vocabulary holds all words unless the caller sets a size.
-* ``encode`` looks words up in the ``LOOKUP_ROWS`` words of the lowest ids, the most frequent ones (broadcast
-  once, looked up per Arrow batch, texts stay where they are). A vocabulary of no more words needs no
-  shuffle; of a larger one only the words not found there fetch their ids by a join, and go back in order.
+* ``encode`` is map-only while the vocabulary's measured size is at most ``LOOKUP_ROWS`` (broadcast
+  once, looked up per Arrow batch, texts stay where they are). Of a larger vocabulary the ``FREQUENT_ROWS`` lowest
+  ids, the most frequent words, are looked up so; only the other words fetch their ids by a join, and go back in order.
 * Lengths need no ids: batches are padded from word counts, and id arrays move
   once, only for the operators that return them.
 """
@@ -32,6 +32,7 @@ from tessera.session import cut_lineage
 
 WORD_SPLIT = "[ \\t\\n\\r]+"
 LOOKUP_ROWS = 1_000_000  # vocabulary rows that are shipped to every executor
+FREQUENT_ROWS = 200_000  # of a larger vocabulary: each Python worker holds them while the join runs
 
 
 def words(text: Column) -> Column:
@@ -73,8 +74,9 @@ def encode(df: DataFrame, vocab: DataFrame, key_cols: list[str], text: str = "te
     cut = F.coalesce(F.slice(words(F.col(text)), 1, budget), F.array().cast("array<string>"))
     d = df.select(*key_cols, *keep, cut.alias("_w"), *[c.alias(n) for n, c in token_lengths(F.col(text), max_len, add_special).items()])
     whole = vocab.select("token", "id").limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
-    frequent = vocab if whole else vocab.where(F.col("id") < FIRST_WORD_ID + LOOKUP_ROWS)
-    held = frequent.select("token", "id").limit(LOOKUP_ROWS).toArrow()   # bounded by the guard
+    most = LOOKUP_ROWS if whole else min(LOOKUP_ROWS, FREQUENT_ROWS)
+    frequent = vocab if whole else vocab.where(F.col("id") < FIRST_WORD_ID + most)
+    held = frequent.select("token", "id").limit(most).toArrow()   # bounded by the guard
     if whole:
         ids = _lookup(vocab.sparkSession, held, UNK_ID)(F.col("_w"))["ids"]
     else:
