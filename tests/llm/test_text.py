@@ -165,6 +165,26 @@ def test_blocks_are_skipped(spark):
     assert out[0][1] == 640 and read < 31 + 300 and met == 331
 
 
+def test_common_terms_of_many_queries_together(spark):
+    """One product for the common terms of a block of queries: the answers of one query after the other, most postings not looked up."""
+    rng = np.random.default_rng(1)
+    words = {lang: [f"{lang}{i}" for i in range(40)] for lang in "ab"}
+    lang = ["a"] * 300 + ["b"] * 300
+    texts = [" ".join([*rng.choice(words[x], 60), f"own{i}", f"pair{i // 2}"]) for i, x in enumerate(lang)]
+    shard, number, df = held(spark, texts)
+    idf = {w: math.log(1 + (600 - f + 0.5) / (f + 0.5)) for w, f in df.items()}
+    queries = []
+    for i in range(0, 300, 15):
+        mine = sorted(set(words_of(texts[i])))
+        queries.append((np.array([number[w] for w in mine]), np.array([idf[w] for w in mine])))
+    one_by_one = [shard.top(t, w, 5) for t, w in queries]
+    met, shard.read, shard.met = shard.met, 0, 0
+    assert shard.tops(queries, 5, [[] for _ in queries]) == one_by_one
+    assert shard.met == met and shard.read < met // 20 and shard.shut == 0
+    # with thresholds of earlier shards, documents of the other language stay out of the product
+    assert shard.tops(queries, 5, one_by_one)[0][0] == one_by_one[0][0] and shard.shut >= 20 * 200
+
+
 def test_alike_documents_are_neighbours(spark):
     shard, number, _ = held(spark, [f"{'der der' if i % 2 else 'the the'} x{i}" for i in range(400)])
     the = shard.docs[shard.start[number[b"the"]]:shard.start[number[b"the"] + 1]]
