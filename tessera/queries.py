@@ -1050,14 +1050,15 @@ def q_stream_out_of_order(spark, sf):
     """ST1 over a log whose blocks arrive in another order than its events."""
     import os
 
-    from tessera.streaming.checkpoints import write_blocks
+    from tessera.streaming.checkpoints import shards_for, write_blocks
     from tessera.streaming.reorder import EVENTS, KeepBest, present_list, run_ordered
     base, files = scratch_folder(spark, "out-of-order"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     block = F.floor((F.col("seq") - 1) / STREAM_EVENTS)
     swapped = F.when(block % 2 == 0, block + 1).otherwise(block - 1)   # neighbouring blocks change places
     path = write_blocks(_log_exists(spark, sf).select(*[c.split(" ")[0] for c in EVENTS.split(", ")], swapped.alias("block")), os.path.join(base, "log"), files)
     stream = spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(path)
-    rows, _ = run_ordered(spark, stream, KeepBest(N_KEEP), base)
+    shards = shards_for(spark.read.schema(EVENTS).option("recursiveFileLookup", "true").parquet(path), STREAM_EVENTS, files)
+    rows, _ = run_ordered(spark, stream, KeepBest(N_KEEP), base, shards=shards)
     return present_list(rows).select("run_id", F.col("rank").cast("int").alias("rank"), "seq", "step", "eval_loss")
 
 

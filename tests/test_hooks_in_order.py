@@ -109,6 +109,27 @@ def test_out_of_order_equals_batch(spark):
     assert sorted((r["run_id"], r["seq"]) for r in late.collect()) == sorted((r[0], r[1]) for r in rows[3:9])
 
 
+def test_shards_of_runs_equal_runs(spark):
+    """A group for a shard of runs: the rows and the late rows of a group for each run, over gaps, repeats and ends; state per shard."""
+    rows = dense(make_events(seed=6, n_runs=12, n_events=25))
+    rows = [(r, q, t, "end" if r in (3, 7) and q == 20 else k, x, ex) for r, q, t, k, x, ex in rows if (r, q) != (5, 11)]   # 5 waits for 11 without end
+    mixed = rows + rows[3:60:7]
+    random.Random(8).shuffle(mixed)
+    batches = [mixed[i:i + 80] for i in range(0, len(mixed), 80)]
+    seen = []
+    for shards in (None, 2):
+        base = folder(spark, "sharded")
+        out, late = reorder.run_ordered(spark, stream_of(spark, reorder.EVENTS, batches), reorder.KeepBest(3), base, shards=shards)
+        state = {name: spark.read.format("statestore").option("stateVarName", name).load(os.path.join(base, "chk-ordered")).collect() for name in ("position", "kept", "held")}
+        seen.append((*(sorted(map(repr, t.collect())) for t in (out, late)), len({r["key"][0] for r in state["position"]}), len(state["position"])))
+        assert {r["list_element"]["run_id"] for r in state["kept"]} == {r[0] for r in rows} - {3, 7}
+        assert sum(len(r["value"]["seq"]) for r in state["held"]) == 14   # run 5 behind its gap
+    assert seen[0][:2] == seen[1][:2] and seen[0][0] and seen[0][1]
+    assert seen[0][2:] == (12, 12) and seen[1][2:] == (2, 12)
+    with pytest.raises(ValueError):
+        reorder.run_ordered(spark, stream_of(spark, reorder.EVENTS, batches[:1]), reorder.KeepBest(3, wait_ms=5), folder(spark, "no"), shards=2)
+
+
 def test_timer_gives_up_a_gap_and_ended_runs_leave_no_state(spark):
     e = lambda run, seq, kind="eval", loss=None: (run, seq, 10 * seq, kind, loss or float(seq), True)
     stream = stream_of(spark, reorder.EVENTS, [[e(0, 1), e(0, 4), e(1, 1), e(1, 2, "end")], [e(1, 3), e(0, 5)]])
