@@ -16,8 +16,8 @@ tokenizer is cut at the first place behind the chunk's nominal end where it cuts
 so the two cover different bytes there and the fragment's ends are open. Rounds of a shuffle by
 (row, chunk / ``FAN``) then compose ``FAN`` neighbours, until one fragment a document is left.
 
-Counts over the corpus: whole documents are collected in blocks of about ``BLOCK_LINKS`` links; a block has
-each id pair once with its number. Pairs of all blocks are summed with partial aggregates, the totals
+Counts over the corpus: whole documents are collected in blocks of about ``BLOCK_LINKS`` links, as numbers of
+words in their worker's ``Store``; a block has each id pair once with its number. Pairs of all blocks are summed with partial aggregates, the totals
 join back to the pairs of each block, and a document's sums are read from its block's array.
 
 Defined cases: null and empty texts, and those that a tokenizer changes (its tokens spell other bytes),
@@ -31,7 +31,7 @@ import hashlib
 import os
 import pickle
 import re
-import struct
+import string
 from array import array
 from collections import Counter
 from dataclasses import dataclass, field
@@ -47,7 +47,7 @@ from tessera.llm.common import landed
 CHUNK = 1 << 16         # characters of a text that one task aligns
 FAN = 16                # neighbouring fragments composed in one group
 BLOCK_LINKS, BLOCK_DOCS = 1 << 21, 1 << 14   # a block of documents ends when it has as many
-PIECES = 200_000        # words a worker remembers
+PIECES = 100_000        # words a worker remembers when a block begins; of more, the half most used stays
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -154,8 +154,47 @@ def compose(x: Fragment, y: Fragment) -> Fragment:
 
 # ---- the two tokenizers ----
 
-# A word that the worker remembers: its four counts, a pair code a link, the groups' text; empty if its bytes changed.
-_HEAD = struct.Struct("<4I")
+class Store:
+    """Closed fragments by number: their counts and how many pair codes each has, all codes in a row, the groups' texts."""
+
+    WIDTH = len(COUNTS) + 1
+
+    def __init__(self):
+        self.counts, self.codes, self.texts = array("I"), array("q"), []
+        self.bad: set[int] = set()     # a tokenizer changed their bytes
+        self.uses = np.zeros(0, "i8")  # by blocks that are done
+
+    def add(self, counts: tuple, codes: array, text: bytes, ok: bool = True) -> int:
+        n = len(self.texts)
+        self.counts.extend((*counts, len(codes)))
+        self.codes.extend(codes)
+        self.texts.append(text)
+        if not ok:
+            self.bad.add(n)
+        return n
+
+    def extend(self, counts: np.ndarray, codes: np.ndarray, texts: list[bytes]) -> range:
+        n = len(self.texts)
+        self.counts.frombytes(counts.astype("u4").tobytes())
+        self.codes.frombytes(codes.astype("i8").tobytes())
+        self.texts += texts
+        return range(n, len(self.texts))
+
+    def read(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of ``numbers``, and the places of their codes, one number's behind the other's."""
+        counts = np.asarray(self.counts).reshape(-1, self.WIDTH)
+        held = counts[:, -1].astype("i8")
+        begins, held, counts = (np.cumsum(held) - held)[numbers], held[numbers], counts[numbers]
+        places = np.repeat(begins - (np.cumsum(held) - held), held)
+        places += np.arange(places.size)
+        return counts, places
+
+    def used(self) -> np.ndarray:
+        """``uses`` of all numbers."""
+        return np.concatenate([self.uses, np.zeros(len(self.texts) - self.uses.size, "i8")])
+
+    def pairs(self, places: np.ndarray) -> np.ndarray:
+        return np.asarray(self.codes)[places]
 
 
 def _spelt(table: list[bytes], ids: list[int]) -> bytes:
@@ -191,10 +230,26 @@ class Pair:
         self.lengths_a, self.lengths_b = [np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b)]
         self.size = max(len(self.bytes_a), len(self.bytes_b))
         self.names = [b"%d%c" % (i, c) for c in b",|;" for i in range(self.size)]   # inside a list, behind A's list, behind B's
-        self.words: dict[object, bytes | None] = {}
+        self.name_lengths = np.array([len(x) for x in self.names])
+        self.words: dict[object, int | None] = {}   # numbers in the store
+        self.store = Store()
+
+    def forget(self) -> None:
+        """Keep half of ``PIECES`` words, those that blocks used most."""
+        old, self.store = self.store, Store()
+        uses = old.used()
+        kept = np.sort(np.argsort(-uses, kind="stable")[:PIECES // 2])
+        counts, places = old.read(kept)
+        self.store.extend(counts, old.pairs(places), [old.texts[n] for n in kept.tolist()])
+        self.store.uses = uses[kept] >> 1   # later blocks weigh more
+        place = np.full(uses.size, -1)
+        place[kept] = np.arange(kept.size)
+        self.store.bad = {int(place[n]) for n in old.bad if place[n] >= 0}
+        place = place.tolist()
+        self.words = {k: place[n] for k, n in self.words.items() if n is not None and place[n] >= 0}
 
     def _a_ids(self, piece: str) -> list[int]:
-        return self.a.encode(piece, add_special_tokens=False).ids
+        return self.a.encode_batch_fast([piece], add_special_tokens=False)[0].ids   # without offsets
 
     def _b_ids(self, piece: str) -> list[int]:
         """B's ids of a piece that begins where B cuts; behind a line feed the library adds no space of its own."""
@@ -213,93 +268,87 @@ class Pair:
 
         A key is a word that follows a space, a line feed with a word, or ``(piece,)`` for any other piece.
         """
-        words = self.words
-        if len(words) > PIECES:
-            words.clear()
-        pieces, marked = {}, []
+        words, pieces, marked = self.words, {}, {}
         for key in keys:
-            if key in words:
-                continue
             if not isinstance(key, str):
                 pieces[key] = key[0]
             elif not _PLAIN.fullmatch(key):
                 words[key] = None
-            elif key[-1] in _MARKS and key[-2:-1].isalpha() and key[-2:] not in self.inside:
-                marked.append(key)   # both tokenizers cut before the mark
-                pieces[(key[-1],)] = key[-1]
-                pieces[key[:-1]] = self._piece(key[:-1])
             else:
-                pieces[key] = self._piece(key)
+                head = key.rstrip(_MARKS)
+                n = len(head)
+                if n < len(key) and head[-1:].isalpha() and key[n - 1:n + 1] not in self.inside:
+                    tail = key[n:]
+                    marked[key] = head, (tail,)   # both tokenizers cut before the marks
+                    pieces[(tail,)] = tail
+                    pieces[head] = self._piece(head)
+                else:
+                    pieces[key] = self._piece(key)
         todo = [k for k in pieces if k not in words]
         words.update((k, self._alone(k[0])) for k in todo if not isinstance(k, str))
         todo = [k for k in todo if isinstance(k, str)]
-        for a in range(0, len(todo), 4096):
-            some = todo[a:a + 4096]
+        for a in range(0, len(todo), RUN):
+            some = todo[a:a + RUN]
             words.update(zip(some, self._aligned([pieces[k] for k in some])))
-        for key in marked:
-            words[key] = _neighbours(words[key[:-1]], words[(key[-1],)])
+        if marked:
+            words.update(zip(marked, self._neighbours([(words[head], words[tail]) for head, tail in marked.values()])))
 
     @staticmethod
     def _piece(key: str) -> str:
         return key if key[0] == "\n" else " " + key
 
-    def _alone(self, piece: str) -> bytes:
-        """The closed fragment of any piece; empty if a tokenizer changes its bytes."""
+    def _alone(self, piece: str) -> int:
+        """The closed fragment of any piece."""
         a, b, ok = self.tokens(piece, piece)
         if not ok:
-            return b""
+            return self.store.add((0,) * len(COUNTS), array("q"), b"", False)
         text, n, pairs = groups(a, b)
-        codes = array("q", pairs.elements())
-        return _HEAD.pack(len(a[0]), len(b[0]), n, len(codes)) + codes.tobytes() + text
+        return self.store.add((len(a[0]), len(b[0]), n, pairs.total()), array("q", pairs.elements()), text)
 
-    def _aligned(self, pieces: list[str]) -> list[bytes]:
+    def _aligned(self, pieces: list[str]) -> list[int]:
         """The closed fragments of words, encoded as one run: both tokenizers cut where they meet."""
         text = "".join(pieces)
         spelt = text.encode()
         flat_a, flat_b = self._a_ids(text), self._b_ids(text)
-        if not _spelt(self.bytes_a, flat_a) == spelt == _spelt(self.bytes_b, flat_b):
-            return [self._alone(p) for p in pieces]
-        a, b = np.array(flat_a), np.array(flat_b)
-        end_a, end_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
-        from_a, from_b = end_a - self.lengths_a[a], end_b - self.lengths_b[b]
-        end = np.cumsum([len(p) for p in pieces] if len(text) == len(spelt) else [len(p.encode()) for p in pieces])
-        upto_a, upto_b = np.searchsorted(end_a, end, "right"), np.searchsorted(end_b, end, "right")
-        if (end_a[upto_a - 1] != end).any() or (end_b[upto_b - 1] != end).any():
-            return [self._alone(p) for p in pieces]
-        first, last = np.searchsorted(end_b, from_a, "right"), np.searchsorted(from_b, end_a, "left")
+        kept = _spelt(self.bytes_a, flat_a) == spelt == _spelt(self.bytes_b, flat_b)
+        if kept:
+            a, b = np.array(flat_a, dtype="i8"), np.array(flat_b, dtype="i8")
+            size_a, size_b = self.lengths_a[a], self.lengths_b[b]
+            end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+            end = np.cumsum([len(p) for p in pieces] if len(text) == len(spelt) else [len(p.encode()) for p in pieces])
+            upto_a, upto_b = np.searchsorted(end_a, end, "right"), np.searchsorted(end_b, end, "right")
+            kept = not ((end_a[upto_a - 1] != end).any() or (end_b[upto_b - 1] != end).any())
+        if not kept:   # the words with changed bytes are sought in halves
+            half = len(pieces) // 2
+            return [*self._aligned(pieces[:half]), *self._aligned(pieces[half:])] if half > 3 else [self._alone(p) for p in pieces]
+        first, last = np.searchsorted(end_b, end_a - size_a, "right"), np.searchsorted(end_b - size_b, end_a, "left")
         n = last - first
-        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        codes = ((b[at] << 32) | np.repeat(a, n)).astype("<i8").tobytes()
+        links = np.cumsum(n)
+        at = np.repeat(first - (links - n), n) + np.arange(links[-1])
+        codes = (b[at] << 32) | np.repeat(a, n)
         # the text: in each group A's ids, then B's, each with the separator behind it
         close_a, close_b = np.isin(end_a, end_b), np.isin(end_b, end_a)
         group_a, group_b = np.cumsum(close_a) - close_a, np.cumsum(close_b) - close_b
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         shown = np.concatenate([a + self.size * close_a, b + 2 * self.size * close_b])[order]
-        names = list(map(self.names.__getitem__, shown.tolist()))
-        links, group_ends = np.cumsum(n)[upto_a - 1].tolist(), (group_a[upto_a - 1] + 1).tolist()
-        out, link, group, x, y = [], 0, 0, 0, 0
-        for l, g, u, v in zip(links, group_ends, upto_a.tolist(), upto_b.tolist()):
-            out.append(_HEAD.pack(u - x, v - y, g - group, l - link) + codes[8 * link:8 * l] + b"".join(names[x + y:u + v])[:-1])
-            link, group, x, y = l, g, u, v
+        names = b"".join(map(self.names.__getitem__, shown.tolist()))
+        upto = np.cumsum(self.name_lengths[shown])[upto_a + upto_b - 1].tolist()
+        links = links[upto_a - 1]
+        counts = np.diff(np.stack([upto_a, upto_b, group_a[upto_a - 1] + 1, links, links], 1), axis=0, prepend=0)
+        return self.store.extend(counts, codes, [names[x:y - 1] for x, y in zip([0, *upto], upto)])
+
+    def _neighbours(self, both: list[tuple[int, int]]) -> range:
+        """Closed fragments, each of two that are one behind the other."""
+        store = self.store
+        counts, places = store.read(np.array(both).ravel())
+        out = store.extend(counts[::2] + counts[1::2], store.pairs(places), [store.texts[x] + b";" + store.texts[y] for x, y in both])
+        if store.bad:
+            store.bad.update(n for n, xy in zip(out, both) if not store.bad.isdisjoint(xy))
         return out
 
 
-def _opened(word: bytes) -> tuple[tuple, bytes, bytes]:
-    """(counts, pair codes, text)."""
-    counts = _HEAD.unpack_from(word)
-    at = _HEAD.size + 8 * counts[3]
-    return counts, word[_HEAD.size:at], word[at:]
-
-
-def _neighbours(x: bytes, y: bytes) -> bytes:
-    """Two closed fragments, one behind the other."""
-    if not x or not y:
-        return b""
-    (n, c, t), (n2, c2, t2) = _opened(x), _opened(y)
-    return _HEAD.pack(*map(sum, zip(n, n2))) + c + c2 + t + b";" + t2
-
-
-_MARKS = ",.!?;:"
+RUN = 1024              # words encoded as one run
+_MARKS = string.punctuation
 _PLAIN = re.compile(r"\n?\S+")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")   # both tokenizers cut here
 # A cuts here: before white space that follows another character, and between a letter or digit and a mark
@@ -390,58 +439,53 @@ def _whole_fragments(long_docs: DataFrame, path_a: str, path_b: str, size: int)
 # ---- blocks of documents ----
 
 class Block:
-    """Documents whose words (or whole long texts) are numbered entries with their pairs."""
+    """Documents whose words (or whole long texts) are numbered entries of a store with their pairs."""
 
-    def __init__(self, both: Pair | None):
-        self.both, self.numbers = both, {}
-        self.texts, self.counts, self.codes, self.times, self.bad = [], [], [], [], set()
+    def __init__(self, both: Pair, whole: bool = False):
+        if not whole and len(both.words) > PIECES:
+            both.forget()   # not inside a block, which has numbers of the store
+        self.both, self.store = both, Store() if whole else both.store
+        self.times = array("q")   # of whole texts: how often they have each code
         self.docs, self.links = [], 0
 
-    def add(self, counts: tuple, codes: bytes, text: bytes, ok: bool = True) -> int:
-        n = len(self.texts)
-        self.texts.append(text)
-        self.counts.append(counts)
-        self.codes.append(codes)
-        if not ok:
-            self.bad.add(n)
-        return n
-
-    def _entries(self, every: list[list]) -> list[list[int | None]]:
-        """The numbers of lists of keys; None where a key is no plain word."""
-        numbers, words = self.numbers, self.both.words
-        new = set().union(*every).difference(numbers)
-        self.both.learn(new)
-        for key in new:
-            w = words[key]
-            numbers[key] = None if w is None else self.add(*_opened(w)) if w else self.add((0,) * len(COUNTS), b"", b"", False)
-        return [list(map(numbers.__getitem__, keys)) for keys in every]
+    def _entries(self, every: list[list]) -> list[array | None]:
+        """The numbers of lists of keys; None for a list with a key that is no plain word."""
+        words = self.both.words
+        self.both.learn(set().union(*every).difference(words))
+        out = []
+        for keys in every:
+            try:
+                out.append(array("I", map(words.__getitem__, keys)))
+            except TypeError:
+                out.append(None)
+        return out
 
     def take_texts(self, docs: list[tuple]) -> None:
         """(doc_id, text) rows."""
         texts = [" " + t if t else None for _, t in docs]
         every = self._entries([t.replace("\n", " \n").split(" ")[1:] if t else [] for t in texts])
-        odd = [i for i, e in enumerate(every) if None in e]   # irregular white space: the exact cut
+        odd = [i for i, e in enumerate(every) if e is None]   # irregular white space: the exact cut
         for i, e in zip(odd, self._entries([[(p,) for p in _CUT.split(texts[i])] for i in odd])):
             every[i] = e
         for (doc, _), e in zip(docs, every):
             self._take(doc, e)
 
-    def _take(self, doc_id, entries: list[int]) -> None:
-        if self.bad and not self.bad.isdisjoint(entries):
-            entries = []
-        sha = hashlib.sha256(b";".join(map(self.texts.__getitem__, entries))).hexdigest() if entries else ""
-        self.docs.append((doc_id, array("I", entries), sha))
+    def _take(self, doc_id, entries: array) -> None:
+        bad, texts = self.store.bad, self.store.texts
+        if bad and not bad.isdisjoint(entries):
+            entries = array("I")
+        sha = hashlib.sha256(b";".join(map(texts.__getitem__, entries))).hexdigest() if entries else ""
+        self.docs.append((doc_id, entries, sha))
         self.links += 4 * len(entries)
 
     def take_fragment(self, doc_id, f: Fragment) -> None:
         """A whole long document: one entry."""
         whole = f.ok and not (f.a2[0] or f.b2[0])
-        counts = f.n_a, f.n_b, f.n_groups, f.pairs.total()
-        n = self.add(counts, array("q", f.pairs.keys()).tobytes(), f.text, whole)
-        self.times.append((n, array("q", f.pairs.values()).tobytes()))
-        self._take(doc_id, [n])
+        n = self.store.add((f.n_a, f.n_b, f.n_groups, f.pairs.total()), array("q", f.pairs.keys()), f.text, whole)
+        self.times.extend(f.pairs.values())
+        self._take(doc_id, array("I", [n]))
         self.links += len(f.pairs)
-        self.texts[-1] = b""
+        self.store.texts[-1] = b""
 
     def full(self) -> bool:
         return self.links >= BLOCK_LINKS or len(self.docs) >= BLOCK_DOCS
@@ -452,19 +496,28 @@ class Block:
 
         entries = np.frombuffer(b"".join(e.tobytes() for _, e, _ in self.docs), "u4")
         sizes = np.array([len(e) for _, e, _ in self.docs], dtype="i8")
-        codes = np.frombuffer(b"".join(self.codes), "<i8")
-        lengths = np.array([len(c) >> 3 for c in self.codes], dtype="i8")
-        times, ends = np.ones(codes.size, np.int64), np.cumsum(lengths)
-        for n, t in self.times:
-            times[ends[n] - lengths[n]:ends[n]] = np.frombuffer(t, "i8")
-        used = np.bincount(entries, minlength=lengths.size)
+        used = np.bincount(entries, minlength=len(self.store.texts))
+        self.store.uses = self.store.used() + used
+        numbers = np.flatnonzero(used)   # the block numbers its own entries
+        place = np.zeros(used.size, "u4")
+        place[numbers] = np.arange(numbers.size)
+        entries, used = place[entries], used[numbers]
+        counts, places = self.store.read(numbers)
+        lengths = counts[:, -1].astype("i8")
+        weights = np.repeat(used.astype("f8"), lengths)   # sums stay below 2^53, so that doubles are exact
+        times = np.ones(places.size, "u4")
+        if self.times:
+            times = np.asarray(self.times)[places].astype("u4")
+            weights *= times
+        codes = self.store.pairs(places)
+        del places
         pairs, at = np.unique(codes, return_inverse=True)
-        # sums stay below 2^53, so that weights of doubles are exact
-        total = np.bincount(at, weights=times * np.repeat(used, lengths), minlength=pairs.size).astype(np.int64)
-        counts = np.array(self.counts, dtype=np.int64).reshape(-1, len(COUNTS))
-        per_doc = _sums(counts[entries], sizes)
-        held = (at.astype("u4"), times.astype("u4"), lengths.astype("u4"), entries, sizes.astype("u4"), per_doc, [d for d, *_ in self.docs], [s for *_, s in self.docs])
-        return number, pairs.tolist(), total.tolist(), zstandard.compress(pickle.dumps(held))
+        del codes
+        total = np.bincount(at, weights=weights, minlength=pairs.size).astype(np.int64)
+        del weights
+        per_doc = np.stack([_sums(c[entries], sizes) for c in counts.T[:-1]], 1)
+        held = (at.astype("u4"), times, lengths.astype("u4"), entries, sizes.astype("u4"), per_doc, [d for d, *_ in self.docs], [s for *_, s in self.docs])
+        return number, pairs, total, zstandard.compress(pickle.dumps(held))
 
 
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -484,7 +537,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, whole: bool) -> DataFrame
         from pyspark import TaskContext
 
         both, number = pair(path_a, path_b), TaskContext.get().partitionId() << 32
-        block = Block(both)
+        block = Block(both, whole)
         for b in text_slices(batches, 64):
             rows = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
             if whole:
@@ -494,7 +547,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, whole: bool) -> DataFrame
                 block.take_texts(rows)
             if block.full():
                 yield _batch([block.row(number)], BLOCKS)
-                block, number = Block(both), number + 1
+                block, number = Block(both, whole), number + 1
         if block.docs:
             yield _batch([block.row(number)], BLOCKS)
 

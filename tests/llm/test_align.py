@@ -1,12 +1,14 @@
 """Two tokenizers over the same bytes, against whole-text encodings and plain loops."""
 
 import hashlib
+import pickle
 import random
 from collections import Counter
 from functools import reduce
 
 import pytest
 import sentencepiece
+import zstandard
 from tokenizers import Tokenizer
 
 from tessera.llm import align
@@ -109,6 +111,53 @@ def test_words_equal_whole_texts(spark):
         assert dict(zip(pairs, times)) == {**dict.fromkeys(pairs, 0), **links}, t
 
 
+def test_known_words_are_not_encoded_again(monkeypatch):
+    """Neither before a run of marks, nor much used ones when memory was full; a changed word costs only few others a call."""
+    both, seen = align.Pair(A, B), []
+    encode = both._a_ids
+    monkeypatch.setattr(both, "_a_ids", lambda piece: seen.append(piece) or encode(piece))
+    monkeypatch.setattr(align, "PIECES", 20)
+    known = lambda: [p for p in seen for w in ("alpha", "beta", "gamma") if w in p]
+    block = align.Block(both)
+    block.take_texts([(1, " ".join(["alpha beta gamma"] * 3))])
+    assert known()
+    seen.clear()
+    block.take_texts([(2, 'alpha" beta... gamma&&& alpha"). beta?!')])
+    assert seen and not known()
+    seen.clear()
+    block.take_texts([(3, " ".join(f"w{k}x" for k in range(500)) + " a▁b")])
+    assert len(seen) < 50 and len(block.store.bad) == 1 and block.docs[-1][2] == ""
+    block.row(0)
+    block = align.Block(both)
+    assert len(both.words) <= 10
+    seen.clear()
+    block.take_texts([(4, "alpha beta gamma w3x")])
+    assert seen and not known()
+
+
+def test_blocks_with_little_memory(spark, monkeypatch):
+    """Blocks whose worker forgets words again and again."""
+    plain, both, rng = Plain(), align.Pair(A, B), random.Random(5)
+    monkeypatch.setattr(align, "PIECES", 40)
+    docs = list(enumerate(ODD * 2 + [r["text"][:2000] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(40).collect()] + [None, "", "x▁b..."]))
+    rng.shuffle(docs)
+    for k in range(0, len(docs), 7):
+        some = docs[k:k + 7]
+        block = align.Block(both)
+        assert len(both.words) <= 40
+        for doc in some:
+            block.take_texts([doc])
+        _, pairs, times, packed = block.row(0)
+        *_, counts, ids, shas = pickle.loads(zstandard.decompress(packed))
+        want = plain.rows(some)
+        assert [(d, *c, s) for d, c, s in zip(ids, counts.tolist(), shas)] == [(*w[:5], w[7]) for w in want]
+        links = Counter()
+        for _, t in some:
+            a, b = plain.both(t) if t else ([], [])
+            links.update(y << 32 | x for x, y in (sweep(a, b) if a else []))
+        assert dict(zip(pairs.tolist(), times.tolist())) == links
+
+
 def pieces_of(tokens, cuts):
     """A run of (id, end) dealt to byte ranges by where tokens begin."""
     out, at = [([], []) for _ in range(len(cuts) + 1)], 0
