@@ -15,7 +15,7 @@ from tessera.llm import decontam, search, warc
 from tessera.llm.decontam import ItemIndex, bag, contamination, similarity, uncontaminated
 from tessera.llm.lmscore import MU, NU, cross_entropy_difference
 from tessera.llm.search import B, K1, build_index, document_queries, similar_documents, statistics
-from tessera.llm.words import spaced_words, words_of
+from tessera.llm.words import spaced_words, word_counts, words_of
 
 from .conftest import LONG, got, rows
 
@@ -185,6 +185,52 @@ def test_common_terms_of_many_queries_together(spark):
     assert shard.tops(queries, 5, one_by_one)[0][0] == one_by_one[0][0] and shard.shut >= 20 * 200
 
 
+def test_queries_are_not_searched_one_by_one(spark, monkeypatch):
+    """A block of queries is summed together, and hits are ranked by exact scores, closer than single precision tells."""
+    texts = [f"{'word ' * 2}q{i % 20} {'pad ' * (3000 + i)}" for i in range(400)] + [f"q{i}" for i in range(20)]
+    shard, number, df = held(spark, texts)
+    queries = [(np.array([number[b"word"], number[b"q%d" % i]]), np.array([2.0, 1e-3])) for i in range(20)]
+    one_by_one = [shard.top(t, w, 5) for t, w in queries]
+    assert [d for _, d in one_by_one[3]] == [3, 0, 1, 2, 4]
+    monkeypatch.delattr(search.Shard, "top")
+    if hasattr(search.Shard, "_pivots"):
+        monkeypatch.delattr(search.Shard, "_pivots")
+    assert shard.tops(queries, 5, [[] for _ in queries]) == one_by_one
+
+
+def test_first_shards_give_thresholds(spark, monkeypatch):
+    """Hits that the first shards rule out are left out of the others; the answer is that of all documents."""
+    monkeypatch.setattr(search, "SHARD_DOCS", 16)
+    monkeypatch.setattr(search, "FIRST_SHARDS", 3)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
+    records = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = sorted((tuple(r) for r in similar_documents(docs, 10, 5).collect()), key=lambda r: r[:2])
+    want = brute_search([(r["doc_id"], r["text"]) for r in docs.collect()], 10, 5)
+    assert [r[:3] for r in out] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in out], [r[3] for r in want], atol=2e-6)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == records
+
+
+def test_floor_leaves_hits_out(spark, monkeypatch):
+    shard, number, _ = held(spark, [f"a b{i % 9} c{i}" for i in range(300)])
+    cut, terms, weights = np.array([0, 2, 4]), np.array([number[b"a"], number[b"b1"], number[b"a"], number[b"c7"]]), np.array([0.1, 1.0, 0.1, 5.0])
+    for few in (1, 8):
+        monkeypatch.setattr(search, "FEW_QUERIES", few)
+        (x, y), (u, v) = [shard.together(cut, terms, weights, 3, [[], []], floor) for floor in (np.zeros(2), np.array([1e3, 2.0]))]
+        assert [d for _, d in x] == [1, 10, 19] and y[0][1] == 7 and len(y) == 3
+        assert u == [] and v == y[:1]
+
+
+def test_word_counts():
+    """Words of many texts counted at once are those of each text."""
+    texts = [None, "", "a", "b a B", " x", "é\n日本 A1-b", "\x00z\x0b\x1cq\x85\xa0r", "tail "]
+    for some in (texts, texts[::-1], [None], []):
+        lengths, sizes, codes, counts, words = word_counts([t and t.encode() for t in some])
+        pairs = iter(zip(words.take(codes).to_pylist(), counts.tolist()))
+        assert [{w: n for w, n in (next(pairs) for _ in range(k))} for k in sizes] == [Counter(words_of(t)) for t in some]
+        assert lengths.tolist() == [len(words_of(t)) for t in some] and not list(pairs)
+
+
 def test_alike_documents_are_neighbours(spark):
     shard, number, _ = held(spark, [f"{'der der' if i % 2 else 'the the'} x{i}" for i in range(400)])
     the = shard.docs[shard.start[number[b"the"]]:shard.start[number[b"the"] + 1]]
