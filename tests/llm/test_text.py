@@ -200,15 +200,16 @@ def test_queries_are_not_searched_one_by_one(spark, monkeypatch):
 
 def test_first_shards_give_thresholds(spark, monkeypatch):
     """Hits that the first shards rule out are left out of the others; the answer is that of all documents."""
-    monkeypatch.setattr(search, "SHARD_DOCS", 16)
     monkeypatch.setattr(search, "FIRST_SHARDS", 3)
-    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
+    names, landed = [], search.landed
+    monkeypatch.setattr(search, "landed", lambda df, name: names.append(name) or landed(df, name))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(12)
     records = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     out = sorted((tuple(r) for r in similar_documents(docs, 10, 5).collect()), key=lambda r: r[:2])
     want = brute_search([(r["doc_id"], r["text"]) for r in docs.collect()], 10, 5)
     assert [r[:3] for r in out] == [r[:3] for r in want]
     assert np.allclose([r[3] for r in out], [r[3] for r in want], atol=2e-6)
-    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == records
+    assert names.count("bm25-hits") == 2 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == records
 
 
 def test_floor_leaves_hits_out(spark, monkeypatch):
